@@ -1,10 +1,20 @@
-"""Helpers over VARIANT values that mirror Python's view of parsed JSON."""
+"""Helpers over VARIANT values that mirror Python's view of parsed JSON.
+
+They work on the JSON text of a value (``to_json``), computed once per field
+as its own column, so a document with many fields stays a handful of small
+expressions instead of one tree that outgrows generated-code limits.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# JSON spellings of Python-falsy values; numeric zero is
+# matched by the pattern.
+FALSY_JSON = ("null", "false", '""', "{}", "[]")
+NUMERIC_ZERO = r"\A-?0+(\.0*)?([eE][+-]?[0-9]+)?\z"
+
 
 def get(v: Column, path: str, type_: str = "variant") -> Column:
     """``try_variant_get``: NULL when the path is missing or the cast fails."""
@@ -16,36 +26,21 @@ def json_type(x: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(x), r"^([A-Z_]+)", 1)
 
 
-def is_falsy(x: Column) -> Column:
-    """True when the value would be falsy in Python after ``json.loads``.
-
-    Missing, JSON null, false, numeric zero, the empty string and empty
-    containers are falsy. Never NULL.
-    """
-    kind = json_type(x)
-    numeric = kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL", "DOUBLE", "FLOAT")
-    text = F.to_json(x)
-    return (
-        x.isNull()
-        | F.coalesce(F.is_variant_null(x), F.lit(False))
-        | text.isin("false", '""', "{}", "[]")
-        | (numeric & (F.coalesce(get(x, "$", "double"), F.lit(1.0)) == 0.0))
-    )
-
-
-def py_str(x: Column) -> Column:
-    """``str()`` of a parsed JSON scalar: strings as-is, booleans ``True`` /
-    ``False``, numbers in their JSON spelling; containers as JSON text."""
-    kind = json_type(x)
-    return (
-        F.when(kind == "STRING", get(x, "$", "string"))
-        .when(kind == "BOOLEAN",
-              F.when(get(x, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
-        .when(kind.isin("OBJECT", "ARRAY"), F.to_json(x))
-        .otherwise(get(x, "$", "string"))
-    )
-
-
-def falsy_to_null(x: Column) -> Column:
-    """``str(x) if x else None`` for a VARIANT value."""
-    return F.when(~is_falsy(x), py_str(x))
+def is_falsy(text: Column) -> Column:
+    """True when a value, given as its JSON text, is falsy in Python after
+    ``json.loads``: missing, null, false, 0, "", {} or []. Never NULL."""
+    return text.isNull() | text.isin(*FALSY_JSON) | F.coalesce(text.rlike(NUMERIC_ZERO), F.lit(False))
+
+
+def py_str(x: Column, text: Column) -> Column:
+    """``str()`` of a parsed JSON value: strings unquoted, booleans
+    ``True`` / ``False``, numbers and containers in their JSON spelling."""
+    return (F.when(F.substring(text, 1, 1) == '"', get(x, "$", "string"))
+            .when(text == "true", F.lit("True"))
+            .when(text == "false", F.lit("False"))
+            .otherwise(text))
+
+
+def falsy_to_null(x: Column, text: Column) -> Column:
+    """``str(x) if x else None``."""
+    return F.when(~is_falsy(text), py_str(x, text))

@@ -17,20 +17,20 @@ from eventlake.functions.variant import get, json_type
 _NUL = r"(?:^|[^\\])(?:\\\\)*\\u0000|\x00"
 
 
-def reject_reason(text: Column, parsed: Column) -> Column:
+def reject_reason(text: Column, kind: Column, id_text: Column) -> Column:
     """First failing rule, or NULL for a line that belongs in bronze.
 
-    Spark's JSON readers accept trailing garbage (``{"a":1} xx``), so an
-    object must also be the whole line: the trimmed text has to end in ``}``.
+    ``kind`` is the parsed line's top-level JSON type and ``id_text`` the
+    JSON text of its ``id`` member. Spark's JSON readers accept trailing
+    garbage (``{"a":1} xx``), so an object must also be the whole line: the
+    trimmed text has to end in ``}``.
     """
-    kind = json_type(parsed)
-    event_id = get(parsed, "$.id")
     return (
-        F.when(parsed.isNull(), F.lit(S.REJECT_NOT_JSON))
+        F.when(kind.isNull() | (kind == ""), F.lit(S.REJECT_NOT_JSON))
         .when(kind != "OBJECT", F.lit(S.REJECT_NOT_OBJECT))
         .when(~F.rtrim(text).endswith("}"), F.lit(S.REJECT_NOT_JSON))
-        .when(event_id.isNull() | F.is_variant_null(event_id), F.lit(S.REJECT_MISSING_ID))
-        .when(json_type(event_id) == "OBJECT", F.lit(S.REJECT_INVALID_ID))
+        .when(id_text.isNull() | (id_text == "null"), F.lit(S.REJECT_MISSING_ID))
+        .when(F.substring(id_text, 1, 1) == "{", F.lit(S.REJECT_INVALID_ID))
         .when(text.rlike(_NUL), F.lit(S.REJECT_NUL))
     )
 
@@ -39,10 +39,15 @@ def classify(raw: DataFrame, text_col: str = "value") -> DataFrame:
     """Parse each line once and add ``full_json``, ``event_id``, ``event_type``
     and ``reject_reason`` (NULL for accepted rows)."""
     text = F.col(text_col)
-    parsed = F.try_parse_json(text)
-    return (
-        raw.withColumn("full_json", parsed)
-        .withColumn("reject_reason", reject_reason(text, F.col("full_json")))
-        .withColumn("event_id", get(F.col("full_json"), "$.id", "string"))
-        .withColumn("event_type", get(F.col("full_json"), "$.type", "string"))
+    parsed = raw.withColumn("full_json", F.try_parse_json(text))
+    v = F.col("full_json")
+    staged = parsed.select(
+        "*",
+        json_type(v).alias("__kind"),
+        F.to_json(get(v, "$.id")).alias("__id_text"),
+        get(v, "$.id", "string").alias("event_id"),
+        get(v, "$.type", "string").alias("event_type"),
     )
+    return staged.withColumn(
+        "reject_reason", reject_reason(text, F.col("__kind"), F.col("__id_text"))
+    ).drop("__kind", "__id_text")

@@ -2,7 +2,9 @@
 
 The reference does this with a Python function per row; here every rule is a
 column expression over the parsed document, so it runs inside whole-stage
-codegen and never leaves the JVM.
+codegen and never leaves the JVM. The projection is built in stages (sub-
+documents, then their JSON text, then the values) so each piece is computed
+once per row and the generated code stays small.
 """
 
 from __future__ import annotations
@@ -11,40 +13,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
-from eventlake.functions.rules import iso_timestamp
-from eventlake.functions.variant import falsy_to_null, get, is_falsy, json_type
+from eventlake.functions.rules import iso_from_parts, iso_parts
+from eventlake.functions.variant import falsy_to_null, get, is_falsy
 
+# Scalar fields: output column -> JSON path. A member of a missing or
+# non-object parent (``"actor": "x"``) reads as missing.
+SCALARS = {
+    "event_id": "$.id",
+    "event_type": "$.type",
+    "actor_id": "$.actor.id",
+    "actor_login": "$.actor.login",
+    "repo_id": "$.repo.id",
+    "repo_name": "$.repo.name",
+    "org_id": "$.org.id",
+    "org_login": "$.org.login",
+}
+SILVER_FIELDS = list(SCALARS) + ["event_time", "is_public", "payload"]
 
-def _member(v: Column, obj: str, field: str) -> Column:
-    """``(raw.get(obj) or {}).get(field)``; a non-object parent gives NULL."""
-    return get(v, f"$.{obj}.{field}")
 
+def _v(name: str) -> str:
+    return f"__v_{name}"
 
-def extract_columns(v: Column) -> dict[str, Column]:
-    """The eleven silver columns of one envelope, by name."""
-    created = get(v, "$.created_at")
-    created_text = F.when(json_type(created) == "STRING", get(created, "$", "string"))
-    public = get(v, "$.public")
-    payload = get(v, "$.payload")
-    return {
-        "event_id": falsy_to_null(get(v, "$.id")),
-        "event_type": falsy_to_null(get(v, "$.type")),
-        "actor_id": falsy_to_null(_member(v, "actor", "id")),
-        "actor_login": falsy_to_null(_member(v, "actor", "login")),
-        "repo_id": falsy_to_null(_member(v, "repo", "id")),
-        "repo_name": falsy_to_null(_member(v, "repo", "name")),
-        "org_id": falsy_to_null(_member(v, "org", "id")),
-        "org_login": falsy_to_null(_member(v, "org", "login")),
+
+def _t(name: str) -> str:
+    return f"__t_{name}"
+
+
+def extract(bronze: DataFrame, json_col: str = "full_json") -> DataFrame:
+    """Add the eleven silver columns and ``silver_reject_reason`` to bronze
+    rows (bronze columns of the same name are replaced)."""
+    v = F.col(json_col)
+    keep = [c for c in bronze.columns if c not in SILVER_FIELDS and c != "silver_reject_reason"]
+    fields = {**SCALARS, "created_at": "$.created_at", "public": "$.public", "payload": "$.payload"}
+    # 1. sub-documents
+    stage = bronze.select(*keep, *[get(v, path).alias(_v(n)) for n, path in fields.items()])
+    # 2. their JSON text
+    texts = [*SCALARS, "created_at"]
+    stage = stage.select("*", *[F.to_json(F.col(_v(n))).alias(_t(n)) for n in texts])
+    # 3. values
+    created = F.when(F.substring(F.col(_t("created_at")), 1, 1) == '"',
+                     get(F.col(_v("created_at")), "$", "string"))
+    stage = stage.select(
+        "*",
+        *[falsy_to_null(F.col(_v(n)), F.col(_t(n))).alias(n) for n in SCALARS],
         # falsy created_at ("" / missing) -> NULL; non-strings -> NULL.
-        "event_time": F.when(created_text != "", iso_timestamp(created_text)),
+        iso_parts(F.when(created != "", created)).alias("__time_parts"),
         # missing -> true; an explicit null stays NULL (the view makes it true).
-        "is_public": F.when(public.isNull(), F.lit(True)).otherwise(get(public, "$", "boolean")),
+        F.when(F.col(_v("public")).isNull(), F.lit(True))
+        .otherwise(get(F.col(_v("public")), "$", "boolean")).alias("is_public"),
         # missing -> {}; JSON null is kept as a JSON null.
-        "payload": F.coalesce(payload, F.parse_json(F.lit("{}"))),
-    }
+        F.coalesce(F.col(_v("payload")), F.parse_json(F.lit("{}"))).alias("payload"),
+    )
+    stage = stage.withColumn("event_time", iso_from_parts(F.col("__time_parts")))
+    reason = silver_reject_reason(F.col(_t("event_id")))
+    return stage.select(*SILVER_FIELDS, reason.alias("silver_reject_reason"), *keep)
 
 
-def silver_reject_reason(cols: dict[str, Column], v: Column) -> Column:
+def silver_reject_reason(id_text: Column) -> Column:
     """Why a bronze row cannot become a silver row (NULL when it can).
 
     A falsy id is skipped by the reference without being marked, which makes
@@ -52,21 +77,9 @@ def silver_reject_reason(cols: dict[str, Column], v: Column) -> Column:
     Values longer than the silver / gold column limits are recorded too, so
     one bad row can neither abort the silver batch nor poison every gold run.
     """
-    reason = F.when(is_falsy(get(v, "$.id")), F.lit(S.SILVER_REJECT_FALSY_ID))
+    reason = F.when(is_falsy(id_text), F.lit(S.SILVER_REJECT_FALSY_ID))
     limits = {**S.SILVER_LENGTH_LIMITS, **S.GOLD_LENGTH_LIMITS}
     for name, limit in limits.items():
-        reason = reason.when(
-            F.length(cols[name]) > limit, F.lit(f"{S.SILVER_REJECT_TOO_LONG}:{name}"))
+        reason = reason.when(F.length(F.col(name)) > limit,
+                             F.lit(f"{S.SILVER_REJECT_TOO_LONG}:{name}"))
     return reason
-
-
-def extract(bronze: DataFrame, json_col: str = "full_json") -> DataFrame:
-    """Add the silver columns and ``silver_reject_reason`` to bronze rows."""
-    v = F.col(json_col)
-    cols = extract_columns(v)
-    out = bronze.select(
-        *[c.alias(n) for n, c in cols.items()],
-        silver_reject_reason(cols, v).alias("silver_reject_reason"),
-        *[c for c in bronze.columns if c not in cols and c != "silver_reject_reason"],
-    )
-    return out

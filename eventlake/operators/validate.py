@@ -55,6 +55,29 @@ def row_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return _union([counts.select(*_row(n, F.col(n))) for n in checks])
 
 
+def key_and_row_checks(
+    df: DataFrame, keys: Sequence[str], dup_name: str, checks: Mapping[str, Column],
+    where: Column | None = None,
+) -> DataFrame:
+    """VAL-2 and VAL-3/4 together in one shuffle.
+
+    Rows are grouped by ``keys`` once; each group carries its row count and
+    its per-check violation counts (partial aggregation, so a hot key does
+    not concentrate rows), then one global sum gives every check. ``where``
+    restricts all checks to the rows it accepts.
+    """
+    ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    per_key = df.groupBy(*keys).agg(
+        F.count_if(ok).alias("__n"),
+        *[F.count_if(ok & F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
+    totals = per_key.agg(
+        F.count_if(F.col("__n") > 1).alias(dup_name),
+        *[F.sum(n).alias(n) for n in checks])
+    names = [dup_name, *checks]
+    return totals.select(F.explode(F.array(*[
+        F.struct(*_row(n, F.col(n))) for n in names])).alias("x")).select("x.*")
+
+
 def not_null(cols: Sequence[str]) -> dict[str, Column]:
     return {f"null_{c}": F.col(c).isNull() for c in cols}
 

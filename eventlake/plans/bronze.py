@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.classify import classify
 from eventlake.operators.dedupe import first_arrival
+from eventlake.operators.parallel import spread
 from eventlake.operators.merge import DEFAULT_BROADCAST_ROWS, insert_ignore
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.sources.landing import ARRIVAL
@@ -52,7 +53,7 @@ def ingest_batch(
     spark = wh.spark
     batch_id = next_batch_id(wh) if batch_id is None else batch_id
     ts = lit_ts(now) if now is not None else F.current_timestamp()
-    classified = classify(raw).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)
+    classified = classify(spread(raw)).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = Observation(f"bronze_in_{uuid.uuid4().hex[:12]}")
         rejects = classified.observe(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake.operators.extract import extract
+from eventlake.operators.parallel import spread
 from eventlake.plans.warehouse import Warehouse, lit_ts
 
 SILVER_COLUMNS = [f.name for f in S.SILVER_EVENTS.fields]
@@ -45,7 +46,7 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
 
     run_id = state["run_id"] + 1
     bronze = wh.bronze_events().filter(F.col("batch_id").between(todo[0], todo[-1]))
-    rows = extract(bronze).withColumn("processed_at", lit_ts(now_dt)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = extract(spread(bronze)).withColumn("processed_at", lit_ts(now_dt)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = Observation(f"silver_{uuid.uuid4().hex[:12]}")
         good = rows.observe(

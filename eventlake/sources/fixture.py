@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.operators.parallel import spread
+
 # The fixture text, run verbatim by both engines over `events`.
 FIXTURE_SQL = """
 SELECT event_id AS seq,
@@ -43,8 +45,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture(events: DataFrame) -> DataFrame:
-    """``fx``: one row per event with the injected cases (FIXTURES §3)."""
-    return events.sparkSession.sql(FIXTURE_SQL, events=events)
+    """``fx``: one row per event with the injected cases (FIXTURES §3).
+
+    The per-row JSON work downstream is CPU-bound, so a single-file input
+    is spread over the session's cores first.
+    """
+    return events.sparkSession.sql(FIXTURE_SQL, events=spread(events))
 
 
 def envelope(fx: DataFrame) -> DataFrame:
