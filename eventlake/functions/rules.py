@@ -1,10 +1,16 @@
-"""Scalar rules of the conformed view, as Spark column expressions."""
+"""Scalar rules of the conformed view, as Spark SQL expression text.
+
+Each ``*_sql`` function takes SQL text for its input and returns SQL text;
+the Column-returning wrappers are for callers that compose DataFrame code.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventlake.functions.sqltext import lit
+
 # An id must be ASCII digits only. \A and \z anchor the whole
 # string; Java's `$` would also accept a trailing newline.
 DIGITS = r"\A[0-9]+\z"
@@ -17,69 +23,59 @@ _ISO_SHAPE = (
     r"(?:[^\n](\d{2})(?::(\d{2})(?::(\d{2})(?:\.(\d{3}(?:\d{3})?))?)?)?"
     r"([+-]\d{2}:\d{2})?)?\z"
 )
+_ISO_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"
 
 
-def digits_or(text: Column, default) -> Column:
+def digits_or_sql(text: str, default: str) -> str:
     """BIGINT of a digit string, else ``default`` (FN-3, FN-4).
 
     A digit string too long for BIGINT also gives the default: it passes the
     regex but would make a strict cast fail the whole job.
     """
-    default_col = F.lit(default).cast("bigint")
-    return F.when(
-        text.rlike(DIGITS), F.coalesce(text.try_cast("bigint"), default_col)
-    ).otherwise(default_col)
+    d = f"CAST({default} AS BIGINT)"
+    return (f"CASE WHEN {text} RLIKE {lit(DIGITS)} "
+            f"THEN COALESCE(TRY_CAST({text} AS BIGINT), {d}) ELSE {d} END")
 
 
-def iso_parts(text: Column) -> Column:
+def iso_parts_sql(text: str) -> str:
     """Components of an ISO-8601 string, or NULL if its shape is not one
     Python's ``datetime.fromisoformat`` (3.10) accepts after replacing every
     ``Z`` by ``+00:00``: ``[date, HH, MM, SS, fraction, offset]`` with ``''``
     for absent parts. One regex replace and one split, no per-group scans.
     """
-    s = F.replace(text, F.lit("Z"), F.lit("+00:00"))
-    canon = F.regexp_replace(s, _ISO_SHAPE, "$1-$2-$3|$4|$5|$6|$7|$8")
-    return F.when(s.rlike(_ISO_SHAPE), F.split(canon, r"\|"))
+    s = f"replace({text}, 'Z', '+00:00')"
+    return (f"CASE WHEN {s} RLIKE {lit(_ISO_SHAPE)} THEN split(regexp_replace({s}, "
+            f"{lit(_ISO_SHAPE)}, '$1-$2-$3|$4|$5|$6|$7|$8'), {lit(chr(92) + '|')}) END")
 
 
-def iso_from_parts(parts: Column) -> Column:
-    """Timestamp from ``iso_parts``; out-of-range values give NULL and a
+def iso_from_parts_sql(parts: str) -> str:
+    """Timestamp from ``iso_parts_sql``; out-of-range values give NULL and a
     missing offset is read as UTC (FN-17)."""
-    p = lambda i, d: F.coalesce(F.nullif(parts[i], F.lit("")), F.lit(d))
-    canonical = F.concat(
-        parts[0], F.lit(" "), p(1, "00"), F.lit(":"), p(2, "00"), F.lit(":"), p(3, "00"),
-        F.lit("."), F.rpad(parts[4], 6, "0"), p(5, "+00:00"))
-    return F.try_to_timestamp(canonical, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSSXXX"))
-
-
-def iso_timestamp(text: Column) -> Column:
-    """Parse an ISO-8601 string the way the reference's extractor does.
-
-    The shape gate keeps Spark's lenient parser from accepting strings such
-    as ``2026`` or ``T08:49``; values out of range (month 13) give NULL.
-    """
-    return iso_from_parts(iso_parts(text))
+    p = lambda i, d: f"coalesce(nullif({parts}[{i}], ''), '{d}')"
+    canonical = (f"concat({parts}[0], ' ', {p(1, '00')}, ':', {p(2, '00')}, ':', {p(3, '00')}, "
+                 f"'.', rpad({parts}[4], 6, '0'), {p(5, '+00:00')})")
+    return f"try_to_timestamp({canonical}, '{_ISO_FORMAT}')"
 
 
-def date_key(ts: Column) -> Column:
+def date_key_sql(ts: str) -> str:
     """Smart date key yyyymmdd as INT (FN-9), in the session time zone."""
-    return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
+    return f"CAST(year({ts}) * 10000 + month({ts}) * 100 + day({ts}) AS INT)"
 
 
-def owner_project(name: Column) -> tuple[Column, Column]:
+def owner_project_sql(name: str) -> tuple[str, str]:
     """Split ``owner/project``; any other slash count gives the sentinels.
 
     FN-10..12: the name must contain exactly one ``/``; ``/b`` gives an empty
     owner and ``a/`` an empty project, as SPLIT_PART does.
     """
-    one_slash = name.contains("/") & (
-        (F.length(name) - F.length(F.replace(name, F.lit("/"), F.lit("")))) == 1
-    )
-    owner = F.when(one_slash, F.split_part(name, F.lit("/"), F.lit(1))).otherwise(
-        F.lit("unknownowner"))
-    project = F.when(one_slash, F.split_part(name, F.lit("/"), F.lit(2))).otherwise(
-        F.lit("unknownproject"))
-    return owner, project
+    one = (f"({name} LIKE '%/%' AND "
+           f"length({name}) - length(replace({name}, '/', '')) = 1)")
+    return (f"CASE WHEN {one} THEN split_part({name}, '/', 1) ELSE 'unknownowner' END",
+            f"CASE WHEN {one} THEN split_part({name}, '/', 2) ELSE 'unknownproject' END")
+
+
+def ts_text_sql(ts: str) -> str:
+    return f"date_format({ts}, 'yyyy-MM-dd HH:mm:ss')"
 
 
 def ts_text(ts: Column) -> Column:

@@ -1,14 +1,13 @@
-"""Helpers over VARIANT values that mirror Python's view of parsed JSON.
+"""Rules over VARIANT values that mirror Python's view of parsed JSON.
 
 They work on the JSON text of a value (``to_json``), computed once per field
 as its own column, so a document with many fields stays a handful of small
-expressions instead of one tree that outgrows generated-code limits.
+expressions. All helpers return Spark SQL expression text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from eventlake.functions.sqltext import lit
 
 # JSON spellings of Python-falsy values; numeric zero is
 # matched by the pattern.
@@ -16,31 +15,32 @@ FALSY_JSON = ("null", "false", '""', "{}", "[]")
 NUMERIC_ZERO = r"\A-?0+(\.0*)?([eE][+-]?[0-9]+)?\z"
 
 
-def get(v: Column, path: str, type_: str = "variant") -> Column:
+def get_sql(v: str, path: str, type_: str = "variant") -> str:
     """``try_variant_get``: NULL when the path is missing or the cast fails."""
-    return F.try_variant_get(v, path, type_)
+    return f"try_variant_get({v}, {lit(path)}, '{type_}')"
 
 
-def json_type(x: Column) -> Column:
+def json_type_sql(x: str) -> str:
     """Top-level JSON type name of a VARIANT (``OBJECT<...>`` -> ``OBJECT``)."""
-    return F.regexp_extract(F.schema_of_variant(x), r"^([A-Z_]+)", 1)
+    return f"regexp_extract(schema_of_variant({x}), '^([A-Z_]+)', 1)"
 
 
-def is_falsy(text: Column) -> Column:
+def falsy_sql(text: str) -> str:
     """True when a value, given as its JSON text, is falsy in Python after
     ``json.loads``: missing, null, false, 0, "", {} or []. Never NULL."""
-    return text.isNull() | text.isin(*FALSY_JSON) | F.coalesce(text.rlike(NUMERIC_ZERO), F.lit(False))
+    spellings = ", ".join(lit(s) for s in FALSY_JSON)
+    return (f"({text} IS NULL OR {text} IN ({spellings}) "
+            f"OR coalesce({text} RLIKE {lit(NUMERIC_ZERO)}, false))")
 
 
-def py_str(x: Column, text: Column) -> Column:
+def py_str_sql(x: str, text: str) -> str:
     """``str()`` of a parsed JSON value: strings unquoted, booleans
     ``True`` / ``False``, numbers and containers in their JSON spelling."""
-    return (F.when(F.substring(text, 1, 1) == '"', get(x, "$", "string"))
-            .when(text == "true", F.lit("True"))
-            .when(text == "false", F.lit("False"))
-            .otherwise(text))
+    return (f"CASE WHEN substring({text}, 1, 1) = '\"' THEN {get_sql(x, '$', 'string')} "
+            f"WHEN {text} = 'true' THEN 'True' WHEN {text} = 'false' THEN 'False' "
+            f"ELSE {text} END")
 
 
-def falsy_to_null(x: Column, text: Column) -> Column:
+def falsy_to_null_sql(x: str, text: str) -> str:
     """``str(x) if x else None``."""
-    return F.when(~is_falsy(text), py_str(x, text))
+    return f"CASE WHEN NOT {falsy_sql(text)} THEN {py_str_sql(x, text)} END"

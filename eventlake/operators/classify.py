@@ -6,18 +6,18 @@ handling, so the split is a pair of filters over the same parsed batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from eventlake import schema as S
-from eventlake.functions.variant import get, json_type
+from eventlake.functions.sqltext import lit
+from eventlake.functions.variant import get_sql, json_type_sql
 
-# A JSON \u0000 escape that is not itself escaped (preceded by an even run of
+# A JSON \\u0000 escape that is not itself escaped (preceded by an even run of
 # backslashes), or a raw NUL character.
 _NUL = r"(?:^|[^\\])(?:\\\\)*\\u0000|\x00"
 
 
-def reject_reason(text: Column, kind: Column, id_text: Column) -> Column:
+def reject_reason_sql(text: str, kind: str, id_text: str) -> str:
     """First failing rule, or NULL for a line that belongs in bronze.
 
     ``kind`` is the parsed line's top-level JSON type and ``id_text`` the
@@ -26,28 +26,28 @@ def reject_reason(text: Column, kind: Column, id_text: Column) -> Column:
     trimmed text has to end in ``}``.
     """
     return (
-        F.when(kind.isNull() | (kind == ""), F.lit(S.REJECT_NOT_JSON))
-        .when(kind != "OBJECT", F.lit(S.REJECT_NOT_OBJECT))
-        .when(~F.rtrim(text).endswith("}"), F.lit(S.REJECT_NOT_JSON))
-        .when(id_text.isNull() | (id_text == "null"), F.lit(S.REJECT_MISSING_ID))
-        .when(F.substring(id_text, 1, 1) == "{", F.lit(S.REJECT_INVALID_ID))
-        .when(text.rlike(_NUL), F.lit(S.REJECT_NUL))
+        f"CASE WHEN {kind} IS NULL OR {kind} = '' THEN '{S.REJECT_NOT_JSON}' "
+        f"WHEN {kind} <> 'OBJECT' THEN '{S.REJECT_NOT_OBJECT}' "
+        f"WHEN NOT endswith(rtrim({text}), '}}') THEN '{S.REJECT_NOT_JSON}' "
+        f"WHEN {id_text} IS NULL OR {id_text} = 'null' THEN '{S.REJECT_MISSING_ID}' "
+        f"WHEN substring({id_text}, 1, 1) = '{{' THEN '{S.REJECT_INVALID_ID}' "
+        f"WHEN {text} RLIKE {lit(_NUL)} THEN '{S.REJECT_NUL}' END"
     )
 
 
 def classify(raw: DataFrame, text_col: str = "value") -> DataFrame:
     """Parse each line once and add ``full_json``, ``event_id``, ``event_type``
     and ``reject_reason`` (NULL for accepted rows)."""
-    text = F.col(text_col)
-    parsed = raw.withColumn("full_json", F.try_parse_json(text))
-    v = F.col("full_json")
-    staged = parsed.select(
+    t = f"`{text_col}`"
+    parsed = raw.selectExpr("*", f"try_parse_json({t}) AS full_json")
+    staged = parsed.selectExpr(
         "*",
-        json_type(v).alias("__kind"),
-        F.to_json(get(v, "$.id")).alias("__id_text"),
-        get(v, "$.id", "string").alias("event_id"),
-        get(v, "$.type", "string").alias("event_type"),
+        f"{json_type_sql('full_json')} AS __kind",
+        f"to_json({get_sql('full_json', '$.id')}) AS __id_text",
+        f"{get_sql('full_json', '$.id', 'string')} AS event_id",
+        f"{get_sql('full_json', '$.type', 'string')} AS event_type",
     )
-    return staged.withColumn(
-        "reject_reason", reject_reason(text, F.col("__kind"), F.col("__id_text"))
-    ).drop("__kind", "__id_text")
+    cols = [c for c in staged.columns if c not in ("__kind", "__id_text")]
+    return staged.selectExpr(
+        *[f"`{c}`" for c in cols],
+        f"{reject_reason_sql(t, '__kind', '__id_text')} AS reject_reason")

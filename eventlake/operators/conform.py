@@ -8,10 +8,9 @@ through it into the Parquet scan, and ``payload`` is never read (PRJ-5).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from eventlake import schema as S
-from eventlake.functions.rules import date_key, digits_or
+from eventlake.functions.rules import date_key_sql, digits_or_sql
 
 CONFORMED_COLUMNS = [
     "event_id", "event_time", "event_type", "processed_at", "date_id", "event_hour",
@@ -24,20 +23,19 @@ def conform(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     ``keep`` passes extra columns (e.g. ``run_id``) through unchanged.
     """
-    t = F.col("event_time")
-    return silver.filter(t.isNotNull()).select(
+    return silver.where("event_time IS NOT NULL").selectExpr(
         "event_id",
-        t.alias("event_time"),
-        F.coalesce(F.col("event_type"), F.lit(S.UNKNOWN_EVENT_TYPE)).alias("event_type"),
+        "event_time",
+        f"coalesce(event_type, '{S.UNKNOWN_EVENT_TYPE}') AS event_type",
         "processed_at",
-        date_key(t).alias("date_id"),
-        F.hour(t).cast("int").alias("event_hour"),
-        digits_or(F.col("actor_id"), S.UNKNOWN_ACTOR_ID).alias("actor_id"),
-        F.coalesce(F.col("actor_login"), F.lit(S.UNKNOWN_ACTOR_LOGIN)).alias("actor_login"),
-        digits_or(F.col("repo_id"), S.UNKNOWN_REPO_ID).alias("repo_id"),
-        F.coalesce(F.col("repo_name"), F.lit(S.UNKNOWN_REPO_NAME)).alias("repo_name"),
-        digits_or(F.col("org_id"), None).alias("org_id"),
-        F.coalesce(F.col("org_login"), F.lit(S.DEFAULT_ORG_LOGIN)).alias("org_login"),
-        F.coalesce(F.col("is_public"), F.lit(True)).alias("is_public"),
+        f"{date_key_sql('event_time')} AS date_id",
+        "CAST(hour(event_time) AS INT) AS event_hour",
+        f"{digits_or_sql('actor_id', str(S.UNKNOWN_ACTOR_ID))} AS actor_id",
+        f"coalesce(actor_login, '{S.UNKNOWN_ACTOR_LOGIN}') AS actor_login",
+        f"{digits_or_sql('repo_id', str(S.UNKNOWN_REPO_ID))} AS repo_id",
+        f"coalesce(repo_name, '{S.UNKNOWN_REPO_NAME}') AS repo_name",
+        f"{digits_or_sql('org_id', 'NULL')} AS org_id",
+        f"coalesce(org_login, '{S.DEFAULT_ORG_LOGIN}') AS org_login",
+        "coalesce(is_public, true) AS is_public",
         *keep,
     )

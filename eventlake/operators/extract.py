@@ -1,20 +1,19 @@
 """PRJ-2: bronze envelope (VARIANT) -> the typed silver columns.
 
 The reference does this with a Python function per row; here every rule is a
-column expression over the parsed document, so it runs inside whole-stage
-codegen and never leaves the JVM. The projection is built in stages (sub-
-documents, then their JSON text, then the values) so each piece is computed
-once per row and the generated code stays small.
+SQL column expression over the parsed document, so it runs inside
+whole-stage codegen and never leaves the JVM. The projection is built in
+stages (sub-documents, then their JSON text, then the values) so each piece
+is computed once per row and the generated code stays small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from eventlake import schema as S
-from eventlake.functions.rules import iso_from_parts, iso_parts
-from eventlake.functions.variant import falsy_to_null, get, is_falsy
+from eventlake.functions.rules import iso_from_parts_sql, iso_parts_sql
+from eventlake.functions.variant import falsy_sql, falsy_to_null_sql, get_sql
 
 # Scalar fields: output column -> JSON path. A member of a missing or
 # non-object parent (``"actor": "x"``) reads as missing.
@@ -31,45 +30,35 @@ SCALARS = {
 SILVER_FIELDS = list(SCALARS) + ["event_time", "is_public", "payload"]
 
 
-def _v(name: str) -> str:
-    return f"__v_{name}"
-
-
-def _t(name: str) -> str:
-    return f"__t_{name}"
-
-
 def extract(bronze: DataFrame, json_col: str = "full_json") -> DataFrame:
     """Add the eleven silver columns and ``silver_reject_reason`` to bronze
     rows (bronze columns of the same name are replaced)."""
-    v = F.col(json_col)
-    keep = [c for c in bronze.columns if c not in SILVER_FIELDS and c != "silver_reject_reason"]
+    keep = [f"`{c}`" for c in bronze.columns
+            if c not in SILVER_FIELDS and c != "silver_reject_reason"]
     fields = {**SCALARS, "created_at": "$.created_at", "public": "$.public", "payload": "$.payload"}
     # 1. sub-documents
-    stage = bronze.select(*keep, *[get(v, path).alias(_v(n)) for n, path in fields.items()])
+    s1 = bronze.selectExpr(*keep, *[f"{get_sql(f'`{json_col}`', p)} AS __v_{n}" for n, p in fields.items()])
     # 2. their JSON text
-    texts = [*SCALARS, "created_at"]
-    stage = stage.select("*", *[F.to_json(F.col(_v(n))).alias(_t(n)) for n in texts])
+    s2 = s1.selectExpr("*", *[f"to_json(__v_{n}) AS __t_{n}" for n in [*SCALARS, "created_at"]])
     # 3. values
-    created = F.when(F.substring(F.col(_t("created_at")), 1, 1) == '"',
-                     get(F.col(_v("created_at")), "$", "string"))
-    stage = stage.select(
+    created = (f"CASE WHEN substring(__t_created_at, 1, 1) = '\"' "
+               f"THEN {get_sql('__v_created_at', '$', 'string')} END")
+    s3 = s2.selectExpr(
         "*",
-        *[falsy_to_null(F.col(_v(n)), F.col(_t(n))).alias(n) for n in SCALARS],
+        *[f"{falsy_to_null_sql(f'__v_{n}', f'__t_{n}')} AS {n}" for n in SCALARS],
         # falsy created_at ("" / missing) -> NULL; non-strings -> NULL.
-        iso_parts(F.when(created != "", created)).alias("__time_parts"),
+        f"{iso_parts_sql(f'nullif({created}, {chr(39)}{chr(39)})')} AS __time_parts",
         # missing -> true; an explicit null stays NULL (the view makes it true).
-        F.when(F.col(_v("public")).isNull(), F.lit(True))
-        .otherwise(get(F.col(_v("public")), "$", "boolean")).alias("is_public"),
+        f"CASE WHEN __v_public IS NULL THEN true ELSE {get_sql('__v_public', '$', 'boolean')} END AS is_public",
         # missing -> {}; JSON null is kept as a JSON null.
-        F.coalesce(F.col(_v("payload")), F.parse_json(F.lit("{}"))).alias("payload"),
+        "coalesce(__v_payload, parse_json('{}')) AS payload",
     )
-    stage = stage.withColumn("event_time", iso_from_parts(F.col("__time_parts")))
-    reason = silver_reject_reason(F.col(_t("event_id")))
-    return stage.select(*SILVER_FIELDS, reason.alias("silver_reject_reason"), *keep)
+    s4 = s3.selectExpr("*", f"{iso_from_parts_sql('__time_parts')} AS event_time")
+    return s4.selectExpr(*SILVER_FIELDS, f"{silver_reject_reason_sql('__t_event_id')} AS silver_reject_reason",
+                         *keep)
 
 
-def silver_reject_reason(id_text: Column) -> Column:
+def silver_reject_reason_sql(id_text: str) -> str:
     """Why a bronze row cannot become a silver row (NULL when it can).
 
     A falsy id is skipped by the reference without being marked, which makes
@@ -77,9 +66,7 @@ def silver_reject_reason(id_text: Column) -> Column:
     Values longer than the silver / gold column limits are recorded too, so
     one bad row can neither abort the silver batch nor poison every gold run.
     """
-    reason = F.when(is_falsy(id_text), F.lit(S.SILVER_REJECT_FALSY_ID))
     limits = {**S.SILVER_LENGTH_LIMITS, **S.GOLD_LENGTH_LIMITS}
-    for name, limit in limits.items():
-        reason = reason.when(F.length(F.col(name)) > limit,
-                             F.lit(f"{S.SILVER_REJECT_TOO_LONG}:{name}"))
-    return reason
+    branches = " ".join(f"WHEN length({n}) > {k} THEN '{S.SILVER_REJECT_TOO_LONG}:{n}'"
+                        for n, k in limits.items())
+    return f"CASE WHEN {falsy_sql(id_text)} THEN '{S.SILVER_REJECT_FALSY_ID}' {branches} END"

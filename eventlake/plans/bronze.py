@@ -25,6 +25,7 @@ from eventlake.operators.dedupe import first_arrival
 from eventlake.operators.parallel import spread
 from eventlake.operators.merge import DEFAULT_BROADCAST_ROWS, insert_ignore
 from eventlake.plans.warehouse import Warehouse, lit_ts
+from eventlake.session import describe
 from eventlake.sources.landing import ARRIVAL
 
 
@@ -53,6 +54,7 @@ def ingest_batch(
     spark = wh.spark
     batch_id = next_batch_id(wh) if batch_id is None else batch_id
     ts = lit_ts(now) if now is not None else F.current_timestamp()
+    describe(spark, f"bronze {batch_id}: dead letters")
     classified = classify(spread(raw)).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         seen = Observation(f"bronze_in_{uuid.uuid4().hex[:12]}")
@@ -66,6 +68,7 @@ def ingest_batch(
         rejects.write.mode("overwrite").parquet(wh.path(f"bronze/dead_letter_queue/batch_id={batch_id}"))
         fetched, errors = int(seen.get["fetched"]), int(seen.get["errors"])
 
+        describe(spark, f"bronze {batch_id}: raw events")
         accepted = classified.filter(F.col("reject_reason").isNull())
         first = first_arrival(accepted, "event_id", list(arrival))
         earlier = [b for b in wh.bronze_batches() if b < batch_id]
@@ -87,6 +90,7 @@ def ingest_batch(
         "duplicates": fetched - errors - inserted,
         "errors": errors,
     }
+    describe(spark, f"bronze {batch_id}: report")
     spark.createDataFrame(
         [(report["fetched"], report["inserted"], report["duplicates"], report["errors"])],
         "fetched bigint, inserted bigint, duplicates bigint, errors bigint",

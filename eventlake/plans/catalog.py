@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from eventlake import schema as S
 from eventlake.functions.rules import ts_text
-from eventlake.functions.variant import get
 from eventlake.operators import validate as V
 from eventlake.operators.classify import classify
 from eventlake.operators.conform import conform
@@ -26,7 +25,6 @@ from eventlake.operators.extract import extract
 from eventlake.operators.merge import insert_new_types, seed_upsert
 from eventlake.plans import queries as Q
 from eventlake.plans.bronze import backlog
-from eventlake.plans.gold import fact_rows
 from eventlake.plans.replay import replayed
 from eventlake.plans.warehouse import lit_ts
 from eventlake.session import configure
@@ -50,8 +48,8 @@ def _bronze_view(bronze: DataFrame) -> DataFrame:
     v = F.col("full_json")
     return bronze.select(
         "event_id", "event_type", "batch_id",
-        get(v, "$.actor.login", "string").alias("actor_login"),
-        get(v, "$.created_at", "string").alias("created_at"))
+        F.try_variant_get(v, "$.actor.login", "string").alias("actor_login"),
+        F.try_variant_get(v, "$.created_at", "string").alias("created_at"))
 
 
 def bronze_dedupe_first(spark, sf_dir):
@@ -89,7 +87,7 @@ def silver_extract(spark, sf_dir):
         "event_id", "event_type", "actor_id", "actor_login", "repo_id", "repo_name",
         "org_id", "org_login", ts_text(F.col("event_time")).alias("event_time"), "is_public",
         ts_text(F.col("processed_at")).alias("processed_at"),
-        get(F.col("payload"), "$.k", "bigint").alias("payload_k"))
+        F.try_variant_get("payload", "$.k", "bigint").alias("payload_k"))
 
 
 def silver_backlog(spark, sf_dir):

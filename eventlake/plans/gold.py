@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake import schema as S
-from eventlake.functions.rules import owner_project
+from eventlake.functions.rules import owner_project_sql
 from eventlake.operators import validate as V
 from eventlake.operators.conform import conform
 from eventlake.operators.dedupe import latest_by_key
@@ -43,6 +43,7 @@ from eventlake.operators.merge import (
 )
 from eventlake.plans.silver import _as_datetime
 from eventlake.plans.warehouse import Warehouse, lit_ts
+from eventlake.session import describe
 from eventlake.sources import seeds
 from eventlake.sources.calendar import dim_date
 
@@ -125,10 +126,10 @@ def actor_updates(batch: DataFrame) -> DataFrame:
 def repo_updates(batch: DataFrame) -> DataFrame:
     """Latest repo attributes per real repo of a batch, with owner/project."""
     real = batch.filter(F.col("repo_id") != S.UNKNOWN_REPO_ID)
-    owner, project = owner_project(F.col("repo_name"))
-    return latest_by_key(real, ["repo_id"]).select(
-        "repo_id", "repo_name", owner.alias("repo_owner"), project.alias("repo_project"),
-        "org_id", "org_login", F.col("event_time").alias("last_event_time"))
+    owner, project = owner_project_sql("repo_name")
+    return latest_by_key(real, ["repo_id"]).selectExpr(
+        "repo_id", "repo_name", f"{owner} AS repo_owner", f"{project} AS repo_project",
+        "org_id", "org_login", "event_time AS last_event_time")
 
 
 def fact_rows(batch: DataFrame, now) -> DataFrame:
@@ -156,7 +157,12 @@ def run_gold(
     per table, one validation collect, the metrics row.
     """
     t_total = time.perf_counter()
-    step = on_step or (lambda _name: None)
+    hook = on_step or (lambda _name: None)
+
+    def step(name: str) -> None:
+        describe(spark, f"gold {run_id}: {name}")
+        hook(name)
+
     spark = wh.spark
     state = wh.gold_state()
     if state is None:
@@ -176,6 +182,7 @@ def run_gold(
     ).persist(StorageLevel.MEMORY_AND_DISK)
     ms = {}
     try:
+        step("batch bounds")
         per_date = batch.groupBy("date_id").agg(F.count(F.lit(1)).alias("n")).limit(
             max_pruned_dates + 1).collect()
         pruned = len(per_date) <= max_pruned_dates
@@ -247,6 +254,7 @@ def run_gold(
         **{f"ms_{k}": int(v * 1000) for k, v in ms.items()},
     }
     report["ms_total"] = int((time.perf_counter() - t_total) * 1000)
+    describe(spark, f"gold {run_id}: metrics")
     spark.createDataFrame(
         [tuple(report.get(fld.name) for fld in RUN_METRICS.fields[:-1]) + (None,)], RUN_METRICS
     ).withColumn("loaded_at", now_col).write.mode("overwrite").parquet(gold("run_metrics"))

@@ -22,6 +22,7 @@ from eventlake import schema as S
 from eventlake.operators.extract import extract
 from eventlake.operators.parallel import spread
 from eventlake.plans.warehouse import Warehouse, lit_ts
+from eventlake.session import describe
 
 SILVER_COLUMNS = [f.name for f in S.SILVER_EVENTS.fields]
 
@@ -45,6 +46,7 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
         return {"run_id": state["run_id"], "loaded": 0, "rejected": 0, "skipped": True}
 
     run_id = state["run_id"] + 1
+    describe(wh.spark, f"silver {run_id}: events")
     bronze = wh.bronze_events().filter(F.col("batch_id").between(todo[0], todo[-1]))
     rows = extract(spread(bronze)).withColumn("processed_at", lit_ts(now_dt)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -59,6 +61,7 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
             # the stored bronze key, even when the extracted id is falsy
             F.coalesce(F.col("event_id"), F.try_variant_get("full_json", "$.id", "string")).alias("event_id"),
             F.col("silver_reject_reason").alias("reason"), "batch_id", "processed_at")
+        describe(wh.spark, f"silver {run_id}: rejects")
         if counts["bad"]:
             bad.write.mode("overwrite").parquet(wh.path(f"silver/rejects/run_id={run_id}"))
     finally:

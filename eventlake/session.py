@@ -76,3 +76,8 @@ def scratch_root(spark: SparkSession) -> str:
     except Exception:  # a core (non-SQL) setting may be read-only at runtime
         pass
     return local
+
+
+def describe(spark: SparkSession, text: str) -> None:
+    """Label the jobs that follow (event logs / history server show it)."""
+    spark.sparkContext.setJobDescription(text)

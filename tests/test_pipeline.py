@@ -1,0 +1,149 @@
+"""Bronze -> silver -> gold on hand-made batches: dedupe, late rows, rerun,
+failure injection, constraint abort (FIXTURES §4 rows 6, 7, 15, 19-24)."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.operators.validate import ValidationError
+from eventlake.plans.bronze import backlog, ingest_batch
+from eventlake.plans.gold import bootstrap, run_gold
+from eventlake.plans.silver import run_silver
+from eventlake.plans.warehouse import Warehouse
+
+UTC = dt.timezone.utc
+
+
+def ev(i, actor=1, login="alice", repo=10, name="own/proj", t="2024-01-05T10:00:00Z", typ="PushEvent"):
+    return json.dumps({"id": str(i), "type": typ, "actor": {"id": actor, "login": login},
+                       "repo": {"id": repo, "name": name}, "payload": {}, "created_at": t})
+
+
+def lines(spark, values):
+    return spark.createDataFrame([(v, "f", i) for i, v in enumerate(values)],
+                                 "value string, arrival_file string, arrival_pos long")
+
+
+def at(h):
+    return dt.datetime(2024, 2, 1, h, tzinfo=UTC)
+
+
+def cycle(wh, spark, values, n):
+    rep = ingest_batch(wh, lines(spark, values), batch_id=n, now=at(n))
+    run_silver(wh, at(n) + dt.timedelta(minutes=10))
+    return rep, run_gold(wh, at(n) + dt.timedelta(minutes=20))
+
+
+@pytest.fixture()
+def wh(spark, root):
+    w = Warehouse(spark, root)
+    bootstrap(w)
+    return w
+
+
+def test_bronze_first_arrival_and_report(spark, wh):
+    r1 = ingest_batch(wh, lines(spark, [ev(1, login="first"), ev(1, login="second"), "junk"]),
+                      batch_id=1, now=at(1))
+    r2 = ingest_batch(wh, lines(spark, [ev(1, login="third"), ev(2)]), batch_id=2, now=at(2))
+    assert (r1["inserted"], r1["duplicates"], r1["errors"]) == (1, 1, 1)
+    assert (r2["inserted"], r2["duplicates"], r2["errors"]) == (1, 1, 0)
+    b = {r["event_id"]: r["full_json"] for r in wh.bronze_events().collect()}
+    assert json.loads(str(b["1"]))["actor"]["login"] == "first"
+    assert wh.dead_letters().first()["error_message"] == "not_json"
+    # a replayed batch rewrites the same rows
+    ingest_batch(wh, lines(spark, [ev(1, login="third"), ev(2)]), batch_id=2, now=at(2))
+    assert wh.bronze_events().count() == 2
+
+
+def test_incremental_gold_and_late_rows(spark, wh):
+    _, g1 = cycle(wh, spark, [ev(1, login="alice", t="2024-01-05T10:00:00Z"),
+                              ev(2, actor=2, login="bob", repo=11, name="x/y/z", typ="NewEvent")], 1)
+    assert (g1["facts_inserted"], g1["actors_affected"], g1["types_inserted"]) == (2, 2, 1)
+    # late, older rename: guarded; equal time in a later batch: guarded; newer: applied
+    _, g2 = cycle(wh, spark, [ev(3, login="alice-old", t="2024-01-04T00:00:00Z"),
+                              ev(4, actor=2, login="bob-same", repo=11, t="2024-01-05T10:00:00Z")], 2)
+    assert g2["actors_affected"] == 0 and g2["facts_inserted"] == 2
+    _, g3 = cycle(wh, spark, [ev(5, login="alice-new", t="2024-01-06T00:00:00Z")], 3)
+    assert g3["actors_affected"] == 1
+    actors = {r["actor_id"]: r["actor_login"] for r in wh.dim("dim_actors").collect()}
+    assert actors == {-1: "unknownuser", 1: "alice-new", 2: "bob"}
+    repos = {r["repo_id"]: (r["repo_owner"], r["repo_project"]) for r in wh.dim("dim_repos").collect()}
+    assert repos[11] == ("unknownowner", "unknownproject") and repos[10] == ("own", "proj")
+    assert wh.facts().count() == 5
+    assert wh.gold_state()["watermark"].startswith("2024-02-01 03:10:00")
+    types = {r["event_type"]: r["is_curated"] for r in wh.dim("dim_event_types").collect()}
+    assert types["NewEvent"] is False
+
+
+def test_rerun_is_noop(spark, wh):
+    cycle(wh, spark, [ev(1), ev(2, actor=2)], 1)
+    state = wh.gold_state()
+    assert run_silver(wh, at(9))["skipped"]
+    assert run_gold(wh, at(9))["skipped"]
+    assert wh.gold_state() == state and wh.facts().count() == 2
+
+
+def test_falsy_id_goes_to_silver_rejects(spark, wh):
+    cycle(wh, spark, ['{"id":"","type":"PushEvent"}', '{"id":0}', ev(7)], 1)
+    assert wh.bronze_events().count() == 3
+    assert sorted(r["reason"] for r in wh.silver_rejects().collect()) == ["falsy_id", "falsy_id"]
+    assert backlog(wh).count() == 0
+    assert wh.silver_events().count() == 1
+
+
+def test_failed_publish_changes_nothing(spark, wh):
+    cycle(wh, spark, [ev(1)], 1)
+    before = (wh.gold_state(), wh.facts().count())
+    ingest_batch(wh, lines(spark, [ev(2, t="2024-01-07T00:00:00Z")]), batch_id=2, now=at(2))
+    run_silver(wh, at(2) + dt.timedelta(minutes=10))
+
+    def boom(step):
+        if step == "validate":
+            raise RuntimeError("injected")
+
+    with pytest.raises(RuntimeError, match="injected"):
+        run_gold(wh, at(2) + dt.timedelta(minutes=20), on_step=boom)
+    assert (wh.gold_state(), wh.facts().count()) == before
+    # a stale partition of the failed attempt must not survive the retry
+    stale = wh.path("gold/fact_events/run_id=2/date_id=20990101")
+    spark.createDataFrame([("x",)], "event_id string").write.parquet(stale)
+    g = run_gold(wh, at(2) + dt.timedelta(minutes=30))
+    assert g["facts_inserted"] == 1 and not wh.fs.exists(stale)
+    assert wh.facts().count() == 2
+
+
+def test_out_of_range_date_aborts(spark, wh):
+    cycle(wh, spark, [ev(1)], 1)
+    state = wh.gold_state()
+    ingest_batch(wh, lines(spark, [ev(2, t="2029-01-01T00:00:00Z")]), batch_id=2, now=at(2))
+    run_silver(wh, at(2) + dt.timedelta(minutes=10))
+    with pytest.raises(ValidationError) as err:
+        run_gold(wh, at(2) + dt.timedelta(minutes=20))
+    assert err.value.failures == {"fk_date_id": 1}
+    assert wh.gold_state() == state
+    assert wh.facts().count() == 1
+
+
+def test_processed_at_must_increase(spark, wh):
+    cycle(wh, spark, [ev(1)], 1)
+    ingest_batch(wh, lines(spark, [ev(2)]), batch_id=2, now=at(2))
+    with pytest.raises(ValueError):
+        run_silver(wh, at(1))
+
+
+def test_batch_split_invariance(spark, root):
+    """Any split of the same input into batches gives the same gold facts."""
+    events = [ev(i, actor=i % 3 + 1, login=f"l{i}", repo=10 + i % 2,
+                 t=f"2024-01-{i % 9 + 1:02d}T0{i % 10}:00:00Z") for i in range(12)]
+    results = []
+    for split in ([events], [events[:5], events[5:9], events[9:]]):
+        w = Warehouse(spark, f"{root}-{len(split)}")
+        bootstrap(w)
+        for n, part in enumerate(split, start=1):
+            cycle(w, spark, part, n)
+        results.append((
+            sorted((r["event_id"], r["date_id"], r["actor_id"]) for r in w.facts().collect()),
+            sorted((r["actor_id"], r["actor_login"]) for r in w.dim("dim_actors").collect())))
+    assert results[0] == results[1]
