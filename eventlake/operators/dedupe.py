@@ -10,21 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 _RN = "__rn"
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row per ``keys`` under ``order`` (ties must be broken by it)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row per ``keys`` under ``order`` (SQL sort items, e.g.
+    ``"event_time DESC"``; ties must be broken by them)."""
+    w = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}) AS {_RN}"
+    return df.selectExpr("*", w).where(f"{_RN} = 1").drop(_RN)
 
 
 def first_arrival(df: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     """DED-1: the earliest arrival of every key wins."""
-    return first_per_key(df, [key], [F.col(c).asc() for c in arrival])
+    return first_per_key(df, [key], [f"{c} ASC" for c in arrival])
 
 
 def latest_by_key(
@@ -35,4 +35,4 @@ def latest_by_key(
     Same result as ``DISTINCT ON (key) ... ORDER BY key, time DESC`` with a
     deterministic tie-break.
     """
-    return first_per_key(df, keys, [F.col(time_col).desc(), F.col(tie_col).desc()])
+    return first_per_key(df, keys, [f"{time_col} DESC", f"{tie_col} DESC"])

@@ -58,11 +58,15 @@ def insert_ignore(table: DataFrame, batch: DataFrame, keys: Sequence[str], small
     return batch.join(_maybe_broadcast(present, small), list(keys), "left_anti")
 
 
+def _with_now(df: DataFrame, now: Column | str) -> DataFrame:
+    return df.selectExpr("*", f"{now} AS __now") if isinstance(now, str) else df.withColumn("__now", now)
+
+
 def upsert_if_newer(
     table: DataFrame,
     batch: DataFrame,
     key: str,
-    now: Column,
+    now: Column | str,
     time_col: str = "last_event_time",
     stamp_col: str = "updated_at",
 ) -> DataFrame:
@@ -71,36 +75,34 @@ def upsert_if_newer(
     The guard is strict: an equal or NULL stored time keeps the stored row,
     so a late event can never regress a dimension. ``batch`` must hold at
     most one row per key (see ``latest_by_key``) and the table's columns
-    except ``stamp_col``. Updated and inserted rows get ``stamp_col = now``.
+    except ``stamp_col``. Updated and inserted rows get ``stamp_col = now``
+    (a Column or SQL text).
 
     One full-outer join on the key. Keys are unique on both sides, so the
     join cannot skew; the snapshot is read and rewritten whole anyway, and
     AQE sizes (or broadcasts) the shuffle from runtime statistics.
     """
     cols = table.columns
-    b = batch.select(*[c for c in cols if c != stamp_col])
-    t = table.alias("t")
-    n = b.alias("n")
-    newer = F.col(f"t.{time_col}") < F.col(f"n.{time_col}")
-
-    def pick(c: str) -> Column:
+    t = table.selectExpr(*[f"`{c}` AS t_{c}" for c in cols])
+    n = batch.selectExpr(*[f"`{c}` AS n_{c}" for c in cols if c != stamp_col])
+    joined = _with_now(t.join(n, F.expr(f"t_{key} = n_{key}"), "full_outer"), now)
+    acted = joined.selectExpr(
+        "*",
+        f"CASE WHEN t_{key} IS NULL THEN '{INSERT}' "
+        f"WHEN n_{key} IS NOT NULL AND t_{time_col} < n_{time_col} THEN '{UPDATE}' "
+        f"ELSE '{KEEP}' END AS {ACTION}")
+
+    def pick(c: str) -> str:
         if c == key:
-            return F.coalesce(F.col(f"t.{key}"), F.col(f"n.{key}")).alias(key)
-        if c == stamp_col:
-            return F.when(F.col(ACTION) == KEEP, F.col(f"t.{c}")).otherwise(now).alias(c)
-        return F.when(F.col(ACTION) == KEEP, F.col(f"t.{c}")).otherwise(F.col(f"n.{c}")).alias(c)
-
-    joined = t.join(n, F.col(f"t.{key}") == F.col(f"n.{key}"), "full_outer").withColumn(
-        ACTION,
-        F.when(F.col(f"t.{key}").isNull(), F.lit(INSERT))
-        .when(F.col(f"n.{key}").isNotNull() & newer, F.lit(UPDATE))
-        .otherwise(F.lit(KEEP)),
-    )
-    return joined.select(*[pick(c) for c in cols], ACTION)
+            return f"coalesce(t_{c}, n_{c}) AS {c}"
+        new = "__now" if c == stamp_col else f"n_{c}"
+        return f"CASE WHEN {ACTION} = '{KEEP}' THEN t_{c} ELSE {new} END AS {c}"
+
+    return acted.selectExpr(*[pick(c) for c in cols], ACTION)
 
 
 def insert_new_types(
-    table: DataFrame, seen_types: DataFrame, now: Column, exclude: str
+    table: DataFrame, seen_types: DataFrame, now: Column | str, exclude: str
 ) -> DataFrame:
     """UPS-2: auto-discover event types not yet in the dimension.
 
@@ -111,41 +113,41 @@ def insert_new_types(
     on disk, under the automatic broadcast threshold, and is shuffled
     instead if it ever outgrows it.
     """
-    distinct = seen_types.select("event_type").filter(
-        F.col("event_type").isNotNull() & (F.col("event_type") != exclude)).distinct()
-    known = table.select("event_type")
-    new = distinct.join(known, "event_type", "left_anti").select(
+    distinct = seen_types.select("event_type").where(
+        f"event_type IS NOT NULL AND event_type <> '{exclude}'").distinct()
+    new = _with_now(distinct.join(table.select("event_type"), "event_type", "left_anti"), now).selectExpr(
         "event_type",
-        F.lit("Unknown").alias("event_category"),
-        F.col("event_type").alias("event_label"),
-        F.lit(None).cast("string").alias("event_description"),
-        F.lit(False).alias("is_core_metric"),
-        F.lit(False).alias("is_curated"),
-        now.alias("discovered_at"),
-        F.lit(INSERT).alias(ACTION),
+        "'Unknown' AS event_category",
+        "event_type AS event_label",
+        "CAST(NULL AS STRING) AS event_description",
+        "false AS is_core_metric",
+        "false AS is_curated",
+        "__now AS discovered_at",
+        f"'{INSERT}' AS {ACTION}",
     )
-    return table.withColumn(ACTION, F.lit(KEEP)).unionByName(new)
+    return table.selectExpr("*", f"'{KEEP}' AS {ACTION}").unionByName(new)
 
 
-def seed_upsert(table: DataFrame, seed: DataFrame, now: Column) -> DataFrame:
+def seed_upsert(table: DataFrame, seed: DataFrame, now: Column | str) -> DataFrame:
     """UPS-4: apply curated seed rows to the event-type dimension.
 
     On conflict the seed's category, label and core flag win and the row
     becomes curated; description and discovered_at are kept. Unknown seed
     rows are inserted as curated with ``discovered_at = now``.
     """
-    t = table.alias("t")
-    s = seed.alias("s")
-    j = t.join(s, F.col("t.event_type") == F.col("s.event_type"), "full_outer")
-    has_seed = F.col("s.event_type").isNotNull()
-    has_row = F.col("t.event_type").isNotNull()
-    return j.select(
-        F.coalesce(F.col("t.event_type"), F.col("s.event_type")).alias("event_type"),
-        F.when(has_seed, F.col("s.event_category")).otherwise(F.col("t.event_category")).alias("event_category"),
-        F.when(has_seed, F.col("s.event_label")).otherwise(F.col("t.event_label")).alias("event_label"),
-        F.when(has_row, F.col("t.event_description")).otherwise(F.col("s.event_description")).alias("event_description"),
-        F.when(has_seed, F.col("s.is_core_metric")).otherwise(F.col("t.is_core_metric")).alias("is_core_metric"),
-        F.when(has_seed, F.lit(True)).otherwise(F.col("t.is_curated")).alias("is_curated"),
-        F.when(has_row, F.col("t.discovered_at")).otherwise(now).alias("discovered_at"),
-        F.when(~has_row, F.lit(INSERT)).when(has_seed, F.lit(UPDATE)).otherwise(F.lit(KEEP)).alias(ACTION),
+    cols = ["event_type", "event_category", "event_label", "event_description",
+            "is_core_metric", "is_curated", "discovered_at"]
+    t = table.selectExpr(*[f"`{c}` AS t_{c}" for c in cols])
+    s = seed.selectExpr(*[f"`{c}` AS s_{c}" for c in cols])
+    j = _with_now(t.join(s, F.expr("t_event_type = s_event_type"), "full_outer"), now)
+    seeded, present = "s_event_type IS NOT NULL", "t_event_type IS NOT NULL"
+    return j.selectExpr(
+        "coalesce(t_event_type, s_event_type) AS event_type",
+        f"CASE WHEN {seeded} THEN s_event_category ELSE t_event_category END AS event_category",
+        f"CASE WHEN {seeded} THEN s_event_label ELSE t_event_label END AS event_label",
+        f"CASE WHEN {present} THEN t_event_description ELSE s_event_description END AS event_description",
+        f"CASE WHEN {seeded} THEN s_is_core_metric ELSE t_is_core_metric END AS is_core_metric",
+        f"CASE WHEN {seeded} THEN true ELSE t_is_curated END AS is_curated",
+        f"CASE WHEN {present} THEN t_discovered_at ELSE __now END AS discovered_at",
+        f"CASE WHEN NOT {present} THEN '{INSERT}' WHEN {seeded} THEN '{UPDATE}' ELSE '{KEEP}' END AS {ACTION}",
     )

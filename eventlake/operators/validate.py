@@ -27,17 +27,26 @@ def fk_violations(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     """VAL-1: fact rows whose foreign key is missing from its dimension.
 
     ``dims`` maps a check name to ``(dimension, key column)``; the fact has a
-    column of the same name. The fact is pre-aggregated to one row per
+    column of the same name. All checks run as one anti-join on
+    ``(check_name, key)``: the fact side is pre-aggregated to one row per
     distinct key (partial aggregation, so a hot key costs one row per map
-    task) before its anti-join with the dimension's key column; AQE picks
-    broadcast or sort-merge from the runtime sizes.
+    task), the dimension side contributes its key column only. One row per
+    check comes back, zero included.
     """
-    parts = []
-    for name, (dim, key) in dims.items():
-        per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        missing = per_key.join(dim.select(key), key, "left_anti")
-        parts.append(missing.agg(*_row(name, F.sum("n"))))
-    return _union(parts)
+    facts = _union([
+        fact.groupBy(F.col(key).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(name).alias("check_name"), "k", "n")
+        for name, (_dim, key) in dims.items()])
+    keys = _union([dim.select(F.lit(name).alias("check_name"), F.col(key).cast("string").alias("k"))
+                   for name, (dim, key) in dims.items()])
+    missing = facts.join(keys, ["check_name", "k"], "left_anti").groupBy("check_name").agg(
+        F.sum("n").alias("n"))
+    names = fact.sparkSession.createDataFrame([(n,) for n in dims], "check_name string")
+    return names.join(missing, "check_name", "left").select(*_row_named("check_name", F.col("n")))
+
+
+def _row_named(name_col: str, value: Column) -> list[Column]:
+    return [F.col(name_col), F.coalesce(value, F.lit(0)).cast("bigint").alias("violations")]
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:

@@ -118,14 +118,14 @@ def _write(df: DataFrame, path: str, metrics: list, partition_by: str | None = N
 
 def actor_updates(batch: DataFrame) -> DataFrame:
     """Latest (actor_id, actor_login, event_time) per real actor of a batch."""
-    real = batch.filter(F.col("actor_id") != S.UNKNOWN_ACTOR_ID)
-    return latest_by_key(real, ["actor_id"]).select(
-        "actor_id", "actor_login", F.col("event_time").alias("last_event_time"))
+    real = batch.where(f"actor_id <> {S.UNKNOWN_ACTOR_ID}")
+    return latest_by_key(real, ["actor_id"]).selectExpr(
+        "actor_id", "actor_login", "event_time AS last_event_time")
 
 
 def repo_updates(batch: DataFrame) -> DataFrame:
     """Latest repo attributes per real repo of a batch, with owner/project."""
-    real = batch.filter(F.col("repo_id") != S.UNKNOWN_REPO_ID)
+    real = batch.where(f"repo_id <> {S.UNKNOWN_REPO_ID}")
     owner, project = owner_project_sql("repo_name")
     return latest_by_key(real, ["repo_id"]).selectExpr(
         "repo_id", "repo_name", f"{owner} AS repo_owner", f"{project} AS repo_project",
@@ -134,10 +134,9 @@ def repo_updates(batch: DataFrame) -> DataFrame:
 
 def fact_rows(batch: DataFrame, now) -> DataFrame:
     """PRJ-4: conformed rows -> fact columns."""
-    return batch.select(
+    return batch.withColumn("gold_loaded_at", now).selectExpr(
         "event_id", "date_id", "repo_id", "actor_id", "event_type", "event_hour", "event_time",
-        "is_public", F.col("processed_at").alias("silver_processed_at"),
-        now.alias("gold_loaded_at"))
+        "is_public", "processed_at AS silver_processed_at", "gold_loaded_at")
 
 
 def run_gold(

@@ -12,6 +12,7 @@ import datetime as dt
 import hashlib
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
     configure(spark)
     wh = Warehouse(spark, root)
     bootstrap(wh)
-    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir)))
+    # The fixture's JSON lines are built once and shared by the four batches.
+    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir))).persist(StorageLevel.MEMORY_AND_DISK)
     landing = wh.path("landing")
     ingestor = None
     if stream:
@@ -58,6 +60,7 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
             ingest_batch(wh, raw, batch_id=b, now=ingest_at)
         run_silver(wh, silver_at)
         run_gold(wh, gold_at)
+    lines.unpersist()
     return wh
 
 
