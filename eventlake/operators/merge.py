@@ -48,13 +48,17 @@ def existing_keys(table: DataFrame, batch: DataFrame, keys: Sequence[str], small
     return table_keys.join(_maybe_broadcast(batch_keys, small), list(keys), "left_semi").distinct()
 
 
-def insert_ignore(table: DataFrame, batch: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+def insert_ignore(table: DataFrame, batch: DataFrame, keys: Sequence[str], small: bool,
+                  key_source: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``table`` (ON CONFLICT DO NOTHING).
 
     Returns only the new rows: an append-only table writes just these.
-    ``small`` says the batch is within the broadcast bound.
+    ``small`` says the batch is within the broadcast bound. ``key_source``
+    holds the same key set as ``batch`` when that is cheaper to compute
+    (e.g. the cached rows a dedupe window reads), so the batch's own plan
+    is evaluated once.
     """
-    present = existing_keys(table, batch, keys, small)
+    present = existing_keys(table, batch if key_source is None else key_source, keys, small)
     return batch.join(_maybe_broadcast(present, small), list(keys), "left_anti")
 
 

@@ -74,7 +74,8 @@ def ingest_batch(
         earlier = [b for b in wh.bronze_batches() if b < batch_id]
         if earlier:
             stored = wh.bronze_events().filter(F.col("batch_id") < batch_id)
-            first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows)
+            first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows,
+                                  key_source=accepted)
         wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
         first.select("event_id", "event_type", "full_json", "ingested_at").observe(
             wrote, F.count(F.lit(1)).alias("inserted")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from eventlake.plans.bronze import ingest_batch
 from eventlake.plans.gold import bootstrap, run_gold
 from eventlake.plans.silver import run_silver
+from eventlake.plans.storage import FileSystem
 from eventlake.plans.warehouse import Warehouse
 from eventlake.session import configure, scratch_root
 from eventlake.sources import fixture as FX
@@ -64,13 +65,42 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
     return wh
 
 
+def _source_signature(spark: SparkSession, sf_dir: str, stream: bool) -> str:
+    """Identity of a replay: the input table files and the package code."""
+    import pathlib
+
+    h = hashlib.sha1(f"{sf_dir}|{stream}".encode())
+    for st in FileSystem(spark, sf_dir).list_status(f"{sf_dir.rstrip('/')}/events.parquet"):
+        h.update(f"{st[0]}|{st[1]}|{st[2]}".encode())
+    pkg = pathlib.Path(__file__).resolve().parents[1]
+    for f in sorted(pkg.rglob("*.py")):
+        h.update(f.read_bytes())
+    return h.hexdigest()[:16]
+
+
 def replayed(spark: SparkSession, sf_dir: str, stream: bool = False) -> Warehouse:
-    """The replayed warehouse of ``sf_dir`` for this session (built once)."""
+    """The replayed warehouse of ``sf_dir`` (built once, then reused).
+
+    It lives under the shared scratch folder, keyed by the input files and
+    the package source, so later sessions and processes reuse it. A build
+    goes to a private directory and is published by one directory rename
+    plus a ``_COMPLETE`` marker; a failed or concurrent build never exposes
+    a partial warehouse.
+    """
+    configure(spark)
     key = (spark.sparkContext.applicationId, f"{sf_dir}|{stream}")
     wh = _CACHE.get(key)
-    if wh is None:
-        tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
-        root = f"{scratch_root(spark)}/eventlake-replay/{tag}-{uuid.uuid4().hex[:8]}"
-        wh = replay(spark, sf_dir, root, stream=stream)
-        _CACHE[key] = wh
+    if wh is not None:
+        return wh
+    base = f"{scratch_root(spark)}/eventlake-replay"
+    final = f"{base}/{_source_signature(spark, sf_dir, stream)}"
+    fs = FileSystem(spark, base)
+    if not fs.exists(f"{final}/_COMPLETE"):
+        building = f"{base}/_building-{uuid.uuid4().hex}"
+        built = replay(spark, sf_dir, building, stream=stream)
+        built.fs.write_text(f"{building}/_COMPLETE", "ok")
+        if not fs.rename(building, final) and not fs.exists(f"{final}/_COMPLETE"):
+            final = building          # lost a race to a broken twin: keep ours
+    wh = Warehouse(spark, final)
+    _CACHE[key] = wh
     return wh

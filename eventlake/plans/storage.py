@@ -44,6 +44,13 @@ class FileSystem:
             out.append(int(name[len(prefix):]))
         return sorted(out)
 
+    def list_status(self, p: str) -> list[tuple[str, int, int]]:
+        """(name, length, modification time) of the entries of ``p``."""
+        if not self.exists(p):
+            return []
+        return sorted((str(s.getPath().getName()), int(s.getLen()), int(s.getModificationTime()))
+                      for s in self._fs.listStatus(self._path(p)))
+
     def read_text(self, p: str) -> str:
         stream = self._fs.open(self._path(p))
         try:

@@ -147,3 +147,15 @@ def test_batch_split_invariance(spark, root):
             sorted((r["event_id"], r["date_id"], r["actor_id"]) for r in w.facts().collect()),
             sorted((r["actor_id"], r["actor_login"]) for r in w.dim("dim_actors").collect())))
     assert results[0] == results[1]
+
+
+def test_run_pipeline_and_vacuum(spark, wh):
+    from eventlake.plans.pipeline import run_pipeline, vacuum
+    for n in (1, 2, 3):
+        ingest_batch(wh, lines(spark, [ev(10 + n, login=f"l{n}", t=f"2024-01-0{n}T00:00:00Z")]),
+                     batch_id=n, now=at(n))
+        out = run_pipeline(wh, at(n) + dt.timedelta(minutes=10))
+        assert out["gold"]["facts_inserted"] == 1
+    removed = vacuum(wh, keep_runs=2)
+    assert len(removed) == 3 * 2          # runs 0 and 1 of three dimensions
+    assert wh.dim("dim_actors").count() == 2 and wh.facts().count() == 3
