@@ -41,6 +41,7 @@ def ingest_batch(
     now: dt.datetime | str | None = None,
     arrival: tuple[str, ...] = ARRIVAL,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    point_lookup_ids: int = 1000,
 ) -> dict:
     """Ingest raw lines (``value`` + arrival columns) as bronze batch ``batch_id``.
 
@@ -50,6 +51,12 @@ def ingest_batch(
 
     Jobs: (1) the dead-letter write, which also caches the parsed batch and
     counts it; (2) the bronze write; (3) the one-row report.
+
+    Dedupe against the store never shuffles it: a batch of at most
+    ``point_lookup_ids`` lines pushes its ids into the store scan (bloom
+    filter + min/max row-group skipping, files are written sorted by id);
+    a batch within ``broadcast_rows`` is broadcast against the store's id
+    column; only larger batches use a shuffled anti-join.
     """
     spark = wh.spark
     batch_id = next_batch_id(wh) if batch_id is None else batch_id
@@ -74,12 +81,21 @@ def ingest_batch(
         earlier = [b for b in wh.bronze_batches() if b < batch_id]
         if earlier:
             stored = wh.bronze_events().filter(F.col("batch_id") < batch_id)
+            if fetched <= point_lookup_ids:
+                # A poll-sized batch: its ids (at most ``fetched``) go into the
+                # scan as an IN filter; the bloom filter and min/max stats of
+                # each row group skip the ones that cannot hold them.
+                ids = [r[0] for r in accepted.select("event_id").distinct().collect()]
+                stored = stored.filter(F.col("event_id").isin(ids))
             first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows,
                                   key_source=accepted)
         wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
-        first.select("event_id", "event_type", "full_json", "ingested_at").observe(
-            wrote, F.count(F.lit(1)).alias("inserted")
-        ).write.mode("overwrite").parquet(wh.path(f"bronze/raw_events/batch_id={batch_id}"))
+        (first.select("event_id", "event_type", "full_json", "ingested_at")
+         .sortWithinPartitions("event_id")
+         .observe(wrote, F.count(F.lit(1)).alias("inserted"))
+         .write.mode("overwrite")
+         .option("parquet.bloom.filter.enabled#event_id", "true")
+         .parquet(wh.path(f"bronze/raw_events/batch_id={batch_id}")))
         inserted = int(wrote.get["inserted"])
     finally:
         classified.unpersist()

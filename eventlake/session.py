@@ -19,6 +19,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # IN-lists of up to this many ids reach Parquet as equality filters, so
+    # bronze's bloom filter on event_id can skip row groups (point lookups).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 
