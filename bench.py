@@ -13,7 +13,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -33,7 +33,8 @@ def main() -> None:
     from eventlake.sources import fixture as FX
 
     spark = build_session(f"local[{cpus}]", app_name="eventlake-bench", shuffle_partitions=cpus)
-    root = tempfile.mkdtemp(prefix="bench-", dir=scratch_root(spark))
+    # A fresh folder under the shared scratch root (a URI on a cluster).
+    root = f"{scratch_root(spark)}/eventlake-bench/{uuid.uuid4().hex}"
 
     # -- pipeline: the production sequence, timed per phase ---------------
     phases = {"bronze": 0.0, "silver": 0.0, "gold": 0.0}
