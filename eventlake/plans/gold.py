@@ -27,8 +27,9 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,51 +190,48 @@ def run_gold(
         n_batch = sum(r["n"] for r in per_date) if pruned else batch.count()
         small = n_batch <= broadcast_rows
 
-        step("dim_actors")
-        t = time.perf_counter()
-        actors = upsert_if_newer(wh.dim("dim_actors", prev), actor_updates(batch), "actor_id", now_col)
-        a = _write(actors, gold("dim_actors"), [
-            F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")])
-        ms["actors"] = time.perf_counter() - t
-
-        step("dim_repos")
-        t = time.perf_counter()
-        repos = upsert_if_newer(wh.dim("dim_repos", prev), repo_updates(batch), "repo_id", now_col)
-        r = _write(repos, gold("dim_repos"), [
-            F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")])
-        ms["repos"] = time.perf_counter() - t
-
-        step("dim_event_types")
-        t = time.perf_counter()
-        # Discovery over the batch equals discovery over the whole view:
-        # every conformed row enters exactly one gold batch (and a reset
-        # restarts from the epoch), so the earlier rows' types are already
-        # in the dimension. This keeps the step O(new rows).
-        types = insert_new_types(wh.dim("dim_event_types", prev), batch.select("event_type"),
-                                 now_col, S.UNKNOWN_EVENT_TYPE)
-        ty = _write(types, gold("dim_event_types"), [
-            F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")])
-        ms["types"] = time.perf_counter() - t
-
-        step("fact_events")
-        t = time.perf_counter()
-        facts = fact_rows(batch, now_col)
-        published = wh.facts(prev)
-        if pruned:
-            published = published.filter(F.col("date_id").isin([row["date_id"] for row in per_date]))
-        new = insert_ignore(published, facts, ["event_id"], small=small)
-        new = new.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
-        f = _write(new.select(*FACT_COLUMNS), gold("fact_events"), [
-            F.count(F.lit(1)).alias("inserted"),
-            F.max("silver_processed_at").alias("max_processed"),
-            # VAL-1 for date_id without a join: dim_date is every calendar
-            # day of its range, so a derived key is present iff in range.
-            F.count_if(~F.col("date_id").between(_key(S.DIM_DATE_START), _key(S.DIM_DATE_END)))
-            .alias("fk_date_id"),
-            F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
-            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
-        ], partition_by="date_id")
-        ms["facts"] = time.perf_counter() - t
+        def load_actors() -> dict:
+            actors = upsert_if_newer(wh.dim("dim_actors", prev), actor_updates(batch), "actor_id", now_col)
+            return _write(actors, gold("dim_actors"), _DIM_METRICS())
+
+        def load_repos() -> dict:
+            repos = upsert_if_newer(wh.dim("dim_repos", prev), repo_updates(batch), "repo_id", now_col)
+            return _write(repos, gold("dim_repos"), _DIM_METRICS())
+
+        def load_types() -> dict:
+            # Discovery over the batch equals discovery over the whole view:
+            # every conformed row enters exactly one gold batch (and a reset
+            # restarts from the epoch), so the earlier rows' types are already
+            # in the dimension. This keeps the step O(new rows).
+            types = insert_new_types(wh.dim("dim_event_types", prev), batch.select("event_type"),
+                                     now_col, S.UNKNOWN_EVENT_TYPE)
+            return _write(types, gold("dim_event_types"), _DIM_METRICS())
+
+        def load_facts() -> dict:
+            facts = fact_rows(batch, now_col)
+            published = wh.facts(prev)
+            if pruned:
+                published = published.filter(F.col("date_id").isin([row["date_id"] for row in per_date]))
+            new = insert_ignore(published, facts, ["event_id"], small=small)
+            new = new.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
+            return _write(new.select(*FACT_COLUMNS), gold("fact_events"), [
+                F.count(F.lit(1)).alias("inserted"),
+                F.max("silver_processed_at").alias("max_processed"),
+                # VAL-1 for date_id without a join: dim_date is every calendar
+                # day of its range, so a derived key is present iff in range.
+                F.count_if(~F.col("date_id").between(_key(S.DIM_DATE_START), _key(S.DIM_DATE_END)))
+                .alias("fk_date_id"),
+                F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
+                *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
+            ], partition_by="date_id")
+
+        # The four staged writes are independent Spark jobs over the cached
+        # batch; submitting them together overlaps their scheduling latency
+        # and lets small jobs share the cluster. Any failure stops the run
+        # before the commit record, exactly as a sequential run would.
+        loads = {"actors": load_actors, "repos": load_repos, "types": load_types, "facts": load_facts}
+        out = _run_concurrently(spark, run_id, step, loads, ms)
+        a, r, ty, f = out["actors"], out["repos"], out["types"], out["facts"]
 
         step("validate")
         t = time.perf_counter()
@@ -268,6 +266,27 @@ def run_gold(
     return report
 
 
+def _DIM_METRICS() -> list:
+    return [F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")]
+
+
+def _run_concurrently(spark, run_id: int, step, loads: dict, ms: dict) -> dict:
+    """Run named write steps as concurrent jobs; re-raise the first failure."""
+    def timed(name, fn):
+        describe(spark, f"gold {run_id}: {name}")
+        t = time.perf_counter()
+        out = fn()
+        ms[name] = time.perf_counter() - t
+        return out
+
+    for name in loads:
+        step(name)
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        futures = {name: pool.submit(inheritable_thread_target(spark)(timed), name, fn)
+                   for name, fn in loads.items()}
+        return {name: fut.result() for name, fut in futures.items()}
+
+
 _FACT_NOT_NULL = ["event_id", "repo_id", "actor_id", "event_type", "event_time", "silver_processed_at"]
 
 
