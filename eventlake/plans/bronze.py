@@ -24,6 +24,7 @@ from eventlake.operators.classify import classify
 from eventlake.operators.dedupe import first_arrival
 from eventlake.operators.parallel import spread
 from eventlake.operators.merge import DEFAULT_BROADCAST_ROWS, insert_ignore
+from eventlake.plans.concurrent import run_concurrently
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.session import describe
 from eventlake.sources.landing import ARRIVAL
@@ -49,8 +50,9 @@ def ingest_batch(
     duplicate is an accepted line whose id arrived earlier in this batch or
     in any stored batch; the first arrival always wins.
 
-    Jobs: (1) the dead-letter write, which also caches the parsed batch and
-    counts it; (2) the bronze write; (3) the one-row report.
+    Jobs: (1) one count that caches the parsed batch; (2) the bronze write
+    and, if any line was rejected, the dead-letter write, side by side;
+    (3) the one-row report.
 
     Dedupe against the store never shuffles it: a batch of at most
     ``point_lookup_ids`` lines pushes its ids into the store scan (bloom
@@ -61,42 +63,52 @@ def ingest_batch(
     spark = wh.spark
     batch_id = next_batch_id(wh) if batch_id is None else batch_id
     ts = lit_ts(now) if now is not None else F.current_timestamp()
-    describe(spark, f"bronze {batch_id}: dead letters")
+    describe(spark, f"bronze {batch_id}: parse")
     classified = classify(spread(raw)).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)
+    dlq = wh.path(f"bronze/dead_letter_queue/batch_id={batch_id}")
     try:
-        seen = Observation(f"bronze_in_{uuid.uuid4().hex[:12]}")
-        rejects = classified.observe(
-            seen, F.count(F.lit(1)).alias("fetched"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
-        ).filter(F.col("reject_reason").isNotNull()).select(
-            F.col("value").alias("failed_payload"),
-            F.col("reject_reason").alias("error_message"),
-            F.col("ingested_at").alias("created_at"))
-        rejects.write.mode("overwrite").parquet(wh.path(f"bronze/dead_letter_queue/batch_id={batch_id}"))
-        fetched, errors = int(seen.get["fetched"]), int(seen.get["errors"])
-
-        describe(spark, f"bronze {batch_id}: raw events")
-        accepted = classified.filter(F.col("reject_reason").isNull())
-        first = first_arrival(accepted, "event_id", list(arrival))
-        earlier = [b for b in wh.bronze_batches() if b < batch_id]
-        if earlier:
-            stored = wh.bronze_events().filter(F.col("batch_id") < batch_id)
-            if fetched <= point_lookup_ids:
-                # A poll-sized batch: its ids (at most ``fetched``) go into the
-                # scan as an IN filter; the bloom filter and min/max stats of
-                # each row group skip the ones that cannot hold them.
-                ids = [r[0] for r in accepted.select("event_id").distinct().collect()]
-                stored = stored.filter(F.col("event_id").isin(ids))
-            first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows,
-                                  key_source=accepted)
-        wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
-        (first.select("event_id", "event_type", "full_json", "ingested_at")
-         .sortWithinPartitions("event_id")
-         .observe(wrote, F.count(F.lit(1)).alias("inserted"))
-         .write.mode("overwrite")
-         .option("parquet.bloom.filter.enabled#event_id", "true")
-         .parquet(wh.path(f"bronze/raw_events/batch_id={batch_id}")))
-        inserted = int(wrote.get["inserted"])
+        # One pass over the parsed batch caches it and bounds everything below.
+        counts = classified.agg(
+            F.count(F.lit(1)).alias("fetched"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("errors")).first()
+        fetched, errors = int(counts["fetched"]), int(counts["errors"])
+
+        def write_rejects() -> None:
+            classified.filter(F.col("reject_reason").isNotNull()).select(
+                F.col("value").alias("failed_payload"),
+                F.col("reject_reason").alias("error_message"),
+                F.col("ingested_at").alias("created_at"),
+            ).write.mode("overwrite").parquet(dlq)
+
+        def write_raw() -> int:
+            accepted = classified.filter(F.col("reject_reason").isNull())
+            first = first_arrival(accepted, "event_id", list(arrival))
+            earlier = [b for b in wh.bronze_batches() if b < batch_id]
+            if earlier:
+                stored = wh.bronze_events().filter(F.col("batch_id") < batch_id)
+                if fetched <= point_lookup_ids:
+                    # A poll-sized batch: its ids (at most ``fetched``) go into
+                    # the scan as an IN filter; the bloom filter and min/max
+                    # stats of each row group skip the ones that cannot hold them.
+                    ids = [r[0] for r in accepted.select("event_id").distinct().collect()]
+                    stored = stored.filter(F.col("event_id").isin(ids))
+                first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows,
+                                      key_source=accepted)
+            wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
+            (first.select("event_id", "event_type", "full_json", "ingested_at")
+             .sortWithinPartitions("event_id")
+             .observe(wrote, F.count(F.lit(1)).alias("inserted"))
+             .write.mode("overwrite")
+             .option("parquet.bloom.filter.enabled#event_id", "true")
+             .parquet(wh.path(f"bronze/raw_events/batch_id={batch_id}")))
+            return int(wrote.get["inserted"])
+
+        jobs = {"raw events": write_raw}
+        if errors:
+            jobs["dead letters"] = write_rejects
+        else:
+            wh.fs.delete(dlq)          # a replayed batch leaves no stale rejects
+        inserted = run_concurrently(spark, f"bronze {batch_id}", jobs)["raw events"]
     finally:
         classified.unpersist()
 

@@ -27,9 +27,8 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +42,7 @@ from eventlake.operators.merge import (
     ACTION, DEFAULT_BROADCAST_ROWS, KEEP, insert_ignore, insert_new_types, seed_upsert,
     upsert_if_newer,
 )
+from eventlake.plans.concurrent import run_concurrently
 from eventlake.plans.silver import _as_datetime
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.session import describe
@@ -92,15 +92,19 @@ def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = Fal
         return False
     spark = wh.spark
     now_col = lit_ts(now)
-    dim_date(spark).write.mode("overwrite").parquet(wh.path("gold/dim_date"))
-    seeds.actor_sentinel(spark).write.mode("overwrite").parquet(wh.path("gold/dim_actors/run_id=0"))
-    seeds.repo_sentinel(spark).write.mode("overwrite").parquet(wh.path("gold/dim_repos/run_id=0"))
     types = seed_upsert(seeds.empty(spark, S.DIM_EVENT_TYPES), seeds.event_type_seed(spark), now_col)
-    types.drop(ACTION).write.mode("overwrite").parquet(wh.path("gold/dim_event_types/run_id=0"))
-    spark.createDataFrame(
-        [(0, S.EPOCH, S.EPOCH, 0, 0, 0, 0, 1, 1, len(S.EVENT_TYPE_SEED), 0, 0, 0, 0, 0, 0, 0, None)],
-        RUN_METRICS,
-    ).write.mode("overwrite").parquet(wh.path("gold/run_metrics/run_id=0"))
+    writes = {
+        "dim_date": (dim_date(spark), "gold/dim_date"),
+        "dim_actors": (seeds.actor_sentinel(spark), "gold/dim_actors/run_id=0"),
+        "dim_repos": (seeds.repo_sentinel(spark), "gold/dim_repos/run_id=0"),
+        "dim_event_types": (types.drop(ACTION), "gold/dim_event_types/run_id=0"),
+        "run_metrics": (spark.createDataFrame(
+            [(0, S.EPOCH, S.EPOCH, 0, 0, 0, 0, 1, 1, len(S.EVENT_TYPE_SEED), 0, 0, 0, 0, 0, 0, 0, None)],
+            RUN_METRICS), "gold/run_metrics/run_id=0"),
+    }
+    run_concurrently(spark, "bootstrap", {
+        name: (lambda df=df, rel=rel: df.write.mode("overwrite").parquet(wh.path(rel)))
+        for name, (df, rel) in writes.items()})
     wh.gold_log.commit(0, {"run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0})
     return True
 
@@ -230,7 +234,9 @@ def run_gold(
         # and lets small jobs share the cluster. Any failure stops the run
         # before the commit record, exactly as a sequential run would.
         loads = {"actors": load_actors, "repos": load_repos, "types": load_types, "facts": load_facts}
-        out = _run_concurrently(spark, run_id, step, loads, ms)
+        for name in loads:
+            step(name)
+        out = run_concurrently(spark, f"gold {run_id}", loads, ms)
         a, r, ty, f = out["actors"], out["repos"], out["types"], out["facts"]
 
         step("validate")
@@ -270,23 +276,6 @@ def _DIM_METRICS() -> list:
     return [F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")]
 
 
-def _run_concurrently(spark, run_id: int, step, loads: dict, ms: dict) -> dict:
-    """Run named write steps as concurrent jobs; re-raise the first failure."""
-    def timed(name, fn):
-        describe(spark, f"gold {run_id}: {name}")
-        t = time.perf_counter()
-        out = fn()
-        ms[name] = time.perf_counter() - t
-        return out
-
-    for name in loads:
-        step(name)
-    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
-        futures = {name: pool.submit(inheritable_thread_target(spark)(timed), name, fn)
-                   for name, fn in loads.items()}
-        return {name: fut.result() for name, fut in futures.items()}
-
-
 _FACT_NOT_NULL = ["event_id", "repo_id", "actor_id", "event_type", "event_time", "silver_processed_at"]
 
 
