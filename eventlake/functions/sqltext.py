@@ -11,7 +11,3 @@ from __future__ import annotations
 def lit(value: str) -> str:
     """A Spark SQL string literal (backslashes and quotes escaped)."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def ident(name: str) -> str:
-    return f"`{name}`"

@@ -26,13 +26,6 @@ INSERT, UPDATE, KEEP = "insert", "update", "keep"
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
-def fits(df: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Size check before a broadcast: counts at most ``broadcast_rows + 1``
-    rows. Callers that already hold a bound (the row count of a cached
-    batch) pass ``small=`` instead and skip this job."""
-    return df.limit(broadcast_rows + 1).count() <= broadcast_rows
-
-
 def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 

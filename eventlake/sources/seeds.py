@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventlake import schema as S
 
@@ -26,8 +25,3 @@ def repo_sentinel(spark: SparkSession) -> DataFrame:
 
 def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
-
-
-def stamp_missing(df: DataFrame, col: str, now) -> DataFrame:
-    """Fill a NULL timestamp column with ``now`` (the DDL's DEFAULT)."""
-    return df.withColumn(col, F.coalesce(F.col(col), now))
