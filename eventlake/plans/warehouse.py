@@ -84,12 +84,14 @@ class Warehouse:
     def silver_state(self) -> dict:
         return self.silver_log.latest() or {"run_id": 0, "bronze_hwm": 0, "processed_at": None}
 
-    def silver_events(self, upto: int | None = None) -> DataFrame:
-        """Silver rows of committed runs (``run_id`` <= ``upto``), with run_id."""
+    def silver_events(self, upto: int | None = None, after: int = 0) -> DataFrame:
+        """Silver rows of committed runs ``after < run_id <= upto``, with run_id.
+
+        Only those run directories are listed and read."""
         upto = self.silver_state()["run_id"] if upto is None else upto
         return self._read(self.path("silver/events"), _with(S.SILVER_EVENTS, RUN_ID), "run_id",
                           [r for r in self.fs.partition_values(self.path("silver/events"), "run_id")
-                           if r <= upto])
+                           if after < r <= upto])
 
     def silver_rejects(self, upto: int | None = None) -> DataFrame:
         upto = self.silver_state()["run_id"] if upto is None else upto
