@@ -80,3 +80,28 @@ def test_continuous_trigger(spark, tmp_path):
         q.stop()
     assert q.exception() is None
     assert sorted(r["event_id"] for r in wh.bronze_events().collect()) == ["1", "2", "3"]
+
+
+def test_etl_stream_runs_silver_and_gold_on_new_bronze(spark, tmp_path):
+    from eventlake.plans.gold import bootstrap
+    from eventlake.streaming.etl_stream import EtlStream
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    bootstrap(wh)
+    ticks = iter(dt.datetime(2024, 2, 1, h, tzinfo=dt.timezone.utc) for h in range(1, 24))
+    etl = EtlStream(wh, clock=lambda: next(ticks))
+    assert etl.run_available() == []                     # no bronze yet, no run
+    ingest_batch(wh, read_lines_df(spark, [1, 2]), batch_id=1)
+    runs = etl.run_available()
+    assert len(runs) == 1 and runs[0]["gold"]["facts_inserted"] == 2
+    ingest_batch(wh, read_lines_df(spark, [2, 3]), batch_id=2)
+    runs = etl.run_available()
+    assert len(runs) == 1 and runs[0]["gold"]["facts_inserted"] == 1
+    assert wh.facts().count() == 3
+
+
+def read_lines_df(spark, ids):
+    vals = [(json.dumps({"id": str(i), "type": "PushEvent", "actor": {"id": i, "login": "x"},
+                         "repo": {"id": 5, "name": "a/b"}, "created_at": "2024-01-02T03:04:05Z"}), "f", n)
+            for n, i in enumerate(ids)]
+    return spark.createDataFrame(vals, "value string, arrival_file string, arrival_pos long")
