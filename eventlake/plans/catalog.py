@@ -2,7 +2,8 @@
 
 All of them read the driver's ``events`` table through the fixture, and most
 of them read the warehouse that Spark builds from it by replaying the four
-arrival batches through bronze, silver and gold (built once per session).
+arrival batches through bronze, silver and gold (built once under the
+shared scratch folder and reused while the input and the code are unchanged).
 Timestamps are rendered as ``yyyy-MM-dd HH:mm:ss`` text and run-dependent
 stamps (updated_at, discovered_at, durations) are left out, so results are
 comparable with the SQL oracles.
@@ -22,7 +23,7 @@ from eventlake.operators.classify import classify
 from eventlake.operators.conform import conform
 from eventlake.operators.dedupe import latest_by_key
 from eventlake.operators.extract import extract
-from eventlake.operators.merge import insert_new_types, seed_upsert
+from eventlake.operators.merge import ACTION, insert_new_types, seed_upsert
 from eventlake.plans import queries as Q
 from eventlake.plans.bronze import backlog
 from eventlake.plans.replay import replayed
@@ -153,7 +154,7 @@ def event_type_seed_upsert(spark, sf_dir):
     now = lit_ts("2024-03-01 00:00:00")
     found = insert_new_types(seeds.empty(spark, S.DIM_EVENT_TYPES),
                              _conformed(spark, sf_dir).select("event_type"), now, S.UNKNOWN_EVENT_TYPE)
-    return seed_upsert(found.drop("__action"), seeds.event_type_seed(spark), now).select(*_TYPE_COLUMNS)
+    return seed_upsert(found.drop(ACTION), seeds.event_type_seed(spark), now).select(*_TYPE_COLUMNS)
 
 
 def fact_incremental(spark, sf_dir):
