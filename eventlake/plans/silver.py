@@ -14,7 +14,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -48,24 +47,25 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
     run_id = state["run_id"] + 1
     describe(wh.spark, f"silver {run_id}: events")
     bronze = wh.bronze_events().filter(F.col("batch_id").between(todo[0], todo[-1]))
-    rows = extract(spread(bronze)).withColumn("processed_at", lit_ts(now_dt)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        seen = Observation(f"silver_{uuid.uuid4().hex[:12]}")
-        good = rows.observe(
-            seen, F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("silver_reject_reason").isNotNull()).alias("bad"),
-        ).filter(F.col("silver_reject_reason").isNull()).select(*SILVER_COLUMNS)
-        good.write.mode("overwrite").parquet(wh.path(f"silver/events/run_id={run_id}"))
-        counts = seen.get
-        bad = rows.filter(F.col("silver_reject_reason").isNotNull()).select(
-            # the stored bronze key, even when the extracted id is falsy
-            F.coalesce(F.col("event_id"), F.try_variant_get("full_json", "$.id", "string")).alias("event_id"),
-            F.col("silver_reject_reason").alias("reason"), "batch_id", "processed_at")
-        describe(wh.spark, f"silver {run_id}: rejects")
-        if counts["bad"]:
-            bad.write.mode("overwrite").parquet(wh.path(f"silver/rejects/run_id={run_id}"))
-    finally:
-        rows.unpersist()
+    # Not cached: the rejects are a second consumer only when a row was
+    # rejected (rare), and then they are recomputed from the bronze batch.
+    # The observe() node also keeps Catalyst from pushing the accept filter
+    # below the staged extraction.
+    rows = extract(spread(bronze)).withColumn("processed_at", lit_ts(now_dt))
+    seen = Observation(f"silver_{uuid.uuid4().hex[:12]}")
+    good = rows.observe(
+        seen, F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("silver_reject_reason").isNotNull()).alias("bad"),
+    ).filter(F.col("silver_reject_reason").isNull()).select(*SILVER_COLUMNS)
+    good.write.mode("overwrite").parquet(wh.path(f"silver/events/run_id={run_id}"))
+    counts = seen.get
+    bad = rows.filter(F.col("silver_reject_reason").isNotNull()).select(
+        # the stored bronze key, even when the extracted id is falsy
+        F.coalesce(F.col("event_id"), F.try_variant_get("full_json", "$.id", "string")).alias("event_id"),
+        F.col("silver_reject_reason").alias("reason"), "batch_id", "processed_at")
+    describe(wh.spark, f"silver {run_id}: rejects")
+    if counts["bad"]:
+        bad.write.mode("overwrite").parquet(wh.path(f"silver/rejects/run_id={run_id}"))
     wh.silver_log.commit(run_id, {
         "run_id": run_id, "bronze_hwm": todo[-1],
         "processed_at": now_dt.strftime("%Y-%m-%d %H:%M:%S.%f"),
