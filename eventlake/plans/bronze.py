@@ -62,6 +62,11 @@ def ingest_batch(
     """
     spark = wh.spark
     batch_id = next_batch_id(wh) if batch_id is None else batch_id
+    if not set(arrival) <= set(raw.columns):
+        # Plain ``value`` rows (e.g. an in-memory hand-off): their order as
+        # given is the arrival order, taken before any shuffle.
+        raw = raw.select("value", F.lit("").alias(arrival[0]),
+                         F.monotonically_increasing_id().alias(arrival[1]))
     ts = lit_ts(now) if now is not None else F.current_timestamp()
     describe(spark, f"bronze {batch_id}: parse")
     classified = classify(spread(raw)).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)

@@ -210,3 +210,17 @@ def test_curate_views_and_duplicate_check(spark, wh):
     assert n == 2
     dup = duplicate_keys(spark.createDataFrame([("a",), ("a",), ("b",)], "k string"), ["k"], "dup_k")
     assert [tuple(r) for r in dup.collect()] == [("dup_k", 1)]
+
+
+def test_plain_values_and_cached_gold_batch(spark, wh):
+    plain = spark.createDataFrame([(ev(1, login="first"),), (ev(1, login="second"),), (ev(2),)],
+                                  "value string").coalesce(1)
+    rep = ingest_batch(wh, plain, batch_id=1, now=at(1))
+    assert (rep["inserted"], rep["duplicates"]) == (2, 1)
+    run_silver(wh, at(2))
+    g = run_gold(wh, at(3), cache_batch=True)
+    assert g["facts_inserted"] == 2
+    b = {r["event_id"]: json.loads(str(r["full_json"]))["actor"]["login"] for r in wh.bronze_events().collect()}
+    assert b["1"] == "first"                    # first arrival of id 1 kept
+    # equal event times on actor 1: the highest event_id ("2") wins
+    assert {r["actor_id"]: r["actor_login"] for r in wh.dim("dim_actors").collect()}[1] == "alice"
