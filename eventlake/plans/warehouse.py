@@ -145,18 +145,24 @@ class Warehouse:
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
     def register_views(self) -> None:
-        """Temp views for SQL users: bronze_raw_events, silver_events,
-        v_events, dim_date, dim_actors, dim_repos, dim_event_types,
-        fact_events."""
+        """Temp views for SQL users over the published state:
+        bronze_raw_events, dead_letter_queue, batch_reports, silver_events,
+        silver_rejects, v_events, dim_date, dim_actors, dim_repos,
+        dim_event_types, fact_events, run_metrics. (The reference's
+        ``bronze.`` / ``silver.`` / ``gold.`` prefixes are dropped.)"""
         from eventlake.operators.conform import conform
         self.bronze_events().createOrReplaceTempView("bronze_raw_events")
+        self.dead_letters().createOrReplaceTempView("dead_letter_queue")
+        self.bronze_reports().createOrReplaceTempView("batch_reports")
         silver = self.silver_events()
         silver.createOrReplaceTempView("silver_events")
+        self.silver_rejects().createOrReplaceTempView("silver_rejects")
         conform(silver).createOrReplaceTempView("v_events")
         self.dim_date().createOrReplaceTempView("dim_date")
         for name in DIM_TABLES:
             self.dim(name).createOrReplaceTempView(name)
         self.facts().createOrReplaceTempView("fact_events")
+        self.run_metrics().createOrReplaceTempView("run_metrics")
 
 
 def lit_ts(value) -> F.Column:
