@@ -22,6 +22,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -97,7 +105,7 @@ def main() -> None:
         "value": round(pipeline + query_total, 3),
         "unit": "sec",
         "queries": results,
-        "sf": os.path.basename(sf_dir).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "cpus": cpus,
     }))
     spark.stop()
