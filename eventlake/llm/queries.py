@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from eventlake.llm.quality import op6_quality
 from eventlake.llm.simhash import op5_simhash
 
 QUERIES = {
     "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
