@@ -3,8 +3,11 @@ and appending one computed struct column to every row through Arrow batches."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +26,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_eventlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    target = Path(tempfile.mkdtemp(prefix="eventlake-code-")) / "eventlake_code.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted((root / "eventlake").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    context.addPyFile(str(target))
+    context._eventlake_shipped = True
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python in small Arrow batches (documents can be long)."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
