@@ -18,6 +18,8 @@ from eventlake.session import scratch_root
 #: Rows of one Arrow batch handed to Python. Bounds a worker's memory to this
 #: many texts; a single text is always whole.
 ARROW_ROWS = 512
+#: And to about this many bytes, where the rows are long.
+ARROW_BYTES = 32 << 20
 
 LOWER_AZ = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -44,6 +46,7 @@ def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python in small Arrow batches (documents can be long)."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

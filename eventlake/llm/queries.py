@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
 from eventlake.llm.quality import op6_quality
 from eventlake.llm.simhash import op5_simhash
+from eventlake.llm.tokens import op7_tokens
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
+    "op7_tokens": op7_tokens,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": OP2_SQL,
+}
