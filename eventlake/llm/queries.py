@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
+from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
 
 QUERIES = {
+    "op4_mixing": op4_mixing,
     "op2_decontaminate": op2_decontaminate,
     "op7_tokens": op7_tokens,
     "op5_simhash": op5_simhash,
