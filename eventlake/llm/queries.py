@@ -7,8 +7,10 @@ from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
+from eventlake.llm.urls import OP1_SQL, op1_urls
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op4_mixing": op4_mixing,
     "op2_decontaminate": op2_decontaminate,
     "op7_tokens": op7_tokens,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_urls": OP1_SQL,
     "op2_decontaminate": OP2_SQL,
 }
