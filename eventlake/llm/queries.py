@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from eventlake.llm.chat import OP3_SQL, op3_chat
 from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
 from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
@@ -10,6 +11,7 @@ from eventlake.llm.tokens import op7_tokens
 from eventlake.llm.urls import OP1_SQL, op1_urls
 
 QUERIES = {
+    "op3_chat": op3_chat,
     "op1_urls": op1_urls,
     "op4_mixing": op4_mixing,
     "op2_decontaminate": op2_decontaminate,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_chat": OP3_SQL,
     "op1_urls": OP1_SQL,
     "op2_decontaminate": OP2_SQL,
 }
