@@ -6,11 +6,13 @@ from eventlake.llm.chat import OP3_SQL, op3_chat
 from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
 from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
+from eventlake.llm.secrets import op8_secrets
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
 from eventlake.llm.urls import OP1_SQL, op1_urls
 
 QUERIES = {
+    "op8_secrets": op8_secrets,
     "op3_chat": op3_chat,
     "op1_urls": op1_urls,
     "op4_mixing": op4_mixing,
