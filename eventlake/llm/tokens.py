@@ -12,16 +12,19 @@ ends, and the ids in 16 or 32 bits, little-endian.
 
 Encoding: pieces never span white space in this vocabulary, so a text's ids are
 the ids of its blank-separated words one after another; each distinct word
-goes through the tokenizer once and is remembered in a bounded cache. Special
+goes through the tokenizer, many in one text, and is remembered in a bounded
+cache. Special
 token strings inside a text are ordinary text. Null and empty texts have the
 end id only.
 """
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,35 +36,74 @@ from pyspark.sql import types as T
 
 from eventlake.llm import elias_fano
 from eventlake.llm.common import materialise, small_batches, table
-from eventlake.llm.vocab import WORD, Recent, vocabulary
+from eventlake.llm.vocab import WORD, vocabulary
 
 END_ID = 1
 SHARD_TOKENS = 1 << 16
-CACHED_WORDS = 200_000
+#: Words whose ids a worker keeps.
+CACHED_WORDS = 600_000
+WORDS_AT_ONCE = 20_000
 MAGIC = b"EFTOK001"
 HEAD = struct.Struct("<8sIQQQ")  # magic, bytes of an id, documents, ids, bytes of the boundaries
 
 
 class Encoder:
-    """Whole texts to ids by the words they consist of."""
+    """Whole texts to ids by the words they consist of.
+
+    The ids of known words lie one after another in ``flat``; a word's number
+    gives their place. When ``CACHED_WORDS`` are known, all are forgotten.
+    """
 
     def __init__(self, name: str = WORD, folder: str | None = None):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary(name, folder))
         self.tokenizer.encode_special_tokens = True
-        self.cache = Recent(CACHED_WORDS)
-
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        done = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [x.ids for x in done]
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode words not seen before, many in one text."""
+        flat, count = [self.flat], [self.count]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = [w.decode() for w in words[at : at + WORDS_AT_ONCE]]
+            starts = np.cumsum([0] + [len(w) + 1 for w in part])
+            done = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            places = np.fromiter((o[0] for o in done.offsets), np.int64, len(done))
+            flat.append(np.array(done.ids, np.uint32))
+            count.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(part)))
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.flat, self.count = np.concatenate(flat), np.concatenate(count)
+        self.first = np.cumsum(self.count) - self.count
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """Per text its ids and the end id."""
         split = [(t or "").encode().split() for t in texts]
-        known = self.cache.fill(set().union(*split), self.words)
-        end = (end_id,)
-        return [np.fromiter(chain(chain.from_iterable(map(known.__getitem__, w)), end), np.uint32) for w in split]
+        words = set().union(*split)
+        if len(self.number) > CACHED_WORDS:
+            self.forget()
+        self.learn([w for w in words if w not in self.number])
+        sizes = [len(w) for w in split]
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+        count = self.count[numbers]
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.repeat(self.first[numbers] - (ends - count), count) + np.arange(total)]
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+        end = np.array([end_id], np.uint32)
+        return [np.concatenate([ids[a:b], end]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
+@lru_cache(maxsize=1)
+def encoder(name: str, folder: str | None) -> Encoder:
+    """The worker's encoder: what one task has learnt serves the next."""
+    return Encoder(name, folder)
 
 
 def pack(documents: list[np.ndarray], width: int) -> bytes:
@@ -107,8 +149,8 @@ def write_shards(
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocab, folder)
-        width = 2 if max(end_id, encoder.tokenizer.get_vocab_size() - 1) < 1 << 16 else 4
+        encode = encoder(vocab, folder)
+        width = 2 if max(end_id, encode.tokenizer.get_vocab_size() - 1) < 1 << 16 else 4
         part = TaskContext.get().partitionId()
         ids: list[pa.Array] = []
         held: list[np.ndarray] = []
@@ -124,7 +166,7 @@ def write_shards(
 
         for batch in batches:
             first = 0
-            for i, encoded in enumerate(encoder.encode(batch.column(1).to_pylist(), end_id)):
+            for i, encoded in enumerate(encode.encode(batch.column(1).to_pylist(), end_id)):
                 held.append(encoded)
                 size += len(encoded)
                 if size >= shard_tokens:
