@@ -41,12 +41,25 @@ from eventlake.llm.vocab import WORD, vocabulary
 END_ID = 1
 SHARD_TOKENS = 1 << 16
 #: Words whose ids a worker keeps.
-CACHED_WORDS = 600_000
-WORDS_AT_ONCE = 20_000
+CACHED_WORDS = 700_000
+WORDS_AT_ONCE = 100
 MAGIC = b"EFTOK001"
 HEAD = struct.Struct("<8sIQQQ")  # magic, bytes of an id, documents, ids, bytes of the boundaries
 
 
+class Numbers(dict):
+    """Words numbered as they come; ``new`` are those not encoded yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
     """Whole texts to ids by the words they consist of.
 
@@ -63,34 +76,35 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = Numbers()
         self.flat = np.zeros(0, np.uint32)
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        """Encode words not seen before, many in one text."""
+    def learn(self) -> None:
+        """Encode the new words, some to a text; a token belongs to the word
+        it starts in."""
+        words = [w.decode() for w in self.number.new]
+        self.number.new.clear()
+        parts = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+        done = self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)
         flat, count = [self.flat], [self.count]
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            part = [w.decode() for w in words[at : at + WORDS_AT_ONCE]]
+        for part, encoded in zip(parts, done):
             starts = np.cumsum([0] + [len(w) + 1 for w in part])
-            done = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            places = np.fromiter((o[0] for o in done.offsets), np.int64, len(done))
-            flat.append(np.array(done.ids, np.uint32))
+            places = np.array([o[0] for o in encoded.offsets], np.int64)
+            flat.append(np.array(encoded.ids, np.uint32))
             count.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(part)))
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
         self.flat, self.count = np.concatenate(flat), np.concatenate(count)
         self.first = np.cumsum(self.count) - self.count
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """Per text its ids and the end id."""
-        split = [(t or "").encode().split() for t in texts]
-        words = set().union(*split)
         if len(self.number) > CACHED_WORDS:
             self.forget()
-        self.learn([w for w in words if w not in self.number])
+        split = [(t or "").encode().split() for t in texts]
         sizes = [len(w) for w in split]
         numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+        self.learn()
         count = self.count[numbers]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
