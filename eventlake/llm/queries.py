@@ -10,8 +10,10 @@ from eventlake.llm.secrets import op8_secrets
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
 from eventlake.llm.urls import OP1_SQL, op1_urls
+from eventlake.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op10_warc": op10_warc,
     "op8_secrets": op8_secrets,
     "op3_chat": op3_chat,
     "op1_urls": op1_urls,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_warc": OP10_SQL,
     "op3_chat": OP3_SQL,
     "op1_urls": OP1_SQL,
     "op2_decontaminate": OP2_SQL,
