@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from eventlake.llm.chat import OP3_SQL, op3_chat
 from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
+from eventlake.llm.extract import op9_extract
 from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
 from eventlake.llm.secrets import op8_secrets
@@ -13,6 +14,7 @@ from eventlake.llm.urls import OP1_SQL, op1_urls
 from eventlake.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
+    "op9_extract": op9_extract,
     "op10_warc": op10_warc,
     "op8_secrets": op8_secrets,
     "op3_chat": op3_chat,
