@@ -96,3 +96,11 @@ def append_struct(
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=names)
 
     return kept.mapInArrow(run, schema)
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, or with underscores before it, so that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
