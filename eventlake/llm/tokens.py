@@ -11,9 +11,9 @@ holds it and can be read by any other: ``part`` and ``seq`` give its place,
 ends, and the ids in 16 or 32 bits, little-endian.
 
 Encoding: pieces never span white space in this vocabulary, so a text's ids are
-the ids of its blank-separated words one after another; each distinct word
-goes through the tokenizer, many in one text, and is remembered in a bounded
-cache. Special
+the ids of its blank-separated words one after another, and nor do they span
+a letter and trailing punctuation; each distinct part goes through the
+tokenizer, many in one text, and is remembered in a bounded cache. Special
 token strings inside a text are ordinary text. Null and empty texts have the
 end id only.
 """
@@ -21,6 +21,7 @@ end id only.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,11 @@ from eventlake.llm.vocab import WORD, vocabulary
 END_ID = 1
 SHARD_TOKENS = 1 << 16
 #: Words whose ids a worker keeps.
-CACHED_WORDS = 700_000
-WORDS_AT_ONCE = 100
+CACHED_WORDS = 1_200_000
+PARTS_AT_ONCE = 100
+#: A letter or digit, ASCII or Latin-1, that stays one when it is normalised.
+ENDS_IN_LETTER = re.compile(rb".?[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]", re.S).fullmatch
+PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 MAGIC = b"EFTOK001"
 HEAD = struct.Struct("<8sIQQQ")  # magic, bytes of an id, documents, ids, bytes of the boundaries
 
@@ -63,8 +67,11 @@ class Numbers(dict):
 class Encoder:
     """Whole texts to ids by the words they consist of.
 
-    The ids of known words lie one after another in ``flat``; a word's number
-    gives their place. When ``CACHED_WORDS`` are known, all are forgotten.
+    A word is a core that ends in a letter or digit and a tail of ASCII
+    punctuation, which the vocabulary never joins; ASCII cores are lower-cased,
+    as it does; any other word is its own core. The
+    ids of known parts lie one after another in ``flat``. When
+    ``CACHED_WORDS`` are known, all are forgotten.
     """
 
     def __init__(self, name: str = WORD, folder: str | None = None):
@@ -76,40 +83,48 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number = Numbers()
-        self.flat = np.zeros(0, np.uint32)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.words, self.parts = Numbers(), Numbers()
+        self.parts_of = np.zeros((0, 2), np.int32)
+        self.flat = np.zeros(0, np.uint16)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def learn(self) -> None:
-        """Encode the new words, some to a text; a token belongs to the word
-        it starts in."""
-        words = [w.decode() for w in self.number.new]
-        self.number.new.clear()
-        parts = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
-        done = self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)
+        """Split the new words and encode their new parts, some to a text; a
+        token belongs to the part it starts in."""
+        cores = [c if ENDS_IN_LETTER((c := w.rstrip(PUNCTUATION))[-2:]) else w for w in self.words.new]
+        tails = [w[len(c) :] for w, c in zip(self.words.new, cores)]
+        cores = [c.lower() if c.isascii() else c for c in cores]
+        self.words.new.clear()
+        number = self.parts.__getitem__
+        pairs = [np.fromiter(map(number, x), np.int32, len(x)) for x in (cores, tails)]
+        self.parts_of = np.concatenate([self.parts_of, np.column_stack(pairs)])
+        new = [p.decode() for p in self.parts.new]
+        self.parts.new.clear()
+        texts = [new[at : at + PARTS_AT_ONCE] for at in range(0, len(new), PARTS_AT_ONCE)]
+        done = self.tokenizer.encode_batch([" ".join(t) for t in texts], add_special_tokens=False)
         flat, count = [self.flat], [self.count]
-        for part, encoded in zip(parts, done):
-            starts = np.cumsum([0] + [len(w) + 1 for w in part])
+        for text, encoded in zip(texts, done):
+            starts = np.cumsum([0] + [len(p) + 1 for p in text])
             places = np.array([o[0] for o in encoded.offsets], np.int64)
             flat.append(np.array(encoded.ids, np.uint32))
-            count.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(part)))
+            count.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(text)))
         self.flat, self.count = np.concatenate(flat), np.concatenate(count)
         self.first = np.cumsum(self.count) - self.count
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         """Per text its ids and the end id."""
-        if len(self.number) > CACHED_WORDS:
+        if len(self.words) > CACHED_WORDS:
             self.forget()
         split = [(t or "").encode().split() for t in texts]
         sizes = [len(w) for w in split]
-        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
+        words = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
         self.learn()
-        count = self.count[numbers]
+        parts = self.parts_of[words].ravel()
+        count = self.count[parts]
         ends = np.cumsum(count)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.first[numbers] - (ends - count), count) + np.arange(total)]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *sizes])]
+        ids = self.flat[np.repeat(self.first[parts] - (ends - count), count) + np.arange(total)]
+        cuts = np.concatenate([[0], ends])[2 * np.cumsum([0, *sizes])]
         end = np.array([end_id], np.uint32)
         return [np.concatenate([ids[a:b], end]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
