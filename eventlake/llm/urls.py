@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 from eventlake.llm.common import materialise, small_batches, table
 
 FALSE_POSITIVES = 0.01
-#: Bits of all levels of one cascade (32 MB).
-MAX_BITS = 1 << 28
+#: Bits of all levels of one cascade (8 MB).
+MAX_BITS = 1 << 26
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -102,8 +102,8 @@ class Bloom:
         at = F.explode(F.array(*((low + step * i) % self.bits for i in range(self.hashes)))).alias("at")
         words = hashed.select(at).groupBy(F.floor(F.col("at") / 64).cast("long").alias("word")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
-        for word, bits in words.toLocalIterator():
-            self.words[word] = np.uint64(bits & (1 << 64) - 1)
+        found = words.toArrow()
+        self.words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
         return self
 
     def has(self, h: np.ndarray) -> np.ndarray:
@@ -124,8 +124,8 @@ class Cascade:
 
     @staticmethod
     def build(keys: DataFrame, rate: float = FALSE_POSITIVES) -> Cascade:
-        """``keys(key, listed)``: the distinct keys of the universe."""
-        keys = materialise(keys, "url-keys")
+        """``keys(key, listed)``: the distinct keys of the universe, a written
+        table or a part of one, as every level reads it."""
         sets = [keys.where("listed"), keys.where("not listed")]
         levels: list[Bloom] = []
         encode = sets[0]
