@@ -67,6 +67,7 @@ class Page:
         self.blocks: list[tuple[str, int, int]] = []
         self.stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, chrome, article number (0: none)
         self.pieces: list[str] = []
+        self.noise: list[str] = []  # of inline chrome inside the open block
         self.articles = 0
         self.read(html)
 
@@ -76,7 +77,7 @@ class Page:
         tag = TAG.search(html, 0)
         while tag:
             if at < tag.start():
-                self.pieces.append(html[at : tag.start()])
+                self.add(html[at : tag.start()])
             at = tag.end()
             name = tag[2] and tag[2].lower()
             if name:
@@ -89,18 +90,22 @@ class Page:
                         at = for_raw.start() if for_raw else len(html)
             tag = TAG.search(html, at)
         if at < len(html):
-            self.pieces.append(html[at:])
+            self.add(html[at:])
         self.flush()
 
+    def add(self, text: str) -> None:
+        (self.noise if self.stack[-1][1] else self.pieces).append(text)
+
     def flush(self) -> None:
         """Close the block that is open."""
-        if self.pieces:
-            text = "".join(self.pieces)
-            text = " ".join((unescape(text) if "&" in text else text).split())
-            self.pieces.clear()
-            if text:
-                _, chrome, article = self.stack[-1]
-                self.blocks.append((text, CHROME if chrome else ARTICLE if article else PLAIN, article))
+        article = self.stack[-1][2]
+        for pieces, kind in ((self.pieces, ARTICLE if article else PLAIN), (self.noise, CHROME)):
+            if pieces:
+                text = "".join(pieces)
+                text = " ".join((unescape(text) if "&" in text else text).split())
+                pieces.clear()
+                if text:
+                    self.blocks.append((text, kind, article))
 
     def drop_to(self, names: str, scope: str) -> None:
         """End the innermost open element of ``names`` unless one of ``scope`` is inside it."""
@@ -117,17 +122,13 @@ class Page:
             if name in BLOCK:
                 self.flush()
             elif name == "br":
-                self.pieces.append(" ")
+                self.add(" ")
             return
-        if name in BLOCK or name in RAW:
-            if name not in RAW:
-                self.flush()
-            if name in BLOCK:
-                self.drop_to("p", "button table td th caption article section div li blockquote body html")
+        if name in BLOCK:
+            self.flush()
+            self.drop_to("p", "button table td th caption article section div li blockquote body html")
         if name in ENDED_BY_SAME:
             self.drop_to(*ENDED_BY_SAME[name])
-        if name in DROPPED and name not in BLOCK:
-            self.flush()
         _, chrome, article = self.stack[-1]
         marks = marked_names(name, attributes)
         if name in ("article", "main") and not marks & COMMENT_NAMES:
@@ -150,7 +151,7 @@ class Page:
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == name:
-                if name in BLOCK or name in DROPPED or any(t in BLOCK for t, _, _ in self.stack[i:]):
+                if any(t in BLOCK for t, _, _ in self.stack[i:]):
                     self.flush()
                 del self.stack[i:]
                 return

@@ -1,0 +1,85 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from llm_rows import LONG, TEXTS, clash, docs
+
+from eventlake.llm import elias_fano as E
+from eventlake.llm import tokens as K
+from eventlake.llm.vocab import WORD, vocabulary
+
+HARD = "aAbé'sS´`.,;!?-_/\\<|>endoftext 1९٣ \t\n\x0b\x0c\r\x1c\x85\xa0 İΣσςßﬁ̸́日本<=>\U0001f600‍'ll're"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary(WORD))
+    t.encode_special_tokens = True
+    return t
+
+
+@given(st.lists(st.integers(0, 5000), max_size=400))
+def test_elias_fano_round_trip(gaps):
+    values = np.cumsum(np.array(gaps, np.int64)) if gaps else np.zeros(0, np.int64)
+    code = E.EliasFano(E.encode(values))
+    assert code.between(0, len(values)).tolist() == values.tolist()
+    for i in range(0, len(values), 37):
+        assert code.select(i) == values[i]
+        assert code.between(i, len(values)).tolist() == values[i:].tolist()
+
+
+def test_elias_fano_is_near_minimal():
+    rnd = np.random.default_rng(0)
+    values = np.sort(rnd.integers(0, 10_000_000, 20_000))
+    code = E.encode(values)
+    assert len(code) * 8 / len(values) < 2 + np.log2(10_000_000 / 20_000) + 1
+    for i in (0, 1, 127, 128, 129, 19_999):
+        assert E.EliasFano(code).select(i) == values[i]
+    assert E.EliasFano(E.encode([0, 0, 0, 7])).between(1, 4).tolist() == [0, 0, 7]
+    with pytest.raises(IndexError):
+        E.EliasFano(code).select(20_000)
+
+
+def test_words_give_the_ids_of_whole_texts(tokenizer, monkeypatch):
+    monkeypatch.setattr(K, "CACHED_WORDS", 300)
+    rnd, encoder = random.Random(4), K.Encoder()
+    texts = [None, "", " ", "<|endoftext|> <|startoftext|>x", LONG] + ["".join(rnd.choices(HARD, k=rnd.randint(1, 80))) for _ in range(4000)]
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        for text, ids in zip(part, encoder.encode(part, 1)):
+            assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1], text
+
+
+def test_shard_gives_single_documents():
+    parts = [np.arange(n, dtype=np.uint32) for n in (1, 5, 0, 300, 2)]
+    for width in (2, 4):
+        shard = K.Shard(K.pack(parts, width))
+        assert [shard[i].tolist() for i in range(5)] == [p.tolist() for p in parts]
+    with pytest.raises(ValueError):
+        K.Shard(b"x" * 100)
+
+
+@pytest.mark.parametrize("shard_tokens", [K.SHARD_TOKENS, 40])
+def test_written_and_read_back(spark, tokenizer, shard_tokens):
+    df = clash(docs(spark), "id", "h", "part", "start").repartition(5)
+    rows = K.read_documents(K.write_shards(df, shard_tokens=shard_tokens)).orderBy("start").collect()
+    assert len(rows) == len(TEXTS)
+    assert [r["doc_id"] for r in rows] == sorted((t[0] for t in TEXTS), key=lambda d: (d is not None, d or 0))
+    at = 0
+    left = sorted((str(t[0]), tuple(tokenizer.encode(t[1] or "", add_special_tokens=False).ids + [1])) for t in TEXTS)
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+        mine = next(x for x in left if x[0] == str(r["doc_id"]) and zlib.crc32(np.array(x[1], "<u4").tobytes()) == r["ids_crc32"])
+        assert len(mine[1]) == r["n_tokens"]
+        left.remove(mine)
+    assert not left
+
+
+def test_empty_table(spark):
+    assert K.read_documents(K.write_shards(docs(spark).limit(0))).count() == 0
