@@ -3,6 +3,7 @@ and appending one computed struct column to every row through Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -62,6 +63,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker
+    that has done a stage waits idle beside the tasks of the next ones."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def append_struct(
     df: DataFrame,
     out: str,
@@ -94,6 +104,8 @@ def append_struct(
             )
             names = [*batch.schema.names, out]
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=names)
+        state = None
+        give_back()
 
     return kept.mapInArrow(run, schema)
 

@@ -175,8 +175,9 @@ class Mix:
             F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("ranges"), F.sum(F.col("hi") - F.col("lo")).alias("words"))
         rows = self.documents.where("size > 0").join(ranges, (F.col("source_no") == F.col("n")) & (F.col("start") == F.col("s")))
         tokens = F.regexp_extract_all(F.col("row." + text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-        cut = F.ltrim(F.concat_ws("", F.flatten(F.transform(
-            "ranges", lambda r: F.slice(tokens, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int"))))))
+        # The words are a lambda's argument, so that they are cut once a row and not once a range.
+        cut = F.transform(F.array(tokens), lambda words: F.ltrim(F.concat_ws("", F.flatten(F.transform(
+            "ranges", lambda r: F.slice(words, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))))))[0]
         text = F.when(F.col("words") == F.col("size"), F.col("row." + text_col)).otherwise(cut)
         return rows.select("row", "round", text.alias("mixed_text"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import LOWER_AZ, materialise, small_batches
+from eventlake.llm.common import LOWER_AZ, give_back, materialise, small_batches
 
 #: Largest number of distinct fingerprints compared with each other in one run.
 RUN_LIMIT = 2048
@@ -72,6 +72,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

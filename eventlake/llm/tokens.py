@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm import elias_fano
-from eventlake.llm.common import materialise, small_batches, table
+from eventlake.llm.common import give_back, materialise, small_batches, table
 from eventlake.llm.vocab import WORD, vocabulary
 
 END_ID = 1
@@ -208,6 +208,7 @@ def write_shards(
                 ids.append(batch.column(0).slice(first))
         if held:
             yield shard()
+        give_back()
 
     return materialise(rows.mapInArrow(run, schema), "token-shards")
 
