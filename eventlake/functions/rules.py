@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventlake import schema as S
 from eventlake.functions.sqltext import lit
 
 # An id must be ASCII digits only. \A and \z anchor the whole
@@ -63,15 +64,14 @@ def date_key_sql(ts: str) -> str:
 
 
 def owner_project_sql(name: str) -> tuple[str, str]:
-    """Split ``owner/project``; any other slash count gives the sentinels.
+    """Owner and project of a repository name (FN-10..12).
 
-    FN-10..12: the name must contain exactly one ``/``; ``/b`` gives an empty
-    owner and ``a/`` an empty project, as SPLIT_PART does.
+    A name that a slash cuts into exactly two pieces is ``owner/project``,
+    either of which may be empty; any other name gives the sentinels.
     """
-    one = (f"({name} LIKE '%/%' AND "
-           f"length({name}) - length(replace({name}, '/', '')) = 1)")
-    return (f"CASE WHEN {one} THEN split_part({name}, '/', 1) ELSE 'unknownowner' END",
-            f"CASE WHEN {one} THEN split_part({name}, '/', 2) ELSE 'unknownproject' END")
+    pieces = f"split({name}, '/', -1)"
+    return tuple(f"coalesce(if(size({pieces}) = 2, {pieces}[{i}], NULL), '{unknown}')"
+                 for i, unknown in enumerate((S.UNKNOWN_REPO_OWNER, S.UNKNOWN_REPO_PROJECT)))
 
 
 def ts_text_sql(ts: str) -> str:

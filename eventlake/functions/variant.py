@@ -20,11 +20,6 @@ def get_sql(v: str, path: str, type_: str = "variant") -> str:
     return f"try_variant_get({v}, {lit(path)}, '{type_}')"
 
 
-def json_type_sql(x: str) -> str:
-    """Top-level JSON type name of a VARIANT (``OBJECT<...>`` -> ``OBJECT``)."""
-    return f"regexp_extract(schema_of_variant({x}), '^([A-Z_]+)', 1)"
-
-
 def falsy_sql(text: str) -> str:
     """True when a value, given as its JSON text, is falsy in Python after
     ``json.loads``: missing, null, false, 0, "", {} or []. Never NULL."""

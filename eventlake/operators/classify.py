@@ -10,25 +10,23 @@ from pyspark.sql import DataFrame
 
 from eventlake import schema as S
 from eventlake.functions.sqltext import lit
-from eventlake.functions.variant import get_sql, json_type_sql
+from eventlake.functions.variant import get_sql, py_str_sql
 
 # A JSON \\u0000 escape that is not itself escaped (preceded by an even run of
 # backslashes), or a raw NUL character.
+_OBJECT = r"\A[ \t\r\n]*\{"
 _NUL = r"(?:^|[^\\])(?:\\\\)*\\u0000|\x00"
 
 
 def reject_reason_sql(text: str, kind: str, id_text: str) -> str:
     """First failing rule, or NULL for a line that belongs in bronze.
 
-    ``kind`` is the parsed line's top-level JSON type and ``id_text`` the
-    JSON text of its ``id`` member. Spark's JSON readers accept trailing
-    garbage (``{"a":1} xx``), so an object must also be the whole line: the
-    trimmed text has to end in ``}``.
+    ``kind`` is ``''`` for a line that is not one whole JSON value, else
+    ``object`` or ``other``; ``id_text`` is the JSON text of its ``id`` member.
     """
     return (
-        f"CASE WHEN {kind} IS NULL OR {kind} = '' THEN '{S.REJECT_NOT_JSON}' "
-        f"WHEN {kind} <> 'OBJECT' THEN '{S.REJECT_NOT_OBJECT}' "
-        f"WHEN NOT endswith(rtrim({text}), '}}') THEN '{S.REJECT_NOT_JSON}' "
+        f"CASE WHEN {kind} = '' THEN '{S.REJECT_NOT_JSON}' "
+        f"WHEN {kind} <> 'object' THEN '{S.REJECT_NOT_OBJECT}' "
         f"WHEN {id_text} IS NULL OR {id_text} = 'null' THEN '{S.REJECT_MISSING_ID}' "
         f"WHEN substring({id_text}, 1, 1) = '{{' THEN '{S.REJECT_INVALID_ID}' "
         f"WHEN {text} RLIKE {lit(_NUL)} THEN '{S.REJECT_NUL}' END"
@@ -36,18 +34,31 @@ def reject_reason_sql(text: str, kind: str, id_text: str) -> str:
 
 
 def classify(raw: DataFrame, text_col: str = "value") -> DataFrame:
-    """Parse each line once and add ``full_json``, ``event_id``, ``event_type``
-    and ``reject_reason`` (NULL for accepted rows)."""
+    """Add ``full_json``, ``event_id``, ``event_type`` and ``reject_reason``
+    (NULL for accepted rows).
+
+    Spark's JSON readers stop after the first value, so a line alone does not
+    show what follows it. As the element of an array, text after the value
+    breaks the array or makes a second element; as the member of an object,
+    what closes the array early breaks the object. A line that is exactly one
+    element in the one and parses in the other is one value and nothing else.
+
+    ``event_id`` is the event's key in every layer: the ``str()`` of the id.
+    """
     t = f"`{text_col}`"
-    parsed = raw.selectExpr("*", f"try_parse_json({t}) AS full_json")
-    staged = parsed.selectExpr(
+    parsed = raw.selectExpr(
         "*",
-        f"{json_type_sql('full_json')} AS __kind",
-        f"to_json({get_sql('full_json', '$.id')}) AS __id_text",
-        f"{get_sql('full_json', '$.id', 'string')} AS event_id",
+        f"try_variant_get(try_parse_json(concat('[', {t}, ']')), '$', 'array<variant>') AS __items",
+        f"try_parse_json(concat('{{\"x\":', {t}, '}}')) IS NOT NULL AS __member")
+    whole = parsed.selectExpr("*", "CASE WHEN __member AND size(__items) = 1 THEN __items[0] END AS full_json")
+    staged = whole.selectExpr(
+        "*",
+        f"CASE WHEN full_json IS NULL THEN '' WHEN {t} RLIKE {lit(_OBJECT)} THEN 'object' ELSE 'other' END AS __kind",
+        f"{get_sql('full_json', '$.id')} AS __id",
         f"{get_sql('full_json', '$.type', 'string')} AS event_type",
-    )
-    cols = [c for c in staged.columns if c not in ("__kind", "__id_text")]
+    ).selectExpr("*", "to_json(__id) AS __id_text")
+    staged = staged.selectExpr("*", f"{py_str_sql('__id', '__id_text')} AS event_id")
+    cols = [c for c in staged.columns if not c.startswith("__")]
     return staged.selectExpr(
         *[f"`{c}`" for c in cols],
         f"{reject_reason_sql(t, '__kind', '__id_text')} AS reject_reason")

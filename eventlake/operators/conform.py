@@ -12,11 +12,6 @@ from pyspark.sql import DataFrame
 from eventlake import schema as S
 from eventlake.functions.rules import date_key_sql, digits_or_sql
 
-CONFORMED_COLUMNS = [
-    "event_id", "event_time", "event_type", "processed_at", "date_id", "event_hour",
-    "actor_id", "actor_login", "repo_id", "repo_name", "org_id", "org_login", "is_public",
-]
-
 
 def conform(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """silver.events -> v_events. Rows without an event_time are hidden (FLT-2).

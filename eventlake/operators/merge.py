@@ -4,11 +4,12 @@ The dimension helpers return the *complete* next version of a table plus
 an ``__action`` column (insert / update / keep) so affected-row counts
 (AGG-8) can be observed while the new version is written.
 
-Scale: ``insert_ignore`` guards append-only tables (bronze, facts) that grow
-without bound while each batch stays small. When the batch is within a
-proven row bound (``small``) it is broadcast and the big table is only
-scanned for its key column (a semi-join reduction): the big side is never
-shuffled. Beyond the bound it falls back to a shuffled anti-join.
+Scale: ``insert_ignore`` guards append-only tables (bronze, silver, facts)
+that grow without bound while each batch stays small. The batch's keys meet
+the table's key column in a semi-join, whose result is at most the batch: if
+the planner sees from the written batch's size that its keys fit a broadcast,
+the table is only scanned, never shuffled; otherwise both are shuffled by key.
+The rule and the answer are the same at every size.
 """
 
 from __future__ import annotations
@@ -21,38 +22,18 @@ from pyspark.sql import functions as F
 ACTION = "__action"
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
-# Batches up to this many rows are broadcast. Rows here are narrow (a key and
-# a few attributes), so the bound keeps a broadcast well under 100 MB.
-DEFAULT_BROADCAST_ROWS = 500_000
-
-
-def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
-def existing_keys(table: DataFrame, batch: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Keys of ``batch`` already present in ``table`` (semi-join reduction).
-
-    With a small batch the table's key columns are filtered by a broadcast
-    semi-join -- one narrow scan of the table, no shuffle of it.
-    """
-    batch_keys = batch.select(*keys).distinct()
-    table_keys = table.select(*keys)
-    return table_keys.join(_maybe_broadcast(batch_keys, small), list(keys), "left_semi").distinct()
-
-
-def insert_ignore(table: DataFrame, batch: DataFrame, keys: Sequence[str], small: bool,
+def insert_ignore(table: DataFrame, batch: DataFrame, keys: Sequence[str],
                   key_source: DataFrame | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``table`` (ON CONFLICT DO NOTHING).
+    """Rows of ``batch`` whose key is not in ``table`` (ON CONFLICT DO NOTHING),
+    one row per key of the batch being the caller's business.
 
     Returns only the new rows: an append-only table writes just these.
-    ``small`` says the batch is within the broadcast bound. ``key_source``
-    holds the same key set as ``batch`` when that is cheaper to compute
-    (e.g. the cached rows a dedupe window reads), so the batch's own plan
-    is evaluated once.
+    ``key_source`` holds the same key set as ``batch`` when that is cheaper
+    to compute, so the batch's own plan is evaluated once.
     """
-    present = existing_keys(table, batch if key_source is None else key_source, keys, small)
-    return batch.join(_maybe_broadcast(present, small), list(keys), "left_anti")
+    batch_keys = (batch if key_source is None else key_source).select(*keys)
+    present = table.select(*keys).join(batch_keys, list(keys), "left_semi").distinct()
+    return batch.join(present, list(keys), "left_anti")
 
 
 def _with_now(df: DataFrame, now: Column | str) -> DataFrame:

@@ -19,7 +19,8 @@ def _row(name: str, value: Column) -> list[Column]:
     return [F.lit(name).alias("check_name"), F.coalesce(value, F.lit(0)).cast("bigint").alias("violations")]
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
+def union(parts: Sequence[DataFrame]) -> DataFrame:
+    """The rows of several checks as one report."""
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -27,17 +28,17 @@ def fk_violations(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) ->
     """VAL-1: fact rows whose foreign key is missing from its dimension.
 
     ``dims`` maps a check name to ``(dimension, key column)``; the fact has a
-    column of the same name. All checks run as one anti-join on
-    ``(check_name, key)``: the fact side is pre-aggregated to one row per
-    distinct key (partial aggregation, so a hot key costs one row per map
-    task), the dimension side contributes its key column only. One row per
+    column of the same name. Every check scans its own key column of the
+    facts, pre-aggregated to one row per distinct key (partial aggregation, so
+    a hot key costs one row per map task); one anti-join on
+    ``(check_name, key)`` then meets the dimensions' key columns. One row per
     check comes back, zero included.
     """
-    facts = _union([
+    facts = union([
         fact.groupBy(F.col(key).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("check_name"), "k", "n")
         for name, (_dim, key) in dims.items()])
-    keys = _union([dim.select(F.lit(name).alias("check_name"), F.col(key).cast("string").alias("k"))
+    keys = union([dim.select(F.lit(name).alias("check_name"), F.col(key).cast("string").alias("k"))
                    for name, (dim, key) in dims.items()])
     missing = facts.join(keys, ["check_name", "k"], "left_anti").groupBy("check_name").agg(
         F.sum("n").alias("n"))
@@ -61,30 +62,26 @@ def row_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     ``checks`` maps a name to a condition that is TRUE for a violation.
     """
     counts = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
-    return _union([counts.select(*_row(n, F.col(n))) for n in checks])
+    return union([counts.select(*_row(n, F.col(n))) for n in checks])
 
 
 def key_and_row_checks(
     df: DataFrame, keys: Sequence[str], dup_name: str, checks: Mapping[str, Column],
     where: Column | None = None,
 ) -> DataFrame:
-    """VAL-2 and VAL-3/4 together in one shuffle.
+    """VAL-2 and VAL-3/4 as one report.
 
-    Rows are grouped by ``keys`` once; each group carries its row count and
-    its per-check violation counts (partial aggregation, so a hot key does
-    not concentrate rows), then one global sum gives every check. ``where``
-    restricts all checks to the rows it accepts.
+    Row checks are counted map-side and never shuffled; only the keys, with
+    a row count each (partial aggregation, so a hot key does not concentrate
+    rows), are. ``where`` restricts all checks to the rows it accepts.
     """
     ok = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    per_key = df.groupBy(*keys).agg(
-        F.count_if(ok).alias("__n"),
-        *[F.count_if(ok & F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
-    totals = per_key.agg(
-        F.count_if(F.col("__n") > 1).alias(dup_name),
-        *[F.sum(n).alias(n) for n in checks])
-    names = [dup_name, *checks]
-    return totals.select(F.explode(F.array(*[
+    counts = df.agg(*[F.count_if(ok & F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
+    per_key = df.groupBy(*keys).agg(F.count_if(ok).alias("__n"))
+    repeated = per_key.agg(F.count_if(F.col("__n") > 1).alias(dup_name))
+    long = lambda one, names: one.select(F.explode(F.array(*[
         F.struct(*_row(n, F.col(n))) for n in names])).alias("x")).select("x.*")
+    return long(repeated, [dup_name]).unionByName(long(counts, list(checks)))
 
 
 def not_null(cols: Sequence[str]) -> dict[str, Column]:

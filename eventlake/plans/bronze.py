@@ -1,135 +1,158 @@
 """Bronze ingest (SNK-1, SNK-2, DED-1, REJ-1, H-6).
 
-One call ingests one batch of raw lines as ``batch_id=N``:
+One call ingests raw lines as the next batch:
 
-  classify -> rejects ............................ dead_letter_queue/batch_id=N
-           -> accepted -> first arrival per id
-                       -> minus ids already stored in batches < N ... raw_events/batch_id=N
+  classify -> a staging table ... rejects ............ dead_letter_queue
+                              ... accepted -> first arrival per id
+                                  -> minus ids already stored ... raw_events
 
-Each output is written with a static overwrite of its own ``batch_id=N``
-directory, so replaying a batch (a retried streaming micro-batch) rewrites
-the same rows instead of duplicating them.
+and commits one record that names the batch's folders. Batches are
+numbered in commit order without gaps, so a reader's mark on the number leaves
+nothing behind. A caller that may repeat itself
+names its batch: a stream by (stream id, epoch), others by a label; a name that
+is committed already returns its report and writes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlake.operators.classify import classify
 from eventlake.operators.dedupe import first_arrival
+from eventlake.operators.merge import insert_ignore
 from eventlake.operators.parallel import spread
-from eventlake.operators.merge import DEFAULT_BROADCAST_ROWS, insert_ignore
 from eventlake.plans.concurrent import run_concurrently
-from eventlake.plans.warehouse import Warehouse, lit_ts
+from eventlake.plans.storage import CommitConflict
+from eventlake.plans.warehouse import BATCH_REPORTS, Warehouse, lit_ts
 from eventlake.session import describe
 from eventlake.sources.landing import ARRIVAL
 
+REPORT = ("batch_id", "fetched", "inserted", "duplicates", "errors")
 
-def next_batch_id(wh: Warehouse) -> int:
-    batches = wh.bronze_batches()
-    return (batches[-1] + 1) if batches else 1
+
+def _label_file(wh: Warehouse, label: object) -> str:
+    return wh.path(f"bronze/_labels/{hashlib.sha256(str(label).encode()).hexdigest()}.json")
+
+
+def committed_report(wh: Warehouse, label: object = None, stream: tuple[str, int] | None = None) -> dict | None:
+    """The report of a batch committed under this name, if there is one.
+
+    A label's file is written right after its commit; a writer lost in between
+    is found by the newest record, which carries the label.
+    """
+    state = wh.bronze_state()
+    if stream is not None and state["streams"].get(stream[0], -1) >= stream[1]:
+        return {**state["report"], "repeated": True} if state.get("stream") == list(stream) else {"repeated": True}
+    if label is not None:
+        if state.get("label") == str(label):
+            return {**state["report"], "repeated": True}
+        if wh.fs.exists(_label_file(wh, label)):
+            return {**json.loads(wh.fs.read_text(_label_file(wh, label))), "repeated": True}
+    return None
 
 
 def ingest_batch(
     wh: Warehouse,
     raw: DataFrame,
-    batch_id: int | None = None,
+    batch_id: int | str | None = None,
     now: dt.datetime | str | None = None,
     arrival: tuple[str, ...] = ARRIVAL,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    point_lookup_ids: int = 1000,
+    stream: tuple[str, int] | None = None,
 ) -> dict:
-    """Ingest raw lines (``value`` + arrival columns) as bronze batch ``batch_id``.
-
-    Returns the batch report: fetched, inserted, duplicates, errors. A
-    duplicate is an accepted line whose id arrived earlier in this batch or
-    in any stored batch; the first arrival always wins.
-
-    Jobs: (1) one count that caches the parsed batch; (2) the bronze write
-    and, if any line was rejected, the dead-letter write, side by side;
-    (3) the one-row report.
-
-    Dedupe against the store never shuffles it: a batch of at most
-    ``point_lookup_ids`` lines pushes its ids into the store scan (bloom
-    filter + min/max row-group skipping, files are written sorted by id);
-    a batch within ``broadcast_rows`` is broadcast against the store's id
-    column; only larger batches use a shuffled anti-join.
+    """Ingest raw lines (``value`` + arrival columns) as the next bronze batch.
+
+    ``batch_id`` is the caller's label of the batch and ``stream`` a stream's
+    (id, epoch); either makes a repeated call a no-op. Returns the report:
+    the committed batch number, fetched, inserted, duplicates, errors. A
+    duplicate is an accepted line whose id arrived earlier in this batch or in
+    any stored batch; the first arrival always wins. If another writer
+    commits first, the batch is compared with the store again.
+
+    The parsed lines are written once to a staging folder next to the tables
+    and read by every later step, so nothing is parsed twice or kept in
+    executor memory.
     """
     spark = wh.spark
-    batch_id = next_batch_id(wh) if batch_id is None else batch_id
+    if (known := committed_report(wh, batch_id, stream)) is not None:
+        return known
     if not set(arrival) <= set(raw.columns):
         # Plain ``value`` rows (e.g. an in-memory hand-off): their order as
         # given is the arrival order, taken before any shuffle.
         raw = raw.select("value", F.lit("").alias(arrival[0]),
                          F.monotonically_increasing_id().alias(arrival[1]))
-    ts = lit_ts(now) if now is not None else F.current_timestamp()
-    describe(spark, f"bronze {batch_id}: parse")
-    classified = classify(spread(raw)).withColumn("ingested_at", ts).persist(StorageLevel.MEMORY_AND_DISK)
-    dlq = wh.path(f"bronze/dead_letter_queue/batch_id={batch_id}")
+    ts = lit_ts(now) if now is not None else lit_ts(dt.datetime.now(dt.timezone.utc))
+    describe(spark, "bronze: parse")
+    staging = wh.attempt("bronze/_staging")
+    parsed = classify(spread(raw)).withColumn("ingested_at", ts)
+    seen = Observation(f"bronze_in_{uuid.uuid4().hex[:12]}")
+    parsed.observe(seen, F.count(F.lit(1)).alias("fetched"),
+                   F.count_if(F.col("reject_reason").isNotNull()).alias("errors")).write.parquet(staging)
+    fetched, errors = int(seen.get["fetched"]), int(seen.get["errors"])
+    lines = spark.read.schema(parsed.schema).parquet(staging)
     try:
-        # One pass over the parsed batch caches it and bounds everything below.
-        counts = classified.agg(
-            F.count(F.lit(1)).alias("fetched"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("errors")).first()
-        fetched, errors = int(counts["fetched"]), int(counts["errors"])
-
-        def write_rejects() -> None:
-            classified.filter(F.col("reject_reason").isNotNull()).select(
-                F.col("value").alias("failed_payload"),
-                F.col("reject_reason").alias("error_message"),
-                F.col("ingested_at").alias("created_at"),
-            ).write.mode("overwrite").parquet(dlq)
-
-        def write_raw() -> int:
-            accepted = classified.filter(F.col("reject_reason").isNull())
-            first = first_arrival(accepted, "event_id", list(arrival))
-            earlier = [b for b in wh.bronze_batches() if b < batch_id]
-            if earlier:
-                stored = wh.bronze_events().filter(F.col("batch_id") < batch_id)
-                if fetched <= point_lookup_ids:
-                    # A poll-sized batch: its ids (at most ``fetched``) go into
-                    # the scan as an IN filter; the bloom filter and min/max
-                    # stats of each row group skip the ones that cannot hold them.
-                    ids = [r[0] for r in accepted.select("event_id").distinct().collect()]
-                    stored = stored.filter(F.col("event_id").isin(ids))
-                first = insert_ignore(stored, first, ["event_id"], small=fetched <= broadcast_rows,
-                                      key_source=accepted)
-            wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
-            (first.select("event_id", "event_type", "full_json", "ingested_at")
-             .sortWithinPartitions("event_id")
-             .observe(wrote, F.count(F.lit(1)).alias("inserted"))
-             .write.mode("overwrite")
-             .option("parquet.bloom.filter.enabled#event_id", "true")
-             .parquet(wh.path(f"bronze/raw_events/batch_id={batch_id}")))
-            return int(wrote.get["inserted"])
-
-        jobs = {"raw events": write_raw}
-        if errors:
-            jobs["dead letters"] = write_rejects
-        else:
-            wh.fs.delete(dlq)          # a replayed batch leaves no stale rejects
-        inserted = run_concurrently(spark, f"bronze {batch_id}", jobs)["raw events"]
+        while True:
+            state = wh.bronze_state()
+            try:
+                return _commit(wh, lines, fetched, errors, state, ts, arrival, batch_id, stream)
+            except CommitConflict:
+                if (known := committed_report(wh, batch_id, stream)) is not None:
+                    return known
     finally:
-        classified.unpersist()
-
-    report = {
-        "batch_id": batch_id,
-        "fetched": fetched,
-        "inserted": inserted,
-        "duplicates": fetched - errors - inserted,
-        "errors": errors,
-    }
-    describe(spark, f"bronze {batch_id}: report")
-    spark.createDataFrame(
-        [(report["fetched"], report["inserted"], report["duplicates"], report["errors"])],
-        "fetched bigint, inserted bigint, duplicates bigint, errors bigint",
-    ).withColumn("ingested_at", ts).write.mode("overwrite").parquet(
-        wh.path(f"bronze/batch_reports/batch_id={batch_id}"))
+        wh.fs.delete(staging)
+
+
+def _commit(wh: Warehouse, lines: DataFrame, fetched: int, errors: int, state: dict, ts, arrival, label, stream) -> dict:
+    """Write the batch that follows ``state`` and commit it."""
+    spark = wh.spark
+    n = state["batch_id"] + 1
+    paths = {t: wh.attempt(f"bronze/{t}") for t in ("raw_events", "dead_letter_queue", "batch_reports")}
+
+    def write_rejects() -> None:
+        lines.filter(F.col("reject_reason").isNotNull()).select(
+            F.col("value").alias("failed_payload"),
+            F.col("reject_reason").alias("error_message"),
+            F.col("ingested_at").alias("created_at"),
+            F.lit(n).alias("batch_id"),
+        ).write.parquet(paths["dead_letter_queue"])
+
+    def write_raw() -> int:
+        accepted = lines.filter(F.col("reject_reason").isNull())
+        first = first_arrival(accepted, "event_id", list(arrival))
+        if state["raw_events"]:
+            first = insert_ignore(wh.bronze_events(state=state), first, ["event_id"], key_source=accepted)
+        wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
+        (first.select("event_id", "event_type", "full_json", "ingested_at", F.lit(n).alias("batch_id"))
+         .sortWithinPartitions("event_id")
+         .observe(wrote, F.count(F.lit(1)).alias("inserted"))
+         .write.option("parquet.bloom.filter.enabled#event_id", "true").parquet(paths["raw_events"]))
+        return int(wrote.get["inserted"])
+
+    jobs = {"raw events": write_raw}
+    if errors:
+        jobs["dead letters"] = write_rejects
+    inserted = run_concurrently(spark, f"bronze {n}", jobs)["raw events"]
+    report = dict(zip(REPORT, (n, fetched, inserted, fetched - errors - inserted, errors)))
+    describe(spark, f"bronze {n}: report")
+    spark.createDataFrame([(*(report[c] for c in REPORT[1:]), None, n)], BATCH_REPORTS).withColumn(
+        "ingested_at", ts).write.parquet(paths["batch_reports"])
+    rows = {"raw_events": inserted, "dead_letter_queue": errors, "batch_reports": 1}
+    record = {**state, "batch_id": n, "report": report, "label": None if label is None else str(label),
+              "stream": None if stream is None else list(stream)}
+    for table, count in rows.items():
+        if count:
+            record[table] = [*state[table], {"path": paths[table], "id": n, "rows": count}]
+    if stream is not None:
+        record["streams"] = {**state["streams"], stream[0]: stream[1]}
+    wh.bronze_log.commit(state, record)
+    if label is not None:
+        wh.fs.mkdirs(wh.path("bronze/_labels"))
+        wh.fs.write_text(_label_file(wh, label), json.dumps(report), overwrite=True)
     return report
 
 

@@ -11,9 +11,11 @@ comparable with the SQL oracles.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
@@ -28,9 +30,10 @@ from eventlake.plans import queries as Q
 from eventlake.plans.bronze import backlog
 from eventlake.plans.replay import replayed
 from eventlake.plans.warehouse import lit_ts
-from eventlake.session import configure
+from eventlake.session import configure, scratch_root
 from eventlake.sources import fixture as FX
 from eventlake.sources import seeds
+from eventlake.sources.landing import read_json_arrays
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +64,7 @@ def bronze_dedupe_first(spark, sf_dir):
 def bronze_stream_dedupe(spark, sf_dir):
     """STR-1: the same bronze, ingested by the file stream (availableNow)."""
     configure(spark)
-    return _bronze_view(replayed(spark, sf_dir, stream=True).bronze_events())
+    return _bronze_view(replayed(spark, sf_dir, "stream").bronze_events())
 
 
 def bronze_rejects(spark, sf_dir):
@@ -115,11 +118,6 @@ def sentinel_counts(spark, sf_dir):
     return Q.sentinel_counts(_wh(spark, sf_dir).facts())
 
 
-def dim_date(spark, sf_dir):
-    """SRC-5: the calendar dimension as published."""
-    return _wh(spark, sf_dir).dim_date()
-
-
 def dim_actors_latest(spark, sf_dir):
     """DED-3: latest login per actor over all of silver in one pass."""
     v = _conformed(spark, sf_dir).filter(F.col("actor_id") != S.UNKNOWN_ACTOR_ID)
@@ -210,8 +208,64 @@ def hourly_weekend(spark, sf_dir):
 
 
 def pending_types(spark, sf_dir):
-    """Q-4 (discovered_at left out: it is a run stamp)."""
-    return Q.pending_types(_wh(spark, sf_dir).dim("dim_event_types")).select("event_type")
+    """Q-4 with its order (newest first; discovered_at itself is a run stamp)."""
+    pending = Q.pending_types(_wh(spark, sf_dir).dim("dim_event_types"))
+    newest_first = Window.orderBy(F.desc("discovered_at"), "event_type")  # a row per type of the dimension
+    return pending.select("event_type", F.row_number().over(newest_first).cast("long").alias("place"))
+
+
+def top_actors(spark, sf_dir):
+    """JOIN-5: facts with dim_actors."""
+    wh = _wh(spark, sf_dir)
+    return Q.top_actors(wh.facts(), wh.dim("dim_actors"))
+
+
+def events_by_calendar(spark, sf_dir):
+    """FN-6 / FN-8 / SRC-5: facts by quarter, month, ISO week and day name."""
+    wh = _wh(spark, sf_dir)
+    return Q.events_by_calendar(wh.facts(), wh.dim_date())
+
+
+def _edges(spark, sf_dir):
+    configure(spark)
+    return replayed(spark, sf_dir, "edges")
+
+
+def dead_letter_report(spark, sf_dir):
+    """SNK-2: reasons and bytes of the stored dead letters of hostile lines."""
+    return _edges(spark, sf_dir).dead_letters().groupBy("batch_id", F.col("error_message").alias("reason")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("failed_payload")).alias("chars"))
+
+
+def silver_rejects_report(spark, sf_dir):
+    """FLT-1 / VAL-4: bronze rows that silver recorded as rejected."""
+    return _edges(spark, sf_dir).silver_rejects().groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("ids"))
+
+
+def edge_facts(spark, sf_dir):
+    """One key per id spelling, long names on the sentinel repo, offsets and
+    fractions of seconds: the facts of the hostile lines."""
+    facts = _edges(spark, sf_dir).facts()
+    time = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSS")
+    return facts.groupBy("repo_id", time.alias("event_time")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("event_id") == "True").alias("boolean_ids"))
+
+
+def edge_run_report(spark, sf_dir):
+    """H-5: facts and long names that each run of the hostile lines counted."""
+    wh = _edges(spark, sf_dir)
+    return wh.run_metrics().filter(F.col("run_id") >= 1).select("run_id", "facts_inserted", "total_facts", "long_names")
+
+
+def json_array_ingest(spark, sf_dir):
+    """SRC-2: events landed as JSON-array documents, a file each, and read back."""
+    configure(spark)
+    folder = f"{scratch_root(spark)}/eventlake-arrays/{uuid.uuid4().hex}"
+    FX.json_array_documents(FX.read_events(spark, sf_dir)).write.partitionBy("doc").text(folder)
+    lines = classify(read_json_arrays(spark, f"{folder}/doc=*"))
+    return lines.select("event_id", "event_type", F.col("arrival_pos").alias("place"),
+                        F.try_variant_get("full_json", "$.actor.id", "bigint").alias("actor_id"), "reject_reason")
 
 
 def events_by_category(spark, sf_dir):
@@ -227,7 +281,7 @@ def last_24h(spark, sf_dir):
 
 def gold_freshness(spark, sf_dir):
     """H-1."""
-    return Q.gold_freshness(_wh(spark, sf_dir).facts())
+    return Q.gold_freshness(_wh(spark, sf_dir).facts()).select(ts_text(F.col("freshness")).alias("freshness"))
 
 
 def gold_run_report(spark, sf_dir):
@@ -253,7 +307,6 @@ QUERIES: dict[str, Query] = {
     "silver_backlog": silver_backlog,
     "conform_events": conform_events,
     "sentinel_counts": sentinel_counts,
-    "dim_date": dim_date,
     "dim_actors_latest": dim_actors_latest,
     "dim_actors_upserted": dim_actors_upserted,
     "dim_repos_upserted": dim_repos_upserted,
@@ -266,6 +319,13 @@ QUERIES: dict[str, Query] = {
     "top_repos": top_repos,
     "hourly_weekend": hourly_weekend,
     "pending_types": pending_types,
+    "top_actors": top_actors,
+    "events_by_calendar": events_by_calendar,
+    "dead_letter_report": dead_letter_report,
+    "silver_rejects_report": silver_rejects_report,
+    "edge_facts": edge_facts,
+    "edge_run_report": edge_run_report,
+    "json_array_ingest": json_array_ingest,
     "events_by_category": events_by_category,
     "last_24h": last_24h,
     "gold_freshness": gold_freshness,

@@ -6,18 +6,18 @@ script run:
 1. read the published state: run id, watermark = max(silver_processed_at)
    of published facts (epoch at first), last silver run seen;
 2. the batch = conformed silver rows of newer silver runs with
-   ``processed_at > watermark`` (partition pruning + pushed filter);
-3. dim_actors / dim_repos: latest row per key in the batch, upserted into the
-   previous snapshot with the strict newer-than guard;
+   ``processed_at > watermark`` (folder list + pushed filter);
+3. dim_actors / dim_repos: latest row per key in the batch, upserted with the
+   strict newer-than guard into the hash buckets that the batch touches; the
+   other buckets stay where they are;
 4. dim_event_types: auto-discovery of the batch's types (the same result
    as scanning the whole view, see the step; one column, partially
    aggregated);
-5. facts: batch rows not already published (insert-or-ignore, pruned to the
-   batch's date partitions);
-6. all four are staged under ``run_id=N``; constraint checks run on the
-   staged data; only then the commit record ``N`` is written.
+5. facts: batch rows, one per event_id, whose id is not published under any date;
+6. all are written to folders of this attempt; constraint checks run on what
+   was written; only then the commit record is written, which names them.
 
-Any failure before step 6 leaves the previous run published and the
+Any failure before the record leaves the previous run published and the
 watermark unchanged, so the next run retries exactly the same batch.
 """
 
@@ -28,7 +28,6 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,14 +36,13 @@ from eventlake import schema as S
 from eventlake.functions.rules import owner_project_sql
 from eventlake.operators import validate as V
 from eventlake.operators.conform import conform
-from eventlake.operators.dedupe import latest_by_key
+from eventlake.operators.dedupe import first_per_key, latest_by_key
 from eventlake.operators.merge import (
-    ACTION, DEFAULT_BROADCAST_ROWS, KEEP, insert_ignore, insert_new_types, seed_upsert,
-    upsert_if_newer,
+    ACTION, KEEP, insert_ignore, insert_new_types, seed_upsert, upsert_if_newer,
 )
 from eventlake.plans.concurrent import run_concurrently
 from eventlake.plans.silver import _as_datetime
-from eventlake.plans.warehouse import Warehouse, lit_ts
+from eventlake.plans.warehouse import DIM_BUCKETS, DIM_KEYS, DIM_TABLES, RUN_ID, Warehouse, lit_ts
 from eventlake.session import describe
 from eventlake.sources import seeds
 from eventlake.sources.calendar import dim_date
@@ -61,6 +59,7 @@ RUN_METRICS = T.StructType([
     T.StructField("total_repos", T.LongType()),
     T.StructField("total_types", T.LongType()),
     T.StructField("total_facts", T.LongType()),
+    T.StructField("long_names", T.LongType()),
     T.StructField("ms_actors", T.LongType()),
     T.StructField("ms_repos", T.LongType()),
     T.StructField("ms_types", T.LongType()),
@@ -78,44 +77,112 @@ def _fmt(ts: dt.datetime) -> str:
     return ts.strftime(_TS_FMT)
 
 
-def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = False) -> bool:
+def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = False,
+              dim_buckets: int = DIM_BUCKETS) -> bool:
     """SNK-5: create dim_date and run 0 (seeded dimensions, no facts).
 
     ``reset`` drops silver and gold first and keeps bronze, so the whole
     warehouse is rebuilt from the raw layer. Returns False when the
-    warehouse was already bootstrapped.
+    warehouse was already bootstrapped (see ``apply_seeds`` for that case).
     """
     if reset:
         for rel in ("silver", "gold"):
             wh.fs.delete(wh.path(rel))
     if wh.gold_state() is not None:
         return False
-    spark = wh.spark
-    now_col = lit_ts(now)
-    types = seed_upsert(seeds.empty(spark, S.DIM_EVENT_TYPES), seeds.event_type_seed(spark), now_col)
-    writes = {
-        "dim_date": (dim_date(spark), "gold/dim_date"),
-        "dim_actors": (seeds.actor_sentinel(spark), "gold/dim_actors/run_id=0"),
-        "dim_repos": (seeds.repo_sentinel(spark), "gold/dim_repos/run_id=0"),
-        "dim_event_types": (types.drop(ACTION), "gold/dim_event_types/run_id=0"),
-        "run_metrics": (spark.createDataFrame(
-            [(0, S.EPOCH, S.EPOCH, 0, 0, 0, 0, 1, 1, len(S.EVENT_TYPE_SEED), 0, 0, 0, 0, 0, 0, 0, None)],
-            RUN_METRICS), "gold/run_metrics/run_id=0"),
-    }
-    run_concurrently(spark, "bootstrap", {
-        name: (lambda df=df, rel=rel: df.write.mode("overwrite").parquet(wh.path(rel)))
-        for name, (df, rel) in writes.items()})
-    wh.gold_log.commit(0, {"run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0})
+    spark, now_col = wh.spark, lit_ts(now)
+    types = seed_upsert(seeds.empty(spark, S.DIM_EVENT_TYPES), seeds.event_type_seed(spark), now_col).drop(ACTION)
+    calendar, metrics = wh.attempt("gold/dim_date"), wh.attempt("gold/run_metrics")
+    sizes = {"dim_actors": dim_buckets, "dim_repos": dim_buckets, "dim_event_types": 1}
+    rows = {"dim_actors": seeds.actor_sentinel(spark), "dim_repos": seeds.repo_sentinel(spark), "dim_event_types": types}
+    out = run_concurrently(spark, "bootstrap", {
+        "dim_date": lambda: dim_date(spark).write.parquet(calendar),
+        "run_metrics": lambda: _write_metrics(wh, metrics, {"run_id": 0, "silver_run": 0, "watermark_before": S.EPOCH,
+            "watermark_after": S.EPOCH, "total_actors": 1, "total_repos": 1, "total_types": len(S.EVENT_TYPE_SEED)}, None),
+        **{n: (lambda n=n: _write_buckets(wh, n, rows[n], sizes[n], [])[0]) for n in rows}})
+    wh.gold_log.commit(None, {
+        "run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0, "dim_date": calendar, "buckets": sizes,
+        "dims": {n: out[n] for n in rows}, "fact_events": [],
+        "run_metrics": [{"path": metrics, "id": 0, "rows": 1}]})
     return True
 
 
+def _write_metrics(wh: Warehouse, path: str, report: dict, now_col) -> None:
+    """The run's row of run_metrics; what the run did not do is zero."""
+    values = {f.name: report.get(f.name, 0) for f in RUN_METRICS.fields} | {"loaded_at": None}
+    schema = T.StructType([*RUN_METRICS.fields, RUN_ID])
+    row = wh.spark.createDataFrame([(*values.values(), report["run_id"])], schema)
+    if now_col is not None:
+        row = row.withColumn("loaded_at", now_col)
+    row.write.parquet(path)
+
+
+def bucket_of(key: str, n: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+
+
+def _write_buckets(wh: Warehouse, name: str, rows: DataFrame, n: int, entries: list[dict]) -> tuple[list[dict], dict]:
+    """Write the new version of some buckets of a dimension (``rows`` holds
+    them whole). Returns the dimension's entries, others unchanged, and the
+    observed metrics; refuses rows that repeat a key (VAL-2)."""
+    path = wh.attempt(f"gold/{name}")
+    key = DIM_KEYS[name]
+    seen = _write(rows.withColumn("bucket", bucket_of(key, n)), path, [
+        F.count(F.lit(1)).alias("total"),
+        (F.count_if(F.col(ACTION) != KEEP) if ACTION in rows.columns else F.count(F.lit(1))).alias("affected"),
+    ], partition_by="bucket")
+    written = wh.spark.read.schema(T.StructType([*DIM_TABLES[name].fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
+    sizes = written.groupBy("bucket", key).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")).collect()
+    V.raise_on({f"duplicate_{key}": sum(r["repeated"] for r in sizes)})
+    new = {r["bucket"]: {"path": path, "id": r["bucket"], "rows": r["rows"]} for r in sizes}
+    return sorted([*(e for e in entries if e["id"] not in new), *new.values()], key=lambda e: e["id"]), seen
+
+
+def apply_seeds(wh: Warehouse, now: dt.datetime | str, curated: bool = False) -> int:
+    """UPS-5 on a live warehouse: sentinels and seed types that are missing
+    are inserted, those present stay; with ``curated`` the seed's type rows
+    win over stored ones (UPS-4). Publishes a run and returns its number."""
+    spark, state = wh.spark, wh.published()
+    seed = seeds.event_type_seed(spark)
+    if not curated:
+        seed = insert_ignore(wh.dim("dim_event_types").select("event_type"), seed, ["event_type"])
+    changes = {"dim_event_types": seed_upsert(wh.dim("dim_event_types"), seed, lit_ts(now))}
+    for name, rows in (("dim_actors", seeds.actor_sentinel(spark)), ("dim_repos", seeds.repo_sentinel(spark))):
+        n, key = state["buckets"][name], DIM_KEYS[name]
+        touched = [r[0] for r in rows.select(bucket_of(key, n)).distinct().collect()]
+        stored = wh.dim(name, buckets=touched)
+        changes[name] = stored.unionByName(insert_ignore(stored.select(key), rows, [key]))
+    return _publish_dims(wh, state, changes, now)
+
+
+def _publish_dims(wh: Warehouse, state: dict, changes: dict[str, DataFrame], now) -> int:
+    """A run that only replaces buckets of dimensions. Everything else is
+    carried over by name, and its metrics are zero but for the totals."""
+    run_id = int(state["run_id"]) + 1
+    dims = {name: _write_buckets(wh, name, rows, state["buckets"][name], state["dims"][name])[0] for name, rows in changes.items()}
+    record = {**state, "run_id": run_id, "dims": {**state["dims"], **dims}}
+    metrics = wh.attempt("gold/run_metrics")
+    wm = _as_datetime(state["watermark"])
+    _write_metrics(wh, metrics, {"run_id": run_id, "silver_run": state["silver_run"], "watermark_before": wm,
+                                 "watermark_after": wm, **_totals(record)}, lit_ts(now))
+    record["run_metrics"] = [*state["run_metrics"], {"path": metrics, "id": run_id, "rows": 1}]
+    wh.gold_log.commit(state, record)
+    return run_id
+
+
+def _totals(record: dict) -> dict:
+    rows = lambda entries: sum(e["rows"] for e in entries)
+    return {"total_actors": rows(record["dims"]["dim_actors"]), "total_repos": rows(record["dims"]["dim_repos"]),
+            "total_types": rows(record["dims"]["dim_event_types"]), "total_facts": rows(record["fact_events"])}
+
+
 def _write(df: DataFrame, path: str, metrics: list, partition_by: str | None = None) -> dict:
-    """Write ``df`` and return the observed metrics of that same pass."""
+    """Write ``df``, without the columns that only the metrics need, to a new
+    folder and return the metrics of that same pass."""
     obs = Observation(f"w{uuid.uuid4().hex[:12]}")
     observed = df.observe(obs, *metrics)
-    if ACTION in df.columns:
-        observed = observed.drop(ACTION)
-    writer = observed.write.mode("overwrite")
+    writer = observed.drop(ACTION, "long_name").write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -138,35 +205,28 @@ def repo_updates(batch: DataFrame) -> DataFrame:
         "org_id", "org_login", "event_time AS last_event_time")
 
 
-def fact_rows(batch: DataFrame, now) -> DataFrame:
+def fact_rows(batch: DataFrame, now, keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-4: conformed rows -> fact columns."""
     return batch.withColumn("gold_loaded_at", now).selectExpr(
         "event_id", "date_id", "repo_id", "actor_id", "event_type", "event_hour", "event_time",
-        "is_public", "processed_at AS silver_processed_at", "gold_loaded_at")
+        "is_public", "processed_at AS silver_processed_at", "gold_loaded_at", *keep)
 
 
 def run_gold(
     wh: Warehouse,
     now: dt.datetime | str,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    max_pruned_dates: int = 10_000,
     on_step: Callable[[str], None] | None = None,
-    cache_batch: bool = False,
 ) -> dict:
     """Load the next gold run and publish it; returns the run report.
 
     ``on_step(name)`` is called before each staged step (tests inject
     failures with it).
 
-    Jobs: one aggregate over the batch (rows per date_id: it bounds every
-    broadcast below and lists the fact partitions to prune), one write per
-    table (submitted together), one validation collect, the metrics row.
-
-    The batch is not cached by default: every consumer re-reads only the new
-    silver runs with its own column pruning and the pushed watermark filter
-    (types need one column, actors four), which measured faster than caching
-    all conformed columns and keeps a large daily batch out of executor
-    memory. ``cache_batch=True`` caches it instead.
+    The batch is not cached: every consumer re-reads only the new silver runs
+    with its own column pruning and the pushed watermark filter (types need
+    one column, actors four), which keeps a large daily batch out of executor
+    memory. It is read by the four table writes and, for the ids alone, by the
+    facts' insert-ignore.
     """
     t_total = time.perf_counter()
     hook = on_step or (lambda _name: None)
@@ -186,78 +246,77 @@ def run_gold(
     if silver_run <= int(state["silver_run"]):
         return {"run_id": prev, "skipped": True}
     now_col = lit_ts(now)
-    gold = lambda rel: wh.path(f"gold/{rel}/run_id={run_id}")
 
     # Only the silver runs newer than the last one gold saw are read; the
-    # strict watermark filter is the reference's rule on top of that.
-    view = conform(wh.silver_events(silver_run, after=int(state["silver_run"])), keep=("run_id",))
+    # strict watermark filter is the warehouse's rule on top of that.
+    view = conform(wh.silver_events(silver_run, after=int(state["silver_run"])))
     batch = view.filter(F.col("processed_at") > lit_ts(wm))
-    if cache_batch:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    ms = {}
-    try:
-        step("batch bounds")
-        per_date = batch.groupBy("date_id").agg(F.count(F.lit(1)).alias("n")).limit(
-            max_pruned_dates + 1).collect()
-        pruned = len(per_date) <= max_pruned_dates
-        n_batch = sum(r["n"] for r in per_date) if pruned else batch.count()
-        small = n_batch <= broadcast_rows
-
-        def load_actors() -> dict:
-            actors = upsert_if_newer(wh.dim("dim_actors", prev), actor_updates(batch), "actor_id", now_col)
-            return _write(actors, gold("dim_actors"), _dim_metrics())
-
-        def load_repos() -> dict:
-            repos = upsert_if_newer(wh.dim("dim_repos", prev), repo_updates(batch), "repo_id", now_col)
-            return _write(repos, gold("dim_repos"), _dim_metrics())
-
-        def load_types() -> dict:
-            # Discovery over the batch equals discovery over the whole view:
-            # every conformed row enters exactly one gold batch (and a reset
-            # restarts from the epoch), so the earlier rows' types are already
-            # in the dimension. This keeps the step O(new rows).
-            types = insert_new_types(wh.dim("dim_event_types", prev), batch.select("event_type"),
-                                     now_col, S.UNKNOWN_EVENT_TYPE)
-            return _write(types, gold("dim_event_types"), _dim_metrics())
-
-        def load_facts() -> dict:
-            facts = fact_rows(batch, now_col)
-            published = wh.facts(prev)
-            if pruned:
-                published = published.filter(F.col("date_id").isin([row["date_id"] for row in per_date]))
-            new = insert_ignore(published, facts, ["event_id"], small=small)
-            new = new.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
-            return _write(new.select(*FACT_COLUMNS), gold("fact_events"), [
-                F.count(F.lit(1)).alias("inserted"),
-                F.max("silver_processed_at").alias("max_processed"),
-                # VAL-1 for date_id without a join: dim_date is every calendar
-                # day of its range, so a derived key is present iff in range.
-                F.count_if(~F.col("date_id").between(_key(S.DIM_DATE_START), _key(S.DIM_DATE_END)))
-                .alias("fk_date_id"),
-                F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
-                *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
-            ], partition_by="date_id")
-
-        # The four staged writes are independent Spark jobs over the cached
-        # batch; submitting them together overlaps their scheduling latency
-        # and lets small jobs share the cluster. Any failure stops the run
-        # before the commit record, exactly as a sequential run would.
-        loads = {"actors": load_actors, "repos": load_repos, "types": load_types, "facts": load_facts}
-        for name in loads:
-            step(name)
-        out = run_concurrently(spark, f"gold {run_id}", loads, ms)
-        a, r, ty, f = out["actors"], out["repos"], out["types"], out["facts"]
-
-        step("validate")
-        t = time.perf_counter()
-        V.raise_on({k: int(v) for k, v in f.items() if k.startswith(("fk_", "range_", "null_"))})
-        validate_staged(wh, run_id, batch)
-        ms["validate"] = time.perf_counter() - t
-    finally:
-        if cache_batch:
-            batch.unpersist()
-
+    ms: dict[str, float] = {}
+
+    def load_dim(name: str, updates: DataFrame) -> tuple[list[dict], dict]:
+        n, key = state["buckets"][name], DIM_KEYS[name]
+        # Driver: at most one number per bucket.
+        touched = [r[0] for r in updates.select(bucket_of(key, n)).distinct().collect()]
+        if not touched:
+            return state["dims"][name], {"affected": 0}
+        stored = wh.dim(name, prev, touched)
+        return _write_buckets(wh, name, upsert_if_newer(stored, updates, key, now_col), n, state["dims"][name])
+
+    def load_types() -> tuple[list[dict], dict]:
+        # Discovery over the batch equals discovery over the whole view:
+        # every conformed row enters exactly one gold batch (and a reset
+        # restarts from the epoch), so the earlier rows' types are already
+        # in the dimension. This keeps the step O(new rows).
+        types = insert_new_types(wh.dim("dim_event_types", prev), batch.select("event_type"), now_col, S.UNKNOWN_EVENT_TYPE)
+        return _write_buckets(wh, "dim_event_types", types, state["buckets"]["dim_event_types"], state["dims"]["dim_event_types"])
+
+    facts_path = wh.attempt("gold/fact_events")
+
+    def load_facts() -> dict:
+        named = batch.withColumn("long_name", F.greatest(*(
+            F.coalesce(F.length(c) > n, F.lit(False)) for c, n in S.GOLD_LENGTH_LIMITS.items())))
+        once = first_per_key(named, ["event_id"], ["processed_at ASC", "event_time ASC"])
+        if state["fact_events"]:
+            once = insert_ignore(wh.facts(state), once, ["event_id"], key_source=batch)
+        new = fact_rows(once, now_col, ("long_name",)).withColumn("run_id", F.lit(run_id))
+        new = new.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
+        seen = _write(new.select(*FACT_COLUMNS, "run_id", "long_name"), facts_path, [
+            F.count(F.lit(1)).alias("inserted"),
+            F.max("silver_processed_at").alias("max_processed"),
+            F.count_if("long_name").alias("long_names"),
+            # VAL-1 for date_id without a join: dim_date is every calendar
+            # day of its range, so a derived key is present iff in range.
+            F.count_if(~F.col("date_id").between(_key(S.DIM_DATE_START), _key(S.DIM_DATE_END)))
+            .alias("fk_date_id"),
+            F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
+            *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
+        ], partition_by="date_id")
+        return seen
+
+    # The four staged writes are independent Spark jobs over the new silver
+    # runs; submitting them together overlaps their scheduling latency and
+    # lets small jobs share the cluster. Any failure stops the run before the
+    # commit record, exactly as a sequential run would.
+    loads = {"actors": lambda: load_dim("dim_actors", actor_updates(batch)),
+             "repos": lambda: load_dim("dim_repos", repo_updates(batch)), "types": load_types, "facts": load_facts}
+    for name in loads:
+        step(name)
+    out = run_concurrently(spark, f"gold {run_id}", loads, ms)
+    (actors, a), (repos, r), (types, ty), f = out["actors"], out["repos"], out["types"], out["facts"]
     inserted = int(f.get("inserted") or 0)
+
+    record = {**state, "run_id": run_id, "silver_run": silver_run,
+              "dims": {"dim_actors": actors, "dim_repos": repos, "dim_event_types": types}}
+    if inserted:
+        record["fact_events"] = [*state["fact_events"], {"path": facts_path, "id": run_id, "rows": inserted}]
+
+    step("validate")
+    t = time.perf_counter()
+    V.raise_on({k: int(v) for k, v in f.items() if k.startswith(("fk_", "range_", "null_"))})
+    if inserted:
+        validate_staged(wh, facts_path, record, inserted)
+    ms["validate"] = time.perf_counter() - t
+
     wm_after = wm
     if f.get("max_processed") is not None:
         wm_after = max(wm, _as_datetime(f["max_processed"]))
@@ -266,26 +325,20 @@ def run_gold(
         "watermark_before": wm, "watermark_after": wm_after,
         "actors_affected": int(a["affected"]), "repos_affected": int(r["affected"]),
         "types_inserted": int(ty["affected"]), "facts_inserted": inserted,
-        "total_actors": int(a["total"]), "total_repos": int(r["total"]),
-        "total_types": int(ty["total"]),
-        "total_facts": int(state.get("total_facts", 0)) + inserted,
+        "long_names": int(f.get("long_names") or 0), **_totals(record),
         **{f"ms_{k}": int(v * 1000) for k, v in ms.items()},
     }
     report["ms_total"] = int((time.perf_counter() - t_total) * 1000)
     describe(spark, f"gold {run_id}: metrics")
-    spark.createDataFrame(
-        [tuple(report.get(fld.name) for fld in RUN_METRICS.fields[:-1]) + (None,)], RUN_METRICS
-    ).withColumn("loaded_at", now_col).write.mode("overwrite").parquet(gold("run_metrics"))
-    wh.gold_log.commit(run_id, {"run_id": run_id, "watermark": _fmt(wm_after),
-                                "silver_run": silver_run, "total_facts": report["total_facts"]})
+    metrics = wh.attempt("gold/run_metrics")
+    _write_metrics(wh, metrics, report, now_col)
+    record["watermark"] = _fmt(wm_after)
+    record["run_metrics"] = [*state["run_metrics"], {"path": metrics, "id": run_id, "rows": 1}]
+    wh.gold_log.commit(state, record)
     report["skipped"] = False
     return report
 
 
-def _dim_metrics() -> list:
-    return [F.count(F.lit(1)).alias("total"), F.count_if(F.col(ACTION) != KEEP).alias("affected")]
-
-
 _FACT_NOT_NULL = ["event_id", "repo_id", "actor_id", "event_type", "event_time", "silver_processed_at"]
 
 
@@ -293,39 +346,31 @@ def _key(d: dt.date) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 
 
-def validate_staged(wh: Warehouse, run_id: int, batch: DataFrame) -> dict:
-    """VAL-1 (dimension keys) and VAL-4 on the staged run, in one job.
+def validate_staged(wh: Warehouse, facts_path: str, record: dict, inserted: int) -> dict:
+    """VAL-1 (dimension keys) and VAL-2 (event_id) on what the run wrote.
 
-    Raises ``ValidationError`` on any breach. The staged facts are read back
-    from disk, so the check sees exactly what would be published.
+    Raises ``ValidationError`` on any breach. The facts are read back from
+    disk, so the check sees exactly what would be published. Ids published
+    before were excluded by the insert-ignore; here the run's own are checked.
     """
-    spark = wh.spark
-    staged = lambda name, schema: spark.read.schema(schema).parquet(
-        wh.path(f"gold/{name}/run_id={run_id}"))
-    base = wh.path(f"gold/fact_events/run_id={run_id}")
-    facts = spark.read.schema(S.FACT_EVENTS).option("basePath", base).parquet(base)
-    report = V._union([
+    schema = T.StructType([*S.FACT_EVENTS.fields, RUN_ID])
+    facts = wh.spark.read.schema(schema).option("basePath", facts_path).parquet(facts_path)
+    dims = {name: wh._read(f"gold/{name}", DIM_TABLES[name], entries, leaf="bucket") for name, entries in record["dims"].items()}
+    report = V.union([
         V.fk_violations(facts, {
-            "fk_actor_id": (staged("dim_actors", S.DIM_ACTORS), "actor_id"),
-            "fk_repo_id": (staged("dim_repos", S.DIM_REPOS), "repo_id"),
-            "fk_event_type": (staged("dim_event_types", S.DIM_EVENT_TYPES), "event_type"),
+            "fk_actor_id": (dims["dim_actors"], "actor_id"),
+            "fk_repo_id": (dims["dim_repos"], "repo_id"),
+            "fk_event_type": (dims["dim_event_types"], "event_type"),
         }),
-        V.row_checks(batch, V.too_long(S.GOLD_LENGTH_LIMITS)),
+        V.duplicate_keys(facts, ["event_id"], "duplicate_event_id"),
     ])
     return V.assert_clean(report)
 
 
 def curate(wh: Warehouse, curated: DataFrame, now: dt.datetime | str) -> int:
     """UPS-4 as an operation: apply curated rows (the seed's columns) to the
-    published event-type dimension and publish the result as a new run."""
-    state = wh.gold_state()
-    prev = int(state["run_id"])
-    run_id = prev + 1
-    types = seed_upsert(wh.dim("dim_event_types", prev), curated, lit_ts(now))
-    types.drop(ACTION).write.mode("overwrite").parquet(wh.path(f"gold/dim_event_types/run_id={run_id}"))
-    for name in ("dim_actors", "dim_repos"):
-        wh.dim(name, prev).write.mode("overwrite").parquet(wh.path(f"gold/{name}/run_id={run_id}"))
-    wh.run_metrics(prev).filter(F.col("run_id") == prev).drop("run_id").write.mode("overwrite").parquet(
-        wh.path(f"gold/run_metrics/run_id={run_id}"))
-    wh.gold_log.commit(run_id, {**state, "run_id": run_id})
-    return run_id
+    published event-type dimension and publish the result as a new run. Rows
+    that repeat a type are refused."""
+    V.assert_clean(V.duplicate_keys(curated, ["event_type"], "duplicate_event_type"))
+    state = wh.published()
+    return _publish_dims(wh, state, {"dim_event_types": seed_upsert(wh.dim("dim_event_types"), curated, lit_ts(now))}, now)

@@ -6,7 +6,8 @@ import datetime as dt
 
 from eventlake.plans.gold import run_gold
 from eventlake.plans.silver import run_silver
-from eventlake.plans.warehouse import DIM_TABLES, Warehouse
+from eventlake.plans.storage import CommitConflict
+from eventlake.plans.warehouse import Warehouse
 
 
 def run_pipeline(wh: Warehouse, now: dt.datetime | str,
@@ -22,18 +23,72 @@ def run_pipeline(wh: Warehouse, now: dt.datetime | str,
 
 
 def vacuum(wh: Warehouse, keep_runs: int = 2) -> list[str]:
-    """Delete dimension snapshots older than the newest ``keep_runs``
-    published runs. Facts, run metrics and commit records are kept: facts
-    of every run stay visible, and readers only open the published snapshot.
+    """Delete dimension buckets that none of the newest ``keep_runs`` published
+    runs names. Only folders that an older record names are candidates, so
+    those of a run in flight are safe; facts, metrics and records stay.
     Returns the removed paths."""
-    published = wh.published_run()
-    cutoff = published - keep_runs + 1
-    removed = []
-    for name in DIM_TABLES:
-        base = wh.path(f"gold/{name}")
-        for run in wh.fs.partition_values(base, "run_id", committed_only=False):
-            if run < cutoff:
-                path = f"{base}/run_id={run}"
-                wh.fs.delete(path)
-                removed.append(path)
+    if keep_runs < 1:
+        raise ValueError("keep_runs must be at least 1: readers need the published run")
+    log, published = wh.gold_log, wh.published()
+    files = lambda v: {f"{e['path']}/bucket={e['id']}" for d in log.get(v)["dims"].values() for e in d}
+    done_file = wh.path("gold/_log/_vacuumed")
+    first = int(wh.fs.read_text(done_file)) if wh.fs.exists(done_file) else 0
+    cutoff = published["version"]
+    while cutoff > first and log.get(cutoff - 1)["run_id"] > published["run_id"] - keep_runs:
+        cutoff -= 1
+    kept = set().union(*(files(v) for v in range(cutoff, published["version"] + 1)))
+    removed = sorted(set().union(*(files(v) for v in range(first, cutoff))) - kept)
+    for path in removed:
+        wh.fs.delete(path)
+    wh.fs.write_text(done_file, str(cutoff), overwrite=True)
     return removed
+
+
+def compact(wh: Warehouse) -> dict[str, int]:
+    """Merge the folders of every append-only table into one each, so that
+    records stay short and readers list few folders. Readers of older records
+    keep their folders; nothing is deleted here. Returns folders merged.
+
+    Bronze is written in order of event_id and facts by date, so the statistics
+    of files and row groups tell where an id or a date can be. Commits made
+    meanwhile are kept: on a conflict the merged part replaces the same
+    entries of the newer record.
+    """
+    merged = {}
+    plan = {
+        "bronze": (wh.bronze_log, {"raw_events": "bronze/raw_events", "dead_letter_queue": "bronze/dead_letter_queue",
+                                   "batch_reports": "bronze/batch_reports"}),
+        "silver": (wh.silver_log, {"events": "silver/events", "rejects": "silver/rejects"}),
+        "gold": (wh.gold_log, {"fact_events": "gold/fact_events", "run_metrics": "gold/run_metrics"}),
+    }
+    readers = {"raw_events": wh.bronze_events, "dead_letter_queue": wh.dead_letters, "batch_reports": wh.bronze_reports,
+               "events": wh.silver_events, "rejects": wh.silver_rejects, "fact_events": wh.facts, "run_metrics": wh.run_metrics}
+    for log, tables in plan.values():
+        state = log.latest()
+        if state is None:
+            continue
+        new = {}
+        for table, base in tables.items():
+            entries = state[table]
+            if len(entries) < 2:
+                continue
+            path, rows = wh.attempt(base), readers[table]()
+            if table == "raw_events":
+                rows = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
+            elif table == "fact_events":
+                rows = rows.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
+            writer = rows.write.option("parquet.bloom.filter.enabled#event_id", "true") if table == "raw_events" else rows.write
+            (writer.partitionBy("date_id") if table == "fact_events" else writer).parquet(path)
+            new[table] = {"path": path, "id": entries[-1]["id"], "first": entries[0].get("first", entries[0]["id"]),
+                          "rows": sum(e["rows"] for e in entries)}
+            merged[base] = len(entries)
+        while new:
+            latest = log.latest()
+            record = {**latest, **{t: [e, *(x for x in latest[t] if x["id"] > e["id"])] for t, e in new.items()}}
+            try:
+                log.commit(latest, record)
+                break
+            except CommitConflict:
+                continue
+    return merged
+

@@ -7,8 +7,8 @@ the wall clock), so it is reproducible and testable. Scale notes:
   date window is also applied to the fact table's ``date_id`` partition
   column directly, which prunes fact partitions at planning time.
 * facts are pre-aggregated to (key, ...) counts before any join with a
-  dimension that grows with the data, so a hot repo or actor costs one row
-  per map task in the shuffle, not a third of the table.
+  dimension, so a hot key costs one row per map task in the shuffle; where
+  distinct actors have to pass the join, a hot repo is dealt over slices.
 """
 
 from __future__ import annotations
@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
-from eventlake.functions.rules import ts_text
+
+
+#: Tasks over which the actors of one hot repo are dealt.
+SLICES = 16
 
 
 def _date(value) -> dt.date:
@@ -56,10 +59,18 @@ def top_repos(facts: DataFrame, dim_repos: DataFrame, dim_date: DataFrame, as_of
     lo, hi = _key(d0.replace(day=1)), _key(d0.replace(day=28)) + 3
     per_pair = (facts.filter(F.col("date_id").between(lo, hi)).join(month, "date_id")
                 .groupBy("repo_id", "actor_id").agg(F.count(F.lit(1)).alias("n")))
-    repos = dim_repos.select("repo_id", "repo_name", "repo_owner")
-    return (per_pair.join(repos, "repo_id")
-            .groupBy("repo_name", "repo_owner")
-            .agg(F.sum("n").alias("total_events"), F.countDistinct("actor_id").alias("contributors"))
+    # A hot repo has a row per actor here: the join is on (repo, slice of the
+    # actors), which deals them over SLICES tasks; the dimension rows that any
+    # fact asks for are repeated per slice.
+    salted = per_pair.withColumn("slice", F.pmod(F.xxhash64("actor_id"), F.lit(SLICES)))
+    repos = dim_repos.select("repo_id", "repo_name", "repo_owner", F.explode(
+        F.array(*(F.lit(i).cast("long") for i in range(SLICES)))).alias("slice"))
+    # One row per (name, actor) first, so that counting actors needs no second
+    # copy of the rows and a hot name arrives pre-aggregated.
+    per_name = (salted.join(repos, ["repo_id", "slice"])
+                .groupBy("repo_name", "repo_owner", "actor_id").agg(F.sum("n").alias("n")))
+    return (per_name.groupBy("repo_name", "repo_owner")
+            .agg(F.sum("n").alias("total_events"), F.count(F.lit(1)).alias("contributors"))
             .orderBy(F.desc("total_events"), "repo_name", "repo_owner")
             .limit(k))
 
@@ -68,9 +79,10 @@ def hourly_weekend(facts: DataFrame, dim_date: DataFrame, as_of, days: int = 30)
     """Q-3: events by hour of day and weekend flag since ``as_of - days``."""
     start = _date(as_of) - dt.timedelta(days=days)
     d = F.broadcast(dim_date.filter(F.col("full_date") >= F.lit(start)).select("date_id", "is_weekend"))
-    return (facts.filter(F.col("date_id") >= _key(start)).select("date_id", "event_hour")
-            .join(d, "date_id")
-            .groupBy("event_hour", "is_weekend").agg(F.count(F.lit(1)).alias("events"))
+    per_hour = (facts.filter(F.col("date_id") >= _key(start))
+                .groupBy("date_id", "event_hour").agg(F.count(F.lit(1)).alias("n")))
+    return (per_hour.join(d, "date_id")
+            .groupBy("event_hour", "is_weekend").agg(F.sum("n").alias("events"))
             .orderBy("is_weekend", "event_hour"))
 
 
@@ -80,6 +92,23 @@ def pending_types(dim_event_types: DataFrame) -> DataFrame:
             .select("event_type", "discovered_at").orderBy(F.desc("discovered_at")))
 
 
+def top_actors(facts: DataFrame, dim_actors: DataFrame, k: int = 10) -> DataFrame:
+    """JOIN-5: top ``k`` actors by events, with login and repos touched. Ties
+    go to the smaller id."""
+    per_pair = facts.groupBy("actor_id", "repo_id").agg(F.count(F.lit(1)).alias("n"))
+    top = (per_pair.groupBy("actor_id").agg(F.sum("n").alias("total_events"), F.count(F.lit(1)).alias("repos"))
+           .orderBy(F.desc("total_events"), "actor_id").limit(k))
+    return top.join(dim_actors.select("actor_id", "actor_login"), "actor_id")
+
+
+def events_by_calendar(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Events per quarter, month, ISO week and day of the week (FN-6, FN-8)."""
+    per_date = facts.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
+    return (per_date.join(F.broadcast(dim_date), "date_id")
+            .groupBy("year", "quarter", "month_name", "week", "day_of_week", "day_name", "is_weekend")
+            .agg(F.sum("n").alias("events")))
+
+
 def events_by_category(facts: DataFrame, dim_event_types: DataFrame) -> DataFrame:
     """Q-5: events per category and core-metric flag."""
     per_type = facts.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
@@ -100,7 +129,7 @@ def last_24h(facts: DataFrame, as_of_ts, hours: int = 24) -> DataFrame:
 
 def gold_freshness(facts: DataFrame) -> DataFrame:
     """H-1: the newest silver processing time that reached gold."""
-    return facts.agg(ts_text(F.max("silver_processed_at")).alias("freshness"))
+    return facts.agg(F.max("silver_processed_at").alias("freshness"))
 
 
 def sentinel_counts(facts: DataFrame) -> DataFrame:

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +40,11 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
     configure(spark)
     wh = Warehouse(spark, root)
     bootstrap(wh)
-    # The fixture's JSON lines are built once and shared by the four batches.
-    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir))).persist(StorageLevel.MEMORY_AND_DISK)
+    # The fixture's JSON lines are written once and shared by the four batches.
+    prepared = wh.path("_prepared/lines")
+    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir)))
+    lines.write.mode("overwrite").parquet(prepared)
+    lines = spark.read.schema(lines.schema).parquet(prepared)
     landing = wh.path("landing")
     ingestor = None
     if stream:
@@ -61,46 +64,68 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
             ingest_batch(wh, raw, batch_id=b, now=ingest_at)
         run_silver(wh, silver_at)
         run_gold(wh, gold_at)
-    lines.unpersist()
     return wh
 
 
-def _source_signature(spark: SparkSession, sf_dir: str, stream: bool) -> str:
+def _source_signature(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Identity of a replay: the input table files and the package code."""
     import pathlib
 
-    h = hashlib.sha1(f"{sf_dir}|{stream}".encode())
+    h = hashlib.sha1(f"{sf_dir}|{kind}".encode())
     for st in FileSystem(spark, sf_dir).list_status(f"{sf_dir.rstrip('/')}/events.parquet"):
         h.update(f"{st[0]}|{st[1]}|{st[2]}".encode())
     pkg = pathlib.Path(__file__).resolve().parents[1]
-    for f in sorted(pkg.rglob("*.py")):
+    for f in sorted(f for f in pkg.rglob("*.py") if "llm" not in f.parts):
         h.update(f.read_bytes())
     return h.hexdigest()[:16]
 
 
-def replayed(spark: SparkSession, sf_dir: str, stream: bool = False) -> Warehouse:
-    """The replayed warehouse of ``sf_dir`` (built once, then reused).
+def replay_edges(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """The hostile lines of the fixture through bronze, silver and gold, in
+    two batches that repeat each other's boolean and falsy ids."""
+    configure(spark)
+    wh = Warehouse(spark, root)
+    bootstrap(wh)
+    lines = FX.edge_lines(FX.read_events(spark, sf_dir))
+    for b in (1, 2):
+        ingest_at, silver_at, gold_at = batch_times(b)
+        raw = lines.filter(F.col("seq") % 2 == b - 1).select(
+            "value", F.lit("").alias("arrival_file"), F.col("seq").alias("arrival_pos"))
+        ingest_batch(wh, raw, batch_id=b, now=ingest_at)
+        run_silver(wh, silver_at)
+        run_gold(wh, gold_at)
+    return wh
+
+
+def replayed(spark: SparkSession, sf_dir: str, kind: str = "batch") -> Warehouse:
+    """The replayed warehouse of ``sf_dir`` (built once, then reused): its
+    ``kind`` is batch, stream or edges.
 
     It lives under the shared scratch folder, keyed by the input files and
     the package source, so later sessions and processes reuse it. A build
-    goes to a private directory and is published by one directory rename
-    plus a ``_COMPLETE`` marker; a failed or concurrent build never exposes
-    a partial warehouse.
+    goes to a private directory; a pointer file, written once and never
+    replaced, names the finished one, so a failed or concurrent build never
+    exposes a partial warehouse.
     """
     configure(spark)
-    key = (spark.sparkContext.applicationId, f"{sf_dir}|{stream}")
+    key = (spark.sparkContext.applicationId, f"{sf_dir}|{kind}")
     wh = _CACHE.get(key)
     if wh is not None:
         return wh
     base = f"{scratch_root(spark)}/eventlake-replay"
-    final = f"{base}/{_source_signature(spark, sf_dir, stream)}"
+    pointer = f"{base}/{_source_signature(spark, sf_dir, kind)}.json"
     fs = FileSystem(spark, base)
-    if not fs.exists(f"{final}/_COMPLETE"):
-        building = f"{base}/_building-{uuid.uuid4().hex}"
-        built = replay(spark, sf_dir, building, stream=stream)
-        built.fs.write_text(f"{building}/_COMPLETE", "ok")
-        if not fs.rename(building, final) and not fs.exists(f"{final}/_COMPLETE"):
-            final = building          # lost a race to a broken twin: keep ours
-    wh = Warehouse(spark, final)
+    if not fs.exists(pointer):
+        building = f"{base}/{kind}-{uuid.uuid4().hex}"
+        if kind == "edges":
+            replay_edges(spark, sf_dir, building)
+        else:
+            replay(spark, sf_dir, building, stream=kind == "stream")
+        fs.mkdirs(base)
+        tmp = f"{base}/.{uuid.uuid4().hex}.tmp"
+        fs.write_text(tmp, json.dumps({"root": building}))
+        if not fs.rename(tmp, pointer):
+            fs.delete(tmp, False)         # a twin was first; both are whole
+    wh = Warehouse(spark, json.loads(fs.read_text(pointer))["root"])
     _CACHE[key] = wh
     return wh

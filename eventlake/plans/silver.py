@@ -1,12 +1,11 @@
 """Silver run (SRC-3, PRJ-2, FLT-1, DED-2, SNK-3).
 
-A run reads every committed bronze batch above the silver high-water mark
-(partition pruning on ``batch_id``), extracts the typed columns and writes
-``silver/events/run_id=N`` plus ``silver/rejects/run_id=N``; then it commits
-``{run_id, bronze_hwm, processed_at}``. Bronze ids are unique across batches
-and each batch is read by exactly one committed run, so silver stays
-insert-or-ignore without re-scanning itself. A failed run commits nothing
-and its retry overwrites ``run_id=N``.
+A run reads every bronze batch above the mark of the last committed run (batch
+numbers are dense and committed in order, so none is left behind), extracts
+the typed columns, keeps the first row of an event_id and only ids that silver
+has neither loaded nor rejected, and writes events and rejects to folders of
+its own attempt. Then it commits one record. A failed run commits nothing, and
+its retry reads the same batches.
 """
 
 from __future__ import annotations
@@ -18,7 +17,9 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
+from eventlake.operators.dedupe import first_per_key
 from eventlake.operators.extract import extract
+from eventlake.operators.merge import insert_ignore
 from eventlake.operators.parallel import spread
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.session import describe
@@ -36,39 +37,45 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
     """Process the bronze backlog once. ``now`` stamps ``processed_at`` and
     must be later than the previous run's, which keeps gold's strict
     ``processed_at > watermark`` filter exact."""
-    state = wh.silver_state()
+    state, bronze_state = wh.silver_state(), wh.bronze_state()
     now_dt = _as_datetime(now)
     if state["processed_at"] and now_dt <= _as_datetime(state["processed_at"]):
         raise ValueError(f"processed_at {now_dt} is not after {state['processed_at']}")
-    todo = [b for b in wh.bronze_batches() if b > state["bronze_hwm"]]
-    if not todo:
+    if bronze_state["batch_id"] <= state["bronze_batch"]:
         return {"run_id": state["run_id"], "loaded": 0, "rejected": 0, "skipped": True}
 
     run_id = state["run_id"] + 1
     describe(wh.spark, f"silver {run_id}: events")
-    bronze = wh.bronze_events().filter(F.col("batch_id").between(todo[0], todo[-1]))
+    bronze = wh.bronze_events(after=state["bronze_batch"], state=bronze_state)
+    paths = {t: wh.attempt(f"silver/{t}") for t in ("events", "rejects")}
+    # Insert-or-ignore on the stored key, before the wide extraction.
+    new = first_per_key(bronze, ["event_id"], ["batch_id ASC", "ingested_at ASC"])
+    if state["events"] or state["rejects"]:
+        done = wh.silver_events().select("event_id").unionByName(wh.silver_rejects().select("event_id"))
+        new = insert_ignore(done, new, ["event_id"], key_source=bronze.select("event_id"))
     # Not cached: the rejects are a second consumer only when a row was
     # rejected (rare), and then they are recomputed from the bronze batch.
     # The observe() node also keeps Catalyst from pushing the accept filter
     # below the staged extraction.
-    rows = extract(spread(bronze)).withColumn("processed_at", lit_ts(now_dt))
+    rows = extract(spread(new).withColumnRenamed("event_id", "stored_id")).withColumns(
+        {"processed_at": lit_ts(now_dt), "run_id": F.lit(run_id)})
     seen = Observation(f"silver_{uuid.uuid4().hex[:12]}")
     good = rows.observe(
         seen, F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("silver_reject_reason").isNotNull()).alias("bad"),
-    ).filter(F.col("silver_reject_reason").isNull()).select(*SILVER_COLUMNS)
-    good.write.mode("overwrite").parquet(wh.path(f"silver/events/run_id={run_id}"))
+    ).filter(F.col("silver_reject_reason").isNull()).select(*SILVER_COLUMNS, "run_id")
+    good.write.parquet(paths["events"])
     counts = seen.get
-    bad = rows.filter(F.col("silver_reject_reason").isNotNull()).select(
-        # the stored bronze key, even when the extracted id is falsy
-        F.coalesce(F.col("event_id"), F.try_variant_get("full_json", "$.id", "string")).alias("event_id"),
-        F.col("silver_reject_reason").alias("reason"), "batch_id", "processed_at")
-    describe(wh.spark, f"silver {run_id}: rejects")
-    if counts["bad"]:
-        bad.write.mode("overwrite").parquet(wh.path(f"silver/rejects/run_id={run_id}"))
-    wh.silver_log.commit(run_id, {
-        "run_id": run_id, "bronze_hwm": todo[-1],
-        "processed_at": now_dt.strftime("%Y-%m-%d %H:%M:%S.%f"),
-    })
-    return {"run_id": run_id, "loaded": int(counts["n"] - counts["bad"]),
-            "rejected": int(counts["bad"]), "skipped": False}
+    loaded, rejected = int(counts["n"] - counts["bad"]), int(counts["bad"])
+    if rejected:
+        describe(wh.spark, f"silver {run_id}: rejects")
+        rows.filter(F.col("silver_reject_reason").isNotNull()).select(
+            F.col("stored_id").alias("event_id"), F.col("silver_reject_reason").alias("reason"),
+            "batch_id", "processed_at", "run_id").write.parquet(paths["rejects"])
+    record = {**state, "run_id": run_id, "bronze_batch": bronze_state["batch_id"],
+              "processed_at": now_dt.strftime("%Y-%m-%d %H:%M:%S.%f")}
+    for table, count in (("events", loaded), ("rejects", rejected)):
+        if count:
+            record[table] = [*state[table], {"path": paths[table], "id": run_id, "rows": count}]
+    wh.silver_log.commit(state, record)
+    return {"run_id": run_id, "loaded": loaded, "rejected": rejected, "skipped": False}

@@ -32,23 +32,6 @@ class FileSystem:
             return []
         return sorted(str(s.getPath().getName()) for s in self._fs.listStatus(self._path(p)))
 
-    def partition_values(self, p: str, column: str, committed_only: bool = True) -> list[int]:
-        """Integer values of ``column=N`` sub-directories.
-
-        With ``committed_only`` only directories holding a ``_SUCCESS``
-        marker count; they are found with one glob (listing calls), not one
-        existence check per partition, which matters with many thousands of
-        micro-batch directories.
-        """
-        prefix = f"{column}="
-        if committed_only:
-            found = self._fs.globStatus(self._path(f"{p}/{prefix}*/_SUCCESS"))
-            names = [str(st.getPath().getParent().getName()) for st in (found or [])]
-        else:
-            names = self.list_names(p)
-        return sorted(int(n[len(prefix):]) for n in names
-                      if n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit())
-
     def list_status(self, p: str) -> list[tuple[str, int, int]]:
         """(name, length, modification time) of the entries of ``p``."""
         if not self.exists(p):
@@ -77,43 +60,70 @@ class FileSystem:
         return bool(self._fs.delete(self._path(p), recursive))
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed the same number."""
+
+
 class CommitLog:
     """Numbered JSON commit records: ``<dir>/00000000000000000007.json``.
 
-    A record is written under a temporary name and renamed into place; the
-    rename fails if the number is taken, so two writers cannot both commit
-    the same run. The newest record is the published state.
+    Numbers are dense: a writer that prepared number n commits it by renaming
+    a temporary file into place, which fails if the number is taken, so two
+    writers cannot both commit it. A record names the exact folder of every
+    table it publishes; what no record names is invisible. The newest record
+    is the published state.
+
+    ``_last`` is a hint, written after a commit: readers go on from it by
+    probing the next numbers, so finding the newest record doesn't list the
+    folder. A lost or stale hint only costs probes.
     """
 
     def __init__(self, fs: FileSystem, directory: str):
         self.fs = fs
         self.dir = directory
 
-    @staticmethod
-    def _name(n: int) -> str:
-        return f"{n:020d}.json"
+    def _file(self, n: int) -> str:
+        return f"{self.dir}/{n:020d}.json"
 
-    def versions(self) -> list[int]:
-        return sorted(int(n[:-5]) for n in self.fs.list_names(self.dir)
-                      if n.endswith(".json") and n[:-5].isdigit())
+    def _hint(self) -> int | None:
+        try:
+            return int(self.fs.read_text(f"{self.dir}/_last"))
+        except Exception:  # none yet, or half-written by a lost writer
+            names = [n for n in self.fs.list_names(self.dir) if n.endswith(".json")]
+            return int(max(names)[:-5]) if names else None
+
+    def last(self) -> int | None:
+        """The newest committed number."""
+        n = self._hint()
+        while n is not None and self.fs.exists(self._file(n + 1)):
+            n += 1
+        return n
 
     def latest(self) -> dict | None:
-        v = self.versions()
-        if not v:
-            return None
-        return json.loads(self.fs.read_text(f"{self.dir}/{self._name(v[-1])}"))
-
-    def get(self, n: int) -> dict | None:
-        p = f"{self.dir}/{self._name(n)}"
-        return json.loads(self.fs.read_text(p)) if self.fs.exists(p) else None
-
-    def commit(self, n: int, record: dict) -> None:
+        n = self.last()
+        return None if n is None else self.get(n)
+
+    def get(self, n: int) -> dict:
+        return json.loads(self.fs.read_text(self._file(n)))
+
+    def of_run(self, run_id: int) -> dict:
+        """The first record of a run; a record's number is never below its run's."""
+        n = run_id
+        while (record := self.get(n))["run_id"] < run_id:
+            n += 1
+        return record
+
+    def commit(self, state: dict | None, record: dict) -> None:
+        """Publish ``record`` as the successor of ``state`` (None: the first)."""
+        n = 0 if state is None else state["version"] + 1
+        record = {**record, "version": n}
         self.fs.mkdirs(self.dir)
-        final = f"{self.dir}/{self._name(n)}"
+        final = self._file(n)
         if self.fs.exists(final):
-            raise RuntimeError(f"commit {n} already exists in {self.dir}")
+            raise CommitConflict(f"commit {n} already exists in {self.dir}")
         tmp = f"{self.dir}/.{uuid.uuid4().hex}.tmp"
         self.fs.write_text(tmp, json.dumps(record, sort_keys=True))
         if not self.fs.rename(tmp, final):
             self.fs.delete(tmp, False)
-            raise RuntimeError(f"commit {n} lost a race in {self.dir}")
+            raise CommitConflict(f"commit {n} lost a race in {self.dir}")
+        self.fs.write_text(f"{self.dir}/_last", str(n), overwrite=True)

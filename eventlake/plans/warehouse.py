@@ -2,26 +2,30 @@
 
 Layout under one root (a shared folder on a cluster)::
 
-  landing/                                  raw JSON lines
-  bronze/raw_events/batch_id=N/             bronze, insert-or-ignore on event_id
-  bronze/dead_letter_queue/batch_id=N/      rejected lines with their reason
-  bronze/batch_reports/batch_id=N/          inserted / duplicates / errors
-  silver/events/run_id=N/                   typed events (payload as VARIANT)
-  silver/rejects/run_id=N/                  bronze rows kept out of silver
-  silver/_log/<N>.json                      {run_id, bronze_hwm, processed_at}
-  gold/dim_date/                            static calendar
-  gold/dim_{actors,repos,event_types}/run_id=N/   full snapshot per run
-  gold/fact_events/run_id=N/date_id=D/      facts loaded by run N
-  gold/run_metrics/run_id=N/                per-run report
-  gold/_log/<N>.json                        {run_id, watermark, silver_run}
-
-Readers only see published runs: dimensions at the published run id, facts
-from every run up to it. A run that failed before its commit record is
-invisible and is overwritten by the retry.
+  landing/                            raw event text
+  bronze/raw_events/attempt=X/        bronze, insert-or-ignore on event_id
+  bronze/dead_letter_queue/attempt=X/ rejected lines with their reason
+  bronze/batch_reports/attempt=X/     inserted / duplicates / errors
+  silver/events/attempt=X/            typed events (payload as VARIANT)
+  silver/rejects/attempt=X/           bronze rows kept out of silver
+  gold/dim_date/attempt=X/            calendar
+  gold/dim_{actors,repos,event_types}/attempt=X/bucket=B/   hash buckets of a dimension
+  gold/fact_events/attempt=X/date_id=D/                     facts loaded by a run
+  gold/run_metrics/attempt=X/         per-run report
+  {bronze,silver,gold}/_log/<N>.json  commit records
+
+Every write goes to a folder of its own attempt, named by nothing but its
+layer's commit record, and nothing is written to a folder twice. The newest
+record of a layer is its whole published state: for each table the list of
+``{path, id, rows}`` that make it up (``id`` is the batch or run), for a
+dimension one such entry per bucket. A failed, lost or concurrent attempt is
+in no record and never seen. ``compact`` replaces a list by one entry.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,14 +34,19 @@ from eventlake import schema as S
 from eventlake.plans.storage import CommitLog, FileSystem
 from eventlake.sources import seeds
 
+BRONZE_TABLES = ("raw_events", "dead_letter_queue", "batch_reports")
+SILVER_TABLES = ("events", "rejects")
+
 
 def _with(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     names = {f.name for f in schema.fields}
     return T.StructType(list(schema.fields) + [f for f in fields if f.name not in names])
 
 
-BATCH_ID = T.StructField("batch_id", T.IntegerType(), False)
-RUN_ID = T.StructField("run_id", T.IntegerType(), False)
+BATCH_ID = T.StructField("batch_id", T.IntegerType(), True)
+RUN_ID = T.StructField("run_id", T.IntegerType(), True)
+ATTEMPT = T.StructField("attempt", T.StringType(), True)
+BUCKET = T.StructField("bucket", T.IntegerType(), True)
 
 DIM_TABLES = {
     "dim_actors": S.DIM_ACTORS,
@@ -45,6 +54,16 @@ DIM_TABLES = {
     "dim_event_types": S.DIM_EVENT_TYPES,
 }
 DIM_KEYS = {"dim_actors": "actor_id", "dim_repos": "repo_id", "dim_event_types": "event_type"}
+#: Hash buckets of a growing dimension, fixed when a warehouse is made.
+DIM_BUCKETS = 8
+
+BATCH_REPORTS = T.StructType([
+    T.StructField("fetched", T.LongType()), T.StructField("inserted", T.LongType()),
+    T.StructField("duplicates", T.LongType()), T.StructField("errors", T.LongType()),
+    T.StructField("ingested_at", T.TimestampType()), BATCH_ID])
+SILVER_REJECTS = T.StructType([
+    T.StructField("event_id", T.StringType()), T.StructField("reason", T.StringType()),
+    T.StructField("batch_id", T.IntegerType()), T.StructField("processed_at", T.TimestampType()), RUN_ID])
 
 
 class Warehouse:
@@ -52,104 +71,96 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = FileSystem(spark, self.root)
+        self.bronze_log = CommitLog(self.fs, self.path("bronze/_log"))
         self.silver_log = CommitLog(self.fs, self.path("silver/_log"))
         self.gold_log = CommitLog(self.fs, self.path("gold/_log"))
 
     def path(self, rel: str) -> str:
         return f"{self.root}/{rel}"
 
+    def attempt(self, table: str) -> str:
+        """A folder for one attempt at writing ``table`` (e.g. ``silver/events``)."""
+        return self.path(f"{table}/attempt={uuid.uuid4().hex}")
+
     # -- bronze -----------------------------------------------------------
-    def bronze_batches(self) -> list[int]:
-        return self.fs.partition_values(self.path("bronze/raw_events"), "batch_id")
+    def bronze_state(self) -> dict:
+        return self.bronze_log.latest() or {"version": 0, "batch_id": 0, "streams": {}, **{t: [] for t in BRONZE_TABLES}}
 
-    def bronze_events(self) -> DataFrame:
-        """All committed bronze rows, with ``batch_id``."""
-        return self._read(self.path("bronze/raw_events"), _with(S.BRONZE_RAW_EVENTS, BATCH_ID),
-                          "batch_id", self.bronze_batches())
+    def bronze_events(self, after: int = 0, state: dict | None = None) -> DataFrame:
+        """Committed bronze rows of batches above ``after``, with ``batch_id``."""
+        entries = (state or self.bronze_state())["raw_events"]
+        return self._read("bronze/raw_events", _with(S.BRONZE_RAW_EVENTS, BATCH_ID), entries, after=after, id_col="batch_id")
 
     def dead_letters(self) -> DataFrame:
-        return self._read(self.path("bronze/dead_letter_queue"),
-                          _with(S.BRONZE_DEAD_LETTER, BATCH_ID), "batch_id",
-                          self.fs.partition_values(self.path("bronze/dead_letter_queue"), "batch_id"))
+        return self._read("bronze/dead_letter_queue", _with(S.BRONZE_DEAD_LETTER, BATCH_ID), self.bronze_state()["dead_letter_queue"])
 
     def bronze_reports(self) -> DataFrame:
-        schema = T.StructType([
-            T.StructField("fetched", T.LongType()), T.StructField("inserted", T.LongType()),
-            T.StructField("duplicates", T.LongType()), T.StructField("errors", T.LongType()),
-            T.StructField("ingested_at", T.TimestampType()), BATCH_ID])
-        return self._read(self.path("bronze/batch_reports"), schema, "batch_id",
-                          self.fs.partition_values(self.path("bronze/batch_reports"), "batch_id"))
+        return self._read("bronze/batch_reports", BATCH_REPORTS, self.bronze_state()["batch_reports"])
 
     # -- silver -----------------------------------------------------------
     def silver_state(self) -> dict:
-        return self.silver_log.latest() or {"run_id": 0, "bronze_hwm": 0, "processed_at": None}
+        return self.silver_log.latest() or {"version": 0, "run_id": 0, "bronze_batch": 0, "processed_at": None, **{t: [] for t in SILVER_TABLES}}
 
     def silver_events(self, upto: int | None = None, after: int = 0) -> DataFrame:
-        """Silver rows of committed runs ``after < run_id <= upto``, with run_id.
-
-        Only those run directories are listed and read."""
-        upto = self.silver_state()["run_id"] if upto is None else upto
-        return self._read(self.path("silver/events"), _with(S.SILVER_EVENTS, RUN_ID), "run_id",
-                          [r for r in self.fs.partition_values(self.path("silver/events"), "run_id")
-                           if after < r <= upto])
+        """Silver rows of committed runs ``after < run_id <= upto``, with run_id."""
+        return self._read("silver/events", _with(S.SILVER_EVENTS, RUN_ID), self.silver_state()["events"], after, upto, "run_id")
 
     def silver_rejects(self, upto: int | None = None) -> DataFrame:
-        upto = self.silver_state()["run_id"] if upto is None else upto
-        schema = T.StructType([
-            T.StructField("event_id", T.StringType()), T.StructField("reason", T.StringType()),
-            T.StructField("batch_id", T.IntegerType()), T.StructField("processed_at", T.TimestampType()),
-            RUN_ID])
-        return self._read(self.path("silver/rejects"), schema, "run_id",
-                          [r for r in self.fs.partition_values(self.path("silver/rejects"), "run_id")
-                           if r <= upto])
+        return self._read("silver/rejects", SILVER_REJECTS, self.silver_state()["rejects"], 0, upto, "run_id")
 
     # -- gold -------------------------------------------------------------
     def gold_state(self) -> dict | None:
         return self.gold_log.latest()
 
-    def published_run(self) -> int:
+    def published(self) -> dict:
         state = self.gold_state()
         if state is None:
             raise RuntimeError(f"warehouse {self.root} is not bootstrapped")
-        return int(state["run_id"])
+        return state
+
+    def published_run(self) -> int:
+        return int(self.published()["run_id"])
 
     def dim_date(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold/dim_date"))
+        return self.spark.read.parquet(self.published()["dim_date"])
 
-    def dim(self, name: str, run_id: int | None = None) -> DataFrame:
-        """A dimension snapshot: the published one, or that of ``run_id``."""
-        run_id = self.published_run() if run_id is None else run_id
-        return self.spark.read.schema(DIM_TABLES[name]).parquet(self.path(f"gold/{name}/run_id={run_id}"))
+    def dim(self, name: str, run_id: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+        """A dimension as published now or by ``run_id``; only some of its
+        buckets if they are given."""
+        state = self.published() if run_id is None else self.gold_log.of_run(run_id)
+        entries = [e for e in state["dims"][name] if buckets is None or e["id"] in buckets]
+        return self._read(f"gold/{name}", DIM_TABLES[name], entries, leaf="bucket")
 
-    def facts(self, upto: int | None = None) -> DataFrame:
-        """Published facts (loaded by runs <= ``upto``), with ``run_id``."""
-        upto = self.published_run() if upto is None else upto
-        base = self.path("gold/fact_events")
-        runs = [r for r in self.fs.partition_values(base, "run_id") if r <= upto]
-        return self._read(base, _with(S.FACT_EVENTS, RUN_ID), "run_id", runs)
+    def facts(self, state: dict | None = None) -> DataFrame:
+        """Published facts, with ``run_id``."""
+        entries = (state or self.published())["fact_events"]
+        return self._read("gold/fact_events", _with(S.FACT_EVENTS, RUN_ID), entries)
 
-    def run_metrics(self, upto: int | None = None) -> DataFrame:
+    def run_metrics(self) -> DataFrame:
         from eventlake.plans.gold import RUN_METRICS
-        upto = self.published_run() if upto is None else upto
-        base = self.path("gold/run_metrics")
-        runs = [r for r in self.fs.partition_values(base, "run_id") if r <= upto]
-        return self._read(base, _with(RUN_METRICS, RUN_ID), "run_id", runs)
+        return self._read("gold/run_metrics", _with(RUN_METRICS, RUN_ID), self.published()["run_metrics"])
 
     # -- helpers ----------------------------------------------------------
-    def _read(self, base: str, schema: T.StructType, part: str, values: list[int]) -> DataFrame:
-        """Read committed partitions only (listed, so half-written ones never
-        appear); an empty list gives an empty frame of the same schema."""
-        if not values:
+    def _read(self, table: str, schema: T.StructType, entries: list[dict], after: int = 0,
+              upto: int | None = None, id_col: str | None = None, leaf: str | None = None) -> DataFrame:
+        """The rows of a record's entries with ``after < id <= upto``. An entry
+        that compaction made covers the ids from ``first`` to ``id``, so the
+        bounds are also applied to ``id_col``. No entries: an empty frame."""
+        wanted = [e for e in entries if e["id"] > after and (upto is None or e.get("first", e["id"]) <= upto)] if id_col else entries
+        if not wanted:
             return seeds.empty(self.spark, schema)
-        paths = [f"{base}/{part}={v}" for v in values]
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        paths = [f"{e['path']}/{leaf}={e['id']}" if leaf else e["path"] for e in wanted]
+        rows = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths).select(schema.names)
+        if id_col and any("first" in e for e in wanted):
+            rows = rows.where(f"{id_col} > {after}" + (f" AND {id_col} <= {upto}" if upto is not None else ""))
+        return rows
 
     def register_views(self) -> None:
         """Temp views for SQL users over the published state:
         bronze_raw_events, dead_letter_queue, batch_reports, silver_events,
         silver_rejects, v_events, dim_date, dim_actors, dim_repos,
-        dim_event_types, fact_events, run_metrics. (The reference's
-        ``bronze.`` / ``silver.`` / ``gold.`` prefixes are dropped.)"""
+        dim_event_types, fact_events, run_metrics. (Layer prefixes are
+        dropped.)"""
         from eventlake.operators.conform import conform
         self.bronze_events().createOrReplaceTempView("bronze_raw_events")
         self.dead_letters().createOrReplaceTempView("dead_letter_queue")

@@ -148,8 +148,3 @@ FACT_EVENTS = T.StructType([
     T.StructField("silver_processed_at", T.TimestampType(), False),
     T.StructField("gold_loaded_at", T.TimestampType(), True),
 ])
-
-DIM_DATE_COLUMNS = [
-    "date_id", "full_date", "year", "quarter", "month", "month_name",
-    "week", "day", "day_of_week", "day_name", "is_weekend",
-]

@@ -10,8 +10,7 @@ from pyspark.sql import SparkSession
 # Settings every eventlake job needs, whatever the cluster defaults are.
 #  * UTC: EXTRACT / date keys on event_time are computed in the session zone.
 #  * duplicate JSON keys keep the last value, as a Python dict does.
-#  * static partition overwrite: re-writing run_id=N replaces the whole run
-#    directory, so a retry never leaves stale date partitions behind.
+#  * static partition overwrite, should a caller overwrite a folder.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
@@ -19,9 +18,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # IN-lists of up to this many ids reach Parquet as equality filters, so
-    # bronze's bloom filter on event_id can skip row groups (point lookups).
-    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 
@@ -62,8 +58,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for derived tables and checkpoints.
 
     On a cluster this is ``spark.checkpoint.dir`` (or the directory already
-    set on the SparkContext). Only when neither is set -- tests, a laptop --
-    a fresh local directory is created and registered as the checkpoint dir.
+    set on the SparkContext), and it is an error if neither is set: executors
+    would each write to a disk of their own. Only where the master is local a
+    fresh directory is created and registered as the checkpoint dir.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -72,6 +69,9 @@ def scratch_root(spark: SparkSession) -> str:
     if current:
         # The context appends a random sub-directory; keep its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     local = tempfile.mkdtemp(prefix="eventlake-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     try:

@@ -82,6 +82,45 @@ def corrupt(lines: DataFrame) -> DataFrame:
     return lines.withColumn("value", v)
 
 
+#: Kinds of hostile lines, by event_id % EDGE_KINDS; the rest are ordinary.
+EDGE_KINDS = 23
+
+
+def edge_lines(events: DataFrame) -> DataFrame:
+    """A line per event, many of them hostile: ``value``, ``seq``.
+
+    Damaged or double JSON, padded lines, falsy, boolean and over-long ids,
+    long names with a bad repo id, times with offsets and fractions.
+    """
+    seq, kind = F.col("event_id"), F.col("event_id") % EDGE_KINDS
+    plain = F.concat(F.lit("e"), seq.cast("string"))
+    quoted = F.concat(F.lit('"'), plain, F.lit('"'))
+    key = (F.when(kind == 6, F.lit('""')).when(kind == 7, F.lit("0")).when(kind == 8, F.lit("true"))
+           .when(kind == 9, F.lit('"True"')).when(kind == 13, F.concat(F.lit('"'), F.lpad(plain, 60, "x"), F.lit('"')))
+           .otherwise(quoted))
+    repo = F.when(kind == 10, F.concat(F.lit('{"id":"none","name":"'), F.lpad(plain, 300, "n"), F.lit('"}'))).otherwise(
+        F.lit('{"id":7,"name":"own/proj"}'))
+    time = (F.when(kind == 11, F.lit("2024-01-05T10:00:00+05:30")).when(kind == 12, F.lit("2024-01-05T10:00:00.250Z"))
+            .otherwise(F.lit("2024-01-05T10:00:00Z")))
+    line = F.concat(F.lit('{"id":'), key, F.lit(',"type":"PushEvent","actor":{"id":'), seq.cast("string"),
+                    F.lit(',"login":"u"},"repo":'), repo, F.lit(',"created_at":"'), time, F.lit('"}'))
+    value = (F.when(kind == 0, F.substring(line, 1, 20)).when(kind == 1, F.lit("[1,2]"))
+             .when(kind == 2, F.concat(F.lit(" "), line, F.lit("\t\r"))).when(kind == 3, F.concat(line, line))
+             .when(kind == 4, F.concat(line, F.lit(" xx"))).when(kind == 5, F.concat(line, F.lit("] xx}")))
+             .when(kind == 14, F.concat(line, F.lit(","), line)).otherwise(line))
+    return spread(events).select(value.alias("value"), seq.alias("seq"))
+
+
+def json_array_documents(events: DataFrame, size: int = 1000) -> DataFrame:
+    """JSON-array documents of up to ``size`` envelopes each: ``value``, ``doc``."""
+    item = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"), F.lit("PushEvent").alias("type"),
+        F.struct(F.col("user_id").alias("id")).alias("actor")))
+    return events.select(F.floor(F.col("event_id") / size).cast("long").alias("doc"), "event_id", item.alias("item")).groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("items")).select(
+        F.concat(F.lit("[\n"), F.array_join("items.item", ",\n"), F.lit("\n]")).alias("value"), "doc")
+
+
 def processed_at(batch: int) -> str:
     """Silver ``now`` of arrival batch ``batch`` as ``yyyy-MM-dd HH:mm:ss``."""
     return f"2024-02-01 {batch:02d}:00:00"

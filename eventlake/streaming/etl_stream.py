@@ -1,15 +1,15 @@
 """STR-2: silver + gold driven by new bronze files instead of a clock.
 
-A Parquet file stream over ``bronze/raw_events`` notices committed bronze
-files; each micro-batch runs ``run_pipeline`` (silver, then gold). The
-micro-batch's rows are not used directly: silver reads every bronze batch
-above its own high-water mark, so a replayed or merged trigger is harmless
+A Parquet file stream over ``bronze/raw_events`` notices new bronze files; each micro-batch runs ``run_pipeline`` (silver, then gold). The
+micro-batch's rows are not used directly: silver reads every committed
+bronze batch above its own mark, so a replayed or merged trigger is harmless
 and each bronze batch is still processed exactly once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventlake import schema as S
 from eventlake.plans.pipeline import run_pipeline
 from eventlake.plans.warehouse import Warehouse
+from eventlake.streaming.bronze_stream import KEPT_REPORTS, finish
 
 
 class EtlStream:
@@ -26,7 +27,7 @@ class EtlStream:
         self.wh = wh
         self.checkpoint = checkpoint or wh.path("_checkpoints/etl_stream")
         self.clock = clock or (lambda: dt.datetime.now(dt.timezone.utc))
-        self.runs: list[dict] = []
+        self.runs: deque[dict] = deque(maxlen=KEPT_REPORTS)
 
     def _source(self) -> DataFrame:
         self.wh.fs.mkdirs(self.wh.path("bronze/raw_events"))   # may not exist yet
@@ -42,15 +43,10 @@ class EtlStream:
                 .option("checkpointLocation", self.checkpoint)
                 .trigger(processingTime=processing_time).start())
 
-    def run_available(self, timeout_s: int = 600) -> list[dict]:
-        before = len(self.runs)
-        q = (self._source().writeStream.foreachBatch(self._run)
-             .option("checkpointLocation", self.checkpoint)
-             .trigger(availableNow=True).start())
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError("etl stream did not finish")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-        return self.runs[before:]
+    def run_available(self, timeout_s: float | None = None) -> list[dict]:
+        """Process what is there, then stop; returns the runs of this call."""
+        self.runs.clear()
+        finish(self._source().writeStream.foreachBatch(self._run)
+               .option("checkpointLocation", self.checkpoint)
+               .trigger(availableNow=True).start(), timeout_s)
+        return list(self.runs)

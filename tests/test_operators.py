@@ -34,11 +34,20 @@ def _classify(spark, lines):
 
 def test_reject_reasons(spark):
     lines = [ev(1), "not json", "", "[1,2]", '"x"', "3", '{"type":"A"}', '{"id":null}',
-             '{"a":1} xx', ev(2, type="a\u0000b"), '{"id":{"x":1}}', '{"id":""}', '{"id":0}']
+             '{"a":1} xx', ev(2, type="a\u0000b"), '{"id":{"x":1}}', '{"id":""}', '{"id":0}',
+             '{"id":"1"}\t', '\r\n {"id":"1"}\n', ev(1) + ev(1), ev(1) + "," + ev(1), ev(1) + "] xx}",
+             ev(1) + "} xx", ev(1) + "],[1", ev(1) + '},{"x":1', "{}", '{"id":"1"} // c', "nul", ev(1) + ", null"]
     got = _classify(spark, lines)
     assert got == {0: None, 1: "not_json", 2: "not_json", 3: "not_object", 4: "not_object",
                    5: "not_object", 6: "missing_id", 7: "missing_id", 8: "not_json",
-                   9: "nul_character", 10: "invalid_id", 11: None, 12: None}
+                   9: "nul_character", 10: "invalid_id", 11: None, 12: None,
+                   13: None, 14: None, **{n: "not_json" for n in range(15, 21)}, 21: "missing_id",
+                   **{n: "not_json" for n in range(22, 25)}}
+
+
+def test_one_key_for_every_spelling(spark):
+    df = spark.createDataFrame([(v,) for v in ('{"id":true}', '{"id":"True"}', '{"id":1}', '{"id":"1"}', '{"id":1.5}', '{"id":[1]}')], "value string")
+    assert [r["event_id"] for r in classify(df).collect()] == ["True", "True", "1", "1", "1.5", "[1]"]
 
 
 def _extract(spark, lines):
@@ -85,6 +94,8 @@ def test_extract_public_and_payload_defaults(spark):
 
 def test_silver_rejects_falsy_and_long_ids(spark):
     rows = _extract(spark, ['{"id":""}', '{"id":0}', ev("x" * 51), ev(3, type="T" * 51)])
+    long = _extract(spark, [ev(4, repo={"id": "n", "name": "r" * 300}, actor={"id": 1, "login": "l" * 300})])
+    assert [r["silver_reject_reason"] for r in long] == [None] and len(long[0]["repo_name"]) == 300
     reasons = sorted(r["silver_reject_reason"] for r in rows)
     assert reasons == ["falsy_id", "falsy_id", "too_long:event_id", "too_long:event_type"]
 
@@ -162,5 +173,10 @@ def test_discovery_and_seed_upsert(spark):
 def test_insert_ignore(spark):
     table = spark.createDataFrame([("a",), ("b",)], "event_id string")
     batch = spark.createDataFrame([("b",), ("c",)], "event_id string")
-    for small in (True, False):
-        assert [r[0] for r in insert_ignore(table, batch, ["event_id"], small).collect()] == ["c"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert [r[0] for r in insert_ignore(table, batch, ["event_id"]).collect()] == ["c"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

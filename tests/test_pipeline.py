@@ -105,12 +105,12 @@ def test_failed_publish_changes_nothing(spark, wh):
     with pytest.raises(RuntimeError, match="injected"):
         run_gold(wh, at(2) + dt.timedelta(minutes=20), on_step=boom)
     assert (wh.gold_state(), wh.facts().count()) == before
-    # a stale partition of the failed attempt must not survive the retry
-    stale = wh.path("gold/fact_events/run_id=2/date_id=20990101")
-    spark.createDataFrame([("x",)], "event_id string").write.parquet(stale)
+    # what the failed attempt left stays outside the retry's folders
+    left = set(wh.fs.list_names(wh.path("gold/fact_events")))
     g = run_gold(wh, at(2) + dt.timedelta(minutes=30))
-    assert g["facts_inserted"] == 1 and not wh.fs.exists(stale)
+    assert g["facts_inserted"] == 1 and len(left) == 2
     assert wh.facts().count() == 2
+    assert not any(name in wh.gold_state()["fact_events"][-1]["path"] for name in left)
 
 
 def test_out_of_range_date_aborts(spark, wh):
@@ -155,9 +155,14 @@ def test_run_pipeline_and_vacuum(spark, wh):
                      batch_id=n, now=at(n))
         out = run_pipeline(wh, at(n) + dt.timedelta(minutes=10))
         assert out["gold"]["facts_inserted"] == 1
+    with pytest.raises(ValueError):
+        vacuum(wh, keep_runs=0)
     removed = vacuum(wh, keep_runs=2)
-    assert len(removed) == 3 * 2          # runs 0 and 1 of three dimensions
-    assert wh.dim("dim_actors").count() == 2 and wh.facts().count() == 3
+    # run 0's and run 1's buckets that run 2 replaced: one actor, one repo, the types
+    assert len(removed) == 2 + 2 and all(not wh.fs.exists(p) for p in removed)
+    assert wh.dim("dim_actors").count() == 2 and wh.dim("dim_actors", 2).count() == 2
+    assert wh.facts().count() == 3 and vacuum(wh, keep_runs=2) == []
+    assert len(vacuum(wh, keep_runs=1)) == 3 and wh.dim("dim_repos").count() == 2
 
 
 def test_hot_actor_and_repo(spark, wh):
@@ -212,13 +217,13 @@ def test_curate_views_and_duplicate_check(spark, wh):
     assert [tuple(r) for r in dup.collect()] == [("dup_k", 1)]
 
 
-def test_plain_values_and_cached_gold_batch(spark, wh):
+def test_plain_values(spark, wh):
     plain = spark.createDataFrame([(ev(1, login="first"),), (ev(1, login="second"),), (ev(2),)],
                                   "value string").coalesce(1)
     rep = ingest_batch(wh, plain, batch_id=1, now=at(1))
     assert (rep["inserted"], rep["duplicates"]) == (2, 1)
     run_silver(wh, at(2))
-    g = run_gold(wh, at(3), cache_batch=True)
+    g = run_gold(wh, at(3))
     assert g["facts_inserted"] == 2
     b = {r["event_id"]: json.loads(str(r["full_json"]))["actor"]["login"] for r in wh.bronze_events().collect()}
     assert b["1"] == "first"                    # first arrival of id 1 kept
