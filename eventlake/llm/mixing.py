@@ -40,6 +40,7 @@ MAX_REPEATS = 3
 BLOCK = 128
 SHARD_SLOTS = 8192
 CHUNK_SLOTS = 4096
+TASK_SLOTS = 65_536
 RANGE_ROWS = 4096
 ROUNDS = 24
 SEED = 20_240
@@ -133,7 +134,9 @@ class Mix:
         per_source = per_source.withColumn("all_slots", F.sum("n_slots").over(Window.partitionBy()))
         chunks = per_source.where("n_slots > 0").withColumn(
             "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / CHUNK_SLOTS).cast("long"))))
-        chunks = chunks.repartition("source_no", "chunk")
+        # By number: a chunk is a few bytes and 4096 slots, so sizes in bytes say nothing of the work.
+        slots = self.sources.agg(F.sum("target")).first()[0] or 0
+        chunks = chunks.repartition(max(1, -(-int(slots) // (block * TASK_SLOTS))), "source_no", "chunk")
         first = F.col("chunk") * CHUNK_SLOTS
         last = F.least(first + CHUNK_SLOTS, F.col("n_slots")) - 1
         slots = chunks.withColumn("source_slot", F.explode(F.sequence(first, last)))
@@ -155,7 +158,9 @@ class Mix:
         block = self.block
         spread = self.documents.where("size > 0").select("source_no", "start", "size", F.explode(F.sequence(
             F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long"))).alias("block"))
-        joined = spread.join(self.slots.select("source_no", "block", "round", "take"), ["source_no", "block"])
+        # The planner can't see how many slots a source has and would broadcast them all.
+        slots = self.slots.select("source_no", "block", "round", "take").hint("merge")
+        joined = spread.join(slots, ["source_no", "block"])
         base = F.col("block") * block - F.col("start")
         lo, hi = F.greatest(base, F.lit(0).cast("long")), F.least(base + F.col("take"), F.col("size"))
         return joined.select("source_no", "start", "round", lo.alias("lo"), hi.alias("hi")).where("hi > lo")
