@@ -42,3 +42,17 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry(spark):
     assert E.entry(spark).count() >= 0
+
+
+def test_entry_works_without_the_training_data_folders(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/eventlake", tmp_path / "eventlake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as E; print(sorted(E.queries()) == sorted(E.oracle_sql()), 'pipeline' in E.queries())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert out.stdout.split() == ["True", "False"], out.stderr
