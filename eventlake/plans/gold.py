@@ -225,8 +225,8 @@ def run_gold(
     The batch is not cached: every consumer re-reads only the new silver runs
     with its own column pruning and the pushed watermark filter (types need
     one column, actors four), which keeps a large daily batch out of executor
-    memory. It is read by the four table writes and, for the ids alone, by the
-    facts' insert-ignore.
+    memory. It is read five times: once for each of the four tables and, for
+    the ids alone, by the facts' insert-ignore.
     """
     t_total = time.perf_counter()
     hook = on_step or (lambda _name: None)
@@ -254,13 +254,18 @@ def run_gold(
     ms: dict[str, float] = {}
 
     def load_dim(name: str, updates: DataFrame) -> tuple[list[dict], dict]:
+        # The updates are computed once; their folders tell the touched buckets.
         n, key = state["buckets"][name], DIM_KEYS[name]
-        # Driver: at most one number per bucket.
-        touched = [r[0] for r in updates.select(bucket_of(key, n)).distinct().collect()]
+        staged = wh.attempt("gold/_updates")
+        updates.withColumn("bucket", bucket_of(key, n)).write.partitionBy("bucket").parquet(staged)
+        touched = [int(f.split("=")[1]) for f in wh.fs.list_names(staged) if f.startswith("bucket=")]
         if not touched:
             return state["dims"][name], {"affected": 0}
+        newer = spark.read.schema(updates.schema).parquet(staged)
         stored = wh.dim(name, prev, touched)
-        return _write_buckets(wh, name, upsert_if_newer(stored, updates, key, now_col), n, state["dims"][name])
+        out = _write_buckets(wh, name, upsert_if_newer(stored, newer, key, now_col), n, state["dims"][name])
+        wh.fs.delete(staged)
+        return out
 
     def load_types() -> tuple[list[dict], dict]:
         # Discovery over the batch equals discovery over the whole view:

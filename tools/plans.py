@@ -39,15 +39,14 @@ def main() -> None:
 
     spark = build_session("local[8]", shuffle_partitions=8)
     wh = replayed(spark, sf_dir)
-    batch = conform(wh.silver_events(after=3), keep=("run_id",))
+    batch = conform(wh.silver_events(after=3))
     pipeline = {
         "gold: dim_actors upsert (UPS-1 over DED-3)": upsert_if_newer(
             wh.dim("dim_actors", 3), G.actor_updates(batch), "actor_id", lit_ts("2024-03-01 00:00:00")),
-        "gold: fact insert-ignore, small batch (UPS-3)": insert_ignore(
-            wh.facts(3), G.fact_rows(batch, lit_ts("2024-03-01 00:00:00")), ["event_id"], small=True),
-        "bronze: store dedupe, small batch (SNK-1)": insert_ignore(
-            wh.bronze_events(), wh.bronze_events().where("batch_id = 4").select("event_id"),
-            ["event_id"], small=True),
+        "gold: fact insert-ignore (UPS-3)": insert_ignore(
+            wh.facts(wh.gold_log.of_run(3)), G.fact_rows(batch, lit_ts("2024-03-01 00:00:00")), ["event_id"]),
+        "bronze: store dedupe (SNK-1)": insert_ignore(
+            wh.bronze_events(), wh.bronze_events(after=3).select("event_id"), ["event_id"]),
     }
     out = ["# PLANS", "",
            f"Physical plans (`explain(\"formatted\")`, tree and scan lines) at `{sf_dir}`,",
