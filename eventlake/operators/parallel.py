@@ -11,8 +11,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A few small input files become one task each; parsing them would then
     use a fraction of the cluster. Large inputs already have enough splits
-    and are returned untouched (no shuffle). Apply it after anything that
-    depends on scan order (arrival positions) has been computed.
+    and are returned untouched (no shuffle). Apply it to scans only: asking a
+    plan with a shuffle for its partitions would run that shuffle. Apply it
+    after anything that depends on scan order (arrival positions) has been
+    computed.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism

@@ -124,21 +124,27 @@ def bucket_of(key: str, n: int) -> F.Column:
 def _write_buckets(wh: Warehouse, name: str, rows: DataFrame, n: int, entries: list[dict]) -> tuple[list[dict], dict]:
     """Write the new version of some buckets of a dimension (``rows`` holds
     them whole). Returns the dimension's entries, others unchanged, and the
-    observed metrics; refuses rows that repeat a key (VAL-2)."""
+    metrics of the write, rows per bucket among them."""
     path = wh.attempt(f"gold/{name}")
-    key = DIM_KEYS[name]
-    seen = _write(rows.withColumn("bucket", bucket_of(key, n)), path, [
-        F.count(F.lit(1)).alias("total"),
+    seen = _write(rows.withColumn("bucket", bucket_of(DIM_KEYS[name], n)), path, [
         (F.count_if(F.col(ACTION) != KEEP) if ACTION in rows.columns else F.count(F.lit(1))).alias("affected"),
+        *(F.count_if(F.col("bucket") == b).alias(f"rows_{b}") for b in range(n)),
     ], partition_by="bucket")
-    written = wh.spark.read.schema(T.StructType([*DIM_TABLES[name].fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
-    sizes = written.groupBy("bucket", key).agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated")).collect()
-    V.raise_on({f"duplicate_{key}": sum(r["repeated"] for r in sizes)})
-    new = {r["bucket"]: {"path": path, "id": r["bucket"], "rows": r["rows"]} for r in sizes}
+    new = {b: {"path": path, "id": b, "rows": seen[f"rows_{b}"]} for b in range(n) if seen[f"rows_{b}"]}
     return sorted([*(e for e in entries if e["id"] not in new), *new.values()], key=lambda e: e["id"]), seen
 
 
+def key_checks(wh: Warehouse, record: dict, state: dict) -> list[DataFrame]:
+    """VAL-2 of the dimension buckets that ``record`` has and ``state`` has not."""
+    checks = []
+    for name, entries in record["dims"].items():
+        new = [e for e in entries if e not in state["dims"][name]]
+        if new:
+            rows = wh._read(f"gold/{name}", DIM_TABLES[name], new, leaf="bucket")
+            checks.append(V.duplicate_keys(rows, [DIM_KEYS[name]], f"duplicate_{DIM_KEYS[name]}"))
+    return checks
+
+
 def apply_seeds(wh: Warehouse, now: dt.datetime | str, curated: bool = False) -> int:
     """UPS-5 on a live warehouse: sentinels and seed types that are missing
     are inserted, those present stay; with ``curated`` the seed's type rows
@@ -162,6 +168,7 @@ def _publish_dims(wh: Warehouse, state: dict, changes: dict[str, DataFrame], now
     run_id = int(state["run_id"]) + 1
     dims = {name: _write_buckets(wh, name, rows, state["buckets"][name], state["dims"][name])[0] for name, rows in changes.items()}
     record = {**state, "run_id": run_id, "dims": {**state["dims"], **dims}}
+    V.assert_clean(V.union(key_checks(wh, record, state)))
     metrics = wh.attempt("gold/run_metrics")
     wm = _as_datetime(state["watermark"])
     _write_metrics(wh, metrics, {"run_id": run_id, "silver_run": state["silver_run"], "watermark_before": wm,
@@ -318,8 +325,7 @@ def run_gold(
     step("validate")
     t = time.perf_counter()
     V.raise_on({k: int(v) for k, v in f.items() if k.startswith(("fk_", "range_", "null_"))})
-    if inserted:
-        validate_staged(wh, facts_path, record, inserted)
+    validate_staged(wh, facts_path if inserted else None, record, state)
     ms["validate"] = time.perf_counter() - t
 
     wm_after = wm
@@ -351,25 +357,26 @@ def _key(d: dt.date) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 
 
-def validate_staged(wh: Warehouse, facts_path: str, record: dict, inserted: int) -> dict:
-    """VAL-1 (dimension keys) and VAL-2 (event_id) on what the run wrote.
+def validate_staged(wh: Warehouse, facts_path: str | None, record: dict, state: dict) -> dict:
+    """VAL-1 (dimension keys) and VAL-2 (all primary keys) on what the run
+    wrote, in one job.
 
-    Raises ``ValidationError`` on any breach. The facts are read back from
-    disk, so the check sees exactly what would be published. Ids published
-    before were excluded by the insert-ignore; here the run's own are checked.
+    Raises ``ValidationError`` on any breach. Everything is read back from
+    disk, so the check sees exactly what would be published. Fact ids
+    published before were excluded by the insert-ignore; here the run's own
+    are checked.
     """
-    schema = T.StructType([*S.FACT_EVENTS.fields, RUN_ID])
-    facts = wh.spark.read.schema(schema).option("basePath", facts_path).parquet(facts_path)
-    dims = {name: wh._read(f"gold/{name}", DIM_TABLES[name], entries, leaf="bucket") for name, entries in record["dims"].items()}
-    report = V.union([
-        V.fk_violations(facts, {
+    checks = key_checks(wh, record, state)
+    if facts_path is not None:
+        schema = T.StructType([*S.FACT_EVENTS.fields, RUN_ID])
+        facts = wh.spark.read.schema(schema).option("basePath", facts_path).parquet(facts_path)
+        dims = {name: wh._read(f"gold/{name}", DIM_TABLES[name], entries, leaf="bucket") for name, entries in record["dims"].items()}
+        checks += [V.fk_violations(facts, {
             "fk_actor_id": (dims["dim_actors"], "actor_id"),
             "fk_repo_id": (dims["dim_repos"], "repo_id"),
             "fk_event_type": (dims["dim_event_types"], "event_type"),
-        }),
-        V.duplicate_keys(facts, ["event_id"], "duplicate_event_id"),
-    ])
-    return V.assert_clean(report)
+        }), V.duplicate_keys(facts, ["event_id"], "duplicate_event_id")]
+    return V.assert_clean(V.union(checks)) if checks else {}
 
 
 def curate(wh: Warehouse, curated: DataFrame, now: dt.datetime | str) -> int:

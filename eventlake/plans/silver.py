@@ -20,7 +20,6 @@ from eventlake import schema as S
 from eventlake.operators.dedupe import first_per_key
 from eventlake.operators.extract import extract
 from eventlake.operators.merge import insert_ignore
-from eventlake.operators.parallel import spread
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.session import describe
 
@@ -57,7 +56,7 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
     # rejected (rare), and then they are recomputed from the bronze batch.
     # The observe() node also keeps Catalyst from pushing the accept filter
     # below the staged extraction.
-    rows = extract(spread(new).withColumnRenamed("event_id", "stored_id")).withColumns(
+    rows = extract(new.withColumnRenamed("event_id", "stored_id")).withColumns(
         {"processed_at": lit_ts(now_dt), "run_id": F.lit(run_id)})
     seen = Observation(f"silver_{uuid.uuid4().hex[:12]}")
     good = rows.observe(
