@@ -30,7 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, wherever they run."""
+    """Send this package to the Python workers, wherever they run: a zip on
+    the driver, which Spark hands to the executors."""
     context = spark.sparkContext
     if getattr(context, "_eventlake_shipped", False):
         return

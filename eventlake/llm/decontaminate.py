@@ -20,7 +20,6 @@ one id count once. Rows are independent, so none is hot.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np

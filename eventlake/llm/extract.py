@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm.common import materialise, small_batches, table
-from eventlake.llm.markup import ARTICLE, CHROME, PLAIN, read_blocks
+from eventlake.llm.markup import ARTICLE, PLAIN, read_blocks
 from eventlake.llm.urls import host_of, path_of
 
 #: Bits of alignment kept at once; longer pairs are halved first.

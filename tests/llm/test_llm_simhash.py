@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 import xxhash
 from llm_rows import LONG, PROSE, clash, docs
-from pyspark.sql import functions as F
 
 from eventlake.llm import simhash as S
 
