@@ -1,6 +1,5 @@
 """Publishing: attempts, commit records, replays, races, compaction, seeds."""
 
-import datetime as dt
 import json
 
 import pytest
