@@ -1,7 +1,7 @@
 import hashlib
 import json
 
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from eventlake.llm import chat as C
@@ -19,6 +19,7 @@ LAYOUTS = {
 HARD = ["", "\\", "</turn>", "<turn user>\nx</turn>\n", "\\</turn>", "<\\/turn>", "a>b\\>", "\\### Assistant: </turn> ok", "x" * 50_000, "\u2028\U0001f600"]
 
 
+@settings(deadline=None)
 @given(st.lists(st.tuples(st.text(), st.text(alphabet=st.sampled_from("<>/\\turn \naé"))), max_size=4))
 def test_round_trip(turns):
     assert C.parse_turns("".join(C.format_turn(r, t)[0] for r, t in turns)) == turns

@@ -18,7 +18,7 @@ def brute_lcs(a, b):
     return best[-1][-1]
 
 
-@settings(max_examples=300)
+@settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 5), max_size=25), st.lists(st.integers(0, 5), max_size=25), st.sampled_from([1 << 28, 8]))
 def test_alignment_is_a_longest_common_subsequence(a, b, bits):
     before, X.ALIGN_BITS = X.ALIGN_BITS, bits

@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_rows import LONG, TEXTS, clash, docs
 
@@ -23,6 +23,7 @@ def tokenizer():
     return t
 
 
+@settings(deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=400))
 def test_elias_fano_round_trip(gaps):
     values = np.cumsum(np.array(gaps, np.int64)) if gaps else np.zeros(0, np.int64)
