@@ -1,13 +1,18 @@
 """WARC archives and their Merkle fixity audit.
 
-An archive is a set of WARC files, each an ordered list of records. A record's
-leaf hash covers its number, its offset range in the file and its bytes; above
+An archive is a set of WARC files, each an ordered list of records. ``store``
+writes it: a table in the shared folder with a row per record that holds its
+file, its place there and its bytes, in file order, so a file is its rows'
+bytes one after another. ``records`` reads a stored replica back; numbers,
+offsets, lengths and digests are all taken from the bytes that it finds, so a
+record that was changed, cut or lost in the store shows. A record's leaf hash covers its number, its offset range in the file and its bytes; above
 the leaves, every ``FANOUT`` consecutive nodes make one node, whose hash covers
 its offset range and its children's hashes in order, up to one root per file.
 
 An audit compares the roots of two replicas and descends level by level, only
 below nodes that differ, down to the records that differ. A record that only
-one replica has differs too. Where a file's roots agree, none of its lower
+one replica has differs too, and behind a record of another length or a missing
+one all later records of the file differ, as they have other offsets. Where a file's roots agree, none of its lower
 levels is read.
 
 Everything is grouped by (file, node number): a node has at most ``FANOUT``
@@ -48,24 +53,41 @@ def spread(key: Column, salt: str, n: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % n
 
 
-def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(file, pos, page_id, offset, length, digest): the records of the
-    archive of ``pages``, in files of about ``FILE_RECORDS`` records.
+def store(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(file, place, page_id, payload): the records of ``pages`` as they stand
+    in the shared folder, in files of about ``FILE_RECORDS`` records.
 
-    ``digest`` is the SHA-256 of the record's bytes; the bytes themselves are
-    not shuffled.
+    Bytes are shuffled once, to their file.
     """
     files = max(1, -(-pages.count() // FILE_RECORDS))
-    data = record_bytes(F.col(id_col), F.col(url_col), F.col(html_col))
     key = F.coalesce(F.col(id_col).cast("string"), F.col(url_col))
     rows = pages.select(
         spread(key, "", files).alias("file"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-        F.sha2(data, 256).alias("digest"), F.octet_length(data).cast("long").alias("length"))
-    order = Window.partitionBy("file").orderBy("page_id", "url", "digest", "length")
-    rows = rows.withColumn("pos", F.row_number().over(order).cast("long") - 1)
+        record_bytes(F.col(id_col), F.col(url_col), F.col(html_col)).alias("payload"))
+    order = Window.partitionBy("file").orderBy("page_id", "url", F.sha2("payload", 256))
+    placed = rows.withColumn("place", F.row_number().over(order).cast("long") - 1)
+    return materialise(placed.select("file", "place", "page_id", "payload"), "warc-archive")
+
+
+def records(stored: DataFrame) -> DataFrame:
+    """(file, pos, page_id, offset, length, digest) of the records that a
+    stored replica has.
+
+    ``digest`` is the SHA-256 of the bytes read back; the bytes themselves are
+    not shuffled.
+    """
+    rows = stored.select(
+        "file", "place", "page_id", F.octet_length("payload").cast("long").alias("length"), F.sha2("payload", 256).alias("digest"))
+    order = Window.partitionBy("file").orderBy("place")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long"))).select(
-        "file", "pos", "page_id", "offset", "length", "digest")
+    return rows.select(
+        "file", (F.row_number().over(order).cast("long") - 1).alias("pos"), "page_id",
+        F.coalesce(F.sum("length").over(before), F.lit(0).cast("long")).alias("offset"), "length", "digest")
+
+
+def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``records`` of the archive of ``pages``, which is written and read back."""
+    return records(store(pages, id_col, url_col, html_col))
 
 
 def leaves(records: DataFrame) -> DataFrame:
@@ -120,11 +142,29 @@ def damaged(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", e
     return pages.withColumn(html_col, F.when(bad, changed).otherwise(F.col(html_col)))
 
 
+def damaged_copy(
+    stored: DataFrame, changed: int | None = DAMAGE, cut: int | None = None, lost: int | None = None
+) -> DataFrame:
+    """Another replica of ``stored``, written to the shared folder: of about
+    one record in ``changed`` the first character of the body differs, one in
+    ``cut`` lacks its last bytes (the end of the body and the blank lines),
+    one in ``lost`` is missing."""
+    bad = lambda kind, every: spread(F.col("page_id"), kind, every) == 0 if every else F.lit(False)
+    text = F.col("payload").cast("string")  # the same bytes, counted in characters
+    body = F.instr(text, "\r\n\r\n") + 4
+    tail = F.length(text) - 3  # where the blank lines begin
+    other = F.concat(F.substring(text, F.lit(1), body - 1), F.lit("?"), F.substring(text, F.least(body + 1, tail), F.length(text)))
+    payload = F.when(bad("damage", changed), other.cast("binary")).otherwise(F.col("payload"))
+    copy = stored.where(~bad("lost", lost)).withColumn("payload", payload)
+    short = F.substring("payload", F.lit(1), F.octet_length("payload") - 8)
+    return materialise(copy.withColumn("payload", F.when(bad("cut", cut), short).otherwise(F.col("payload"))), "warc-replica")
+
+
 def op10_warc(spark, sf_dir):
     """The records of the archive of all pages that a damaged replica has
     otherwise, found by descending both replicas' trees."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    ours, theirs = (materialise(archive(p), "warc-records") for p in (pages, damaged(pages)))
+    archived = store(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    ours, theirs = (materialise(records(r), "warc-records") for r in (archived, damaged_copy(archived)))
     differ = audit(merkle(ours), merkle(theirs)).select("file", F.col("node").alias("pos"))
     found = differ.join(ours, ["file", "pos"], "left")
     return found.join(theirs.select("file", "pos", F.col("digest").alias("replica_digest")), ["file", "pos"], "left").select(

@@ -78,3 +78,45 @@ def test_damaged_replica(spark):
     want = {(a["file"], a["pos"]) for a, b in zip(ours.orderBy("file", "pos").collect(), theirs.orderBy("file", "pos").collect()) if a["digest"] != b["digest"]}
     assert found == want and 20 < len(found) < 200
     assert R.archive(df.limit(0)).count() == 0
+
+
+def test_the_archive_is_stored_and_what_is_stored_is_audited(spark):
+    df = pages(spark, 1500)
+    stored = R.store(df)
+    assert stored.inputFiles() and dict(stored.dtypes)["payload"] == "binary"
+    files = {}
+    for r in stored.orderBy("file", "place").collect():
+        files[r["file"]] = files.get(r["file"], b"") + bytes(r["payload"])
+    listed = R.records(stored).collect()
+    for r in listed:
+        data = files[r["file"]][r["offset"] : r["offset"] + r["length"]]
+        assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n") and hashlib.sha256(data).hexdigest() == r["digest"]
+    assert sum(map(len, files.values())) == sum(r["length"] for r in listed) and len(listed) == df.count()
+    ours, place = R.records(stored).cache(), (F.col("file") == 1) & (F.col("place") == 100)
+    keys = {(r["file"], r["pos"]) for r in listed}
+    behind = {k for k in keys if k[0] == 1 and k[1] >= 100}
+    flipped = F.concat(F.expr("substring(payload, 1, octet_length(payload) - 5)"), F.lit(b"~"), F.expr("substring(payload, -4)"))
+    cut = F.expr("substring(payload, 1, octet_length(payload) - 1)")
+    for value, want in ((flipped, {(1, 100)}), (cut, behind)):
+        assert located(ours, R.records(stored.withColumn("payload", F.when(place, value).otherwise(F.col("payload"))))) == want
+    assert located(ours, R.records(stored.where(~place))) == behind
+
+
+def test_damaged_copies_of_every_kind(spark):
+    stored = R.store(pages(spark, 1500))
+    rows = {(r["file"], r["place"]): r for r in stored.collect()}
+    ours = R.records(stored).cache()
+    for kind in ("changed", "cut", "lost"):
+        theirs = R.damaged_copy(stored, **{"changed": None, kind: 40})
+        have = {(r["file"], r["place"]): bytes(r["payload"]) for r in theirs.collect()}
+        touched = {k for k, r in rows.items() if have.get(k) != bytes(r["payload"])}
+        assert 10 < len(touched) < 100
+        same = {k for k in touched if k in have and len(have[k]) == len(rows[k]["payload"])}
+        moved = {k: min((p for f, p in touched - same if f == k[0]), default=10**9) for k in rows}
+        assert bool(same) == (kind == "changed")
+        assert located(ours, R.records(theirs)) == touched | {k for k in rows if k[1] >= moved[k]}
+    for k, r in rows.items():
+        if r["page_id"] == 3:
+            head, body = bytes(r["payload"]).split(b"\r\n\r\n", 1)
+            got = R.damaged_copy(stored.where("page_id = 3"), changed=1).first()["payload"]
+            assert bytes(got) == head + b"\r\n\r\n?" + body[1:]
