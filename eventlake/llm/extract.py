@@ -14,7 +14,9 @@ even where a neighbour has them too: copies, quotations and recurring
 sentences inside an article are its text, and the article is to be whole. A
 neighbour with the very same lines is a copy, which says nothing about the
 template; the other neighbour is taken then, or none. If a page has an article,
-its text is the article's lines; otherwise the plain lines that are left.
+its text is the article's lines and what is left of the plain lines of sibling
+articles (a body may be split over several); otherwise the plain lines that are
+left. Siblings marked as comments, related or the like are chrome.
 
 Skew: only line hashes are sorted, by range over (host, path), so a host of any
 size spreads over all tasks. A task pairs the pages it holds; its first and
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm.common import materialise, small_batches, table
-from eventlake.llm.markup import ARTICLE, PLAIN, read_blocks
+from eventlake.llm.markup import ARTICLE, PLAIN, read_parts
 from eventlake.llm.urls import host_of, path_of
 
 #: Bits of alignment kept at once; longer pairs are halved first.
@@ -130,11 +132,12 @@ def read_pages(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
         for batch in batches:
             lines, plain, hashes = [], [], []
             for html in batch.column(3).to_pylist():
-                blocks = read_blocks(html)
-                text = ARTICLE if any(kind == ARTICLE for _, kind in blocks) else PLAIN
-                lines.append([{"at": i, "text": t} for i, (t, kind) in enumerate(blocks) if kind == text])
-                plain.append([i for i, (_, kind) in enumerate(blocks) if kind == text == PLAIN])
-                hashes.append(np.array([xxhash.xxh64_intdigest(t.encode()) for t, _ in blocks], np.uint64).view(np.int64))
+                blocks = read_parts(html)
+                whole = any(kind == ARTICLE for _, kind, _ in blocks)
+                kept = [kind == ARTICLE or kind == PLAIN and (beside or not whole) for _, kind, beside in blocks]
+                lines.append([{"at": i, "text": b[0]} for i, b in enumerate(blocks) if kept[i]])
+                plain.append([i for i, b in enumerate(blocks) if kept[i] and b[1] == PLAIN])
+                hashes.append(np.array([xxhash.xxh64_intdigest(b[0].encode()) for b in blocks], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(lines, line), pa.array(plain, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
                 names=schema.names)

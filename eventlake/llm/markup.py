@@ -157,14 +157,20 @@ class Page:
                 return
 
 
-def read_blocks(html: str | None) -> list[tuple[str, int]]:
-    """(text, kind) of the blocks of a page in page order. Where the page has
-    articles, the one with the most text is the article and what stands in
-    others is plain."""
+def read_parts(html: str | None) -> list[tuple[str, int, bool]]:
+    """(text, kind, beside) of the blocks of a page in page order. Where the
+    page has articles, the one with the most text is the article and what
+    stands in others is plain and ``beside`` it."""
     blocks = Page(html or "").blocks
     sizes: dict[int, int] = {}
     for text, kind, article in blocks:
         if kind == ARTICLE:
             sizes[article] = sizes.get(article, 0) + len(text)
     best = max(sizes, key=lambda a: (sizes[a], -a)) if sizes else 0
-    return [(text, PLAIN if kind == ARTICLE and article != best else kind) for text, kind, article in blocks]
+    other = [kind == ARTICLE and article != best for _, kind, article in blocks]
+    return [(text, PLAIN if beside else kind, beside) for (text, kind, _), beside in zip(blocks, other)]
+
+
+def read_blocks(html: str | None) -> list[tuple[str, int]]:
+    """(text, kind) of ``read_parts``."""
+    return [(text, kind) for text, kind, _ in read_parts(html)]

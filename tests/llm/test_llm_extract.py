@@ -138,3 +138,12 @@ def test_differencing_matches_brute_force(spark, partitions):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert X.extract(df).count() == 0
+
+
+def test_sibling_articles_are_differenced_and_not_dropped(spark):
+    page = lambda n: (
+        f"<div>Home | News</div><article><p>part one of {n}, the longest of all</p></article><article><p>part two of {n}</p></article>"
+        f"<article><p>Read our weekly letter</p></article><article class=related><p>other {n}</p></article>")
+    rows = [(1, "http://s.net/a/1", page("x")), (2, "http://s.net/a/2", page("y"))]
+    got = {r["page_id"]: r["text"] for r in X.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"part one of {n}, the longest of all\n\npart two of {n}" for i, n in ((1, "x"), (2, "y"))}
