@@ -44,6 +44,14 @@ def either_case(word: str) -> str:
 
 
 NAMES = "|".join([*map(either_case, ("password", "passwd", "secret", "token")), either_case("api") + "_?" + either_case("key")])
+PEM = "-----BEGIN ([A-Z ]*)PRIVATE KEY-----"
+#: Line ends of a key's text, also as strings escape them.
+ENDS = "(?:\\s|\\\\[rn])"
+#: A private key: up to the END line of its label before any other BEGIN line,
+#: or else its header and base64 lines.
+PRIVATE_KEY = (
+    PEM + "(?:(?:(?!-----BEGIN )[\\s\\S])*?-----END \\1PRIVATE KEY-----"
+    f"|(?:{ENDS}*(?:Proc-Type|DEK-Info):[^\\r\\n\\\\]*)*(?:(?:{ENDS}*[A-Za-z0-9+/]{{16,}}+={{0,2}})++(?:(?:\\r?\\n|(?:\\\\r)?\\\\n)[A-Za-z0-9+/]+={{0,2}}(?=[\\r\\n\\\\]|\\Z))?)?)")
 BASE = (
     Rule("assign", "(" + NAMES + ")[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
     Rule("access", "AKIA[A-Z0-9]+", 0, 16),
@@ -53,7 +61,7 @@ MORE = (
     Rule("github", "gh[opsu]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 20),
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    Rule("private_key", PRIVATE_KEY, 0, 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 
 SPAN = T.StructType([

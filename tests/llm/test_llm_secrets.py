@@ -69,3 +69,18 @@ def test_edge_rows(spark):
     assert [(r[0], r[1], [tuple(s) for s in r[2]]) for r in got if r[2]] == [
         (1, "mine-spans", [("assign", 0, 17)])] * 2 + [(None, "mine-spans", [("hex", 1, 33)])]
     assert len(got) == 5 and S.find_secrets(df.limit(0)).count() == 0
+
+
+def test_a_private_key_is_covered_whole():
+    scanner = S.Scanner(S.BASE + S.MORE, S.automaton(S.BASE + S.MORE))
+    body = "\n".join("Ab+/" * 16 for _ in range(4)) + "\nQUJD="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,00\n\n"
+    keys = [f"{begin}\n{body}\n{end}", f"{begin}\n{body[:-6]}", f"{begin}{head}{body}\n{end}", f"{begin}\r\n{body}", f"{begin}{head}{body}", begin,
+            (f"{begin}\n{body}\n{end}").replace("\n", "\\n"), f"{begin}\n{body}\n-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"]
+    for key in keys:
+        text = f"é see {key}\n\nand words after it"
+        got = "".join(text[s["start"] : s["end"]] for s in scanner.scan([text])["spans"][0] if s["kind"] == "private_key")
+        assert got == (key if key.count("BEGIN") == 1 else key.replace("\n-----BEGIN PRIV", "-----BEGIN PRIV")), key
+    many = (begin + " x ") * 50_000
+    assert len(scanner.scan([many])["spans"][0]) == 50_000
