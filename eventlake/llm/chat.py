@@ -69,8 +69,10 @@ class Mapping:
 
 MAPPINGS = (
     Mapping("row", ("role", "text"), row=("role", "text")),
-    Mapping("messages", ("messages[].role", "messages[].content"), items=("messages", "role", "content")),
-    Mapping("empty messages", ("messages[]",), items=("messages", "role", "content")),
+    Mapping("messages", ("messages[].role", "messages[].content"), ("messages[].name", "system", "id"),
+            turns=(("system", ("system",)),), items=("messages", "role", "content")),
+    Mapping("empty messages", ("messages[]",), ("system", "id"),
+            turns=(("system", ("system",)),), items=("messages", "role", "content")),
     Mapping("conversations", ("conversations[].from", "conversations[].value"), ("system", "id"),
             turns=(("system", ("system",)),), items=("conversations", "from", "value")),
     Mapping("prompt", ("prompt", "response"), ("system", "id"),
@@ -196,9 +198,10 @@ def format_records(df: DataFrame, keys: list[str], record_col: str = "record", m
 
 def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Per conversation, read back from the formatted turns in ``order``:
-    n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, and
+    n_unformatted: its records whose status is unknown or broken."""
     small_batches(turns.sparkSession)
-    rows = turns.where("formatted is not null").select(
+    rows = turns.where("formatted is not null or status in ('unknown', 'broken')").select(
         F.col(key).alias("key"), *(F.col(c) for c in order), "role", "text", "formatted", "loss_start", "loss_end")
     rows = rows.repartition("key").sortWithinPartitions("key", *order, "role", "text")
     rows = rows.select("key", "formatted", "loss_start", "loss_end")
@@ -206,7 +209,7 @@ def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
     schema = T.StructType([
         T.StructField(key, kind), T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()),
         T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()),
-        T.StructField("formatted_chars", T.LongType())])
+        T.StructField("formatted_chars", T.LongType()), T.StructField("n_unformatted", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -216,7 +219,7 @@ def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
         key = state = None
 
         def close() -> None:
-            done.append((key, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
+            done.append((key, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), *state[4:]))
 
         def batch_of() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)], names=names)
@@ -228,7 +231,10 @@ def digests(turns: DataFrame, key: str, order: list[str]) -> DataFrame:
                 if state is None or k != key:
                     if state:
                         close()
-                    key, state = k, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    key, state = k, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                if formatted is None:
+                    state[5] += 1
+                    continue
                 for role, text in parse_turns(formatted):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
@@ -261,7 +267,8 @@ def op3_chat(spark, sf_dir):
     extra = spark.range(1).select(
         F.lit(HOSTILE_ID).cast(turns.schema["conv_id"].dataType).alias("conv_id"),
         F.lit(0).cast(turns.schema["turn"].dataType).alias("turn"), F.lit(json.dumps(hostile)).alias("record"))
-    return digests(format_records(rows.unionByName(extra), ["conv_id", "turn"]), "conv_id", ["turn", "item"])
+    found = digests(format_records(rows.unionByName(extra), ["conv_id", "turn"]), "conv_id", ["turn", "item"])
+    return found.drop("n_unformatted")  # every record here has a known layout
 
 
 OP3_SQL = r"""

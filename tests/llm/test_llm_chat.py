@@ -65,3 +65,17 @@ def test_contract_query_on_edge_rows(spark, tmp_path):
 def test_contract_query_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     assert [r["conv_id"] for r in C.op3_chat(spark, str(tmp_path)).collect()] == [-7]
+
+
+def test_messages_with_optional_fields_and_unformatted_records(spark):
+    message = {"role": "user", "content": "q"}
+    records = [({"id": "x", "messages": [message]}, [("user", "q")]),
+               ({"messages": [message | {"name": "Ann"}, {"role": "gpt", "content": "a"}]}, [("user", "q"), ("assistant", "a")]),
+               ({"system": "s", "messages": [message]}, [("system", "s"), ("user", "q")]), ({"system": "s", "id": 1, "messages": []}, [("system", "s")])]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(records)] + [(0, "{"), (0, '{"other": 1}'), (9, None), (9, "[1]")]
+    turns = C.format_records(spark.createDataFrame(rows, "k long, record string"), ["k"])
+    found = turns.where("formatted is not null").orderBy("k", "item").collect()
+    for i, (_, want) in enumerate(records):
+        assert [(r["role"], r["text"]) for r in found if r["k"] == i] == want
+    got = {r["k"]: (r["n_turns"], r["n_unformatted"]) for r in C.digests(turns, "k", ["item"]).collect()}
+    assert got == {0: (1, 2), 1: (2, 0), 2: (2, 0), 3: (1, 0), 9: (0, 2)}
