@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from eventlake.llm.chat import OP3_SQL, op3_chat
+from eventlake.llm.counts import op12_counts
 from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
 from eventlake.llm.extract import op9_extract
 from eventlake.llm.mixing import op4_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op7_tokens": op7_tokens,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op12_counts": op12_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {

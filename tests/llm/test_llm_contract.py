@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9_extract": "page_id url text n_chars",
     "op10_warc": "file pos page_id offset length digest replica_digest",
+    "op12_counts": "doc_id n_bytes n_tokens over_limit",
 }
 ROWS = {"op1_urls": "pages", "op9_extract": "pages"}
 
