@@ -8,6 +8,7 @@ from eventlake.llm.decontaminate import OP2_SQL, op2_decontaminate
 from eventlake.llm.extract import op9_extract
 from eventlake.llm.mixing import op4_mixing
 from eventlake.llm.quality import op6_quality
+from eventlake.llm.repair import op13_repair
 from eventlake.llm.secrets import op8_secrets
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
@@ -26,6 +27,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op12_counts": op12_counts,
+    "op13_repair": op13_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
