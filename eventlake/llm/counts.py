@@ -7,13 +7,13 @@ is in no piece of two or more characters and that texts use as a separator
 (the line feed). ``Pieces`` derives both from the vocabulary and refuses one
 for which they don't hold.
 
-Documents are taken in blocks of an Arrow batch each. A block is a row of a
-table in the shared folder: its distinct pre-tokens, and per document the
-numbers and frequencies of those that it holds. Words therefore leave a block
-once, whatever their frequency, so a word that is in every document has a row
-per block: the hot keys are aggregated before any shuffle. Each distinct word
-of the corpus is counted by one task, the counts are joined back by word, and
-each block sums its documents.
+Documents are taken in blocks of about ``BLOCK_CHARS``. A block's frequencies
+stay together: a row of a written table has, document by document, the numbers
+and frequencies of its pre-tokens. Its distinct pre-tokens leave it once each,
+whatever their frequency, in one row per hash bucket; so a word that is in every
+document costs a row per block, and the hot keys are aggregated before any
+shuffle. A bucket's words meet in one task, sorted, where each distinct one is
+counted once; the counts go back to the blocks, which sum their documents.
 
 Null texts count as empty: no bytes and no tokens. Rows with a null or repeated
 id keep a row each; other columns are not read; an empty table gives no rows.
@@ -24,6 +24,7 @@ task.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +38,12 @@ from pyspark.sql import types as T
 from eventlake.llm.common import give_back, materialise, small_batches, table
 from eventlake.llm.vocab import PIECE, vocabulary
 
+#: Characters of a block of documents; what a task holds is a few times that.
+BLOCK_CHARS = 16 << 20
+#: Words counted at a time.
+WORDS_AT_ONCE = 100_000
+#: Hash buckets of words for every shuffle partition, so that these even out.
+BUCKETS_A_PARTITION = 4
 #: Tokens above which a document is reported as over the limit.
 TOKEN_LIMIT = 4096
 SPACE = "▁"
@@ -84,14 +91,27 @@ def smallest(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max())) if len(values) else np.uint8)
 
 
-def packed(values: np.ndarray) -> bytes:
-    """One byte of width, then the integers."""
+def packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Unsigned integers, compressed. Of ``ascending`` runs, as of the word
+    numbers of documents one after another, only the steps are kept."""
+    if ascending and len(values):
+        step = np.diff(values, prepend=0)
+        values = 2 * np.where(step < 0, values, step) + (step < 0)
     values = smallest(values)
-    return bytes([values.itemsize]) + values.tobytes()
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return bytes([values.itemsize]) + zlib.compress(planes.tobytes(), 1)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+def unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    values = np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.int64)
+    if not ascending or not len(values):
+        return values
+    # A run starts where the flag is set: there the sum starts anew.
+    new, step = values & 1 == 1, values >> 1
+    sums = np.cumsum(step)
+    before = np.where(new, sums - step, 0)
+    return sums - np.maximum.accumulate(before)
 
 
 def frequencies(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -106,40 +126,97 @@ def frequencies(texts: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarr
 
 
 def blocks(df: DataFrame, id_col: str, text_col: str, name: str, folder: str | None) -> DataFrame:
-    """The written table of blocks."""
+    """The written table of blocks: a row per block with its documents
+    (``words`` null), and a row per bucket of its words, the first of which has
+    the number ``first`` in the block's order of buckets."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    binary = T.BinaryType()
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())),
-        T.StructField("ids", T.ArrayType(rows.schema["id"].dataType)), T.StructField("n_bytes", T.ArrayType(T.LongType())),
-        T.StructField("distinct", binary), T.StructField("numbers", binary), T.StructField("times", binary),
-    ])
+    buckets = BUCKETS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = {
+        "block": T.LongType(), "bucket": T.IntegerType(), "first": T.IntegerType(), "words": T.ArrayType(T.StringType()),
+        "ids": T.ArrayType(rows.schema["id"].dataType), "n_bytes": T.ArrayType(T.LongType()),
+        "distinct": T.BinaryType(), "numbers": T.BinaryType(), "times": T.BinaryType(), "buckets": T.BinaryType(),
+    }
+    schema = T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
         cut = pieces(name, folder).pre_tokens
-        part = TaskContext.get().partitionId()
-        for seq, batch in enumerate(batches):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+        block = TaskContext.get().partitionId() << 32
+
+        def table(**columns) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+
+        def write(ids: list[pa.Array], texts: list[str]) -> Iterator[pa.RecordBatch]:
             words, distinct, numbers, times = frequencies([cut(t) for t in texts])
-            one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + seq], pa.int64()), one(pa.array(words, pa.string())), one(batch.column(0)),
-                 one(pa.array([len(t.encode()) for t in texts], pa.int64())),
-                 *(pa.array([packed(x)], pa.binary()) for x in (distinct, numbers, times))],
-                names=schema.names)
+            of = np.array([zlib.crc32(w.encode()) % buckets for w in words], np.int64)
+            order = np.argsort(of, kind="stable")
+            ends = np.cumsum(np.bincount(of, minlength=buckets)).tolist()
+            for at in range(0, buckets, 256):  # a few hundred buckets' words at a time
+                cuts = [(b, ends[b - 1] if b else 0, ends[b]) for b in range(at, min(at + 256, buckets))]
+                cuts = [c for c in cuts if c[1] < c[2]]
+                if cuts:
+                    yield table(block=[block] * len(cuts), bucket=[c[0] for c in cuts], first=[c[1] for c in cuts],
+                                words=[[words[i] for i in order[lo:hi]] for _, lo, hi in cuts])
+            yield table(block=[block], ids=[pa.concat_arrays(ids)], n_bytes=[[len(t.encode()) for t in texts]],
+                        distinct=[packed(distinct)], numbers=[packed(numbers, True)], times=[packed(times)], buckets=[packed(of)])
+
+        ids: list[pa.Array] = []
+        texts: list[str] = []
+        chars = 0
+        for batch in batches:
+            ids.append(batch.column(0))
+            texts += [t or "" for t in batch.column(1).to_pylist()]
+            chars += sum(map(len, texts[-batch.num_rows :])) if batch.num_rows else 0
+            if chars >= BLOCK_CHARS:
+                yield from write(ids, texts)
+                ids, texts, chars, block = [], [], 0, block + 1
+        if texts:
+            yield from write(ids, texts)
         give_back()
 
     return materialise(rows.mapInArrow(run, schema), "count-blocks")
 
 
 def count_pieces(words: DataFrame, name: str, folder: str | None) -> DataFrame:
-    """(word, pieces) of a column of distinct words."""
+    """(of_block, places, pieces) of (block, place, word) rows, in which equal
+    words stand together: each distinct word is counted once. A row holds the
+    counts of one block among ``WORDS_AT_ONCE`` rows."""
+    schema = "of_block long, places binary, pieces binary"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(name, folder)
+        last: tuple[str | None, int] = (None, 0)
+
+        def count(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            nonlocal last
+            block, place = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+            words = [w for b in held for w in b.column(2).to_pylist()]
+            new = np.array([a != b for a, b in zip(words, [last[0], *words])], bool)
+            counts = np.array([last[1], *model.count([words[i] for i in np.flatnonzero(new)])], np.int64)[np.cumsum(new)]
+            last = (words[-1], int(counts[-1]))
+            order = np.lexsort((place, block))
+            block, place, counts = block[order], place[order], counts[order]
+            owners, starts = np.unique(block, return_index=True)
+            cuts = list(zip(starts.tolist(), [*starts.tolist()[1:], len(block)]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(owners), pa.array([packed(place[a:b], True) for a, b in cuts], pa.binary()),
+                 pa.array([packed(counts[a:b]) for a, b in cuts], pa.binary())], names=["of_block", "places", "pieces"])
+
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            counts = pieces(name, folder).count(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["word", "pieces"])
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= WORDS_AT_ONCE or sum(b.nbytes for b in held) >= BLOCK_CHARS:
+                yield count(held)
+                held = []
+        if held:
+            yield count(held)
 
-    return words.mapInArrow(run, "word string, pieces long")
+    return words.mapInArrow(run, schema)
 
 
 def token_counts(
@@ -148,29 +225,36 @@ def token_counts(
 ) -> DataFrame:
     """(``id_col``, n_bytes, n_tokens, over_limit) of every row of ``df``."""
     small_batches(df.sparkSession)
-    held = blocks(df, id_col, text_col, name, folder)
-    words = held.select("block", F.posexplode("words").alias("place", "word"))
-    counted = count_pieces(words.select("word").distinct(), name, folder)
-    found = words.join(counted, "word").select(F.col("block").alias("of_block"), "place", "pieces")
+    written = blocks(df, id_col, text_col, name, folder)
+    # A bucket's rows meet by its number and are cut into words only there.
+    met = written.where("words IS NOT NULL").select("block", "bucket", "first", "words").repartition("bucket")
+    words = met.select("block", "first", F.posexplode("words").alias("at", "word"))
+    words = words.select("block", (F.col("first") + F.col("at")).alias("place"), "word").sortWithinPartitions("word")
+    found = count_pieces(words, name, folder)
+    documents = written.where("words IS NULL").drop("bucket", "first", "words")
     schema = T.StructType([
-        T.StructField(id_col, held.schema["ids"].dataType.elementType), T.StructField("n_bytes", T.LongType()),
+        T.StructField(id_col, written.schema["ids"].dataType.elementType), T.StructField("n_bytes", T.LongType()),
         T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType()),
     ])
 
     def add(block: pa.Table, counted: pa.Table) -> pa.Table:
         """The documents of one block: times x pieces, summed by document."""
-        of = np.zeros(counted.num_rows, np.int64)
-        of[counted.column("place").to_numpy()] = counted.column("pieces").to_numpy()
         row = block.combine_chunks()
-        distinct, numbers, times = (unpacked(row.column(c)[0].as_py()).astype(np.int64) for c in ("distinct", "numbers", "times"))
-        sums = np.concatenate([[0], np.cumsum(of[numbers] * times)])
+        of = unpacked(row.column("buckets")[0].as_py())
+        placed = np.zeros(len(of), np.int64)
+        for places, counts in zip(counted.column("places").to_pylist(), counted.column("pieces").to_pylist()):
+            placed[unpacked(places, True)] = unpacked(counts)
+        by_word = np.empty_like(placed)
+        by_word[np.argsort(of, kind="stable")] = placed
+        numbers = unpacked(row.column("numbers")[0].as_py(), True)
+        distinct, times = (unpacked(row.column(c)[0].as_py()) for c in ("distinct", "times"))
+        sums = np.concatenate([[0], np.cumsum(by_word[numbers] * times)])
         ends = np.cumsum(distinct)
         tokens = sums[ends] - sums[ends - distinct]
         ids, n_bytes = (row.column(c).chunk(0).flatten() for c in ("ids", "n_bytes"))
         return pa.Table.from_arrays([ids, n_bytes, pa.array(tokens), pa.array(tokens > limit)], names=schema.names)
 
-    by_block = held.drop("words").groupBy("block").cogroup(found.groupBy("of_block"))
-    return by_block.applyInArrow(add, schema)
+    return documents.groupBy("block").cogroup(found.groupBy("of_block")).applyInArrow(add, schema)
 
 
 def op12_counts(spark, sf_dir):
