@@ -13,6 +13,7 @@ from eventlake.llm.secrets import op8_secrets
 from eventlake.llm.simhash import op5_simhash
 from eventlake.llm.tokens import op7_tokens
 from eventlake.llm.urls import OP1_SQL, op1_urls
+from eventlake.llm.variants import op11_variants
 from eventlake.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op12_counts": op12_counts,
     "op13_repair": op13_repair,
+    "op11_variants": op11_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {

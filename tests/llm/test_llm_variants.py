@@ -1,0 +1,114 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from llm_rows import LONG, TEXTS, clash, docs
+
+from eventlake.llm import variants as V
+
+
+def plain_counts(rows, typo=31):
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if typo and h % typo == 0:
+                at = h % len(word)
+                word = word[:at] + word[at + 1 :]
+            n[word] += 1
+    return {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+
+
+def one_edit(x, y):
+    """By trying every deletion and replacement, not by prefix and suffix."""
+    if len(x) > len(y):
+        x, y = y, x
+    if len(x) == len(y):
+        return sum(a != b for a, b in zip(x, y)) == 1
+    return len(x) + 1 == len(y) and any(y[:i] + y[i + 1 :] == x for i in range(len(y)))
+
+
+def plain_variants(n):
+    """All pairs."""
+    words = sorted(n)
+    near = {w: [v for v in words if abs(len(v) - len(w)) < 2 and v != w and one_edit(w, v)] for w in words}
+    form = {}
+    for w in words:
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] is not None else None))
+    return out
+
+
+def hostile_words():
+    """Families of edits, doubled letters, one long shared prefix, other scripts' lengths."""
+    rnd = random.Random(8)
+    words = {}
+    for base in ("because", "aaaaaaa", "aaaaaaaa", "abababab", "éèàçôûï", "government", "x" * 40, "prefixed" + "y" * 400):
+        words[base] = rnd.randint(1, 4000)
+        for _ in range(40):
+            w = base
+            for _ in range(rnd.randint(1, 2)):
+                i, c = rnd.randrange(len(w) + 1), rnd.choice("abxyéz")
+                w = rnd.choice([w[:i] + c + w[i:], w[:i] + w[i + 1 :], w[:i] + c + w[i + 1 :]])
+            if len(w) >= 7:
+                words[w] = rnd.choice([2, 2, 3, 30, 400])
+    for a in "abcdefgh":  # one group of single places: all near each other
+        words[f"sameword{a}"] = rnd.randint(2, 90)
+        words[f"samewor{a}d"] = rnd.randint(2, 90)
+    return words
+
+
+@pytest.mark.parametrize("group_words,intervals,rows,cells", [
+    (V.GROUP_WORDS, V.INTERVALS, V.BLOCK_ROWS, V.BLOCK_CELLS), (3, 1, 4, 60), (1, 4, 2, 1 << 15), (20, 3, 7, 200)])
+def test_variants_against_all_pairs(spark, monkeypatch, group_words, intervals, rows, cells):
+    monkeypatch.setattr(V, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(V, "BLOCK_CELLS", cells)
+    words = hostile_words()
+    df = spark.createDataFrame(list(words.items()), "word string, n long").repartition(3)
+    got = V.spelling_variants(clash(df, "L", "best", "root"), group_words=group_words, intervals=intervals)
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert sorted(map(tuple, got.collect())) == plain_variants(words)
+
+
+def test_large_groups_are_halved_and_pairs_counted_once(spark):
+    words = {"shared" * 3 + f"{a}{b}{c}": 2 for a in "abcdefghi" for b in "abcdefghi" for c in "abcdefghi"}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    sizes = V.groups(df, group_words=50).groupBy("L", "a", "b", "h").count()
+    assert sizes.where("b - a > 1").selectExpr("max(count)").first()[0] <= 50
+    assert {r["n_near"] for r in V.near_words(df, group_words=50).collect()} == {24}
+
+
+def test_chains_of_forms(spark):
+    words = {"abcdefgh": 2, "abcdefghi": 20, "abcdefghij": 200, "abcdefghijk": 2000, "abcdefghijkl": 20_000, "abcdefghijklm": 200_000}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    got = sorted(map(tuple, V.spelling_variants(df).collect()))
+    assert got == plain_variants(words) and {r[2] for r in got} == {"abcdefghijklm"}
+
+
+@pytest.mark.parametrize("typo", [31, 2, None])
+def test_counts_of_words(spark, typo):
+    rows = [*TEXTS, (20, "Straßenbahn straßenbahn STRASSENBAHN ÉCOLIERS écoliers×÷ÿ Wordword wordword", "de", "a"),
+            (21, "x" * 100_000 + " " + "x" * 100_000, "xx", "a"), (22, "repeated-repeated_repeated9repeated", "en", "a")]
+    df = clash(docs(spark, rows), "word", "run", "h", "n", "id").repartition(4)
+    got = {r["word"]: r["n"] for r in V.word_counts(df, typo=typo).collect()}
+    assert got == plain_counts([(r[0], r[1]) for r in rows], typo)
+
+
+def test_query_over_a_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, V.op11_variants(spark, "/root/testdata/sf0.001").collect()))
+    assert got == plain_variants(plain_counts(rows))
+    assert any(r[1] for r in got) and len(LONG) > 1000
+
+
+def test_empty_table(spark):
+    assert V.spelling_variants(V.word_counts(docs(spark).limit(0))).count() == 0
