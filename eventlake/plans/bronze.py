@@ -23,6 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from eventlake import schema as S
 from eventlake.operators.classify import classify
 from eventlake.operators.dedupe import first_arrival
 from eventlake.operators.merge import insert_ignore
@@ -91,15 +92,19 @@ def ingest_batch(
     staging = wh.attempt("bronze/_staging")
     parsed = classify(spread(raw)).withColumn("ingested_at", ts)
     seen = Observation(f"bronze_in_{uuid.uuid4().hex[:12]}")
+    # The buckets of the batch's ids are learnt from the pass that parses it.
+    width = wh.bronze_ids.width(wh.bronze_state().get("ids", []))
     parsed.observe(seen, F.count(F.lit(1)).alias("fetched"),
-                   F.count_if(F.col("reject_reason").isNotNull()).alias("errors")).write.parquet(staging)
+                   F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
+                   wh.bronze_ids.touched(width).alias("touched")).write.parquet(staging)
     fetched, errors = int(seen.get["fetched"]), int(seen.get["errors"])
+    touched = (seen.get["touched"], width)
     lines = spark.read.schema(parsed.schema).parquet(staging)
     try:
         while True:
             state = wh.bronze_state()
             try:
-                return _commit(wh, lines, fetched, errors, state, ts, arrival, batch_id, stream)
+                return _commit(wh, lines, fetched, errors, state, ts, arrival, batch_id, stream, touched)
             except CommitConflict:
                 if (known := committed_report(wh, batch_id, stream)) is not None:
                     return known
@@ -107,7 +112,8 @@ def ingest_batch(
         wh.fs.delete(staging)
 
 
-def _commit(wh: Warehouse, lines: DataFrame, fetched: int, errors: int, state: dict, ts, arrival, label, stream) -> dict:
+def _commit(wh: Warehouse, lines: DataFrame, fetched: int, errors: int, state: dict, ts, arrival, label, stream,
+            touched: tuple[list[int], int]) -> dict:
     """Write the batch that follows ``state`` and commit it."""
     spark = wh.spark
     n = state["batch_id"] + 1
@@ -121,28 +127,34 @@ def _commit(wh: Warehouse, lines: DataFrame, fetched: int, errors: int, state: d
             F.lit(n).alias("batch_id"),
         ).write.parquet(paths["dead_letter_queue"])
 
-    def write_raw() -> int:
+    known = wh.bronze_ids.entries(state, [wh.bronze_events(state=state)])
+
+    def write_raw() -> tuple[int, list[dict]]:
         accepted = lines.filter(F.col("reject_reason").isNull())
         first = first_arrival(accepted, "event_id", list(arrival))
-        if state["raw_events"]:
-            first = insert_ignore(wh.bronze_events(state=state), first, ["event_id"], key_source=accepted)
+        if known:
+            first = insert_ignore(wh.bronze_ids.stored(known, *touched), first, ["event_id"], key_source=accepted)
         wrote = Observation(f"bronze_out_{uuid.uuid4().hex[:12]}")
         (first.select("event_id", "event_type", "full_json", "ingested_at", F.lit(n).alias("batch_id"))
          .sortWithinPartitions("event_id")
          .observe(wrote, F.count(F.lit(1)).alias("inserted"))
          .write.option("parquet.bloom.filter.enabled#event_id", "true").parquet(paths["raw_events"]))
-        return int(wrote.get["inserted"])
+        inserted = int(wrote.get["inserted"])
+        if not inserted:
+            return 0, known
+        stored = spark.read.schema(S.BRONZE_RAW_EVENTS).parquet(paths["raw_events"])
+        return inserted, [*known, wh.bronze_ids.write(stored, inserted, n)]
 
     jobs = {"raw events": write_raw}
     if errors:
         jobs["dead letters"] = write_rejects
-    inserted = run_concurrently(spark, f"bronze {n}", jobs)["raw events"]
+    inserted, ids = run_concurrently(spark, f"bronze {n}", jobs)["raw events"]
     report = dict(zip(REPORT, (n, fetched, inserted, fetched - errors - inserted, errors)))
     describe(spark, f"bronze {n}: report")
     spark.createDataFrame([(*(report[c] for c in REPORT[1:]), None, n)], BATCH_REPORTS).withColumn(
         "ingested_at", ts).write.parquet(paths["batch_reports"])
     rows = {"raw_events": inserted, "dead_letter_queue": errors, "batch_reports": 1}
-    record = {**state, "batch_id": n, "report": report, "label": None if label is None else str(label),
+    record = {**state, "batch_id": n, "report": report, "ids": ids, "label": None if label is None else str(label),
               "stream": None if stream is None else list(stream)}
     for table, count in rows.items():
         if count:
@@ -157,11 +169,20 @@ def _commit(wh: Warehouse, lines: DataFrame, fetched: int, errors: int, state: d
 
 
 def backlog(wh: Warehouse, silver_upto: int | None = None) -> DataFrame:
-    """JOIN-1 / H-2: bronze rows that silver has neither loaded nor rejected.
+    """JOIN-1 / H-2: bronze rows that silver has neither loaded nor rejected,
+    as ``(batch_id, event_id)``.
 
-    A NOT EXISTS anti-join on event_id over the full tables; both sides are
-    narrowed to the id column first. Returns ``(batch_id, event_id)``.
+    Batches are numbered without gaps and a silver run takes all of those above
+    the mark of the run before, so the backlog is what lies above the mark: its
+    batches are read and nothing else. ``unprocessed`` checks it row by row.
     """
+    mark = wh.silver_state()["bronze_batch"] if silver_upto is None else wh.silver_mark(silver_upto)
+    return wh.bronze_events(after=mark).select("batch_id", "event_id")
+
+
+def unprocessed(wh: Warehouse, silver_upto: int | None = None) -> DataFrame:
+    """The backlog as a NOT EXISTS anti-join on event_id over the whole tables,
+    both narrowed to the id column first: a check of the marks."""
     bronze = wh.bronze_events().select("batch_id", "event_id")
     done = wh.silver_events(silver_upto).select("event_id").unionByName(
         wh.silver_rejects(silver_upto).select("event_id"))

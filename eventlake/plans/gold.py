@@ -13,7 +13,8 @@ script run:
 4. dim_event_types: auto-discovery of the batch's types (the same result
    as scanning the whole view, see the step; one column, partially
    aggregated);
-5. facts: batch rows, one per event_id, whose id is not published under any date;
+5. facts: batch rows, one per event_id, whose id is not published under any
+   date, which the id index tells from the buckets the batch touches;
 6. all are written to folders of this attempt; constraint checks run on what
    was written; only then the commit record is written, which names them.
 
@@ -36,11 +37,12 @@ from eventlake import schema as S
 from eventlake.functions.rules import owner_project_sql
 from eventlake.operators import validate as V
 from eventlake.operators.conform import conform
-from eventlake.operators.dedupe import first_per_key, latest_by_key
+from eventlake.operators.dedupe import latest_by_key
 from eventlake.operators.merge import (
     ACTION, KEEP, insert_ignore, insert_new_types, seed_upsert, upsert_if_newer,
 )
 from eventlake.plans.concurrent import run_concurrently
+from eventlake.plans.ids import only_new
 from eventlake.plans.silver import _as_datetime
 from eventlake.plans.warehouse import DIM_BUCKETS, DIM_KEYS, DIM_TABLES, RUN_ID, Warehouse, lit_ts
 from eventlake.session import describe
@@ -102,7 +104,7 @@ def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = Fal
         **{n: (lambda n=n: _write_buckets(wh, n, rows[n], sizes[n], [])[0]) for n in rows}})
     wh.gold_log.commit(None, {
         "run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0, "dim_date": calendar, "buckets": sizes,
-        "dims": {n: out[n] for n in rows}, "fact_events": [],
+        "dims": {n: out[n] for n in rows}, "fact_events": [], "ids": [],
         "run_metrics": [{"path": metrics, "id": 0, "rows": 1}]})
     return True
 
@@ -232,8 +234,8 @@ def run_gold(
     The batch is not cached: every consumer re-reads only the new silver runs
     with its own column pruning and the pushed watermark filter (types need
     one column, actors four), which keeps a large daily batch out of executor
-    memory. It is read five times: once for each of the four tables and, for
-    the ids alone, by the facts' insert-ignore.
+    memory. It is read six times: once for each of the four tables and, for
+    the ids alone, twice by the facts' insert-ignore.
     """
     t_total = time.perf_counter()
     hook = on_step or (lambda _name: None)
@@ -283,13 +285,13 @@ def run_gold(
         return _write_buckets(wh, "dim_event_types", types, state["buckets"]["dim_event_types"], state["dims"]["dim_event_types"])
 
     facts_path = wh.attempt("gold/fact_events")
+    known = wh.fact_ids.entries(state, [wh.facts(state)])
 
     def load_facts() -> dict:
         named = batch.withColumn("long_name", F.greatest(*(
             F.coalesce(F.length(c) > n, F.lit(False)) for c, n in S.GOLD_LENGTH_LIMITS.items())))
-        once = first_per_key(named, ["event_id"], ["processed_at ASC", "event_time ASC"])
-        if state["fact_events"]:
-            once = insert_ignore(wh.facts(state), once, ["event_id"], key_source=batch)
+        staged = wh.attempt("gold/_new")
+        once = only_new(wh.fact_ids, known, named, staged, ["processed_at ASC", "event_time ASC"])
         new = fact_rows(once, now_col, ("long_name",)).withColumn("run_id", F.lit(run_id))
         new = new.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
         seen = _write(new.select(*FACT_COLUMNS, "run_id", "long_name"), facts_path, [
@@ -303,7 +305,11 @@ def run_gold(
             F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
         ], partition_by="date_id")
-        return seen
+        wh.fs.delete(staged)
+        if not seen["inserted"]:
+            return {**seen, "ids": known}
+        stored = spark.read.schema(S.FACT_EVENTS).option("basePath", facts_path).parquet(facts_path)
+        return {**seen, "ids": [*known, wh.fact_ids.write(stored, int(seen["inserted"]), run_id)]}
 
     # The four staged writes are independent Spark jobs over the new silver
     # runs; submitting them together overlaps their scheduling latency and
@@ -317,7 +323,7 @@ def run_gold(
     (actors, a), (repos, r), (types, ty), f = out["actors"], out["repos"], out["types"], out["facts"]
     inserted = int(f.get("inserted") or 0)
 
-    record = {**state, "run_id": run_id, "silver_run": silver_run,
+    record = {**state, "run_id": run_id, "silver_run": silver_run, "ids": f["ids"],
               "dims": {"dim_actors": actors, "dim_repos": repos, "dim_event_types": types}}
     if inserted:
         record["fact_events"] = [*state["fact_events"], {"path": facts_path, "id": run_id, "rows": inserted}]

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from eventlake.plans.gold import run_gold
+from pyspark.sql import DataFrame
+
+from eventlake import schema as S
+from eventlake.plans.gold import RUN_METRICS, run_gold
 from eventlake.plans.silver import run_silver
-from eventlake.plans.storage import CommitConflict
-from eventlake.plans.warehouse import Warehouse
+from eventlake.plans.storage import CommitConflict, CommitLog
+from eventlake.plans.tiers import FANOUT, due, merged_entry, put, tier
+from eventlake.plans.warehouse import BATCH_ID, BATCH_REPORTS, RUN_ID, SILVER_REJECTS, Warehouse, with_fields
+
+RAW_EVENTS, DEAD_LETTERS = with_fields(S.BRONZE_RAW_EVENTS, BATCH_ID), with_fields(S.BRONZE_DEAD_LETTER, BATCH_ID)
+SILVER_EVENTS, FACTS, RUN_METRIC_ROWS = (with_fields(x, RUN_ID) for x in (S.SILVER_EVENTS, S.FACT_EVENTS, RUN_METRICS))
 
 
 def run_pipeline(wh: Warehouse, now: dt.datetime | str,
@@ -15,11 +23,12 @@ def run_pipeline(wh: Warehouse, now: dt.datetime | str,
     """Silver, then gold only if silver succeeded (an exception stops it).
 
     Meant for a scheduler (cron, an orchestrator, or a ``foreachBatch`` of a
-    stream over bronze); the streaming bronze ingest runs independently.
+    stream over bronze); the streaming bronze ingest runs independently. Folders
+    whose tier is full are merged afterwards.
     """
     silver = run_silver(wh, now)
     gold = run_gold(wh, gold_now or now)
-    return {"silver": silver, "gold": gold}
+    return {"silver": silver, "gold": gold, "merged": merge_tiers(wh)}
 
 
 def vacuum(wh: Warehouse, keep_runs: int = 2) -> list[str]:
@@ -44,51 +53,87 @@ def vacuum(wh: Warehouse, keep_runs: int = 2) -> list[str]:
     return removed
 
 
-def compact(wh: Warehouse) -> dict[str, int]:
-    """Merge the folders of every append-only table into one each, so that
-    records stay short and readers list few folders. Readers of older records
-    keep their folders; nothing is deleted here. Returns folders merged.
+def _tables(wh: Warehouse) -> dict[str, tuple[CommitLog, dict[str, Callable[[list[dict]], DataFrame]]]]:
+    """The append-only tables of each layer, with readers of some of their folders."""
+    read = lambda base, schema: lambda entries: wh._read(base, schema, entries)
+    return {
+        "bronze": (wh.bronze_log, {"raw_events": read("bronze/raw_events", RAW_EVENTS), "batch_reports": read("bronze/batch_reports", BATCH_REPORTS),
+                                   "dead_letter_queue": read("bronze/dead_letter_queue", DEAD_LETTERS), "ids": wh.bronze_ids.all}),
+        "silver": (wh.silver_log, {"events": read("silver/events", SILVER_EVENTS), "rejects": read("silver/rejects", SILVER_REJECTS),
+                                   "ids": wh.silver_ids.all}),
+        "gold": (wh.gold_log, {"fact_events": read("gold/fact_events", FACTS), "run_metrics": read("gold/run_metrics", RUN_METRIC_ROWS),
+                               "ids": wh.fact_ids.all}),
+    }
+
+
+def _merge(wh: Warehouse, layer: str, table: str, rows: DataFrame, old: list[dict], level: int) -> dict:
+    """Write the rows of some folders as one.
 
     Bronze is written in order of event_id and facts by date, so the statistics
-    of files and row groups tell where an id or a date can be. Commits made
-    meanwhile are kept: on a conflict the merged part replaces the same
-    entries of the newer record.
+    of files and row groups tell where an id or a date can be; ids go to the
+    buckets that their number asks for.
+    """
+    if table == "ids":
+        index = {"bronze": wh.bronze_ids, "silver": wh.silver_ids, "gold": wh.fact_ids}[layer]
+        made = index.write(rows, sum(e["rows"] for e in old), old[-1]["id"])
+        return {**made, **merged_entry(old, made["path"], level)}
+    path = wh.attempt(f"{layer}/{table}")
+    if table == "raw_events":
+        rows = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
+        rows.write.option("parquet.bloom.filter.enabled#event_id", "true").parquet(path)
+    elif table == "fact_events":
+        rows.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time").write.partitionBy("date_id").parquet(path)
+    else:
+        rows.write.parquet(path)
+    return merged_entry(old, path, level)
+
+
+def _replace(wh: Warehouse, choose: Callable[[list[dict]], tuple[int, int] | None]) -> dict[str, int]:
+    """Merge, in every append-only table, the entries from the place that
+    ``choose`` gives on, into one of the tier it gives. Returns the folders
+    merged by table.
+
+    Readers of older records keep their folders; nothing is deleted here.
+    Commits made meanwhile are kept: on a conflict the merged part replaces the
+    same entries of the newer record, and is dropped if these are gone, as
+    another merge has taken some of them.
     """
     merged = {}
-    plan = {
-        "bronze": (wh.bronze_log, {"raw_events": "bronze/raw_events", "dead_letter_queue": "bronze/dead_letter_queue",
-                                   "batch_reports": "bronze/batch_reports"}),
-        "silver": (wh.silver_log, {"events": "silver/events", "rejects": "silver/rejects"}),
-        "gold": (wh.gold_log, {"fact_events": "gold/fact_events", "run_metrics": "gold/run_metrics"}),
-    }
-    readers = {"raw_events": wh.bronze_events, "dead_letter_queue": wh.dead_letters, "batch_reports": wh.bronze_reports,
-               "events": wh.silver_events, "rejects": wh.silver_rejects, "fact_events": wh.facts, "run_metrics": wh.run_metrics}
-    for log, tables in plan.values():
+    for layer, (log, tables) in _tables(wh).items():
         state = log.latest()
         if state is None:
             continue
-        new = {}
-        for table, base in tables.items():
-            entries = state[table]
-            if len(entries) < 2:
+        new: dict[str, tuple[list[dict], dict]] = {}
+        for table, read in tables.items():
+            entries = state.get(table, [])
+            chosen = choose(entries)
+            if chosen is None or len(entries) - chosen[0] < 2:
                 continue
-            path, rows = wh.attempt(base), readers[table]()
-            if table == "raw_events":
-                rows = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
-            elif table == "fact_events":
-                rows = rows.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time")
-            writer = rows.write.option("parquet.bloom.filter.enabled#event_id", "true") if table == "raw_events" else rows.write
-            (writer.partitionBy("date_id") if table == "fact_events" else writer).parquet(path)
-            new[table] = {"path": path, "id": entries[-1]["id"], "first": entries[0].get("first", entries[0]["id"]),
-                          "rows": sum(e["rows"] for e in entries)}
-            merged[base] = len(entries)
+            old = entries[chosen[0] :]
+            new[table] = (old, _merge(wh, layer, table, read(old), old, chosen[1]))
         while new:
             latest = log.latest()
-            record = {**latest, **{t: [e, *(x for x in latest[t] if x["id"] > e["id"])] for t, e in new.items()}}
-            try:
-                log.commit(latest, record)
+            lists = {t: put(latest[t], old, e) for t, (old, e) in new.items()}
+            new = {t: x for t, x in new.items() if lists[t] is not None}
+            if not new:
                 break
+            try:
+                log.commit(latest, {**latest, **{t: lists[t] for t in new}})
             except CommitConflict:
                 continue
+            merged |= {f"{layer}/{t}": len(old) for t, (old, _) in new.items()}
+            break
     return merged
 
+
+def merge_tiers(wh: Warehouse, fanout: int = FANOUT) -> dict[str, int]:
+    """Keep every table's list of folders short (``plans/tiers.py``): cheap to
+    call after each run, as it does nothing until ``fanout`` folders of a tier
+    are there, and a row is rewritten once per tier only."""
+    return _replace(wh, lambda entries: due(entries, fanout))
+
+
+def compact(wh: Warehouse) -> dict[str, int]:
+    """Merge the folders of every append-only table into one each, whatever
+    their tiers: a full rewrite, for a table that is to be read often or kept."""
+    return _replace(wh, lambda entries: (0, max(tier(e) for e in entries) + 1) if len(entries) > 1 else None)

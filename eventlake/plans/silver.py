@@ -3,8 +3,8 @@
 A run reads every bronze batch above the mark of the last committed run (batch
 numbers are dense and committed in order, so none is left behind), extracts
 the typed columns, keeps the first row of an event_id and only ids that silver
-has neither loaded nor rejected, and writes events and rejects to folders of
-its own attempt. Then it commits one record. A failed run commits nothing, and
+has neither loaded nor rejected (by its id index), and writes events, rejects
+and their ids to folders of its own attempt. Then it commits one record. A failed run commits nothing, and
 its retry reads the same batches.
 """
 
@@ -12,14 +12,15 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventlake import schema as S
-from eventlake.operators.dedupe import first_per_key
 from eventlake.operators.extract import extract
 from eventlake.operators.parallel import spread
+from eventlake.plans.ids import only_new
 from eventlake.plans.warehouse import Warehouse, lit_ts
 from eventlake.session import describe
 
@@ -32,29 +33,6 @@ def _as_datetime(value) -> dt.datetime:
     return dt.datetime.fromisoformat(str(value)).replace(tzinfo=dt.timezone.utc)
 
 
-def new_rows(wh: Warehouse, bronze: DataFrame, state: dict, staging: str) -> DataFrame:
-    """Insert-or-ignore on the stored key (DED-2): the bronze rows whose id
-    silver has neither loaded nor rejected, the first one of each id.
-
-    Only ids are compared. Those to leave out and those that repeat (neither
-    of which bronze lets through as a rule) are written to ``staging``, so the
-    planner knows how few they are and joins the wide rows without a shuffle.
-    """
-    ids = bronze.select("event_id")
-    out = ids.groupBy("event_id").count().where("count > 1").select("event_id", F.lit("repeated").alias("why"))
-    if state["events"] or state["rejects"]:
-        done = wh.silver_events().select("event_id").unionByName(wh.silver_rejects().select("event_id"))
-        out = out.unionByName(done.join(ids, "event_id", "left_semi").distinct().withColumn("why", F.lit("done")))
-    out.write.parquet(staging)
-    out = wh.spark.read.schema(out.schema).parquet(staging)
-    done, repeated = (out.where(f"why = '{why}'").select("event_id") for why in ("done", "repeated"))
-    rows = spread(bronze).join(done, "event_id", "left_anti")
-    if repeated.isEmpty():
-        return rows
-    first = first_per_key(rows.join(repeated, "event_id", "left_semi"), ["event_id"], ["batch_id ASC", "ingested_at ASC"])
-    return rows.join(repeated, "event_id", "left_anti").unionByName(first)
-
-
 def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
     """Process the bronze backlog once. ``now`` stamps ``processed_at`` and
     must be later than the previous run's, which keeps gold's strict
@@ -71,7 +49,8 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
     bronze = wh.bronze_events(after=state["bronze_batch"], state=bronze_state)
     paths = {t: wh.attempt(f"silver/{t}") for t in ("events", "rejects")}
     staging = wh.attempt("silver/_staging")
-    new = new_rows(wh, bronze, state, staging)
+    known = wh.silver_ids.entries(state, [wh.silver_events(), wh.silver_rejects()])
+    new = only_new(wh.silver_ids, known, spread(bronze), staging, ["batch_id ASC", "ingested_at ASC"])
     # Not cached: the rejects are a second consumer only when a row was
     # rejected (rare), and then they are recomputed from the bronze batch.
     # The observe() node also keeps Catalyst from pushing the accept filter
@@ -91,8 +70,13 @@ def run_silver(wh: Warehouse, now: dt.datetime | str) -> dict:
         rows.filter(F.col("silver_reject_reason").isNotNull()).select(
             F.col("stored_id").alias("event_id"), F.col("silver_reject_reason").alias("reason"),
             "batch_id", "processed_at", "run_id").write.parquet(paths["rejects"])
+    written = [wh.spark.read.schema(S.SILVER_EVENTS).parquet(paths["events"]).select("event_id")]
+    if rejected:
+        written.append(wh.spark.read.schema("event_id string").parquet(paths["rejects"]))
+    if loaded + rejected:
+        known = [*known, wh.silver_ids.write(reduce(DataFrame.unionByName, written), loaded + rejected, run_id)]
     wh.fs.delete(staging)
-    record = {**state, "run_id": run_id, "bronze_batch": bronze_state["batch_id"],
+    record = {**state, "run_id": run_id, "ids": known, "bronze_batch": bronze_state["batch_id"],
               "processed_at": now_dt.strftime("%Y-%m-%d %H:%M:%S.%f")}
     for table, count in (("events", loaded), ("rejects", rejected)):
         if count:

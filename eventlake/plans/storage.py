@@ -107,11 +107,13 @@ class CommitLog:
         return json.loads(self.fs.read_text(self._file(n)))
 
     def of_run(self, run_id: int) -> dict:
-        """The first record of a run; a record's number is never below its run's."""
-        n = run_id
-        while (record := self.get(n))["run_id"] < run_id:
-            n += 1
-        return record
+        """The first record of a run, by halving: run numbers never fall, and a
+        record's own number is never below its run's."""
+        low, high = run_id, self.last()
+        while low < high:
+            middle = (low + high) // 2
+            low, high = (middle + 1, high) if self.get(middle)["run_id"] < run_id else (low, middle)
+        return self.get(low)
 
     def commit(self, state: dict | None, record: dict) -> None:
         """Publish ``record`` as the successor of ``state`` (None: the first)."""

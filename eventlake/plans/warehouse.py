@@ -6,6 +6,7 @@ Layout under one root (a shared folder on a cluster)::
   bronze/raw_events/attempt=X/        bronze, insert-or-ignore on event_id
   bronze/dead_letter_queue/attempt=X/ rejected lines with their reason
   bronze/batch_reports/attempt=X/     inserted / duplicates / errors
+  {bronze,silver,gold}/ids/attempt=X/bucket=B/   the event ids of the layer's rows
   silver/events/attempt=X/            typed events (payload as VARIANT)
   silver/rejects/attempt=X/           bronze rows kept out of silver
   gold/dim_date/attempt=X/            calendar
@@ -19,7 +20,8 @@ layer's commit record, and nothing is written to a folder twice. The newest
 record of a layer is its whole published state: for each table the list of
 ``{path, id, rows}`` that make it up (``id`` is the batch or run), for a
 dimension one such entry per bucket. A failed, lost or concurrent attempt is
-in no record and never seen. ``compact`` replaces a list by one entry.
+in no record and never seen. ``merge_tiers`` replaces neighbours in a list by
+one entry, ``compact`` a whole list.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake import schema as S
+from eventlake.plans.ids import BUCKET_ROWS, IdIndex
 from eventlake.plans.storage import CommitLog, FileSystem
 from eventlake.sources import seeds
 
@@ -38,7 +41,7 @@ BRONZE_TABLES = ("raw_events", "dead_letter_queue", "batch_reports")
 SILVER_TABLES = ("events", "rejects")
 
 
-def _with(schema: T.StructType, *fields: T.StructField) -> T.StructType:
+def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     names = {f.name for f in schema.fields}
     return T.StructType(list(schema.fields) + [f for f in fields if f.name not in names])
 
@@ -67,13 +70,17 @@ SILVER_REJECTS = T.StructType([
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``id_bucket_rows``: ids of an index bucket (``plans/ids.py``); it may
+    differ from call to call."""
+
+    def __init__(self, spark: SparkSession, root: str, id_bucket_rows: int = BUCKET_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fs = FileSystem(spark, self.root)
         self.bronze_log = CommitLog(self.fs, self.path("bronze/_log"))
         self.silver_log = CommitLog(self.fs, self.path("silver/_log"))
         self.gold_log = CommitLog(self.fs, self.path("gold/_log"))
+        self.bronze_ids, self.silver_ids, self.fact_ids = (IdIndex(self, x, id_bucket_rows) for x in ("bronze", "silver", "gold"))
 
     def path(self, rel: str) -> str:
         return f"{self.root}/{rel}"
@@ -84,30 +91,34 @@ class Warehouse:
 
     # -- bronze -----------------------------------------------------------
     def bronze_state(self) -> dict:
-        return self.bronze_log.latest() or {"version": 0, "batch_id": 0, "streams": {}, **{t: [] for t in BRONZE_TABLES}}
+        return self.bronze_log.latest() or {"version": 0, "batch_id": 0, "streams": {}, "ids": [], **{t: [] for t in BRONZE_TABLES}}
 
     def bronze_events(self, after: int = 0, state: dict | None = None) -> DataFrame:
         """Committed bronze rows of batches above ``after``, with ``batch_id``."""
         entries = (state or self.bronze_state())["raw_events"]
-        return self._read("bronze/raw_events", _with(S.BRONZE_RAW_EVENTS, BATCH_ID), entries, after=after, id_col="batch_id")
+        return self._read("bronze/raw_events", with_fields(S.BRONZE_RAW_EVENTS, BATCH_ID), entries, after=after, id_col="batch_id")
 
     def dead_letters(self) -> DataFrame:
-        return self._read("bronze/dead_letter_queue", _with(S.BRONZE_DEAD_LETTER, BATCH_ID), self.bronze_state()["dead_letter_queue"])
+        return self._read("bronze/dead_letter_queue", with_fields(S.BRONZE_DEAD_LETTER, BATCH_ID), self.bronze_state()["dead_letter_queue"])
 
     def bronze_reports(self) -> DataFrame:
         return self._read("bronze/batch_reports", BATCH_REPORTS, self.bronze_state()["batch_reports"])
 
     # -- silver -----------------------------------------------------------
     def silver_state(self) -> dict:
-        return self.silver_log.latest() or {"version": 0, "run_id": 0, "bronze_batch": 0, "processed_at": None, **{t: [] for t in SILVER_TABLES}}
+        return self.silver_log.latest() or {"version": 0, "run_id": 0, "bronze_batch": 0, "processed_at": None, "ids": [], **{t: [] for t in SILVER_TABLES}}
 
     def silver_events(self, upto: int | None = None, after: int = 0) -> DataFrame:
         """Silver rows of committed runs ``after < run_id <= upto``, with run_id."""
-        return self._read("silver/events", _with(S.SILVER_EVENTS, RUN_ID), self.silver_state()["events"], after, upto, "run_id")
+        return self._read("silver/events", with_fields(S.SILVER_EVENTS, RUN_ID), self.silver_state()["events"], after, upto, "run_id")
 
     def silver_rejects(self, upto: int | None = None) -> DataFrame:
         return self._read("silver/rejects", SILVER_REJECTS, self.silver_state()["rejects"], 0, upto, "run_id")
 
+    def silver_mark(self, run_id: int) -> int:
+        """The last bronze batch that silver had processed after a run."""
+        return self.silver_log.of_run(run_id)["bronze_batch"] if run_id else 0
+
     # -- gold -------------------------------------------------------------
     def gold_state(self) -> dict | None:
         return self.gold_log.latest()
@@ -134,11 +145,11 @@ class Warehouse:
     def facts(self, state: dict | None = None) -> DataFrame:
         """Published facts, with ``run_id``."""
         entries = (state or self.published())["fact_events"]
-        return self._read("gold/fact_events", _with(S.FACT_EVENTS, RUN_ID), entries)
+        return self._read("gold/fact_events", with_fields(S.FACT_EVENTS, RUN_ID), entries)
 
     def run_metrics(self) -> DataFrame:
         from eventlake.plans.gold import RUN_METRICS
-        return self._read("gold/run_metrics", _with(RUN_METRICS, RUN_ID), self.published()["run_metrics"])
+        return self._read("gold/run_metrics", with_fields(RUN_METRICS, RUN_ID), self.published()["run_metrics"])
 
     # -- helpers ----------------------------------------------------------
     def _read(self, table: str, schema: T.StructType, entries: list[dict], after: int = 0,

@@ -1,0 +1,240 @@
+"""The id index (folders read, growth, older records) and tiered compaction."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.plans.bronze import backlog, ingest_batch, unprocessed
+from eventlake.plans.gold import bootstrap, run_gold
+from eventlake.plans.ids import bucket_of, buckets_for, only_new
+from eventlake.plans.pipeline import compact, merge_tiers
+from eventlake.plans.silver import run_silver
+from eventlake.plans.tiers import due, merged_entry, put, tier
+from eventlake.plans.warehouse import Warehouse
+
+from tests.test_pipeline import at, cycle, ev, lines
+
+
+@pytest.fixture()
+def wh(spark, root):
+    w = Warehouse(spark, root, id_bucket_rows=16)
+    bootstrap(w)
+    return w
+
+
+def ids(df):
+    return sorted(r["event_id"] for r in df.select("event_id").collect())
+
+
+def files(df):
+    return {f.removeprefix("file://") for f in df.inputFiles()}
+
+
+def buckets_read(df):
+    return {int(f.split("bucket=")[1].split("/")[0]) for f in files(df)}
+
+
+def test_bucket_counts():
+    assert [buckets_for(n, 16) for n in (0, 1, 16, 17, 32, 33, 1000, 1024, 1025)] == [1, 1, 1, 2, 2, 4, 64, 64, 128]
+
+
+def test_only_touched_buckets_are_in_the_scan(spark, wh):
+    ingest_batch(wh, lines(spark, [ev(i) for i in range(1000)]), now=at(1))
+    entries = wh.bronze_state()["ids"]
+    assert entries[0]["buckets"] == 64 and entries[0]["rows"] == 1000
+    batch = spark.createDataFrame([("7",), ("991",), ("new",)], "event_id string")
+    touched = [r[0] for r in batch.select(bucket_of(64)).distinct().collect()]
+    stored = wh.bronze_ids.stored(entries, touched, 64)
+    assert buckets_read(stored) == set(touched) and len(touched) <= 3
+    assert ids(stored.join(batch, "event_id", "left_semi")) == ["7", "991"]
+    # sorted, with bloom filters, and every id in its bucket
+    for f in files(stored):
+        rows = [r["event_id"] for r in spark.read.schema("event_id string").parquet(f).collect()]
+        assert rows == sorted(rows, key=str.encode)
+    report = ingest_batch(wh, lines(spark, [ev(7), ev(991), ev("new")]), now=at(2))
+    assert (report["inserted"], report["duplicates"]) == (1, 2)
+
+
+def test_ingest_scans_the_touched_buckets_only(spark, wh, monkeypatch):
+    """What the batch job itself reads of the store."""
+    from eventlake.plans.ids import IdIndex
+
+    ingest_batch(wh, lines(spark, [ev(i) for i in range(1000)]), now=at(1))
+    asked, real = [], IdIndex.read
+    monkeypatch.setattr(IdIndex, "read", lambda self, paths: asked.append(paths) or real(self, paths))
+    ingest_batch(wh, lines(spark, [ev(3), ev(5000)]), now=at(2))
+    (paths,) = asked
+    assert 1 <= len(paths) <= 2
+    assert wh.bronze_events().count() == 1001
+
+
+def test_bytes_read_do_not_grow_with_history(spark, wh):
+    """The same small batch against 1, 4 and 16 thousand stored ids."""
+    read, n = [], 0
+    for total in (1000, 4000, 16_000):
+        ingest_batch(wh, lines(spark, [ev(i) for i in range(n, total)]), now=at(1))
+        n = total
+        compact(wh)
+        entries = wh.bronze_state()["ids"]
+        assert len(entries) == 1
+        width = wh.bronze_ids.width(entries)
+        batch = spark.createDataFrame([(str(i),) for i in (1, 500, 99_999, "x", "y")], "event_id string")
+        touched = [r[0] for r in batch.select(bucket_of(width)).distinct().collect()]
+        read.append(sum(os.path.getsize(f) for f in files(wh.bronze_ids.stored(entries, touched, width))))
+    assert max(read) < 2 * read[0], read
+
+
+@pytest.mark.parametrize("width", [1, 2, 16, 64, 256])
+def test_buckets_of_another_width(spark, wh, width):
+    """A batch that was told apart by more or fewer buckets than the store has
+    (the store was merged meanwhile) misses none of its ids."""
+    ingest_batch(wh, lines(spark, [ev(i) for i in range(500)]), now=at(1))
+    entries = wh.bronze_state()["ids"]
+    batch = spark.createDataFrame([(str(i),) for i in range(0, 500, 29)], "event_id string")
+    touched = [r[0] for r in batch.select(bucket_of(width)).distinct().collect()]
+    found = wh.bronze_ids.stored(entries, touched, width).join(batch, "event_id", "left_semi")
+    assert found.count() == batch.count()
+
+
+def test_few_ids_in_many_buckets(spark, wh):
+    """Buckets without an id have no folder, and none is asked for."""
+    wh.bronze_ids.bucket_rows = 1
+    ingest_batch(wh, lines(spark, [ev(i) for i in range(9)]), now=at(1))
+    (entry,) = wh.bronze_state()["ids"]
+    assert entry["buckets"] == 16 and len(entry["only"]) <= 9
+    assert ingest_batch(wh, lines(spark, [ev(i) for i in range(5, 12)]), now=at(2))["inserted"] == 3
+    assert ids(wh.bronze_ids.all(wh.bronze_state()["ids"])) == ids(wh.bronze_events())
+
+
+def test_every_layer_indexes_what_it_holds(spark, wh):
+    cycle(wh, spark, [ev(i) for i in range(40)] + ['{"id":""}', '{"id":0}', "junk"], 1)
+    cycle(wh, spark, [ev(i) for i in range(30, 60)], 2)
+    assert ids(wh.bronze_ids.all(wh.bronze_state()["ids"])) == ids(wh.bronze_events())
+    assert ids(wh.silver_ids.all(wh.silver_state()["ids"])) == sorted(ids(wh.silver_events()) + ids(wh.silver_rejects()))
+    assert ids(wh.fact_ids.all(wh.gold_state()["ids"])) == ids(wh.facts()) and wh.facts().count() == 60
+
+
+def test_records_without_an_index_get_one(spark, wh):
+    cycle(wh, spark, [ev(i) for i in range(20)], 1)
+    for log in (wh.bronze_log, wh.silver_log, wh.gold_log):
+        state = log.latest()
+        log.commit(state, {k: v for k, v in state.items() if k != "ids"})
+    rep, g = cycle(wh, spark, [ev(i) for i in range(15, 25)], 2)
+    assert (rep["inserted"], g["facts_inserted"]) == (5, 5)
+    for state, table in ((wh.bronze_state(), wh.bronze_events()), (wh.silver_state(), wh.silver_events()), (wh.gold_state(), wh.facts())):
+        assert sum(e["rows"] for e in state["ids"]) == 25 == table.count()
+
+
+def test_only_new_leaves_out_stored_and_repeated(spark, wh):
+    index = wh.silver_ids
+    stored = [index.write(spark.createDataFrame([(str(i),) for i in range(50)], "event_id string"), 50, 1)]
+    rows = spark.createDataFrame([("3", 1), ("60", 2), ("60", 1), ("61", 5)], "event_id string, place int")
+    got = only_new(index, stored, rows, wh.attempt("s"), ["place ASC"])
+    assert sorted(map(tuple, got.collect())) == [("60", 1), ("61", 5)]
+    # where nothing is stored or repeated, rows pass without a join
+    clean = rows.where("event_id = '61'")
+    plan = only_new(index, stored, clean, wh.attempt("s"), ["place ASC"])._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Window" not in plan
+    assert only_new(index, [], rows, wh.attempt("s"), ["place ASC"]).count() == 3
+
+
+def test_backlog_reads_unprocessed_batches_only(spark, wh):
+    ingest_batch(wh, lines(spark, [ev(1), ev(2), '{"id":0}']), now=at(1))
+    run_silver(wh, at(2))
+    ingest_batch(wh, lines(spark, [ev(2), ev(3)]), now=at(3))
+    ingest_batch(wh, lines(spark, [ev(4)]), now=at(4))
+    late = [e["path"] for e in wh.bronze_state()["raw_events"][1:]]
+    assert all(any(f.startswith(p) for p in late) for f in files(backlog(wh)))
+    for upto in (None, 0, 1):
+        assert sorted(map(tuple, backlog(wh, upto).collect())) == sorted(map(tuple, unprocessed(wh, upto).select("batch_id", "event_id").collect()))
+    compact(wh)
+    assert ids(backlog(wh)) == ["3", "4"]
+    run_silver(wh, at(5))
+    assert backlog(wh).count() == 0 == unprocessed(wh).count()
+
+
+def simulate(batches, fanout):
+    """(entries, rows written again) after so many batches of ten rows."""
+    entries, again = [], 0
+    for i in range(batches):
+        entries.append({"path": f"p{i}", "id": i, "rows": 10})
+        if (chosen := due(entries, fanout)) is not None:
+            old = entries[chosen[0] :]
+            again += sum(e["rows"] for e in old)
+            entries = put(entries, old, merged_entry(old, f"m{i}", chosen[1]))
+    return entries, again
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 8])
+def test_rows_are_rewritten_a_logarithmic_number_of_times(fanout):
+    for batches in (1, 7, 100, 1000):
+        entries, again = simulate(batches, fanout)
+        tiers = [tier(e) for e in entries]
+        assert tiers == sorted(tiers, reverse=True) and all(tiers.count(t) < fanout for t in tiers)
+        assert sum(e["rows"] for e in entries) == 10 * batches
+        assert [e.get("first", e["id"]) for e in entries[1:]] == [e["id"] + 1 for e in entries[:-1]]
+        assert again <= 10 * batches * max(tiers)
+    assert simulate(100, 8)[1] < 5 * 1000
+
+
+def test_put_refuses_entries_that_are_gone():
+    entries = [{"path": p, "id": i, "rows": 1} for i, p in enumerate("abcde")]
+    new = merged_entry(entries[1:3], "m", 1)
+    assert [e["path"] for e in put(entries, entries[1:3], new)] == ["a", "m", "d", "e"]
+    assert put([entries[0], new, *entries[3:]], entries[1:3], new) is None
+    assert put([merged_entry(entries, "all", 2)], entries[1:3], new) is None
+
+
+def test_merged_tiers_change_no_answer(spark, wh):
+    for n in range(1, 6):
+        cycle(wh, spark, [ev(10 * n + i, actor=i + 1) for i in range(4)] + ['{"id":0}' if n == 2 else "junk"], n)
+        before = ids(wh.facts()), ids(wh.bronze_events()), ids(wh.silver_events(upto=n - 1)), wh.bronze_reports().count()
+        merge_tiers(wh, fanout=2)
+        assert before == (ids(wh.facts()), ids(wh.bronze_events()), ids(wh.silver_events(upto=n - 1)), wh.bronze_reports().count())
+    for state, tables in ((wh.bronze_state(), ("raw_events", "batch_reports", "dead_letter_queue", "ids")), (wh.silver_state(), ("events", "ids")),
+                          (wh.gold_state(), ("fact_events", "run_metrics", "ids"))):
+        for t in tables:
+            tiers = [tier(e) for e in state[t]]
+            assert len(tiers) < 4 and len(set(tiers)) == len(tiers), (t, tiers)
+    rep, g = cycle(wh, spark, [ev(10), ev(53), ev(99)], 7)
+    assert (rep["duplicates"], g["facts_inserted"]) == (2, 1) and backlog(wh).count() == 0
+    # a run is found among records that only lay folders out anew
+    assert wh.gold_log.of_run(3)["run_id"] == 3 and wh.dim("dim_actors", 3).count() == 5
+
+
+def test_two_merges_at_once_keep_every_row_once(spark, wh, monkeypatch):
+    import eventlake.plans.pipeline as P
+
+    for n in range(1, 5):
+        ingest_batch(wh, lines(spark, [ev(n)]), now=at(n))
+    real, raced = P._merge, []
+
+    def race(*args):
+        made = real(*args)
+        if not raced:
+            raced.append(True)
+            compact(wh)
+            ingest_batch(wh, lines(spark, [ev(9)]), now=at(9))
+        return made
+
+    monkeypatch.setattr(P, "_merge", race)
+    merge_tiers(wh, fanout=2)
+    assert ids(wh.bronze_events()) == ["1", "2", "3", "4", "9"] and wh.bronze_reports().count() == 5
+
+
+def test_a_run_that_loses_its_commit_leaves_the_index(spark, wh):
+    cycle(wh, spark, [ev(1)], 1)
+    before = wh.gold_state()["ids"]
+    ingest_batch(wh, lines(spark, [ev(2)]), now=at(2))
+    run_silver(wh, at(3))
+
+    def boom(step):
+        if step == "validate":
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run_gold(wh, at(4), on_step=boom)
+    assert wh.gold_state()["ids"] == before
+    assert run_gold(wh, at(5))["facts_inserted"] == 1
+    assert wh.facts().agg(F.countDistinct("event_id")).first()[0] == 2
