@@ -115,7 +115,7 @@ def conform_events(spark, sf_dir):
 
 def sentinel_counts(spark, sf_dir):
     """H-3 / H-4: facts on the unknown actor / repo."""
-    return Q.sentinel_counts(_wh(spark, sf_dir).facts())
+    return Q.sentinel_counts(_wh(spark, sf_dir).hours())
 
 
 def dim_actors_latest(spark, sf_dir):
@@ -192,7 +192,7 @@ def fact_key_checks(spark, sf_dir):
 def daily_volume(spark, sf_dir):
     """Q-1."""
     wh = _wh(spark, sf_dir)
-    return Q.daily_volume(wh.facts(), wh.dim_date(), FX.AS_OF_DATE)
+    return Q.daily_volume(wh.distinct_ids(), wh.dim_date(), FX.AS_OF_DATE)
 
 
 def top_repos(spark, sf_dir):
@@ -204,7 +204,7 @@ def top_repos(spark, sf_dir):
 def hourly_weekend(spark, sf_dir):
     """Q-3."""
     wh = _wh(spark, sf_dir)
-    return Q.hourly_weekend(wh.facts(), wh.dim_date(), FX.AS_OF_DATE)
+    return Q.hourly_weekend(wh.hours(), wh.dim_date(), FX.AS_OF_DATE)
 
 
 def pending_types(spark, sf_dir):
@@ -223,7 +223,7 @@ def top_actors(spark, sf_dir):
 def events_by_calendar(spark, sf_dir):
     """FN-6 / FN-8 / SRC-5: facts by quarter, month, ISO week and day name."""
     wh = _wh(spark, sf_dir)
-    return Q.events_by_calendar(wh.facts(), wh.dim_date())
+    return Q.events_by_calendar(wh.hours(), wh.dim_date())
 
 
 def _edges(spark, sf_dir):
@@ -271,7 +271,7 @@ def json_array_ingest(spark, sf_dir):
 def events_by_category(spark, sf_dir):
     """Q-5."""
     wh = _wh(spark, sf_dir)
-    return Q.events_by_category(wh.facts(), wh.dim("dim_event_types"))
+    return Q.events_by_category(wh.hours(), wh.dim("dim_event_types"))
 
 
 def last_24h(spark, sf_dir):
@@ -281,7 +281,7 @@ def last_24h(spark, sf_dir):
 
 def gold_freshness(spark, sf_dir):
     """H-1."""
-    return Q.gold_freshness(_wh(spark, sf_dir).facts()).select(ts_text(F.col("freshness")).alias("freshness"))
+    return Q.gold_freshness(_wh(spark, sf_dir).hours()).select(ts_text(F.col("freshness")).alias("freshness"))
 
 
 def gold_run_report(spark, sf_dir):

@@ -9,12 +9,14 @@ script run:
    ``processed_at > watermark`` (folder list + pushed filter);
 3. dim_actors / dim_repos: latest row per key in the batch, upserted with the
    strict newer-than guard into the hash buckets that the batch touches; the
-   other buckets stay where they are;
+   other buckets stay where they are. Their number follows the rows: buckets
+   are split one by one (linear hashing), each from one other;
 4. dim_event_types: auto-discovery of the batch's types (the same result
    as scanning the whole view, see the step; one column, partially
    aggregated);
 5. facts: batch rows, one per event_id, whose id is not published under any
    date, which the id index tells from the buckets the batch touches;
+   the run's aggregates (``plans/rollups.py``) and ids are written with them;
 6. all are written to folders of this attempt; constraint checks run on what
    was written; only then the commit record is written, which names them.
 
@@ -27,7 +29,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -41,10 +43,11 @@ from eventlake.operators.dedupe import latest_by_key
 from eventlake.operators.merge import (
     ACTION, KEEP, insert_ignore, insert_new_types, seed_upsert, upsert_if_newer,
 )
+from eventlake.plans import rollups as R
 from eventlake.plans.concurrent import run_concurrently
 from eventlake.plans.ids import only_new
 from eventlake.plans.silver import _as_datetime
-from eventlake.plans.warehouse import DIM_BUCKETS, DIM_KEYS, DIM_TABLES, RUN_ID, Warehouse, lit_ts
+from eventlake.plans.warehouse import BUCKET, DIM_BUCKET_ROWS, DIM_BUCKETS, DIM_KEYS, DIM_TABLES, RUN_ID, Warehouse, lit_ts
 from eventlake.session import describe
 from eventlake.sources import seeds
 from eventlake.sources.calendar import dim_date
@@ -80,12 +83,16 @@ def _fmt(ts: dt.datetime) -> str:
 
 
 def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = False,
-              dim_buckets: int = DIM_BUCKETS) -> bool:
+              dim_buckets: int = DIM_BUCKETS, dim_bucket_rows: int = DIM_BUCKET_ROWS,
+              calendar: tuple[dt.date, dt.date] = (S.DIM_DATE_START, S.DIM_DATE_END)) -> bool:
     """SNK-5: create dim_date and run 0 (seeded dimensions, no facts).
 
     ``reset`` drops silver and gold first and keeps bronze, so the whole
-    warehouse is rebuilt from the raw layer. Returns False when the
-    warehouse was already bootstrapped (see ``apply_seeds`` for that case).
+    warehouse is rebuilt from the raw layer. ``calendar`` is the first and last
+    day of dim_date (``extend_calendar`` makes it longer); dimensions begin with
+    ``dim_buckets`` buckets and split them above ``dim_bucket_rows`` rows each.
+    Returns False when the warehouse was already bootstrapped (see
+    ``apply_seeds`` for that case).
     """
     if reset:
         for rel in ("silver", "gold"):
@@ -94,21 +101,36 @@ def bootstrap(wh: Warehouse, now: dt.datetime | str = S.EPOCH, reset: bool = Fal
         return False
     spark, now_col = wh.spark, lit_ts(now)
     types = seed_upsert(seeds.empty(spark, S.DIM_EVENT_TYPES), seeds.event_type_seed(spark), now_col).drop(ACTION)
-    calendar, metrics = wh.attempt("gold/dim_date"), wh.attempt("gold/run_metrics")
+    days, metrics = wh.attempt("gold/dim_date"), wh.attempt("gold/run_metrics")
     sizes = {"dim_actors": dim_buckets, "dim_repos": dim_buckets, "dim_event_types": 1}
     rows = {"dim_actors": seeds.actor_sentinel(spark), "dim_repos": seeds.repo_sentinel(spark), "dim_event_types": types}
     out = run_concurrently(spark, "bootstrap", {
-        "dim_date": lambda: dim_date(spark).write.parquet(calendar),
+        "dim_date": lambda: dim_date(spark, *calendar).write.parquet(days),
         "run_metrics": lambda: _write_metrics(wh, metrics, {"run_id": 0, "silver_run": 0, "watermark_before": S.EPOCH,
             "watermark_after": S.EPOCH, "total_actors": 1, "total_repos": 1, "total_types": len(S.EVENT_TYPE_SEED)}, None),
-        **{n: (lambda n=n: _write_buckets(wh, n, rows[n], sizes[n], [])[0]) for n in rows}})
-    wh.gold_log.commit(None, {
-        "run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0, "dim_date": calendar, "buckets": sizes,
-        "dims": {n: out[n] for n in rows}, "fact_events": [], "ids": [],
-        "run_metrics": [{"path": metrics, "id": 0, "rows": 1}]})
+        **{n: (lambda n=n: _write_buckets(wh, n, rows[n], sizes[n], [], [])[0]) for n in rows}})
+    record = {
+        "run_id": 0, "watermark": _fmt(S.EPOCH), "silver_run": 0, "dim_date": days, "calendar": [_key(d) for d in calendar],
+        "buckets": sizes, "bucket_rows": dim_bucket_rows, "dims": {n: out[n] for n in rows}, "fact_events": [], "ids": [],
+        "rollups": [], "run_metrics": [{"path": metrics, "id": 0, "rows": 1}]}
+    check_written(wh, record, {"dims": {n: [] for n in rows}})
+    wh.gold_log.commit(None, record)
     return True
 
 
+def extend_calendar(wh: Warehouse, start: dt.date, end: dt.date, now: dt.datetime | str) -> int:
+    """Give dim_date every day from ``start`` to ``end``, which must hold the
+    days it has, so that a run that met a date outside can go on. Publishes a
+    run and returns its number."""
+    state = wh.published()
+    first, last = wh.calendar(state)
+    if _key(start) > first or _key(end) < last:
+        raise ValueError(f"the calendar has {first} to {last}: it can only be extended")
+    days = wh.attempt("gold/dim_date")
+    dim_date(wh.spark, start, end).write.parquet(days)
+    return _publish_dims(wh, {**state, "dim_date": days, "calendar": [_key(start), _key(end)]}, {}, now)
+
+
 def _write_metrics(wh: Warehouse, path: str, report: dict, now_col) -> None:
     """The run's row of run_metrics; what the run did not do is zero."""
     values = {f.name: report.get(f.name, 0) for f in RUN_METRICS.fields} | {"loaded_at": None}
@@ -120,31 +142,65 @@ def _write_metrics(wh: Warehouse, path: str, report: dict, now_col) -> None:
 
 
 def bucket_of(key: str, n: int) -> F.Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
-
-
-def _write_buckets(wh: Warehouse, name: str, rows: DataFrame, n: int, entries: list[dict]) -> tuple[list[dict], dict]:
-    """Write the new version of some buckets of a dimension (``rows`` holds
-    them whole). Returns the dimension's entries, others unchanged, and the
-    metrics of the write, rows per bucket among them."""
+    """The bucket of a key among ``n``, by linear hashing: of the buckets that
+    doubling would make, those from ``n`` on are not split off yet."""
+    half = 1 << (n.bit_length() - 1)
+    if half == n:
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+    b = F.pmod(F.xxhash64(F.col(key)), F.lit(2 * half))
+    return F.when(b < n, b).otherwise(b - half).cast("int")
+
+
+def split_from(n: int, more: int) -> set[int]:
+    """The buckets among ``n`` that lose keys when there are ``more``."""
+    sources = set()
+    for b in range(n, more):
+        while b >= n:
+            b -= 1 << (b.bit_length() - 1)
+        sources.add(b)
+    return sources
+
+
+def _write_buckets(wh: Warehouse, name: str, rows: DataFrame, n: int, entries: list[dict],
+                   replaced: Iterable[int]) -> tuple[list[dict], dict]:
+    """Write the rows of some buckets of a dimension anew, dealt over ``n``.
+    They are those of the ``replaced`` entries; the others stay. Returns the
+    dimension's entries (``check_written`` adds the rows of the new ones) and
+    the metrics of the write."""
     path = wh.attempt(f"gold/{name}")
-    seen = _write(rows.withColumn("bucket", bucket_of(DIM_KEYS[name], n)), path, [
+    dealt = rows.withColumn("bucket", bucket_of(DIM_KEYS[name], n))
+    seen = _write(dealt.hint("rebalance", "bucket") if n > 1 else dealt, path, [
         (F.count_if(F.col(ACTION) != KEEP) if ACTION in rows.columns else F.count(F.lit(1))).alias("affected"),
-        *(F.count_if(F.col("bucket") == b).alias(f"rows_{b}") for b in range(n)),
+        F.collect_set("bucket").alias("buckets"),
     ], partition_by="bucket")
-    new = {b: {"path": path, "id": b, "rows": seen[f"rows_{b}"]} for b in range(n) if seen[f"rows_{b}"]}
-    return sorted([*(e for e in entries if e["id"] not in new), *new.values()], key=lambda e: e["id"]), seen
+    new = [{"path": path, "id": b} for b in seen["buckets"]]
+    gone = {*replaced, *seen["buckets"]}
+    return sorted([*(e for e in entries if e["id"] not in gone), *new], key=lambda e: e["id"]), seen
 
 
-def key_checks(wh: Warehouse, record: dict, state: dict) -> list[DataFrame]:
-    """VAL-2 of the dimension buckets that ``record`` has and ``state`` has not."""
-    checks = []
+def check_written(wh: Warehouse, record: dict, state: dict, checks: Sequence[DataFrame] = ()) -> dict:
+    """VAL-2 of the dimension buckets that ``record`` has and ``state`` has not,
+    with further ``checks``, in one job; the same job counts the buckets' rows,
+    which are put in the record. Raises ``ValidationError`` on any breach."""
+    report, new = list(checks), {}
     for name, entries in record["dims"].items():
-        new = [e for e in entries if e not in state["dims"][name]]
-        if new:
-            rows = wh._read(f"gold/{name}", DIM_TABLES[name], new, leaf="bucket")
-            checks.append(V.duplicate_keys(rows, [DIM_KEYS[name]], f"duplicate_{DIM_KEYS[name]}"))
-    return checks
+        new[name] = [e for e in entries if "rows" not in e]
+        if not new[name]:
+            continue
+        written = [e for e in entries if e not in state["dims"][name]]
+        rows = wh._read(f"gold/{name}", DIM_TABLES[name], written, leaf="bucket")
+        counted = wh._read(f"gold/{name}", T.StructType([BUCKET]), new[name], leaf="bucket")
+        report += [V.duplicate_keys(rows, [DIM_KEYS[name]], f"duplicate_{DIM_KEYS[name]}"),
+                   counted.groupBy("bucket").count().select(F.concat(F.lit(f"{_ROWS}{name}/"), "bucket").alias("check_name"),
+                                                            F.col("count").alias("violations"))]
+    found = {r["check_name"]: int(r["violations"]) for r in V.union(report).collect()} if report else {}
+    for name, entries in new.items():
+        for e in entries:
+            e["rows"] = found.pop(f"{_ROWS}{name}/{e['id']}")
+    return V.raise_on(found)
+
+
+_ROWS = "rows of "
 
 
 def apply_seeds(wh: Warehouse, now: dt.datetime | str, curated: bool = False) -> int:
@@ -168,9 +224,9 @@ def _publish_dims(wh: Warehouse, state: dict, changes: dict[str, DataFrame], now
     """A run that only replaces buckets of dimensions. Everything else is
     carried over by name, and its metrics are zero but for the totals."""
     run_id = int(state["run_id"]) + 1
-    dims = {name: _write_buckets(wh, name, rows, state["buckets"][name], state["dims"][name])[0] for name, rows in changes.items()}
+    dims = {name: _write_buckets(wh, name, rows, state["buckets"][name], state["dims"][name], [])[0] for name, rows in changes.items()}
     record = {**state, "run_id": run_id, "dims": {**state["dims"], **dims}}
-    V.assert_clean(V.union(key_checks(wh, record, state)))
+    check_written(wh, record, state)
     metrics = wh.attempt("gold/run_metrics")
     wm = _as_datetime(state["watermark"])
     _write_metrics(wh, metrics, {"run_id": run_id, "silver_run": state["silver_run"], "watermark_before": wm,
@@ -262,17 +318,23 @@ def run_gold(
     batch = view.filter(F.col("processed_at") > lit_ts(wm))
     ms: dict[str, float] = {}
 
+    sizes = dict(state["buckets"])
+
     def load_dim(name: str, updates: DataFrame) -> tuple[list[dict], dict]:
-        # The updates are computed once; their folders tell the touched buckets.
-        n, key = state["buckets"][name], DIM_KEYS[name]
+        # The updates are computed once; the buckets of their keys are learnt
+        # from that pass. A dimension has at least as many rows as it had, and
+        # as there are updates; it gets a bucket for so many.
+        n, key, entries = state["buckets"][name], DIM_KEYS[name], state["dims"][name]
         staged = wh.attempt("gold/_updates")
-        updates.withColumn("bucket", bucket_of(key, n)).write.partitionBy("bucket").parquet(staged)
-        touched = [int(f.split("=")[1]) for f in wh.fs.list_names(staged) if f.startswith("bucket=")]
-        if not touched:
-            return state["dims"][name], {"affected": 0}
+        seen = _write(updates, staged, [F.count(F.lit(1)).alias("n"), F.collect_set(bucket_of(key, n)).alias("touched")])
+        if not seen["n"]:
+            return entries, {"affected": 0}
+        rows = max(seen["n"], sum(e["rows"] for e in entries))
+        sizes[name] = max(n, -(-rows // state.get("bucket_rows", DIM_BUCKET_ROWS)))
+        replaced = {*seen["touched"], *split_from(n, sizes[name])}
         newer = spark.read.schema(updates.schema).parquet(staged)
-        stored = wh.dim(name, prev, touched)
-        out = _write_buckets(wh, name, upsert_if_newer(stored, newer, key, now_col), n, state["dims"][name])
+        stored = wh.dim(name, prev, sorted(replaced))
+        out = _write_buckets(wh, name, upsert_if_newer(stored, newer, key, now_col), sizes[name], entries, replaced)
         wh.fs.delete(staged)
         return out
 
@@ -282,9 +344,11 @@ def run_gold(
         # restarts from the epoch), so the earlier rows' types are already
         # in the dimension. This keeps the step O(new rows).
         types = insert_new_types(wh.dim("dim_event_types", prev), batch.select("event_type"), now_col, S.UNKNOWN_EVENT_TYPE)
-        return _write_buckets(wh, "dim_event_types", types, state["buckets"]["dim_event_types"], state["dims"]["dim_event_types"])
+        return _write_buckets(wh, "dim_event_types", types, state["buckets"]["dim_event_types"],
+                              state["dims"]["dim_event_types"], [])
 
     facts_path = wh.attempt("gold/fact_events")
+    days = wh.calendar(state)
     known = wh.fact_ids.entries(state, [wh.facts(state)])
 
     def load_facts() -> dict:
@@ -300,16 +364,28 @@ def run_gold(
             F.count_if("long_name").alias("long_names"),
             # VAL-1 for date_id without a join: dim_date is every calendar
             # day of its range, so a derived key is present iff in range.
-            F.count_if(~F.col("date_id").between(_key(S.DIM_DATE_START), _key(S.DIM_DATE_END)))
-            .alias("fk_date_id"),
+            F.count_if(~F.col("date_id").between(*days)).alias("fk_date_id"),
             F.count_if((F.col("event_hour") < 0) | (F.col("event_hour") > 23)).alias("range_event_hour"),
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in _FACT_NOT_NULL],
         ], partition_by="date_id")
         wh.fs.delete(staged)
         if not seen["inserted"]:
-            return {**seen, "ids": known}
+            return {**seen, "ids": known, "rollups": rolled}
         stored = spark.read.schema(S.FACT_EVENTS).option("basePath", facts_path).parquet(facts_path)
-        return {**seen, "ids": [*known, wh.fact_ids.write(stored, int(seen["inserted"]), run_id)]}
+        kept = run_concurrently(spark, f"gold {run_id}", {
+            "fact ids": lambda: wh.fact_ids.write(stored, int(seen["inserted"]), run_id),
+            "rollups": lambda: load_rollups(stored, int(seen["inserted"]))})
+        return {**seen, "ids": [*known, kept["fact ids"]], "rollups": [*rolled, kept["rollups"]]}
+
+    def load_rollups(facts: DataFrame, rows: int, number: int = run_id) -> dict:
+        path = wh.attempt("gold/rollups")
+        R.write(R.rollups(facts), path)
+        return {"path": path, "id": number, "rows": rows}
+
+    # Facts from before runs wrote aggregates get theirs once.
+    rolled = state.get("rollups")
+    if rolled is None:
+        rolled = [load_rollups(wh.facts(state), sum(e["rows"] for e in state["fact_events"]), prev)] if state["fact_events"] else []
 
     # The four staged writes are independent Spark jobs over the new silver
     # runs; submitting them together overlaps their scheduling latency and
@@ -323,7 +399,7 @@ def run_gold(
     (actors, a), (repos, r), (types, ty), f = out["actors"], out["repos"], out["types"], out["facts"]
     inserted = int(f.get("inserted") or 0)
 
-    record = {**state, "run_id": run_id, "silver_run": silver_run, "ids": f["ids"],
+    record = {**state, "run_id": run_id, "silver_run": silver_run, "ids": f["ids"], "rollups": f["rollups"], "buckets": sizes,
               "dims": {"dim_actors": actors, "dim_repos": repos, "dim_event_types": types}}
     if inserted:
         record["fact_events"] = [*state["fact_events"], {"path": facts_path, "id": run_id, "rows": inserted}]
@@ -372,17 +448,17 @@ def validate_staged(wh: Warehouse, facts_path: str | None, record: dict, state:
     published before were excluded by the insert-ignore; here the run's own
     are checked.
     """
-    checks = key_checks(wh, record, state)
+    checks = []
     if facts_path is not None:
         schema = T.StructType([*S.FACT_EVENTS.fields, RUN_ID])
         facts = wh.spark.read.schema(schema).option("basePath", facts_path).parquet(facts_path)
         dims = {name: wh._read(f"gold/{name}", DIM_TABLES[name], entries, leaf="bucket") for name, entries in record["dims"].items()}
-        checks += [V.fk_violations(facts, {
+        checks = [V.fk_violations(facts, {
             "fk_actor_id": (dims["dim_actors"], "actor_id"),
             "fk_repo_id": (dims["dim_repos"], "repo_id"),
             "fk_event_type": (dims["dim_event_types"], "event_type"),
         }), V.duplicate_keys(facts, ["event_id"], "duplicate_event_id")]
-    return V.assert_clean(V.union(checks)) if checks else {}
+    return check_written(wh, record, state, checks)
 
 
 def curate(wh: Warehouse, curated: DataFrame, now: dt.datetime | str) -> int:

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from eventlake import schema as S
+from eventlake.plans import rollups as R
 from eventlake.plans.gold import RUN_METRICS, run_gold
 from eventlake.plans.silver import run_silver
 from eventlake.plans.storage import CommitConflict, CommitLog
@@ -62,7 +63,7 @@ def _tables(wh: Warehouse) -> dict[str, tuple[CommitLog, dict[str, Callable[[lis
         "silver": (wh.silver_log, {"events": read("silver/events", SILVER_EVENTS), "rejects": read("silver/rejects", SILVER_REJECTS),
                                    "ids": wh.silver_ids.all}),
         "gold": (wh.gold_log, {"fact_events": read("gold/fact_events", FACTS), "run_metrics": read("gold/run_metrics", RUN_METRIC_ROWS),
-                               "ids": wh.fact_ids.all}),
+                               "ids": wh.fact_ids.all, "rollups": read("gold/rollups", R.ROLLUPS)}),
     }
 
 
@@ -83,6 +84,8 @@ def _merge(wh: Warehouse, layer: str, table: str, rows: DataFrame, old: list[dic
         rows.write.option("parquet.bloom.filter.enabled#event_id", "true").parquet(path)
     elif table == "fact_events":
         rows.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time").write.partitionBy("date_id").parquet(path)
+    elif table == "rollups":
+        R.write(R.merged(rows), path)
     else:
         rows.write.parquet(path)
     return merged_entry(old, path, level)

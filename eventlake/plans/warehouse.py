@@ -12,6 +12,7 @@ Layout under one root (a shared folder on a cluster)::
   gold/dim_date/attempt=X/            calendar
   gold/dim_{actors,repos,event_types}/attempt=X/bucket=B/   hash buckets of a dimension
   gold/fact_events/attempt=X/date_id=D/                     facts loaded by a run
+  gold/rollups/attempt=X/kind=K/      aggregates of the facts loaded by a run
   gold/run_metrics/attempt=X/         per-run report
   {bronze,silver,gold}/_log/<N>.json  commit records
 
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake import schema as S
+from eventlake.plans import rollups as R
 from eventlake.plans.ids import BUCKET_ROWS, IdIndex
 from eventlake.plans.storage import CommitLog, FileSystem
 from eventlake.sources import seeds
@@ -57,8 +59,10 @@ DIM_TABLES = {
     "dim_event_types": S.DIM_EVENT_TYPES,
 }
 DIM_KEYS = {"dim_actors": "actor_id", "dim_repos": "repo_id", "dim_event_types": "event_type"}
-#: Hash buckets of a growing dimension, fixed when a warehouse is made.
+#: Hash buckets of a growing dimension when a warehouse is made, and the rows of
+#: a bucket above which it gets more, one split at a time (``plans/gold.py``).
 DIM_BUCKETS = 8
+DIM_BUCKET_ROWS = 20_000
 
 BATCH_REPORTS = T.StructType([
     T.StructField("fetched", T.LongType()), T.StructField("inserted", T.LongType()),
@@ -147,6 +151,31 @@ class Warehouse:
         entries = (state or self.published())["fact_events"]
         return self._read("gold/fact_events", with_fields(S.FACT_EVENTS, RUN_ID), entries)
 
+    def _rollups(self, kind: str, columns: list[str]) -> DataFrame | None:
+        """Rows of all runs as they were written; None for a record from before
+        runs wrote any."""
+        state = self.published()
+        if "rollups" not in state:
+            return None
+        return self._read("gold/rollups", R.ROLLUPS, state["rollups"]).where(F.col("kind") == kind).select(columns)
+
+    def hours(self) -> DataFrame:
+        """Events per (date, hour, type) and run (``plans/rollups.py``)."""
+        rows = self._rollups("hours", R.HOURS)
+        return R.hours(self.facts()) if rows is None else rows
+
+    def distinct_ids(self) -> DataFrame:
+        """Bitmaps of the actors and repos per date and run."""
+        rows = self._rollups("ids", R.IDS)
+        return R.ids(self.facts()) if rows is None else rows
+
+    def calendar(self, state: dict | None = None) -> tuple[int, int]:
+        """The first and last date_id of dim_date, which has every day between."""
+        state = state or self.published()
+        if "calendar" in state:
+            return tuple(state["calendar"])
+        return tuple(self.spark.read.parquet(state["dim_date"]).agg(F.min("date_id"), F.max("date_id")).first())
+
     def run_metrics(self) -> DataFrame:
         from eventlake.plans.gold import RUN_METRICS
         return self._read("gold/run_metrics", with_fields(RUN_METRICS, RUN_ID), self.published()["run_metrics"])

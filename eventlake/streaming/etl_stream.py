@@ -1,9 +1,16 @@
-"""STR-2: silver + gold driven by new bronze files instead of a clock.
-
-A Parquet file stream over ``bronze/raw_events`` notices new bronze files; each micro-batch runs ``run_pipeline`` (silver, then gold). The
-micro-batch's rows are not used directly: silver reads every committed
-bronze batch above its own mark, so a replayed or merged trigger is harmless
-and each bronze batch is still processed exactly once.
+"""STR-2: silver + gold driven by bronze commits instead of a clock.
+
+A text file stream over bronze's commit records: a micro-batch runs when a
+record is there, so never before what it names is published, and the last batch
+before a pause is not left waiting for another. Records are renamed into place
+whole; temporary files and the hint beside them are hidden from the stream. (A
+file stream, as Spark reads the folder itself in any store; a Python data
+source's own process could not.)
+
+Each micro-batch runs ``run_pipeline`` (silver, then gold). Its rows are not
+used: silver reads every committed bronze batch above its own mark, so a
+replayed or merged trigger is harmless and each bronze batch is still processed
+exactly once.
 """
 
 from __future__ import annotations
@@ -15,7 +22,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake import schema as S
 from eventlake.plans.pipeline import run_pipeline
 from eventlake.plans.warehouse import Warehouse
 from eventlake.streaming.bronze_stream import KEPT_REPORTS, finish
@@ -30,10 +36,9 @@ class EtlStream:
         self.runs: deque[dict] = deque(maxlen=KEPT_REPORTS)
 
     def _source(self) -> DataFrame:
-        self.wh.fs.mkdirs(self.wh.path("bronze/raw_events"))   # may not exist yet
-        return (self.wh.spark.readStream.schema(S.BRONZE_RAW_EVENTS)
-                .option("basePath", self.wh.path("bronze/raw_events"))
-                .parquet(self.wh.path("bronze/raw_events")).select("event_id"))
+        self.wh.fs.mkdirs(self.wh.path("bronze/_log"))   # may not exist yet
+        return (self.wh.spark.readStream.format("text").option("pathGlobFilter", "*.json").option("wholetext", "true")
+                .load(self.wh.path("bronze/_log")))
 
     def _run(self, _batch: DataFrame, _epoch: int) -> None:
         self.runs.append(run_pipeline(self.wh, self.clock()))
