@@ -67,7 +67,7 @@ def row_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
 
 def key_and_row_checks(
     df: DataFrame, keys: Sequence[str], dup_name: str, checks: Mapping[str, Column],
-    where: Column | None = None,
+    where: Column | None = None, one_pass: bool = False,
 ) -> DataFrame:
     """VAL-2 and VAL-3/4 as one report.
 

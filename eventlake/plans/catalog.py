@@ -186,7 +186,7 @@ def fact_key_checks(spark, sf_dir):
     checks = {**V.not_null(["event_time", "event_type", "actor_login"]),
               **V.hour_in_range(), **V.too_long(S.SILVER_LENGTH_LIMITS)}
     return V.key_and_row_checks(x, ["event_id"], "duplicate_event_id", checks,
-                                where=F.col("reject_reason").isNull())
+                                where=F.col("reject_reason").isNull(), one_pass=True)
 
 
 def daily_volume(spark, sf_dir):
@@ -268,6 +268,56 @@ def json_array_ingest(spark, sf_dir):
                         F.try_variant_get("full_json", "$.actor.id", "bigint").alias("actor_id"), "reject_reason")
 
 
+def _kind(spark, sf_dir, kind: str):
+    configure(spark)
+    return replayed(spark, sf_dir, kind)
+
+
+def etl_stream_runs(spark, sf_dir):
+    """STR-2 / PUB-2: silver and gold run by the stream over bronze's commits."""
+    m = _kind(spark, sf_dir, "etl").run_metrics().filter(F.col("run_id") >= 1)
+    return m.select("run_id", "types_inserted", "facts_inserted", "total_facts", ts_text(F.col("watermark_after")).alias("watermark"))
+
+
+def stream_retry_report(spark, sf_dir):
+    """STR-4: bronze batches of a stream whose writer was lost after every
+    commit, each micro-batch so being replayed once."""
+    return _kind(spark, sf_dir, "retried").bronze_reports().select("batch_id", "fetched", "inserted", "duplicates", "errors")
+
+
+def rebuilt_facts(spark, sf_dir):
+    """SNK-5: facts of a warehouse whose silver and gold were dropped and made
+    anew from bronze in one run."""
+    f = _kind(spark, sf_dir, "rebuilt").facts()
+    return f.groupBy("run_id", "date_id", "event_type").agg(F.count(F.lit(1)).alias("events"), F.countDistinct("actor_id").alias("actors"))
+
+
+def seeded_dimensions(spark, sf_dir):
+    """UPS-5: rows and sentinels of the dimensions after the seeds were applied
+    to the live warehouse, twice."""
+    wh = _kind(spark, sf_dir, "rebuilt")
+    of = lambda name, sentinel: wh.dim(name).agg(
+        F.lit(name).alias("dimension"), F.count(F.lit(1)).alias("n_rows"), F.count_if(sentinel).alias("sentinels"))
+    return (of("dim_actors", F.col("actor_id") == S.UNKNOWN_ACTOR_ID).unionByName(of("dim_repos", F.col("repo_id") == S.UNKNOWN_REPO_ID))
+            .unionByName(of("dim_event_types", F.col("event_type") == S.UNKNOWN_EVENT_TYPE)))
+
+
+def gold_step_times(spark, sf_dir):
+    """FN-19: every gold run reports elapsed times, none of a step above the whole."""
+    m = _wh(spark, sf_dir).run_metrics().filter(F.col("run_id") >= 1)
+    steps = [F.col(f"ms_{s}") for s in ("actors", "repos", "types", "facts", "validate")]
+    return m.select("run_id", "facts_inserted", (F.col("ms_total") > 0).alias("timed"),
+                    (F.least(*steps) >= 0).alias("none_negative"), (F.greatest(*steps) <= F.col("ms_total")).alias("within_total"))
+
+
+def fact_lookups(spark, sf_dir):
+    """Facts of one repo and of one actor, from the merged, clustered facts."""
+    facts = _kind(spark, sf_dir, "rebuilt").facts()
+    of = lambda what, key: facts.where(F.col(key) == FX.LOOKED_UP[what]).groupBy("event_type").agg(
+        F.lit(what).alias("what"), F.count(F.lit(1)).alias("events"), F.countDistinct("date_id").alias("days"))
+    return of("repo", "repo_id").unionByName(of("actor", "actor_id"))
+
+
 def events_by_category(spark, sf_dir):
     """Q-5."""
     wh = _wh(spark, sf_dir)
@@ -326,6 +376,12 @@ QUERIES: dict[str, Query] = {
     "edge_facts": edge_facts,
     "edge_run_report": edge_run_report,
     "json_array_ingest": json_array_ingest,
+    "etl_stream_runs": etl_stream_runs,
+    "stream_retry_report": stream_retry_report,
+    "rebuilt_facts": rebuilt_facts,
+    "seeded_dimensions": seeded_dimensions,
+    "gold_step_times": gold_step_times,
+    "fact_lookups": fact_lookups,
     "events_by_category": events_by_category,
     "last_24h": last_24h,
     "gold_freshness": gold_freshness,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from eventlake import schema as S
 from eventlake.plans import rollups as R
+from eventlake.plans.layout import clustered
 from eventlake.plans.gold import RUN_METRICS, run_gold
 from eventlake.plans.silver import run_silver
 from eventlake.plans.storage import CommitConflict, CommitLog
@@ -70,8 +71,9 @@ def _tables(wh: Warehouse) -> dict[str, tuple[CommitLog, dict[str, Callable[[lis
 def _merge(wh: Warehouse, layer: str, table: str, rows: DataFrame, old: list[dict], level: int) -> dict:
     """Write the rows of some folders as one.
 
-    Bronze is written in order of event_id and facts by date, so the statistics
-    of files and row groups tell where an id or a date can be; ids go to the
+    Bronze is written in order of event_id, and facts by date and inside a date
+    by repo and actor together (``plans/layout.py``), so the statistics of files
+    and row groups tell where an id, a repo or an actor can be; ids go to the
     buckets that their number asks for.
     """
     if table == "ids":
@@ -83,7 +85,7 @@ def _merge(wh: Warehouse, layer: str, table: str, rows: DataFrame, old: list[dic
         rows = rows.repartitionByRange("event_id").sortWithinPartitions("event_id")
         rows.write.option("parquet.bloom.filter.enabled#event_id", "true").parquet(path)
     elif table == "fact_events":
-        rows.hint("rebalance", "date_id").sortWithinPartitions("date_id", "repo_id", "event_time").write.partitionBy("date_id").parquet(path)
+        clustered(rows, sum(e["rows"] for e in old)).write.partitionBy("date_id").parquet(path)
     elif table == "rollups":
         R.write(R.merged(rows), path)
     else:

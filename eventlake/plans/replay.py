@@ -13,11 +13,12 @@ import hashlib
 import json
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.plans.bronze import ingest_batch
-from eventlake.plans.gold import bootstrap, run_gold
+from eventlake.plans.gold import apply_seeds, bootstrap, run_gold
+from eventlake.plans.pipeline import compact, run_pipeline
 from eventlake.plans.silver import run_silver
 from eventlake.plans.storage import FileSystem
 from eventlake.plans.warehouse import Warehouse
@@ -34,17 +35,27 @@ def batch_times(batch: int) -> tuple[dt.datetime, dt.datetime, dt.datetime]:
     return silver - dt.timedelta(minutes=30), silver, silver + dt.timedelta(minutes=30)
 
 
+def prepared_lines(wh: Warehouse, sf_dir: str) -> DataFrame:
+    """The fixture's JSON lines, written once and shared by the four batches."""
+    spark, path = wh.spark, wh.path("_prepared/lines")
+    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir)))
+    lines.write.mode("overwrite").parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
+def handed(lines: DataFrame, batch: int) -> DataFrame:
+    """A batch as the poller passes fetched events on, in memory."""
+    return lines.filter(F.col("arrival_batch") == batch).select(
+        "value", F.lit("").alias("arrival_file"), F.col("seq").alias("arrival_pos"))
+
+
 def replay(spark: SparkSession, sf_dir: str, root: str,
            batches=FX.ARRIVAL_BATCHES, stream: bool = False) -> Warehouse:
     """Run the fixture's arrival batches through bronze -> silver -> gold."""
     configure(spark)
     wh = Warehouse(spark, root)
     bootstrap(wh)
-    # The fixture's JSON lines are written once and shared by the four batches.
-    prepared = wh.path("_prepared/lines")
-    lines = FX.envelope(FX.fixture(FX.read_events(spark, sf_dir)))
-    lines.write.mode("overwrite").parquet(prepared)
-    lines = spark.read.schema(lines.schema).parquet(prepared)
+    lines = prepared_lines(wh, sf_dir)
     landing = wh.path("landing")
     ingestor = None
     if stream:
@@ -58,10 +69,7 @@ def replay(spark: SparkSession, sf_dir: str, root: str,
             land(spark, arriving, landing, f"b{b:08d}")
             ingestor.run_available(now=ingest_at)
         else:
-            # In-memory hand-off, as the poller passes fetched events on.
-            raw = arriving.select("value", F.lit("").alias("arrival_file"),
-                                  F.col("seq").alias("arrival_pos"))
-            ingest_batch(wh, raw, batch_id=b, now=ingest_at)
+            ingest_batch(wh, handed(lines, b), batch_id=b, now=ingest_at)
         run_silver(wh, silver_at)
         run_gold(wh, gold_at)
     return wh
@@ -97,9 +105,79 @@ def replay_edges(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     return wh
 
 
+def replay_etl(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """Bronze batches, with silver and gold run by the stream over commits."""
+    from eventlake.streaming.etl_stream import EtlStream
+
+    configure(spark)
+    wh = Warehouse(spark, root)
+    bootstrap(wh)
+    lines = prepared_lines(wh, sf_dir)
+    for b in FX.ARRIVAL_BATCHES:
+        ingest_at, silver_at, _ = batch_times(b)
+        ingest_batch(wh, handed(lines, b), batch_id=b, now=ingest_at)
+        EtlStream(wh, clock=lambda: silver_at).run_available()
+    return wh
+
+
+def replay_retried(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """Bronze from a stream whose writer is lost right after every commit: the
+    micro-batch fails and is run again."""
+    from eventlake.streaming.bronze_stream import BronzeStream
+
+    class Lost(BronzeStream):
+        lost = False
+
+        def _ingest(self, batch: DataFrame, epoch_id: int) -> None:
+            super()._ingest(batch, epoch_id)
+            if not self.lost:
+                self.lost = True
+                raise RuntimeError("writer lost after its commit")
+
+    configure(spark)
+    wh = Warehouse(spark, root)
+    lines = prepared_lines(wh, sf_dir)
+    for b in FX.ARRIVAL_BATCHES:
+        land(spark, lines.filter(F.col("arrival_batch") == b), wh.path("landing"), f"b{b:08d}")
+        stream, at = Lost(wh, wh.path("landing")), batch_times(b)[0]
+        try:
+            stream.run_available(now=at)
+        except Exception:
+            if not stream.lost:
+                raise
+            stream.run_available(now=at)
+    return wh
+
+
+def replay_rebuilt(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
+    """All bronze batches; silver and gold are run halfway, dropped, made anew
+    in one run and merged; the seeds are applied twice."""
+    configure(spark)
+    wh = Warehouse(spark, root)
+    bootstrap(wh)
+    lines = prepared_lines(wh, sf_dir)
+    for b in FX.ARRIVAL_BATCHES:
+        ingest_batch(wh, handed(lines, b), batch_id=b, now=batch_times(b)[0])
+        if b == 2:
+            run_pipeline(wh, batch_times(b)[1])
+    bootstrap(wh, reset=True)
+    last = batch_times(FX.ARRIVAL_BATCHES[-1])
+    run_pipeline(wh, last[1], last[2])
+    for _ in range(2):
+        apply_seeds(wh, last[2])
+    compact(wh)
+    return wh
+
+
+BUILDS = {
+    "batch": replay, "stream": lambda *args: replay(*args, stream=True), "edges": replay_edges,
+    "etl": replay_etl, "retried": replay_retried, "rebuilt": replay_rebuilt,
+}
+
+
 def replayed(spark: SparkSession, sf_dir: str, kind: str = "batch") -> Warehouse:
     """The replayed warehouse of ``sf_dir`` (built once, then reused): its
-    ``kind`` is batch, stream or edges.
+    ``kind`` is one of ``BUILDS``.
 
     It lives under the shared scratch folder, keyed by the input files and
     the package source, so later sessions and processes reuse it. A build
@@ -117,10 +195,7 @@ def replayed(spark: SparkSession, sf_dir: str, kind: str = "batch") -> Warehouse
     fs = FileSystem(spark, base)
     if not fs.exists(pointer):
         building = f"{base}/{kind}-{uuid.uuid4().hex}"
-        if kind == "edges":
-            replay_edges(spark, sf_dir, building)
-        else:
-            replay(spark, sf_dir, building, stream=kind == "stream")
+        BUILDS[kind](spark, sf_dir, building)
         fs.mkdirs(base)
         tmp = f"{base}/.{uuid.uuid4().hex}.tmp"
         fs.write_text(tmp, json.dumps({"root": building}))

@@ -37,6 +37,8 @@ ARRIVAL_BATCHES = (1, 2, 3, 4)
 PROCESSED_AT_BASE = "2024-02-01 00:00:00"
 AS_OF_DATE = "2024-01-31"
 AS_OF_TS = "2024-01-30 00:00:00"
+# The repo and the actor that the lookup query asks for.
+LOOKED_UP = {"repo": 5010, "actor": 1010}
 CREATED_AT_UNPARSEABLE = "not-a-time"
 
 
