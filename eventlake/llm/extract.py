@@ -6,29 +6,33 @@ footers, sidebars, notices, adverts, forms, comments and the like, by element,
 role, class and id), article (inside the page's article or main element) or
 plain (neither).
 
-Pages of a host are sorted by path, and each page is paired with the neighbour
-whose path shares the longer prefix. The lines of a pair are aligned by their
-longest common subsequence. What two pages of a host share is their template:
-shared plain lines are deleted. Chrome is dropped anyway. Article lines stay
-even where a neighbour has them too: copies, quotations and recurring
-sentences inside an article are its text, and the article is to be whole. A
-neighbour with the very same lines is a copy, which says nothing about the
-template; the other neighbour is taken then, or none. If a page has an article,
-its text is the article's lines and what is left of the plain lines of sibling
-articles (a body may be split over several); otherwise the plain lines that are
-left. Siblings marked as comments, related or the like are chrome.
+Pages of a host are sorted by path. Neighbours with the very same lines are
+copies: they say nothing about each other's template, so a run of them is taken
+as one page, and what is deleted from it is deleted from each. Each run is
+paired with the neighbouring run whose path shares the longer prefix with its
+own, and the lines of the pair are aligned by their longest common subsequence.
+
+What two pages of a host share is their template, and is deleted, whatever its
+markup (``n_template`` counts these lines). Markup decides where sharing says
+nothing: a shared line inside the page's article stays (``n_quoted``), as
+copies, quotations and recurring sentences inside an article are its text and
+the article is to be whole; and chrome that no neighbour shares, such as a
+reader's comment, goes (``n_marked``). If a page has an article, plain lines
+beside it are no text either (``n_marked``) unless they stand in a sibling
+article, as a body may be split over several; siblings marked as comments,
+related or the like are chrome.
 
 Skew: only line hashes are sorted, by range over (host, path), so a host of any
-size spreads over all tasks. A task pairs the pages it holds; its first and
-last page meet their neighbours in other tasks in a second, small step of at
-most two pages a task, so the result doesn't depend on how rows are dealt.
-Deletions are joined to the pages by row number: the planner broadcasts them
-only if their written table is small.
+size spreads over all tasks. A task pairs the runs it holds; its first and last
+run meet their neighbours in other tasks in a second, small step of at most two
+pages a task, so the result doesn't depend on how rows are dealt. Deletions are
+joined to the pages by run: the planner broadcasts them only if their written
+table is small, and splits the pages of a large run otherwise.
 
 Null and empty htmls have an empty text. Null urls and those without ``://``
 have an empty host and path and are paired among themselves; equal paths are
 ordered by page id. Repeated rows are pages of their own and copies of each
-other.
+other. A host's only page, or only copies of it, keep their unmarked lines.
 """
 
 from __future__ import annotations
@@ -50,7 +54,9 @@ from eventlake.llm.urls import host_of, path_of
 
 #: Bits of alignment kept at once; longer pairs are halved first.
 ALIGN_BITS = 1 << 28
-LINES = "lines array<struct<at:int,text:string>>, plain array<int>, hashes array<long>"
+LINES = "lines array<struct<at:int,text:string>>, kinds array<int>, hashes array<long>"
+#: What a line may be in ``kinds``.
+TEXT, UNDECIDED, NO_TEXT = 0, 1, 2
 
 
 def rows_of_bits(a: list[int], b: list[int]) -> list[int]:
@@ -120,7 +126,8 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 def read_pages(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """``row`` (the columns given, without the html), host, path, the lines
-    that may be text, the positions of plain lines, and all lines' hashes."""
+    that may be text, and for every line what the markup says of it (inside the
+    article, undecided, or no text if it isn't shared) and its hash."""
     small_batches(df.sparkSession)
     kept = [F.col(c) for c in df.columns if c != html_col]
     rows = df.select(
@@ -130,108 +137,141 @@ def read_pages(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines, plain, hashes = [], [], []
+            lines, kinds, hashes = [], [], []
             for html in batch.column(3).to_pylist():
                 blocks = read_parts(html)
                 whole = any(kind == ARTICLE for _, kind, _ in blocks)
-                kept = [kind == ARTICLE or kind == PLAIN and (beside or not whole) for _, kind, beside in blocks]
-                lines.append([{"at": i, "text": b[0]} for i, b in enumerate(blocks) if kept[i]])
-                plain.append([i for i, b in enumerate(blocks) if kept[i] and b[1] == PLAIN])
+                kinds.append([TEXT if kind == ARTICLE else UNDECIDED if kind == PLAIN and (beside or not whole) else NO_TEXT
+                              for _, kind, beside in blocks])
+                lines.append([{"at": i, "text": b[0]} for i, b in enumerate(blocks) if kinds[-1][i] != NO_TEXT])
                 hashes.append(np.array([xxhash.xxh64_intdigest(b[0].encode()) for b in blocks], np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(lines, line), pa.array(plain, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
+                [*batch.columns[:3], pa.array(lines, line), pa.array(kinds, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))],
                 names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
-PAIR = "uid long, fresh boolean, prefix int, before boolean, shared array<int>"
-EDGE = "part int, last boolean, e_uid long, host string, path string, plain array<int>, hashes array<long>"
+MEMBER = "uid long, of_run long"
+PAIR = "run long, prefix int, before boolean, shared array<int>"
+EDGE = "part int, last boolean, e_run long, host string, path string, end_path string, hashes array<long>"
 
 
 def paired(a: dict, b: dict) -> list[dict]:
-    """What each of two neighbours shares with the other; a: the earlier one."""
-    if a["host"] != b["host"] or not (a["plain"] or b["plain"]):
+    """What each of two neighbouring runs shares with the other; a: the earlier
+    one. Runs of different hosts, and two parts of one run, share nothing."""
+    if a["host"] != b["host"] or a["hashes"] == b["hashes"]:
         return []
     pairs = aligned(a["hashes"], b["hashes"])
-    fresh = not len(a["hashes"]) == len(b["hashes"]) == len(pairs)
-    prefix = len(os.path.commonprefix([a["path"], b["path"]]))
-    out = []
-    for page, side, before in ((a, 0, False), (b, 1, True)):
-        if page["plain"]:
-            mine = set(page["plain"])
-            shared = [p[side] for p in pairs if p[side] in mine]
-            out.append({"uid": page["uid"], "fresh": fresh, "prefix": prefix, "before": before, "shared": shared})
-    return out
+    prefix = len(os.path.commonprefix([a["end_path"], b["path"]]))
+    return [{"run": run["run"], "prefix": prefix, "before": before, "shared": [p[side] for p in pairs]}
+            for run, side, before in ((a, 0, False), (b, 1, True))]
 
 
-def pair_sorted(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pairs inside every task's range of pages, and every range's first
-    and last page."""
+def pair_sorted(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every page's run; the pairs of runs inside every task's range of pages;
+    and every range's first and last run."""
     small_batches(pages.sparkSession)
-    keys = pages.select("host", "path", "page_order", "uid", "plain", "hashes")
+    keys = pages.select("host", "path", "page_order", "uid", "hashes")
     ranged = keys.repartitionByRange("host", "path", "page_order", "uid").sortWithinPartitions("host", "path", "page_order", "uid")
-    ranged = ranged.select("host", "path", "uid", "plain", "hashes")
-    pair_type, edge_type = T.StructType.fromDDL(PAIR), T.StructType.fromDDL(EDGE)
-    schema = T.StructType([*pair_type.fields, *edge_type.fields])
+    ranged = ranged.select("host", "path", "uid", "hashes")
+    types = [T.StructType.fromDDL(x) for x in (MEMBER, PAIR, EDGE)]
+    schema = T.StructType([f for t in types for f in t.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         part = TaskContext.get().partitionId()
-        edge = lambda p, last: {"part": part, "last": last, "e_uid": p["uid"]} | {k: p[k] for k in ("host", "path", "plain", "hashes")}
-        held = None
+        edge = lambda p, last: {"part": part, "last": last, "e_run": p["run"]} | {
+            k: p[k] for k in ("host", "path", "end_path", "hashes")}
+        now = before = None  # the run being read, and the one before it
+        number = part << 40
         for batch in batches:
             made: list[dict] = []
             for page in batch.to_pylist():
-                made += paired(held, page) if held else [edge(page, False)]
-                held = page
+                if now and now["host"] == page["host"] and now["hashes"] == page["hashes"]:
+                    now["end_path"] = page["path"]
+                else:
+                    if now:
+                        made += paired(before, now) if before else [edge(now, False)]
+                    before, now = now, page | {"run": number, "end_path": page["path"]}
+                    number += 1
+                made.append({"uid": page["uid"], "of_run": now["run"]})
             yield pa.RecordBatch.from_pylist(made, schema=arrow)
-        if held:
-            yield pa.RecordBatch.from_pylist([edge(held, True)], schema=arrow)
+        if now:
+            made = paired(before, now) if before else [edge(now, False)]
+            yield pa.RecordBatch.from_pylist([*made, edge(now, True)], schema=arrow)
 
     out = materialise(ranged.mapInArrow(run, schema), "html-pairs")
-    return (out.where("uid is not null").select(*pair_type.names), out.where("e_uid is not null").select(*edge_type.names))
+    members, pairs, edges = (out.where(F.col(k).isNotNull()).select(*t.names) for k, t in zip(("of_run", "run", "e_run"), types))
+    return members, pairs, edges
+
+
+ALIAS = "part_run long, whole_run long"
 
 
-def pair_edges(edges: DataFrame) -> DataFrame:
-    """The pairs across ranges: at most two pages a range meet here."""
-    schema = T.StructType.fromDDL(PAIR)
+def pair_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs across ranges, and which runs go on from one range to the
+    next (the later part's number and the first one's). At most two runs a
+    range meet here."""
+    types = [T.StructType.fromDDL(x) for x in (PAIR, ALIAS)]
+    schema = T.StructType([f for t in types for f in t.fields])
     ordered = edges.repartition(1).sortWithinPartitions("part", "last")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        held = None
+        held: dict | None = None  # the last run seen, under its first part's number
         for batch in batches:
             made: list[dict] = []
             for page in batch.to_pylist():
-                page["uid"] = page["e_uid"]
-                if held and held["last"] and not page["last"]:
-                    made += paired(held, page)
+                page["run"] = page["e_run"]
+                if held and page["run"] == held["e_run"]:  # a range's only run, first and last
+                    page["run"] = held["run"]
+                elif held and page["part"] != held["part"]:
+                    if held["host"] == page["host"] and held["hashes"] == page["hashes"]:
+                        made.append({"part_run": page["run"], "whole_run": held["run"]})
+                        page["run"] = held["run"]
+                    else:
+                        made += paired(held, page)
                 held = page
             yield pa.RecordBatch.from_pylist(made, schema=to_arrow_schema(schema))
 
-    return ordered.mapInArrow(run, schema)
+    out = materialise(ordered.mapInArrow(run, schema), "html-edges")
+    return tuple(out.where(F.col(t.names[0]).isNotNull()).select(*t.names) for t in types)
 
 
 def extract(df: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id", out: str = "text") -> DataFrame:
-    """The columns of ``df`` without the html, and the main text as ``out``
-    (which replaces a column of that name)."""
-    kept = df.drop(out) if out in df.columns and out != html_col else df
+    """The columns of ``df`` without the html, the main text as ``out``, and
+    the lines that each rule decided: n_template, n_marked, n_quoted (which
+    replace columns of these names)."""
+    made = (out, "n_template", "n_marked", "n_quoted")
+    kept = df.drop(*(c for c in made if c in df.columns and c not in (url_col, html_col, id_col)))
     pages = read_pages(kept, url_col, html_col).withColumn("uid", F.monotonically_increasing_id())
     pages = materialise(pages.withColumn("page_order", F.col("row")[id_col]), "html-lines")
-    inside, edges = pair_sorted(pages)
-    pairs = inside.unionByName(pair_edges(edges))
-    best = pairs.groupBy("uid").agg(F.max(F.struct("fresh", "prefix", "before", "shared")).alias("best"))
-    gone = best.where("best.fresh and size(best.shared) > 0").select(F.col("uid").alias("gone_uid"), F.col("best.shared").alias("gone"))
-    gone = materialise(gone, "html-gone")
-    joined = pages.join(gone, F.col("uid") == F.col("gone_uid"), "left")
-    left = F.filter("lines", lambda x: F.col("gone").isNull() | ~F.array_contains("gone", x["at"]))
-    text = F.array_join(F.transform(left, lambda x: x["text"]), "\n\n")
+    members, inside, edges = pair_sorted(pages)
+    across, parts = pair_edges(edges)
+
+    def whole(rows: DataFrame, column: str) -> DataFrame:
+        """With a run's number in the place of those of its later parts."""
+        named = rows.join(parts, F.col(column) == F.col("part_run"), "left")
+        return named.withColumn(column, F.coalesce("whole_run", column)).drop(*parts.columns)
+
+    members, pairs = whole(members, "of_run"), whole(inside.unionByName(across), "run")
+    best = pairs.groupBy("run").agg(F.max(F.struct("prefix", "before", "shared")).alias("best"))
+    shared = materialise(best.select("run", "best.shared"), "html-shared")
+    of_run = pages.join(members, "uid").join(shared, F.col("of_run") == F.col("run"), "left")
+    joined = of_run.withColumn("shared", F.coalesce("shared", F.array().cast("array<int>")))
+    kind_at = lambda i: F.get("kinds", i)
+    gone = lambda x: (kind_at(x["at"]) != TEXT) & F.array_contains("shared", x["at"])
+    text = F.array_join(F.transform(F.filter("lines", lambda x: ~gone(x)), lambda x: x["text"]), "\n\n")
+    n_shared = lambda *kinds: F.size(F.filter("shared", lambda i: kind_at(i).isin(*kinds))).cast("long")
+    marked = F.size(F.filter("kinds", lambda k: k == NO_TEXT)).cast("long") - n_shared(NO_TEXT)
     names = [c for c in kept.columns if c != html_col]
-    return joined.select(*(F.col("row")[c].alias(c) for c in names), text.alias(out))
+    return joined.select(
+        *(F.col("row")[c].alias(c) for c in names), text.alias(out), n_shared(UNDECIDED, NO_TEXT).alias("n_template"),
+        marked.alias("n_marked"), n_shared(TEXT).alias("n_quoted"))
 
 
 def op9_extract(spark, sf_dir):

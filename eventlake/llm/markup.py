@@ -66,6 +66,10 @@ class Page:
     def __init__(self, html: str):
         self.blocks: list[tuple[str, int, int]] = []
         self.stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, chrome, article number (0: none)
+        #: Places of the open elements by name, and how many open elements up to
+        #: each are blocks, so that no tag walks the stack.
+        self.open: dict[str, list[int]] = {}
+        self.blocks_open = [0]
         self.pieces: list[str] = []
         self.noise: list[str] = []  # of inline chrome inside the open block
         self.articles = 0
@@ -107,15 +111,26 @@ class Page:
                 if text:
                     self.blocks.append((text, kind, article))
 
+    def push(self, name: str, chrome: bool, article: int) -> None:
+        self.open.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, chrome, article))
+        self.blocks_open.append(self.blocks_open[-1] + (name in BLOCK))
+
+    def cut(self, at: int) -> None:
+        """End the open elements from the ``at``-th on."""
+        for name, _, _ in self.stack[at:]:
+            self.open[name].pop()
+        del self.stack[at:], self.blocks_open[at:]
+
+    def innermost(self, names: str) -> int:
+        """The place of the innermost open element of some names (0: none)."""
+        return max((self.open[n][-1] for n in names.split() if self.open.get(n)), default=0)
+
     def drop_to(self, names: str, scope: str) -> None:
         """End the innermost open element of ``names`` unless one of ``scope`` is inside it."""
-        names, scope = names.split(), scope.split()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] in names:
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in scope:
-                return
+        at = self.innermost(names)
+        if at > self.innermost(scope):
+            self.cut(at)
 
     def start(self, name: str, attributes: str) -> None:
         if name in VOID:
@@ -141,20 +156,18 @@ class Page:
         elif name == "header" and article:
             chrome = chrome or bool(marks)
         else:
-            inside_header = article and any(t == "header" for t, _, _ in self.stack)
+            inside_header = article and bool(self.open.get("header"))
             chrome = chrome or name in DROPPED or bool(marks) or bool(inside_header and name in BLOCK and name not in HEADING | {"div", "hgroup"})
-        self.stack.append((name, chrome, article))
+        self.push(name, chrome, article)
 
     def end(self, name: str) -> None:
-        if name == "p" and all(t != "p" for t, _, _ in self.stack):
+        at = self.innermost(name)
+        if at:
+            if self.blocks_open[-1] > self.blocks_open[at - 1]:
+                self.flush()
+            self.cut(at)
+        elif name == "p":
             self.flush()
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == name:
-                if any(t in BLOCK for t, _, _ in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
 
 
 def read_parts(html: str | None) -> list[tuple[str, int, bool]]:

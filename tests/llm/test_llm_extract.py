@@ -97,22 +97,28 @@ def brute_extract(pages):
         return ((m[1].lower(), m[2]) if m else ("", "")) + ((p[0] is not None, p[0] or 0),)
 
     ordered = sorted(pages, key=key)
+    runs = []  # neighbours of the same lines are one page
+    for page in ordered:
+        mine = [t for t, _ in read_blocks(page[2])]
+        if runs and runs[-1][0] == key(page)[0] and runs[-1][1] == mine:
+            runs[-1][2].append(page)
+        else:
+            runs.append((key(page)[0], mine, [page]))
     out = []
-    for i, page in enumerate(ordered):
-        blocks = read_blocks(page[2])
-        mine = [t for t, _ in blocks]
+    for i, (host, mine, members) in enumerate(runs):
         best = None
         for j, before in ((i - 1, True), (i + 1, False)):
-            if 0 <= j < len(ordered) and key(ordered[j])[0] == key(page)[0]:
-                other = [t for t, _ in read_blocks(ordered[j][2])]
-                prefix = len(os.path.commonprefix([key(page)[1], key(ordered[j])[1]]))
-                pairs = X.aligned(*((other, mine) if before else (mine, other)))
-                rank = (mine != other, prefix, before)
-                if best is None or rank > best[0]:
-                    best = rank, {p[1 if before else 0] for p in pairs}
-        gone = best[1] if best and best[0][0] else set()
-        article = [t for t, k in blocks if k == ARTICLE]
-        out.append((page[0], page[1], "\n\n".join(article or [t for n, (t, k) in enumerate(blocks) if k == PLAIN and n not in gone])))
+            if 0 <= j < len(runs) and runs[j][0] == host:
+                ends = (runs[j][2][-1], members[0]) if before else (members[-1], runs[j][2][0])
+                prefix = len(os.path.commonprefix([key(p)[1] for p in ends]))
+                pairs = X.aligned(*((runs[j][1], mine) if before else (mine, runs[j][1])))
+                if best is None or (prefix, before) > best[0]:
+                    best = (prefix, before), {p[1 if before else 0] for p in pairs}
+        gone = best[1] if best else set()
+        for page in members:
+            blocks = read_blocks(page[2])
+            article = [t for t, k in blocks if k == ARTICLE]
+            out.append((page[0], page[1], "\n\n".join(article or [t for n, (t, k) in enumerate(blocks) if k == PLAIN and n not in gone])))
     return sorted(out, key=str)
 
 
@@ -133,6 +139,7 @@ def test_differencing_matches_brute_force(spark, partitions):
     text = {r["page_id"]: r["text"] for r in rows}
     assert "Home" not in text[1] and "One" in text[1]
     assert text[6] == "first text\n\nown" and "Home | News" in text[5]
+    assert "Home" not in text[2] + text[4] and "second text" in text[2]    # copies lose their template too
 
 
 def test_empty_table(spark):
@@ -147,3 +154,58 @@ def test_sibling_articles_are_differenced_and_not_dropped(spark):
     rows = [(1, "http://s.net/a/1", page("x")), (2, "http://s.net/a/2", page("y"))]
     got = {r["page_id"]: r["text"] for r in X.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: f"part one of {n}, the longest of all\n\npart two of {n}" for i, n in ((1, "x"), (2, "y"))}
+
+
+def bare(title, *lines):
+    """A page whose menu, notice, sidebar and footer have no telling element,
+    class, id or role; nor has its body."""
+    around = ["Home", "World", "Sport", "We use cookies to make this site work", "Most read this week"], ["About us", "Contact", "All rights reserved"]
+    body = "".join(f"<div><span>{x}</span></div>" for x in (*around[0], title, *lines, *around[1]))
+    return f"<html><body>{body}</body></html>"
+
+
+def test_pages_without_telling_markup_are_extracted_by_differencing(spark):
+    rnd = random.Random(4)
+    rows, want = [], {}
+    for i in range(120):
+        lines = [f"Sentence {j} of page {i}: {rnd.random()}." for j in range(rnd.randint(2, 9))]
+        rows.append((i, f"http://s{i % 3}.net/news/{i:04d}", bare(f"Title {i}", *lines)))
+        want[i] = "\n\n".join([f"Title {i}", *lines])
+    # three and more copies beside each other, and a run of them over many tasks
+    rows += [(1000 + k, f"http://s0.net/news/0060-{k:03d}", rows[60][2]) for k in range(50)]
+    want |= {1000 + k: want[60] for k in range(50)}
+    # copies with another page between them are not one run
+    rows += [(2000 + k, f"http://s1.net/x/{k:03d}", rows[61 + k % 2][2]) for k in range(40)]
+    want |= {2000 + k: want[61 + k % 2] for k in range(40)}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = X.extract(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r["page_id"]: r["text"] for r in got} == want
+    assert {(r["n_template"], r["n_marked"], r["n_quoted"]) for r in got} == {(8, 0, 0)}
+
+
+def test_what_each_rule_decides_is_counted(spark):
+    page = lambda n: (f"<nav>Home</nav><article><p>text {n}</p><p>A recurring sentence.</p></article>"
+                      f"<div class=comment>a reader's view of {n}</div><footer>Rights</footer>")
+    rows = [(i, f"http://q.net/{i}", page(i)) for i in (1, 2)]
+    got = X.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n_marked", F.lit("mine"))).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"text {i}\n\nA recurring sentence." for i in (1, 2)}
+    assert {(r["n_template"], r["n_marked"], r["n_quoted"]) for r in got} == {(2, 1, 1)}
+
+
+def test_deep_and_unclosed_markup_is_read_in_seconds():
+    import time
+
+    hostile = ["<b>" * 90_000 + "<p>y</p>" * 90_000, "<article>" + "<span>" * 150_000 + "x", "<article>" + "<div>" * 90_000 + "x" + "</div>" * 90_000,
+               "<article><header>" + "<p>y" * 200_000, "<li>" * 200_000, "<table>" + "<tr><td>" * 90_000]
+    for html in hostile:
+        assert len(html) > 700_000
+        began = time.process_time()
+        read_blocks(html)
+        assert time.process_time() - began < 8, html[:30]
