@@ -13,9 +13,9 @@ ends, and the ids in 16 or 32 bits, little-endian.
 Encoding: pieces never span white space in this vocabulary, so a text's ids are
 the ids of its blank-separated words one after another, and nor do they span
 a letter and trailing punctuation; each distinct part goes through the
-tokenizer, many in one text, and is remembered in a bounded cache. Special
-token strings inside a text are ordinary text. Null and empty texts have the
-end id only.
+tokenizer, many in one text, and is remembered in a bounded cache. A text that
+holds the string of a special token goes through the library whole, which by
+default takes it for that token. Null and empty texts have the end id only.
 """
 
 from __future__ import annotations
@@ -79,7 +79,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary(name, folder))
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)").search
         self.forget()
 
     def forget(self) -> None:
@@ -115,7 +116,8 @@ class Encoder:
         """Per text its ids and the end id."""
         if len(self.words) > CACHED_WORDS:
             self.forget()
-        split = [(t or "").encode().split() for t in texts]
+        whole = {i: self.tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if t and self.special(t)}
+        split = [[] if i in whole else (t or "").encode().split() for i, t in enumerate(texts)]
         sizes = [len(w) for w in split]
         words = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
         self.learn()
@@ -126,7 +128,8 @@ class Encoder:
         ids = self.flat[np.repeat(self.first[parts] - (ends - count), count) + np.arange(total)]
         cuts = np.concatenate([[0], ends])[2 * np.cumsum([0, *sizes])]
         end = np.array([end_id], np.uint32)
-        return [np.concatenate([ids[a:b], end]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+        return [np.concatenate([np.array(whole[i], np.uint32) if i in whole else ids[a:b], end])
+                for i, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()))]
 
 
 @lru_cache(maxsize=1)

@@ -18,9 +18,7 @@ HARD = "aAbé'sS´`.,;!?-_/\\<|>endoftext 1९٣ \t\n\x0b\x0c\r\x1c\x85\xa0 İΣ
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(vocabulary(WORD))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(vocabulary(WORD))
 
 
 @settings(deadline=None)
@@ -56,6 +54,13 @@ def test_words_give_the_ids_of_whole_texts(tokenizer, monkeypatch):
             assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1], text
 
 
+def test_special_token_strings_are_the_librarys_special_tokens(tokenizer):
+    texts = ["<|endoftext|> x", "a<|startoftext|>b <|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext |>", "<|endoftext|>" * 3, "plain"]
+    got = [ids.tolist() for ids in K.Encoder().encode(texts, 1)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert got[0] == [49407, 343, 1] and 49407 not in got[2] + got[3]
+
+
 def test_shard_gives_single_documents():
     parts = [np.arange(n, dtype=np.uint32) for n in (1, 5, 0, 300, 2)]
     for width in (2, 4):
