@@ -73,6 +73,18 @@ def give_back() -> None:
         pass
 
 
+def joined(batches: Iterator[pa.RecordBatch], at: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until column ``at`` has ``least`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.column(at).nbytes for b in held) >= least:
+            yield pa.concat_batches(held) if len(held) > 1 else batch
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def append_struct(
     df: DataFrame,
     out: str,
@@ -80,12 +92,15 @@ def append_struct(
     kernel: Callable[[list[str | None]], dict[str, list]],
     text_col: str = "text",
     setup: Callable[[], object] | None = None,
+    gather: int = 0,
 ) -> DataFrame:
     """``df`` with one more column ``out``: a struct computed from ``text_col``.
 
     ``kernel(texts)`` (or ``kernel(state, texts)`` with ``setup``, run once per
     task) returns a list per field. Every other column passes through
     untouched, whatever its name; a column already called ``out`` is replaced.
+    ``gather`` joins batches until their texts have so many bytes, for kernels
+    with a cost per call.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -97,7 +112,7 @@ def append_struct(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         state = setup() if setup else None
-        for batch in batches:
+        for batch in joined(batches, at, gather):
             texts = batch.column(at).to_pylist()
             values = kernel(state, texts) if setup else kernel(texts)
             struct = pa.StructArray.from_arrays(
