@@ -5,15 +5,27 @@ all rules is made deterministic by subset construction and minimised by
 splitting states until equal ones can't be told apart. What results is a
 transition array over byte classes and, per state, the set of rules that end
 there as a bit mask.
+
+Scanning. A byte that leads every state back to the first one ends all matches
+that are under way: texts are cut behind such bytes (for rules without line
+ends, at every line end) into segments, which are scanned side by side, each
+step for all that are still running. Segments too short for any match are
+skipped; where few long ones are left, they are finished one by one, byte by
+byte in plain Python, which is faster for few. Both are linear in the text, and
+memory is a few numbers a segment.
 """
 
 from __future__ import annotations
 
+from array import array
 from re import _constants as sre
 from re import _parser as parser
 
 import numpy as np
 
+#: Segments that are finished one by one.
+FEW = 48
+
 ALL_BYTES = (1 << 256) - 1
 
 
@@ -114,33 +126,73 @@ class Automaton:
         self.start = int(group[0])
         self.table = group[table[pick]].astype(np.uint16 if n < 1 << 16 else np.uint32)
         self.rules = accept[pick]
+        self.reset = (self.table == self.start).all(axis=0)
+        self.shortest = self.least_bytes()
         self.rows: tuple[np.ndarray, np.ndarray] | None = None
+        self.plain: tuple[array, bytes] | None = None
+
+    def least_bytes(self) -> int:
+        """Bytes of the shortest match."""
+        reached, n = np.zeros(len(self.table), bool), 0
+        reached[self.start] = True
+        while not self.rules[reached].any():
+            before = reached.sum()
+            reached[self.table[reached].ravel()] = True
+            n += 1
+            if reached.sum() == before:  # no rule can match
+                return 1 << 62
+        return n
+
+    def segments(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, rules) of the segments of some texts, laid end to end
+        in ``data``, in which a rule matches; by start."""
+        starts = np.unique(np.concatenate([np.flatnonzero(self.reset[data]) + 1, np.cumsum(sizes) - sizes]))
+        starts = starts[starts < len(data)]
+        ends = np.append(starts[1:], len(data))
+        long = ends - starts >= max(1, self.shortest)
+        starts, ends = starts[long], ends[long]
+        order = np.argsort(starts - ends, kind="stable")  # longest first: those still running are a prefix
+        at, length = starts[order], (ends - starts)[order]
+        if self.rows is None:  # while scanning, a state is the offset of its row
+            width = self.table.shape[1]
+            self.rows = self.table.ravel().astype(np.int32) * width, np.repeat(self.rules, width)
+            self.plain = array("i", self.rows[0].tobytes()), [int(m) for m in self.rules.tolist()]
+        flat, ending = self.rows
+        state = np.full(len(at), self.start * self.table.shape[1], np.int64)
+        seen = np.zeros(len(at), self.rules.dtype)
+        step, n = 0, len(at)
+        while n > FEW:
+            upto = int(length[n - 1])  # all of the first n run that far
+            for step in range(step, upto):
+                now = flat[state[:n] + data[at[:n] + step]]
+                state[:n] = now
+                seen[:n] |= ending[now]
+            step = upto
+            n = int(np.searchsorted(-length[:n], -step, side="left"))
+        for i in range(n):
+            seen[i] |= self.finish(data[at[i] + step : at[i] + length[i]].tobytes(), int(state[i]))
+        hit = np.zeros(len(at), self.rules.dtype)
+        hit[order] = seen
+        found = hit != 0
+        return starts[found], ends[found], hit[found]
+
+    def finish(self, data: bytes, state: int) -> int:
+        """The rules met when ``data`` is read from a state."""
+        flat, rules = self.plain
+        seen, width = 0, self.table.shape[1]
+        for byte in data:
+            state = flat[state + byte]
+            seen |= rules[state // width]
+        return seen
 
     def scan(self, texts: list[bytes]) -> np.ndarray:
-        """Per text the bit mask of the rules that match somewhere in it.
-
-        All texts of a batch advance together, one byte at a time; longer ones
-        come first, so that the texts still running are a prefix.
-        """
+        """Per text the bit mask of the rules that match somewhere in it."""
         sizes = np.array([len(t) for t in texts], np.int64)
-        order = np.argsort(-sizes, kind="stable")
-        data = np.frombuffer(b"".join(texts[i] for i in order), np.uint8)
-        sizes = sizes[order]
-        at = np.cumsum(sizes) - sizes
-        running = np.searchsorted(-sizes, -np.arange(sizes[0] if len(sizes) else 0), side="left")
-        state = np.full(len(texts), self.start, np.int64)
-        seen = np.full(len(texts), self.rules[self.start])
-        width = self.table.shape[1]  # while scanning, a state is the offset of its row
-        if self.rows is None:
-            self.rows = self.table.ravel().astype(np.int32) * width, np.repeat(self.rules, width)
-        flat, ends = self.rows
-        state *= width
-        for step, n in enumerate(running.tolist()):
-            now = flat[state[:n] + data[at[:n] + step]]
-            state[:n] = now
-            seen[:n] |= ends[now]
-        out = np.zeros(len(texts), self.rules.dtype)
-        out[order] = seen
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        out = np.full(len(texts), self.rules[self.start])
+        starts, _, masks = self.segments(data, sizes)
+        owner = np.searchsorted(np.cumsum(sizes), starts, side="right")
+        np.bitwise_or.at(out, owner, masks)
         return out
 
 

@@ -1,10 +1,17 @@
 """Secret scans with one deterministic automaton for all rules.
 
 A rule is a pattern, the group that is the secret, and the least number of
-characters of that group. The patterns are compiled into one automaton, and every text is scanned once, byte by byte, for
-all rules together. A rule that the pass doesn't report has no match in that
-text; for those it reports an exact check takes the leftmost non-overlapping
-matches of the rule in the whole text and drops those that are too short.
+characters of that group. The patterns are compiled into one automaton, and
+every text is scanned once, byte by byte, for all rules together. The pass
+reports, segment by segment, which rules match there: a segment ends at a byte
+that no match can hold, such as a line end. Only in reported segments an exact
+check takes the leftmost non-overlapping matches of the reported rules and
+drops those that are too short; as no match reaches over a segment's end, they
+are those of the whole text. A private key's header is one line, its body goes
+on: that rule is matched from the reported header on.
+
+All of it is linear in the text, however hostile: the patterns match possessively
+or cannot be retried inside what they have read.
 
 Spans are code points of the original text, end exclusive. Kinds are listed
 base first; more rules add spans and never change those of others. Null and
@@ -17,6 +24,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +45,8 @@ class Rule:
     #: rule without a rare beginning counts here, the others needn't: counters
     #: that run side by side multiply the automaton's states.
     sieve: str = ""
+    #: Whether a match goes on behind what the automaton looks for.
+    beyond: bool = False
 
 
 def either_case(word: str) -> str:
@@ -60,8 +70,10 @@ BASE = (
 MORE = (
     Rule("github", "gh[opsu]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 20),
-    Rule("private_key", PRIVATE_KEY, 0, 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    # At the start of a run of token characters: retries inside the run would be quadratic.
+    Rule("jwt", "(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\\.eyJ[A-Za-z0-9_-]++\\.[A-Za-z0-9_-]++", 0, 20,
+         "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+"),
+    Rule("private_key", PRIVATE_KEY, 0, 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----", True),
 )
 
 SPAN = T.StructType([
@@ -80,19 +92,35 @@ class Scanner:
         self.exact = [re.compile(r.pattern) for r in rules]
         self.machine = machine
 
-    def spans(self, text: str, reported: int) -> list[dict]:
-        found = []
-        for i, rule in enumerate(self.rules):
-            if reported >> i & 1:
-                for m in self.exact[i].finditer(text):
-                    if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                        found.append((m.start(), i, m.end()))
-        return [{"kind": self.rules[i].kind, "start": a, "end": b} for a, i, b in sorted(found)]
-
     def scan(self, texts: list[str | None]) -> dict[str, list]:
         whole = [t or "" for t in texts]
-        reported = self.machine.scan([t.encode() for t in whole]).tolist()
-        return {"spans": [self.spans(t, r) if r else [] for t, r in zip(whole, reported)]}
+        encoded = [t.encode() for t in whole]
+        sizes = np.array([len(e) for e in encoded], np.int64)
+        data = np.frombuffer(b"".join(encoded), np.uint8)
+        starts, ends, masks = self.machine.segments(data, sizes)
+        before = np.cumsum(sizes) - sizes
+        owner = np.searchsorted(before, starts, side="right") - 1
+        # The last of several texts that begin there: those before it are empty.
+        found: list[list[tuple[int, int, int]]] = [[] for _ in whole]
+        upto = [0] * len(whole) * len(self.rules)  # where a rule's last match ends
+        points: dict[int, np.ndarray] = {}
+        for i, a, b, mask in zip(owner.tolist(), starts.tolist(), ends.tolist(), masks.tolist()):
+            a, b = a - int(before[i]), b - int(before[i])
+            if len(encoded[i]) != len(whole[i]):  # bytes to code points
+                if i not in points:
+                    mine = data[before[i] : before[i] + sizes[i]]
+                    points = {i: np.concatenate([[0], np.cumsum(mine & 0xC0 != 0x80)])}
+                a, b = int(points[i][a]), int(points[i][b])
+            for r, rule in enumerate(self.rules):
+                if mask >> r & 1:
+                    at = i * len(self.rules) + r
+                    for m in self.exact[r].finditer(whole[i], max(a, upto[at]), len(whole[i]) if rule.beyond else b):
+                        if rule.beyond and m.start() >= b:
+                            break
+                        upto[at] = m.end()
+                        if m.end(rule.group) - m.start(rule.group) >= rule.least:
+                            found[i].append((m.start(), r, m.end()))
+        return {"spans": [[{"kind": self.rules[r].kind, "start": a, "end": b} for a, r, b in sorted(f)] for f in found]}
 
 
 def find_secrets(df: DataFrame, out: str = "secrets", text_col: str = "text", rules: tuple[Rule, ...] = BASE + MORE) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from llm_rows import clash, docs
 
@@ -84,3 +85,49 @@ def test_a_private_key_is_covered_whole():
         assert got == (key if key.count("BEGIN") == 1 else key.replace("\n-----BEGIN PRIV", "-----BEGIN PRIV")), key
     many = (begin + " x ") * 50_000
     assert len(scanner.scan([many])["spans"][0]) == 50_000
+
+
+HOSTILE = {
+    "plain": "lorem ipsum dolor sit amet " * 400_000, "one word": "a" * 10_000_000, "jwt starts": "eyJ" * 3_000_000 + " eyJa.eyJb.cccccccccccccc",
+    "jwt dots": "eyJa." * 2_000_000, "names": "password" * 1_200_000, "blanks": "password" + " " * 10_000_000, "assigns": "token=a " * 1_200_000,
+    "headers": "-----BEGIN " * 900_000, "begins": "-----BEGIN PRIVATE KEY-----" * 300_000, "hex": "0123456789abcde " * 600_000, "lines": "secret\n" * 1_400_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_ten_megabytes_take_seconds_and_bounded_memory(name):
+    import time
+    import tracemalloc
+
+    text = HOSTILE[name]
+    assert len(text) > 8_000_000
+    scanner = S.Scanner(S.BASE + S.MORE, S.automaton(S.BASE + S.MORE))
+    scanner.scan(["warm up password=abcdefgh"])
+    began = time.process_time()
+    got = scanner.scan([text])["spans"][0]
+    assert time.process_time() - began < 20
+    assert [g for g in got if g["kind"] == "jwt"] == ([{"kind": "jwt", "start": 9_000_001, "end": 9_000_025}] if name == "jwt starts" else [])
+    small = text[: len(text) // 20]
+    tracemalloc.start()
+    scanner.scan([small])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(small) + (4 << 20)
+
+
+def test_segments_hold_every_match_and_little_else():
+    scanner = S.Scanner(S.BASE + S.MORE, S.automaton(S.BASE + S.MORE))
+    texts = ["no secret here\n" * 50 + "password = 'abcdefgh1'\n" + "nor here\n" * 50, "", "é, AKIA" + "A" * 16 + "; ü"]
+    encoded = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(encoded), np.uint8)
+    starts, ends, masks = scanner.machine.segments(data, np.array([len(e) for e in encoded]))
+    assert len(starts) == 2 and masks.tolist() == [1, 2] and max(ends - starts) < 60
+    assert scanner.machine.shortest == len("AKIA") + 1
+
+
+def test_spans_do_not_depend_on_what_stands_beside():
+    """Texts in one batch, cut anywhere, give what each gives alone."""
+    scanner, rnd = S.Scanner(S.BASE + S.MORE, S.automaton(S.BASE + S.MORE)), random.Random(12)
+    texts = [None, ""] + ["".join(rnd.choices(PARTS + ["\n", "\n", ", "], k=rnd.randint(0, 30))) for _ in range(400)] + ["", "f" * 40]
+    together = scanner.scan(texts)["spans"]
+    assert together == [scanner.scan([t])["spans"][0] for t in texts]
