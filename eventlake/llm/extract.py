@@ -242,13 +242,10 @@ def pair_edges(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(out.where(F.col(t.names[0]).isNotNull()).select(*t.names) for t in types)
 
 
-def extract(df: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id", out: str = "text") -> DataFrame:
-    """The columns of ``df`` without the html, the main text as ``out``, and
-    the lines that each rule decided: n_template, n_marked, n_quoted (which
-    replace columns of these names)."""
-    made = (out, "n_template", "n_marked", "n_quoted")
-    kept = df.drop(*(c for c in made if c in df.columns and c not in (url_col, html_col, id_col)))
-    pages = read_pages(kept, url_col, html_col).withColumn("uid", F.monotonically_increasing_id())
+def differenced(df: DataFrame, url_col: str, html_col: str, id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The written pages (``uid``, ``row``, lines and kinds), every page's run,
+    and the lines that a run shares with its nearest one."""
+    pages = read_pages(df, url_col, html_col).withColumn("uid", F.monotonically_increasing_id())
     pages = materialise(pages.withColumn("page_order", F.col("row")[id_col]), "html-lines")
     members, inside, edges = pair_sorted(pages)
     across, parts = pair_edges(edges)
@@ -258,20 +255,39 @@ def extract(df: DataFrame, url_col: str = "url", html_col: str = "html", id_col:
         named = rows.join(parts, F.col(column) == F.col("part_run"), "left")
         return named.withColumn(column, F.coalesce("whole_run", column)).drop(*parts.columns)
 
-    members, pairs = whole(members, "of_run"), whole(inside.unionByName(across), "run")
-    best = pairs.groupBy("run").agg(F.max(F.struct("prefix", "before", "shared")).alias("best"))
+    best = whole(inside.unionByName(across), "run").groupBy("run").agg(F.max(F.struct("prefix", "before", "shared")).alias("best"))
     shared = materialise(best.select("run", "best.shared"), "html-shared")
-    of_run = pages.join(members, "uid").join(shared, F.col("of_run") == F.col("run"), "left")
-    joined = of_run.withColumn("shared", F.coalesce("shared", F.array().cast("array<int>")))
-    kind_at = lambda i: F.get("kinds", i)
-    gone = lambda x: (kind_at(x["at"]) != TEXT) & F.array_contains("shared", x["at"])
-    text = F.array_join(F.transform(F.filter("lines", lambda x: ~gone(x)), lambda x: x["text"]), "\n\n")
-    n_shared = lambda *kinds: F.size(F.filter("shared", lambda i: kind_at(i).isin(*kinds))).cast("long")
-    marked = F.size(F.filter("kinds", lambda k: k == NO_TEXT)).cast("long") - n_shared(NO_TEXT)
+    members = whole(members, "of_run").select(F.col("uid").alias("member"), "of_run")
+    return pages, members, shared
+
+
+def extract(df: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id", out: str = "text") -> DataFrame:
+    """The columns of ``df`` without the html, and the main text as ``out``
+    (which replaces a column of that name)."""
+    kept = df.drop(out) if out in df.columns and out != html_col else df
+    pages, members, shared = differenced(kept, url_col, html_col, id_col)
+    # Only pages with lines that the markup leaves open need what is shared.
+    open_at = F.filter(F.sequence(F.lit(0), F.size("kinds") - 1), lambda i: F.get("kinds", i) == UNDECIDED)
+    left_open = pages.where(F.exists("kinds", lambda k: k == UNDECIDED)).select("uid", open_at.alias("open_at"))
+    gone = left_open.join(members, F.col("uid") == F.col("member")).join(shared, F.col("of_run") == F.col("run"))
+    gone = gone.select(F.col("uid").alias("gone_uid"), F.array_intersect("shared", "open_at").alias("gone")).where("size(gone) > 0")
+    joined = pages.join(materialise(gone, "html-gone"), F.col("uid") == F.col("gone_uid"), "left")
+    left = F.filter("lines", lambda x: F.col("gone").isNull() | ~F.array_contains("gone", x["at"]))
+    text = F.array_join(F.transform(left, lambda x: x["text"]), "\n\n")
     names = [c for c in kept.columns if c != html_col]
-    return joined.select(
-        *(F.col("row")[c].alias(c) for c in names), text.alias(out), n_shared(UNDECIDED, NO_TEXT).alias("n_template"),
-        marked.alias("n_marked"), n_shared(TEXT).alias("n_quoted"))
+    return joined.select(*(F.col("row")[c].alias(c) for c in names), text.alias(out))
+
+
+def decisions(df: DataFrame, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
+    """(``id_col``, n_template, n_marked, n_quoted): the lines of every page
+    that each rule decided, as the module's text counts them."""
+    pages, members, shared = differenced(df.select(id_col, url_col, html_col), url_col, html_col, id_col)
+    judged = pages.select("uid", F.col("row")[id_col].alias(id_col), "kinds").join(members, F.col("uid") == F.col("member"))
+    judged = judged.join(shared, F.col("of_run") == F.col("run"), "left").withColumn(
+        "shared", F.coalesce("shared", F.array().cast("array<int>")))
+    n_shared = lambda *kinds: F.size(F.filter("shared", lambda i: F.get("kinds", i).isin(*kinds))).cast("long")
+    marked = F.size(F.filter("kinds", lambda k: k == NO_TEXT)).cast("long") - n_shared(NO_TEXT)
+    return judged.select(id_col, n_shared(UNDECIDED, NO_TEXT).alias("n_template"), marked.alias("n_marked"), n_shared(TEXT).alias("n_quoted"))
 
 
 def op9_extract(spark, sf_dir):

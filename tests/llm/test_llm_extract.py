@@ -183,20 +183,22 @@ def test_pages_without_telling_markup_are_extracted_by_differencing(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = X.extract(df).collect()
+        decided = X.decisions(df).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert {r["page_id"]: r["text"] for r in got} == want
-    assert {(r["n_template"], r["n_marked"], r["n_quoted"]) for r in got} == {(8, 0, 0)}
+    assert {tuple(r)[1:] for r in decided} == {(8, 0, 0)} and len(decided) == len(rows)
 
 
 def test_what_each_rule_decides_is_counted(spark):
     page = lambda n: (f"<nav>Home</nav><article><p>text {n}</p><p>A recurring sentence.</p></article>"
                       f"<div class=comment>a reader's view of {n}</div><footer>Rights</footer>")
     rows = [(i, f"http://q.net/{i}", page(i)) for i in (1, 2)]
-    got = X.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n_marked", F.lit("mine"))).collect()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n_marked", F.lit("mine"))
+    got = X.extract(df).collect()
     assert {r["page_id"]: r["text"] for r in got} == {i: f"text {i}\n\nA recurring sentence." for i in (1, 2)}
-    assert {(r["n_template"], r["n_marked"], r["n_quoted"]) for r in got} == {(2, 1, 1)}
+    assert {tuple(r)[1:] for r in X.decisions(df).collect()} == {(2, 1, 1)} and {r["n_marked"] for r in got} == {"mine"}
 
 
 def test_deep_and_unclosed_markup_is_read_in_seconds():
