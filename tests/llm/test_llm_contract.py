@@ -21,7 +21,7 @@ COLUMNS = {
     "op7_tokens": "doc_id start n_tokens ids_crc32",
     "op8_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9_extract": "page_id url text n_chars",
-    "op10_warc": "file pos page_id offset length digest replica_digest",
+    "op10_warc": "file pos page_id offset length digest replica_digest replica_torn",
     "op11_variants": "word form root n n_near form_n",
     "op12_counts": "doc_id n_bytes n_tokens over_limit",
     "op13_repair": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",

@@ -33,7 +33,7 @@ def test_records_tile_their_file_and_hash_their_bytes(spark):
         assert r["pos"] == len(mine) and r["offset"] == sum(m["length"] for m in mine)
         mine.append(r)
     assert 3 < len(by) < 12
-    text = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:3>\r\nWARC-Target-URI: http://h3.net/3\r\nContent-Type: text/html\r\nContent-Length: 13\r\n\r\n<p>xxxé3</p>\r\n\r\n"
+    text = "WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:3>\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Target-URI: http://h3.net/3\r\nContent-Type: text/html\r\nContent-Length: 13\r\n\r\n<p>xxxé3</p>\r\n\r\n"
     row = next(r for r in rows if r["page_id"] == 3)
     assert row["digest"] == hashlib.sha256(text.encode()).hexdigest() and row["length"] == len(text.encode())
 
@@ -120,3 +120,39 @@ def test_damaged_copies_of_every_kind(spark):
             head, body = bytes(r["payload"]).split(b"\r\n\r\n", 1)
             got = R.damaged_copy(stored.where("page_id = 3"), changed=1).first()["payload"]
             assert bytes(got) == head + b"\r\n\r\n?" + body[1:]
+
+
+def test_record_ends_come_from_their_headers(spark):
+    """Read by Content-Length alone, a file's bytes give its records."""
+    odd = spark.createDataFrame([(1, "http://a/\r\n\r\nContent-Length: 9", "x\r\n\r\ny"), (2, "é", None), (3, None, "日本" * 40), (None, "", "")], SCHEMA)
+    for df in (odd, pages(spark, 200)):
+        stored = R.store(df)
+        told = {(r["file"], r["pos"]): r for r in R.records(stored).collect()}
+        assert not any(r["torn"] for r in told.values())
+        files = {}
+        for r in stored.orderBy("file", "place").collect():
+            files[r["file"]] = files.get(r["file"], b"") + bytes(r["payload"])
+        for file, data in files.items():
+            at = pos = 0
+            while at < len(data):
+                head = data.index(b"\r\n\r\n", at) + 4
+                fields = dict(x.split(b": ", 1) for x in data[at:head].split(b"\r\n")[1:] if x)
+                assert data[at:].startswith(b"WARC/1.1\r\n") and set(fields) >= {b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"}
+                end = head + int(fields[b"Content-Length"]) + 4
+                r = told[file, pos]
+                assert data[end - 4 : end] == b"\r\n\r\n" and (r["offset"], r["length"]) == (at, end - at)
+                assert r["digest"] == hashlib.sha256(data[at:end]).hexdigest()
+                at, pos = end, pos + 1
+
+
+def test_torn_records_are_told_and_later_ones_are_shifted(spark):
+    stored = R.store(pages(spark))
+    copy = R.damaged_copy(stored, changed=None, cut=300, lost=None, cut_bytes=4)
+    ours, theirs = R.records(stored), R.records(copy)
+    torn = {(r["file"], r["pos"]) for r in theirs.where("torn").collect()}
+    assert 2 < len(torn) < 40
+    first = {}
+    for file, pos in torn:
+        first[file] = min(pos, first.get(file, pos))
+    want = {(r["file"], r["pos"]) for r in ours.collect() if r["pos"] >= first.get(r["file"], 1 << 60)}
+    assert located(ours, theirs) == want
