@@ -19,7 +19,8 @@ key with more than ``RUN_LIMIT`` distinct fingerprints is not paired in one
 task: its members are filed again under finer keys cut from the bits that the
 key leaves free, until the free bits bound the run. A run emits a spanning set
 of its links, never all its pairs, and components are found by alternating
-large-star / small-star rounds over written tables.
+large-star / small-star rounds over written tables. The edges of a star's
+centre and the rows of one fingerprint are joined by (key, slice).
 
 Null ids are kept and lose against any other id as the class id; repeated rows
 each get their row back.
@@ -42,6 +43,8 @@ from eventlake.llm.common import LOWER_AZ, give_back, materialise, small_batches
 RUN_LIMIT = 2048
 #: Edges a task contracts at a time before the star rounds.
 EDGE_CHUNK = 500_000
+#: Tasks over which the edges of one centre, and the rows of one fingerprint, are dealt.
+SLICES = 64
 #: Shingles hashed at a time, so that memory doesn't grow with a text.
 SHINGLE_CHUNK = 65_536
 
@@ -263,13 +266,28 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        large = with_least(both, "u", "v").withColumn("m", F.least("u", "m"))
+        large = large.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = with_least(large, "u", "v").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = materialise(small.where("u <> v").distinct(), "simhash-edges")
 
 
+def sliced(rows: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` with ``slice``: the rows of one key dealt over ``SLICES``."""
+    return rows.withColumn("slice", F.pmod(F.xxhash64(by), F.lit(SLICES)))
+
+
+def with_least(edges: DataFrame, key: str, value: str) -> DataFrame:
+    """``edges`` with ``m``, the least ``value`` of their ``key``: taken per
+    slice, then per key, and joined back by (key, slice), so that the many
+    edges of one centre never meet in a task."""
+    dealt = sliced(edges, key, value)
+    per_slice = dealt.groupBy(key, "slice").agg(F.min(value).alias("m"))
+    per_key = per_slice.groupBy(F.col(key).alias("k")).agg(F.min("m").alias("least"))
+    least = per_slice.join(per_key, F.col(key) == F.col("k")).select(key, "slice", F.col("least").alias("m"))
+    return dealt.join(least, [key, "slice"]).drop("slice")
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2
 ) -> DataFrame:
@@ -285,7 +303,11 @@ def near_duplicates(
     of_fp = inside.join(least, "root").select(F.col("fp").alias("linked_fp"), "component")
     per_fp = per_fp.join(of_fp, F.col("fp") == F.col("linked_fp"), "left").select(
         "fp", F.coalesce("component", "least_id").alias("component"))
-    return rows.join(per_fp, "fp").select("id", "fp", "component")
+    # Exact copies have one fingerprint: their rows are joined slice by slice.
+    dealt = sliced(rows, "fp", "id")
+    classes = dealt.select(F.col("fp").alias("f"), F.col("slice").alias("s")).distinct().join(
+        per_fp.withColumnRenamed("fp", "of"), F.col("f") == F.col("of")).select("f", "s", "component")
+    return dealt.join(classes, (F.col("fp") == F.col("f")) & (F.col("slice") == F.col("s"))).select("id", "fp", "component")
 
 
 def op5_simhash(spark, sf_dir):
