@@ -32,7 +32,9 @@ def main() -> None:
     from eventlake.operators.conform import conform
     from eventlake.operators.merge import insert_ignore, upsert_if_newer
     from eventlake.plans import gold as G
+    from eventlake.plans import rollups as R
     from eventlake.plans.catalog import QUERIES
+    from eventlake.plans.layout import clustered
     from eventlake.plans.replay import replayed
     from eventlake.plans.warehouse import lit_ts
     from eventlake.session import build_session
@@ -43,10 +45,12 @@ def main() -> None:
     pipeline = {
         "gold: dim_actors upsert (UPS-1 over DED-3)": upsert_if_newer(
             wh.dim("dim_actors", 3), G.actor_updates(batch), "actor_id", lit_ts("2024-03-01 00:00:00")),
-        "gold: fact insert-ignore (UPS-3)": insert_ignore(
-            wh.facts(wh.gold_log.of_run(3)), G.fact_rows(batch, lit_ts("2024-03-01 00:00:00")), ["event_id"]),
-        "bronze: store dedupe (SNK-1)": insert_ignore(
-            wh.bronze_events(), wh.bronze_events(after=3).select("event_id"), ["event_id"]),
+        "gold: fact insert-ignore by the id index (UPS-3)": insert_ignore(
+            wh.fact_ids.all(wh.gold_log.of_run(3)["ids"]), G.fact_rows(batch, lit_ts("2024-03-01 00:00:00")), ["event_id"]),
+        "bronze: dedupe by the touched buckets of the id index (SNK-1)": insert_ignore(
+            wh.bronze_ids.stored(wh.bronze_state()["ids"][:3], [0], 1), wh.bronze_events(after=3).select("event_id"), ["event_id"]),
+        "gold: aggregates of a run's facts": R.rollups(wh.facts()),
+        "compaction: clustered facts": clustered(wh.facts(), 10_000),
     }
     out = ["# PLANS", "",
            f"Physical plans (`explain(\"formatted\")`, tree and scan lines) at `{sf_dir}`,",
