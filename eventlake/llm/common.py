@@ -51,8 +51,9 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def materialise(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, with a folder for each
+    value of ``by``, and read it back.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
     lost executor costs a re-read, not a recomputation, and every consumer
@@ -60,7 +61,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

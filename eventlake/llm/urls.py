@@ -13,8 +13,10 @@ without a join; only building shuffles, on distinct keys.
 
 The filters are the only thing broadcast. Their bits are bounded: when the
 list would need more than ``max_bits``, keys are cut by hash into shards with a
-cascade each, and the pages pass through the shards one after another with a
-written table in between, so memory holds one bounded cascade at a time.
+cascade each. Keys and pages are dealt over folders by their shard once, a
+large folder in several files; each shard's levels read its keys only, and its
+pages meet its cascade only, so a task holds one bounded cascade and the work
+doesn't grow with the number of shards.
 
 Null urls and urls without ``://`` have an empty host and path; they are judged
 like any other key. Repeated rows are judged alike. An empty list allows what
@@ -26,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.common import materialise, small_batches, table
+from eventlake.llm.common import free_name, materialise, small_batches, table
 
 FALSE_POSITIVES = 0.01
 #: Bits of all levels of one cascade (8 MB).
@@ -177,43 +180,46 @@ class UrlFilter:
         # Level 1 holds the list, level 2 at most a hundredth of the others, the rest together less than a hundredth more.
         bits = -math.log(rate) / math.log(2) ** 2 * (n[0] + n[1] * rate) * 1.1
         self.shards = max(1, math.ceil(bits / max_bits))
-        self.cascades = [Cascade.build(keys.where(self.shard(F.col("key")) == s), rate) for s in range(self.shards)]
+        self.cascades = [Cascade.build(part, rate) for part in self.dealt(keys, F.col("key"), "url-keys")]
 
     def shard(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.shards))
 
+    def dealt(self, rows: DataFrame, key: Column, label: str) -> list[DataFrame]:
+        """The rows of every shard, written once to a folder for each."""
+        if self.shards == 1:
+            return [rows]
+        name = free_name(rows, "shard")
+        written = materialise(rows.withColumn(name, self.shard(key).cast("int")).hint("rebalance", name), label, name)
+        return [written.where(F.col(name) == s).drop(name) for s in range(self.shards)]
+
     def judge(self, df: DataFrame, url_col: str = "url", out: str = "judged") -> DataFrame:
         """``df`` with a struct column ``out``: host, path, rule, listed, verdict."""
-        spark = df.sparkSession
-        small_batches(spark)
+        small_batches(df.sparkSession)
         kept = df.drop(out) if out in df.columns else df
         host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-        rows = kept.select(F.struct(*kept.columns).alias("row"), F.struct(host.alias("host"), path.alias("path")).alias("at"), F.lit(False).alias("listed"))
+        rows = kept.select(F.struct(*kept.columns).alias("row"), F.struct(host.alias("host"), path.alias("path")).alias("at"))
         key = F.concat("at.host", "at.path")
-        for number, cascade in enumerate(self.cascades):
-            if number:
-                rows = materialise(rows, "url-shard")
-            rows = self._pass(rows, key, number, cascade)
+        parts = [self._pass(part, key, cascade) for part, cascade in zip(self.dealt(rows, key, "url-pages"), self.cascades)]
+        rows = reduce(DataFrame.unionByName, parts)
         rule = fitting_rule(F.col("at.host"), F.col("at.path"), self.rules)
         verdict = F.coalesce(rule["verdict"], F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow")))
         judged = F.struct("at.host", "at.path", rule["text"].alias("rule"), "listed", verdict.alias("verdict"))
         return rows.select(*(F.col("row")[c].alias(c) for c in kept.columns), judged.alias(out))
 
-    def _pass(self, rows: DataFrame, key: Column, number: int, cascade: Cascade) -> DataFrame:
-        hashes = F.array(self.shard(key), *(level_hash(key, i + 1) for i in range(len(cascade.levels))))
+    def _pass(self, rows: DataFrame, key: Column, cascade: Cascade) -> DataFrame:
+        """``rows`` with ``listed``, by the cascade of their shard."""
+        width = len(cascade.levels)
+        hashes = F.array(*(level_hash(key, i + 1) for i in range(width))) if width else F.array().cast("array<long>")
         sent = rows.sparkSession.sparkContext.broadcast(cascade)
-        width = 1 + len(cascade.levels)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                h = batch.column(3).flatten().to_numpy().view(np.uint64).reshape(-1, width)
-                listed = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                mine = h[:, 0] == number
-                listed[mine] = sent.value.listed(h[mine, 1:])
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(listed)], names=["row", "at", "listed"])
-
-        schema = T.StructType(rows.schema.fields)
-        return rows.select("row", "at", "listed", hashes.alias("h")).mapInArrow(run, schema)
+                h = batch.column(2).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, width)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sent.value.listed(h))], names=["row", "at", "listed"])
+
+        schema = T.StructType([*rows.schema.fields, T.StructField("listed", T.BooleanType())])
+        return rows.select("row", "at", hashes.alias("h")).mapInArrow(run, schema)
 
 
 def on_list(host: Column, names: tuple[str, ...] = LISTED_NAMES) -> Column:

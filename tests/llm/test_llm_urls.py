@@ -37,6 +37,21 @@ def test_judges_like_brute_force(spark, max_bits):
         assert (r[2], r[3], r[4], r[6]) == brute(r["url"]), r
 
 
+def test_keys_and_pages_are_dealt_once(spark):
+    """However many shards there are, a page is written once, to its shard's folder."""
+    df = spark.createDataFrame([(i, f"http://h{i % 50}.net/{i % 400}") for i in range(2000)], "page_id long, url string")
+    universe = df.select(F.concat(U.host_of(F.col("url")), U.path_of(F.col("url"))).alias("key"))
+    listed = universe.where(F.crc32(F.col("key").cast("binary")) % 3 == 0)
+    made = U.UrlFilter(universe, listed, rules=(), max_bits=300)
+    assert made.shards > 4
+    judged = made.judge(df)
+    files = judged.inputFiles()
+    assert len({f.split("/url-pages-")[1].split("/")[0] for f in files}) == 1
+    blocked = {r["key"] for r in listed.distinct().collect()}
+    for r in judged.collect():
+        assert r["judged"]["verdict"] == ("block" if r["judged"]["host"] + r["judged"]["path"] in blocked else "allow")
+
+
 def test_cascade_is_exact_with_a_coarse_filter(spark):
     keys = spark.range(20_000).select(F.col("id").cast("string").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
     cascade = U.Cascade.build(keys, rate=0.4)
