@@ -76,7 +76,9 @@ def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
     numbered = _ends(_states(pieces).drop("is_array", "file_size").join(starts, list(_SPLIT))).withColumn(
         "element", F.col("earlier") + F.sum("ends").over(in_split) - F.col("ends"))
     part = F.struct("split", "pos", F.concat("value", F.lit("}")).alias("text"))
-    joined = numbered.groupBy("file", "element", "total", "array", "closed").agg(
+    # By number: parsing costs more than the bytes tell, which would be coalesced.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = numbered.repartition(tasks, "file", "element").groupBy("file", "element", "total", "array", "closed").agg(
         F.concat_ws("", F.transform(F.array_sort(F.collect_list(part)), lambda x: x["text"])).alias("text"))
     is_last = F.col("element") == F.col("total")
     text = F.when(is_last & ~F.col("closed"), F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
@@ -106,10 +108,13 @@ def _states(pieces: DataFrame) -> DataFrame:
     split starts outside a string (``depth0``) or inside (``depth1``)."""
     # An escape never reaches over a closing brace. Between quotes, text is
     # outside and inside a string in turn.
-    parts = pieces.withColumn("parts", F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1))
-    outside = lambda odd: F.concat_ws("", F.filter("parts", lambda x, i: i % 2 == odd))
-    count = lambda text, drop: F.length(F.regexp_replace(text, drop, ""))
-    net = lambda odd: count(outside(odd), r"[^{\[]") - count(outside(odd), r"[^\]]")
+    plain = F.when(F.instr("value", "\\") > 0, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+    parts = pieces.withColumn("parts", F.split(plain, '"', -1))
+    every = lambda odd: F.concat_ws("", F.filter("parts", lambda x, i: i % 2 == odd))
+    # Texts of their own columns, so that each is made once and counted often.
+    parts = parts.withColumns({"text0": every(0), "text1": every(1)})
+    count = lambda odd, chars: F.length(f"text{odd}") - F.length(F.translate(f"text{odd}", chars, ""))
+    net = lambda odd: count(odd, "{[") - count(odd, "]")
     quotes = parts.withColumn("quotes", (F.size("parts") - 1) % 2).select(
         *pieces.columns, "quotes",
         # The brace counts if the piece ends outside a string.
